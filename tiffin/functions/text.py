@@ -15,11 +15,13 @@ def initcap_words(c: Column) -> Column:
     Spark's own ``initcap`` starts words only after blanks, so the text is cut into runs, each run is
     capitalised, and the runs are joined again. Stays in the JVM; NULL gives NULL, '' gives ''.
     """
-    runs = F.regexp_extract_all(c, F.lit(_RUNS), F.lit(1))
-    capitalised = F.transform(
-        runs,
-        lambda run: F.concat(
-            F.upper(F.substring(run, 1, 1)), F.lower(F.substring(run, F.lit(2), F.length(run)))
-        ),
-    )
-    return F.array_join(capitalised, "")
+
+
+    def capitalise(run: Column) -> Column:
+        first = F.substring(run, 1, 1)
+        upper = F.upper(first)
+        # A letter without a single capital, such as a sharp s, stays as it is.
+        start = F.when(F.length(upper) == 1, upper).otherwise(first)
+        return F.concat(start, F.lower(F.substring(run, F.lit(2), F.length(run))))
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_RUNS), F.lit(1)), capitalise), "")
