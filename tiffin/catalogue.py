@@ -1,7 +1,7 @@
 """The registered queries: each operator over the whole test tables.
 
-Gold and reconciliation read stored silver tables, as in the pipeline; those are built once per
-application and source directory in the shared folder. Decimals and zoneless timestamps are turned
+As in the pipeline, each layer reads the stored tables of the layer before it. Those are built on
+first use, once per application and source directory, in the shared folder. Decimals and zoneless timestamps are turned
 into doubles and timestamps in the results only, so that engines can compare them.
 """
 
@@ -31,8 +31,7 @@ from tiffin.plans.pipeline import (
     run_pipeline,
     silver_tables,
 )
-from tiffin.plans.silver import build_silver
-from tiffin.schemas import BY_SILVER_NAME, CUSTOMERS, ORDER_ITEMS, ORDERS, TABLES
+from tiffin.schemas import BY_SILVER_NAME, CUSTOMERS, ORDER_ITEMS, ORDERS, TABLES, TableSpec
 from tiffin.session import shared_folder
 from tiffin.sources import testbed
 from tiffin.sources.csv_files import NULL_TOKENS, read_bronze_csv, write_csv
@@ -80,16 +79,42 @@ def landing(spark: SparkSession, sf_dir: str, *names: str) -> str:
     return folder
 
 
-def stored(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Warehouse with the silver tables of ``sf_dir``."""
+def with_bronze(spark: SparkSession, sf_dir: str, *specs: TableSpec) -> Warehouse:
+    """Warehouse with the bronze tables of ``specs``, loaded from their CSV extracts."""
     warehouse = Warehouse(spark, f"{_folder(spark, sf_dir)}/warehouse")
+    for spec in specs:
+        folder = landing(spark, sf_dir, spec.bronze_name)
+        _once(
+            spark,
+            warehouse.path(BRONZE, spec.bronze_name),
+            BRONZE,
+            lambda spec=spec, folder=folder: load_bronze(warehouse, folder, [spec]),
+        )
+    return warehouse
+
+
+def stored_bronze(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    return with_bronze(spark, sf_dir, spec).bronze(spec)
 
-    def build() -> None:
-        for spec in TABLES:
-            bronze = testbed.bronze(spark, sf_dir, spec)
-            warehouse.write(quality.clean(bronze, spec), SILVER, spec.silver_name)
 
-    _once(spark, warehouse.root, SILVER, build)
+def with_silver(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Warehouse with all silver tables."""
+    warehouse = with_bronze(spark, sf_dir, *TABLES)
+
+    def build(spec: TableSpec) -> None:
+        rows = quality.clean(warehouse.bronze(spec), spec)
+        warehouse.write(rows, SILVER, spec.silver_name)
+
+    for spec in TABLES:
+        path = warehouse.path(SILVER, spec.silver_name)
+        _once(spark, path, SILVER, lambda spec=spec: build(spec))
+    return warehouse
+
+
+def with_gold(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Warehouse with all silver and gold tables."""
+    warehouse = with_silver(spark, sf_dir)
+    _once(spark, warehouse.root, GOLD, lambda: build_gold(warehouse, testbed.AS_OF))
     return warehouse
 
 
@@ -103,7 +128,7 @@ def _bronze(name: str) -> Query:
     return run
 
 
-def _dirty_load(spark: SparkSession, text: DataFrame, spec) -> DataFrame:
+def _dirty_load(spark: SparkSession, text: DataFrame, spec: TableSpec) -> DataFrame:
     """Write ``text`` as a CSV extract of ``spec`` (columns it lacks are empty) and load it."""
     missing = [f.name for f in spec.fields if f.name not in text.columns]
     rows = text.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
@@ -188,9 +213,7 @@ def bronze_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver(name: str, null_key: str = quality.KEEP) -> Query:
     spec = BY_SILVER_NAME[name]
-    return lambda spark, sf_dir: quality.clean(
-        testbed.bronze(spark, sf_dir, spec), spec, null_key
-    )
+    return lambda spark, sf_dir: quality.clean(stored_bronze(spark, sf_dir, spec), spec, null_key)
 
 
 def _rejects_per_key(rejected: DataFrame, key: str) -> DataFrame:
@@ -203,7 +226,7 @@ def _audit(name: str, null_key: str = quality.KEEP) -> Query:
     spec = BY_SILVER_NAME[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bronze = testbed.bronze(spark, sf_dir, spec)
+        bronze = stored_bronze(spark, sf_dir, spec)
         rows = quality.audit_rows(quality.rejections(bronze, spec, null_key))
         return _rejects_per_key(rows, spec.key)
 
@@ -212,13 +235,13 @@ def _audit(name: str, null_key: str = quality.KEEP) -> Query:
 
 def dedup_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicates of a key removed without any rules."""
-    rows = quality.normalise(testbed.bronze(spark, sf_dir, ORDER_ITEMS), ORDER_ITEMS)
+    rows = quality.normalise(stored_bronze(spark, sf_dir, ORDER_ITEMS), ORDER_ITEMS)
     return quality.one_row_per_key(rows, ORDER_ITEMS.key)
 
 
 def _gold(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        silver = silver_tables(stored(spark, sf_dir))
+        silver = silver_tables(with_silver(spark, sf_dir))
         totals = gold.order_totals(silver["order_items"])
         return gold_plans(silver, totals, testbed.AS_OF)[name]()
 
@@ -227,7 +250,7 @@ def _gold(name: str) -> Query:
 
 def gold_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second write that must leave the first one's table as it is."""
-    silver = silver_tables(stored(spark, sf_dir))
+    silver = silver_tables(with_silver(spark, sf_dir))
     target = fresh_warehouse(spark)
     for as_of in (testbed.AS_OF, "1999-01-01"):
         summary = gold.partner_summary(silver["delivery_partners"], silver["orders"], as_of)
@@ -235,23 +258,17 @@ def gold_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(GOLD, "partner_summary")
 
 
-def _with_gold(spark: SparkSession, sf_dir: str) -> Warehouse:
-    warehouse = stored(spark, sf_dir)
-    _once(spark, warehouse.root, GOLD, lambda: build_gold(warehouse, testbed.AS_OF))
-    return warehouse
-
-
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile(_with_gold(spark, sf_dir))[0]
+    return reconcile(with_gold(spark, sf_dir))[0]
 
 
 def reconcile_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile(_with_gold(spark, sf_dir))[1]
+    return reconcile(with_gold(spark, sf_dir))[1]
 
 
 def dq_rating_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings outside 1.5 to 4.5, narrower than the scale so that there are some."""
-    silver = silver_tables(stored(spark, sf_dir))
+    silver = silver_tables(with_silver(spark, sf_dir))
     return reduce(
         DataFrame.union,
         [
@@ -266,7 +283,7 @@ def dq_rating_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for spec in TABLES:
-        rows = quality.normalise(testbed.bronze(spark, sf_dir, spec), spec).distinct()
+        rows = quality.normalise(stored_bronze(spark, sf_dir, spec), spec).distinct()
         repeated = quality.duplicate_keys(rows, spec.key)
         parts.append(
             repeated.select(
@@ -281,7 +298,7 @@ def audit_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
         DataFrame.union,
         [
             _rejects_per_key(
-                quality.duplicate_rejections(testbed.bronze(spark, sf_dir, spec), spec), spec.key
+                quality.duplicate_rejections(stored_bronze(spark, sf_dir, spec), spec), spec.key
             )
             for spec in TABLES
         ],
@@ -289,7 +306,7 @@ def audit_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_tables(stored(spark, sf_dir))
+    silver = silver_tables(with_silver(spark, sf_dir))
     links = (
         ("orders", "Customer_id", "customers", "Customer_id"),
         ("orders", "Restaurant_id", "restaurants", "Restaurant_id"),
@@ -308,7 +325,7 @@ def dq_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = stored(spark, sf_dir).read(SILVER, "orders")
+    orders = with_silver(spark, sf_dir).silver(ORDERS)
     allowed = {
         "Payment_mode": list(gold.PAYMENT_SHARES.values()),
         "Delivery_status": [gold.DELIVERED, "Cancelled"],

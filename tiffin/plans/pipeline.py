@@ -13,7 +13,7 @@ from tiffin.plans.bronze import load_bronze
 from tiffin.plans.reconcile import reconcile_checks, reconcile_counts
 from tiffin.plans.silver import build_silver
 from tiffin.schemas import TABLES
-from tiffin.sources.warehouse import GOLD, SILVER, STAGE, Warehouse
+from tiffin.sources.warehouse import GOLD, STAGE, Warehouse
 
 GOLD_TABLES = (
     "orders_summary",
@@ -27,7 +27,7 @@ Step = tuple[str, str, str, int | None]
 
 
 def silver_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {spec.silver_name: warehouse.read(SILVER, spec.silver_name) for spec in TABLES}
+    return {spec.silver_name: warehouse.silver(spec) for spec in TABLES}
 
 
 def gold_tables(warehouse: Warehouse) -> dict[str, DataFrame]:

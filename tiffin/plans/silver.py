@@ -8,7 +8,7 @@ from pyspark.sql import Column
 
 from tiffin.operators.quality import KEEP, audit_rows, clean, rejections
 from tiffin.schemas import TABLES, TableSpec
-from tiffin.sources.warehouse import AUDIT, BRONZE, SILVER, Warehouse
+from tiffin.sources.warehouse import AUDIT, SILVER, Warehouse
 
 AUDIT_TABLE = "rejected_rows"
 
@@ -20,7 +20,7 @@ def build_silver_table(
     rejected_at: Column | None = None,
 ) -> tuple[int, int]:
     """Rebuild one silver table and append its rejects; returns both row counts."""
-    bronze = warehouse.read(BRONZE, spec.bronze_name)
+    bronze = warehouse.bronze(spec)
     kept = warehouse.write(clean(bronze, spec, null_key), SILVER, spec.silver_name)
     rejected = audit_rows(rejections(bronze, spec, null_key), rejected_at)
     return kept, warehouse.write(rejected, AUDIT, AUDIT_TABLE, "append")

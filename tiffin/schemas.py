@@ -59,6 +59,12 @@ class TableSpec:
     def bronze_schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.type) for f in self.fields])
 
+    @property
+    def silver_schema(self) -> T.StructType:
+        """Normalisers keep the type of their source column."""
+        types = {f.name: f.type for f in self.fields}
+        return T.StructType([T.StructField(p.name, types[p.source]) for p in self.projections])
+
     @property
     def silver_columns(self) -> list[str]:
         return [p.name for p in self.projections]

@@ -14,10 +14,13 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tiffin")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Call sites recorded for every column make building a plan several times slower.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name, value)

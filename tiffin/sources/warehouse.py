@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tiffin.schemas import TableSpec
 from tiffin.sources.csv_files import path_exists
 
 BRONZE, SILVER, GOLD, AUDIT, STAGE = "bronze", "silver", "gold", "audit", "stage"
@@ -24,8 +26,16 @@ class Warehouse:
         """Whether a finished table is there (a failed write leaves no ``_SUCCESS``)."""
         return path_exists(self.spark, f"{self.path(layer, table)}/_SUCCESS")
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+    def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
+        """A stored table. A given schema spares the job that reads it from a file."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(layer, table))
+
+    def bronze(self, spec: TableSpec) -> DataFrame:
+        return self.read(BRONZE, spec.bronze_name, spec.bronze_schema)
+
+    def silver(self, spec: TableSpec) -> DataFrame:
+        return self.read(SILVER, spec.silver_name, spec.silver_schema)
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite") -> int:
         """Write ``df`` and return the number of rows written.
