@@ -24,8 +24,9 @@ from tiffin.operators import checks, quality
 from tiffin.plans import gold
 from tiffin.plans.bronze import load_bronze, load_report
 from tiffin.plans.pipeline import (
+    GOLD_TABLES,
     build_gold,
-    gold_plans,
+    gold_plan,
     gold_tables,
     reconcile,
     run_pipeline,
@@ -35,7 +36,7 @@ from tiffin.schemas import BY_SILVER_NAME, CUSTOMERS, ORDER_ITEMS, ORDERS, TABLE
 from tiffin.session import shared_folder
 from tiffin.sources import testbed
 from tiffin.sources.csv_files import NULL_TOKENS, read_bronze_csv, write_csv
-from tiffin.sources.warehouse import BRONZE, GOLD, SILVER, Warehouse
+from tiffin.sources.warehouse import BRONZE, GOLD, SILVER, Stage, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +59,7 @@ def _folder(spark: SparkSession, sf_dir: str) -> str:
     return f"{shared_folder(spark)}/{zlib.crc32(sf_dir.encode()):08x}"
 
 
-def _once(spark: SparkSession, folder: str, step: str, build: Callable[[], object]) -> None:
+def _once(folder: str, step: str, build: Callable[[], object]) -> None:
     if (folder, step) not in _ready:
         build()
         _ready.add((folder, step))
@@ -74,8 +75,11 @@ def landing(spark: SparkSession, sf_dir: str, *names: str) -> str:
     for spec in TABLES:
         if not names or spec.bronze_name in names:
             path = f"{folder}/{spec.bronze_name}.csv"
-            rows = testbed.bronze(spark, sf_dir, spec)
-            _once(spark, path, "csv", lambda rows=rows, path=path: write_csv(rows, path))
+            _once(
+                path,
+                "csv",
+                lambda spec=spec, path=path: write_csv(testbed.bronze(spark, sf_dir, spec), path),
+            )
     return folder
 
 
@@ -85,7 +89,6 @@ def with_bronze(spark: SparkSession, sf_dir: str, *specs: TableSpec) -> Warehous
     for spec in specs:
         folder = landing(spark, sf_dir, spec.bronze_name)
         _once(
-            spark,
             warehouse.path(BRONZE, spec.bronze_name),
             BRONZE,
             lambda spec=spec, folder=folder: load_bronze(warehouse, folder, [spec]),
@@ -107,14 +110,14 @@ def with_silver(spark: SparkSession, sf_dir: str) -> Warehouse:
 
     for spec in TABLES:
         path = warehouse.path(SILVER, spec.silver_name)
-        _once(spark, path, SILVER, lambda spec=spec: build(spec))
+        _once(path, SILVER, lambda spec=spec: build(spec))
     return warehouse
 
 
 def with_gold(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Warehouse with all silver and gold tables."""
     warehouse = with_silver(spark, sf_dir)
-    _once(spark, warehouse.root, GOLD, lambda: build_gold(warehouse, testbed.AS_OF))
+    _once(warehouse.root, GOLD, lambda: build_gold(warehouse, testbed.AS_OF))
     return warehouse
 
 
@@ -241,9 +244,10 @@ def dedup_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        silver = silver_tables(with_silver(spark, sf_dir))
-        totals = gold.order_totals(silver["order_items"])
-        return gold_plans(silver, totals, testbed.AS_OF)[name]()
+        warehouse = with_silver(spark, sf_dir)
+        # Only the menu uses its intermediate table twice.
+        store = Stage(warehouse).store if name == "menu_performance" else None
+        return gold_plan(name, silver_tables(warehouse), testbed.AS_OF, store)
 
     return run
 
@@ -387,13 +391,7 @@ def queries() -> dict[str, Query]:
     out.update(
         {
             f"gold_{name}": _gold(name)
-            for name in (
-                "orders_summary",
-                "menu_performance",
-                "customer_summary",
-                "restaurant_summary",
-                "partner_summary",
-            )
+            for name in GOLD_TABLES
         }
     )
     for query in (

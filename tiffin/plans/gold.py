@@ -105,14 +105,12 @@ def orders_summary(orders: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def menu_performance(
-    order_items: DataFrame, orders: DataFrame, restaurants: DataFrame
-) -> DataFrame:
-    """Orders, quantity and revenue per menu item and cuisine, with their shares.
+def menu_items(order_items: DataFrame, orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """``(Menu_item, Cuisine, total_orders, total_quantity_sold, total_revenue)`` of known cuisines.
 
     An order has one restaurant, so distinct orders are counted by first making (order, item) unique
     and then counting rows; no distinct aggregate is needed and each step shrinks the next shuffle.
-    A cuisine's total is an aggregate joined back, not a window, as a cuisine may hold most rows.
+    Orders or restaurants with very many of these rows are left to the skew handling of the joins.
     """
     per_order_item = (
         order_items.filter(F.col("Order_id").isNotNull())
@@ -135,7 +133,7 @@ def menu_performance(
     cuisines = restaurants.filter(F.col("cuisine_type").isNotNull()).select(
         "Restaurant_id", F.col("cuisine_type").alias("Cuisine")
     )
-    items = (
+    return (
         per_restaurant_item.join(cuisines, "Restaurant_id")
         .groupBy("Menu_item", "Cuisine")
         .agg(
@@ -144,6 +142,15 @@ def menu_performance(
             F.sum("revenue").alias("total_revenue"),
         )
     )
+
+
+def menu_performance(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Menu items with their share of all orders and of their cuisine's revenue.
+
+    ``items`` is the result of ``menu_items``. It is read twice, once narrowed to the revenue, so it
+    should be a stored table. A cuisine's total is an aggregate joined back rather than a window, as
+    one cuisine may hold most of the items.
+    """
     cuisine_totals = items.groupBy("Cuisine").agg(F.sum("total_revenue").alias("cuisine_revenue"))
     all_orders = orders.agg(F.count("Order_id")).scalar()
     return items.join(cuisine_totals, "Cuisine").select(

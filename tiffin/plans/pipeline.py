@@ -13,7 +13,7 @@ from tiffin.plans.bronze import load_bronze
 from tiffin.plans.reconcile import reconcile_checks, reconcile_counts
 from tiffin.plans.silver import build_silver
 from tiffin.schemas import TABLES
-from tiffin.sources.warehouse import GOLD, STAGE, Warehouse
+from tiffin.sources.warehouse import GOLD, Stage, Warehouse
 
 GOLD_TABLES = (
     "orders_summary",
@@ -34,26 +34,32 @@ def gold_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
     return {name: warehouse.read(GOLD, name) for name in GOLD_TABLES}
 
 
-def gold_plans(
+def gold_plan(
+    name: str,
     silver: dict[str, DataFrame],
-    totals: DataFrame,
     as_of: datetime.date | str | None = None,
-) -> dict[str, Callable[[], DataFrame]]:
-    """Plan of each gold table over silver tables and the totals per order."""
-    orders = silver["orders"]
-    return {
-        "orders_summary": lambda: gold.orders_summary(orders, totals),
-        "menu_performance": lambda: gold.menu_performance(
-            silver["order_items"], orders, silver["restaurants"]
-        ),
-        "customer_summary": lambda: gold.customer_summary(silver["customers"], orders, as_of),
-        "restaurant_summary": lambda: gold.restaurant_summary(
-            silver["restaurants"], orders, totals
-        ),
-        "partner_summary": lambda: gold.partner_summary(
-            silver["delivery_partners"], orders, as_of
-        ),
-    }
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Plan of one gold table over silver tables.
+
+    ``store(name, plan)`` gives an intermediate table back as a stored one; without it, intermediate
+    tables stay part of the plan and are computed each time they are used.
+    """
+    store = store or (lambda _, plan: plan)
+    orders, items = silver["orders"], silver["order_items"]
+    if name == "orders_summary":
+        return gold.orders_summary(orders, store("order_totals", gold.order_totals(items)))
+    if name == "menu_performance":
+        menu = gold.menu_items(items, orders, silver["restaurants"])
+        return gold.menu_performance(store("menu_items", menu), orders)
+    if name == "customer_summary":
+        return gold.customer_summary(silver["customers"], orders, as_of)
+    if name == "restaurant_summary":
+        totals = store("order_totals", gold.order_totals(items))
+        return gold.restaurant_summary(silver["restaurants"], orders, totals)
+    if name == "partner_summary":
+        return gold.partner_summary(silver["delivery_partners"], orders, as_of)
+    raise ValueError(f"no gold table {name!r}")
 
 
 def build_gold(
@@ -65,14 +71,14 @@ def build_gold(
     """All gold tables from the stored silver tables.
 
     ``mode="ignore"`` leaves tables that exist as they are. ``on_error="skip"`` records a failed
-    table, skips those after it and returns, instead of raising. Totals per order serve two tables,
-    so they are written once to the stage layer.
+    table, skips those after it and returns, instead of raising. Intermediate tables are written once
+    to the stage layer of this run.
     """
     if on_error not in ("raise", "skip"):
         raise ValueError(f"on_error must be 'raise' or 'skip', not {on_error!r}")
     steps: list[Step] = []
     failed = False
-    plans: dict[str, Callable[[], DataFrame]] = {}
+    store = Stage(warehouse).store
     for name in GOLD_TABLES:
         if failed:
             steps.append(("gold", name, "skipped", None))
@@ -81,11 +87,8 @@ def build_gold(
             steps.append(("gold", name, "kept", None))
             continue
         try:
-            if not plans:
-                silver = silver_tables(warehouse)
-                warehouse.write(gold.order_totals(silver["order_items"]), STAGE, "order_totals")
-                plans = gold_plans(silver, warehouse.read(STAGE, "order_totals"), as_of)
-            rows = warehouse.write(plans[name](), GOLD, name, mode)
+            plan = gold_plan(name, silver_tables(warehouse), as_of, store)
+            rows = warehouse.write(plan, GOLD, name, mode)
             steps.append(("gold", name, "built", rows))
         except Exception as error:
             if on_error == "raise":

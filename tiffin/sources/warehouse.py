@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -52,3 +53,22 @@ class Warehouse:
             self.path(layer, table)
         )
         return seen.get["rows"]
+
+
+class Stage:
+    """Intermediate tables of one run, each written on first use and read back from then on.
+
+    Every run has a folder of its own, so a plan of an earlier run never loses the files it reads.
+    """
+
+    def __init__(self, warehouse: Warehouse):
+        self._warehouse = warehouse
+        self._run = uuid.uuid4().hex
+        self._schemas: dict[str, StructType] = {}
+
+    def store(self, name: str, plan: DataFrame) -> DataFrame:
+        table = f"{self._run}/{name}"
+        if name not in self._schemas:
+            self._warehouse.write(plan, STAGE, table)
+            self._schemas[name] = plan.schema
+        return self._warehouse.read(STAGE, table, self._schemas[name])
