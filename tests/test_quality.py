@@ -1,0 +1,261 @@
+from __future__ import annotations
+
+import json
+import random
+from collections import Counter, defaultdict
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiffin.operators import checks, quality
+from tiffin.schemas import CUSTOMERS, DELIVERY_PARTNERS, ORDER_ITEMS, ORDERS, RESTAURANTS, TABLES
+from tiffin.sources import testbed
+
+SF = "/root/testdata/sf0.001"
+
+
+def _item(key, quantity, price=1.0, menu="tea", order="O1"):
+    return {
+        "Order_item_id": key,
+        "Order_id": order,
+        "Menu_item": menu,
+        "Quantity": quantity,
+        "Price": price,
+    }
+
+
+def _rejected(df):
+    rows = sorted((r.reason, r.row_data) for r in df.collect())
+    return [(reason, json.loads(row_data)) for reason, row_data in rows]
+
+
+def test_normalisation(spark, bronze_rows):
+    row = {
+        "Customer_id": "c1",
+        "First_Name": "  ann ",
+        "Last_Name": "\tlee ",
+        "Email": " A@B.Com ",
+        "Phone_number": " 1 2 ",
+        "City": " new-delhi ",
+        "Signup_date": "2024-01-05",
+    }
+    got = quality.normalise(bronze_rows(CUSTOMERS, row), CUSTOMERS).first()
+    # Blanks are trimmed, tabs are not.
+    assert got[:6] == ("c1", "ANN", "\tLEE", "a@b.com", "1 2", "New-Delhi")
+
+
+def test_orders_and_partner_names_are_not_normalised(spark, bronze_rows):
+    order = bronze_rows(ORDERS, {"Order_id": "o1", "Customer_City": " x-y "})
+    assert quality.clean(order, ORDERS).first().Customer_City == " x-y "
+    partner = {"Partner_id": "p1", "Partner_name": " bo ", "City": " x-y ", "Vehicle_type": "bike"}
+    got = quality.clean(bronze_rows(DELIVERY_PARTNERS, partner), DELIVERY_PARTNERS).first()
+    assert (got.Partner_name, got.city, got.Vehicle_type) == (" bo ", "X-Y", "bike")
+
+
+def test_rows_alike_after_normalising_merge(spark, bronze_rows):
+    a = {"Restaurant_id": "r1", "Name": "joe's", "City": "rome", "Open_date": "2024-01-01"}
+    b = {**a, "Name": " JOE'S ", "City": "ROME  "}
+    df = bronze_rows(RESTAURANTS, a, b, a)
+    assert quality.clean(df, RESTAURANTS).count() == 1
+    assert quality.duplicate_rejections(df, RESTAURANTS).isEmpty()
+
+
+def test_bad_row_takes_good_rows_of_its_key_along(spark, bronze_rows):
+    df = bronze_rows(ORDER_ITEMS, _item("a", 1), _item("a", -1), _item("b", 2))
+    assert [r.Order_item_id for r in quality.clean(df, ORDER_ITEMS).collect()] == ["b"]
+    rejected = _rejected(quality.rejections(df, ORDER_ITEMS))
+    # One record per deleted row, each with the bad row.
+    assert [(reason, row["Quantity"]) for reason, row in rejected] == [("Invalid Quantity", -1)] * 2
+
+
+def test_first_failing_rule_wins_per_key(spark, bronze_rows):
+    df = bronze_rows(
+        ORDER_ITEMS,
+        _item("a", 1, -5.0),
+        _item("a", 0, 1.0),
+        _item("b", 1, -5.0),
+        _item("b", 1, 5.0),
+    )
+    counts = Counter(reason for reason, _ in _rejected(quality.rejections(df, ORDER_ITEMS)))
+    assert counts == {"Invalid Quantity": 2, "Negative Price": 2}
+    assert quality.clean(df, ORDER_ITEMS).isEmpty()
+
+
+def test_nulls_break_no_comparison_rule(spark, bronze_rows):
+    df = bronze_rows(ORDER_ITEMS, _item("a", None, None))
+    assert quality.clean(df, ORDER_ITEMS).count() == 1
+    customer = {"Customer_id": "c", "Signup_date": "2024-01-01"}  # no email
+    assert quality.clean(bronze_rows(CUSTOMERS, customer), CUSTOMERS).count() == 1
+
+
+def test_rows_without_key_stay_by_default(spark, bronze_rows):
+    df = bronze_rows(
+        ORDER_ITEMS, _item(None, 1), _item(None, 1), _item(None, -7), _item(None, 2), _item("a", 1)
+    )
+    kept = quality.clean(df, ORDER_ITEMS)
+    assert Counter(r.Quantity for r in kept.collect()) == {1: 2, -7: 1, 2: 1}
+    assert quality.rejections(df, ORDER_ITEMS).isEmpty()
+    assert quality.duplicate_rejections(df, ORDER_ITEMS).isEmpty()
+
+
+def test_rows_without_key_can_be_rejected(spark, bronze_rows):
+    df = bronze_rows(ORDER_ITEMS, _item(None, 1), _item(None, 1), _item(None, -7), _item("a", 1))
+    kept = quality.clean(df, ORDER_ITEMS, null_key="reject")
+    assert [r.Order_item_id for r in kept.collect()] == ["a"]
+    rejected = _rejected(quality.rejections(df, ORDER_ITEMS, null_key="reject"))
+    assert [(reason, row["Quantity"]) for reason, row in rejected] == [
+        ("Missing Order Item ID", -7),
+        ("Missing Order Item ID", 1),
+    ]
+    with pytest.raises(ValueError):
+        quality.clean(df, ORDER_ITEMS, null_key="drop")
+
+
+def test_smallest_row_is_kept_with_nulls_last(spark, bronze_rows):
+    df = bronze_rows(
+        ORDER_ITEMS,
+        _item("a", 5, menu=None),
+        _item("a", 7, menu="tea"),
+        _item("a", 3, menu="tea"),
+        _item("a", 1, menu="water"),
+    )
+    assert quality.clean(df, ORDER_ITEMS).first()[:] == ("a", "O1", "tea", 3, Decimal("1.00"))
+    losers = _rejected(quality.duplicate_rejections(df, ORDER_ITEMS))
+    assert sorted((r["Menu_item"] or "", r["Quantity"]) for _, r in losers) == [
+        ("", 5),
+        ("tea", 7),
+        ("water", 1),
+    ]
+    assert {reason for reason, _ in losers} == {"Duplicate PK"}
+
+
+def test_audit_record(spark, bronze_rows):
+    order = {"Order_id": "o1", "Order_amount": -10.5, "Order_date": "2024-01-05 00:00:00"}
+    rejected = quality.rejections(bronze_rows(ORDERS, order), ORDERS)
+    at = F.lit("2024-02-03 04:05:06").cast("timestamp_ntz")
+    row = quality.audit_rows(rejected, at).first()
+    assert (row.table_name, row.reason) == ("orders", "Negative Amount")
+    assert str(row.rejected_at) == "2024-02-03 04:05:06"
+    data = json.loads(row.row_data, parse_float=Decimal)
+    assert list(data) == ORDERS.silver_columns
+    assert data["Order_amount"] == Decimal("-10.50") and data["Customer_id"] is None
+
+
+def test_audit_holds_the_smallest_bad_row(spark, bronze_rows):
+    df = bronze_rows(ORDER_ITEMS, _item("a", -2), _item("a", -1), _item("a", 4))
+    rows = {r.row_data for r in quality.rejections(df, ORDER_ITEMS).collect()}
+    assert [json.loads(r)["Quantity"] for r in rows] == [-1]
+
+
+def _nulls_last(row):
+    return [(c is None, 0 if c is None else c) for c in row[1:]]
+
+
+def _brute_force(rows, null_key):
+    """Rules one after the other, as deletes by key; returns survivors and rejects per rule."""
+    rules = (
+        ("Missing Order Item ID", lambda r: r[0] is None),
+        ("Invalid Quantity", lambda r: r[3] is not None and r[3] <= 0),
+        ("Negative Price", lambda r: r[4] is not None and r[4] < 0),
+    )
+    rows, rejected = set(rows), Counter()
+    for reason, is_bad in rules:
+        bad_keys = {r[0] for r in rows if is_bad(r) and r[0] is not None}
+        gone = {r for r in rows if r[0] in bad_keys}
+        if null_key == "reject":
+            gone |= {r for r in rows if r[0] is None and is_bad(r)}
+        for r in gone:
+            rejected[reason, r[0]] += 1
+        rows -= gone
+    by_key = defaultdict(list)
+    for r in rows:
+        by_key[r if r[0] is None else r[0]].append(r)
+    smallest = {min(group, key=_nulls_last) for group in by_key.values()}
+    return smallest, rejected
+
+
+@pytest.mark.parametrize("null_key", ["keep", "reject"])
+@pytest.mark.parametrize("seed", range(4))
+def test_against_brute_force(spark, seed, null_key):
+    rng = random.Random(seed)
+    rows = [
+        (
+            rng.choice([None, "a", "b", "c", "d", "e", "f", "g", "h"]),
+            rng.choice(["O1", "O2", None]),
+            rng.choice(["tea", "rice", None]),
+            rng.choice([1, 2, 3, 4, 0, -1, None][: rng.choice([4, 7])]),
+            rng.choice([Decimal("1.00"), Decimal("2.50"), None, Decimal("-1.00")][: rng.choice([3, 4])]),
+        )
+        for _ in range(40)
+    ]
+    df = spark.createDataFrame(rows, ORDER_ITEMS.bronze_schema)
+    survivors, rejected = _brute_force(rows, null_key)
+    kept = quality.clean(df, ORDER_ITEMS, null_key).collect()
+    assert Counter(tuple(r) for r in kept) == Counter(survivors)
+    got = Counter(
+        (r.reason, json.loads(r.row_data)["Order_item_id"])
+        for r in quality.rejections(df, ORDER_ITEMS, null_key).collect()
+    )
+    assert got == rejected
+
+
+@pytest.mark.parametrize("spec", TABLES, ids=lambda s: s.silver_name)
+def test_every_row_ends_in_one_place(spark, spec):
+    bronze = testbed.bronze(spark, SF, spec)
+    silver = quality.clean(bronze, spec)
+    assert quality.duplicate_keys(silver, spec.key).isEmpty()
+    distinct = quality.normalise(bronze, spec).distinct().count()
+    rejected = quality.rejections(bronze, spec).count()
+    losers = quality.duplicate_rejections(bronze, spec).count()
+    assert silver.count() + rejected + losers == distinct
+    # Loading the extract twice changes nothing downstream.
+    assert quality.clean(bronze.union(bronze), spec).exceptAll(silver).isEmpty()
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """A key with most of the rows leaves each map task as one row."""
+    rows = spark.range(0, 20_000, numPartitions=4).selectExpr(
+        "if(id % 3 < 2, 'hot', concat('k', id)) AS Order_item_id",
+        "'O1' AS Order_id",
+        "concat('m', id) AS Menu_item",
+        "1 AS Quantity",
+        "CAST(1 AS DECIMAL(10,2)) AS Price",
+    )
+    kept = quality.clean(rows, ORDER_ITEMS)
+    assert kept.filter("Order_item_id = 'hot'").select("Menu_item").collect() == [("m0",)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_min" in plan and "Window" not in plan
+
+
+def test_rating_out_of_range(spark, silver_rows):
+    rows = silver_rows(
+        RESTAURANTS,
+        {"Restaurant_id": "low", "Rating": -0.5},
+        {"Restaurant_id": "zero", "Rating": 0.0},
+        {"Restaurant_id": "five", "Rating": 5.0},
+        {"Restaurant_id": "high", "Rating": 5.01},
+        {"Restaurant_id": "none"},
+    )
+    bad = checks.rating_out_of_range(rows, "Rating", Decimal(0), Decimal(5))
+    assert {r.Restaurant_id for r in bad.collect()} == {"low", "high"}
+
+
+def test_value_not_in(spark, silver_rows):
+    rows = silver_rows(
+        ORDERS,
+        {"Order_id": "1", "Delivery_status": "Delivered"},
+        {"Order_id": "2", "Delivery_status": "Lost"},
+        {"Order_id": "3", "Delivery_status": "Lost"},
+        {"Order_id": "4"},
+    )
+    assert checks.value_not_in(rows, "Delivery_status", ["Delivered"]).collect() == [("Lost", 2)]
+
+
+def test_orphans(spark, silver_rows):
+    orders = silver_rows(ORDERS, {"Order_id": "O1"}, {"Order_id": None})
+    items = silver_rows(
+        ORDER_ITEMS, *[_item(str(i), 1, order=o) for i, o in enumerate(["O1", "O2", "O2", None])]
+    )
+    assert checks.orphans(items, "Order_id", orders, "Order_id").collect() == [("O2", 2)]
