@@ -1,0 +1,197 @@
+"""Plans under skew: a third of the rows on one key, and no broadcast to hide it."""
+
+from __future__ import annotations
+
+import re
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiffin.operators import quality
+from tiffin.operators.joins import spread_join
+from tiffin.plans import gold
+from tiffin.schemas import ORDER_ITEMS, ORDERS, RESTAURANTS, TABLES
+from tiffin.sources import testbed
+
+SF = "/root/testdata/sf0.001"
+N = 60_000
+
+
+@contextmanager
+def conf(spark, **values):
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Limits scaled down to the size of the data, so that Spark meets skew as it would at scale."""
+    with conf(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+            "spark.sql.optimizer.runtime.bloomFilter.enabled": "false",
+        },
+    ):
+        yield
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]
+
+
+def _items(spark):
+    """Items of which a third belong to one order, each of another menu item."""
+    return spark.range(0, N, numPartitions=8).selectExpr(
+        "concat('I', id) AS Order_item_id",
+        "if(id % 3 = 0, 'O0', concat('O', id)) AS Order_id",
+        "concat('dish ', id % 20011, ' with a rather long name ', sha2(CAST(id AS STRING), 256)) "
+        "AS Menu_item",
+        "CAST(1 + id % 5 AS INT) AS Quantity",
+        "CAST(id % 7 AS DECIMAL(10,2)) AS Price",
+    )
+
+
+def _orders(spark):
+    return spark.range(0, N, numPartitions=8).selectExpr(
+        "concat('O', id) AS Order_id",
+        "if(id % 3 = 0, 'R0', concat('R', id % 100)) AS Restaurant_id",
+    )
+
+
+def _restaurants(spark):
+    return spark.range(100).selectExpr(
+        "concat('R', id) AS Restaurant_id", "concat('cuisine ', id % 4) AS cuisine_type"
+    )
+
+
+def test_hot_order_is_split_in_the_menu_join(spark, small_limits):
+    items, orders, restaurants = _items(spark), _orders(spark), _restaurants(spark)
+    menu = gold.menu_items(items, orders, restaurants)
+    plan = _final_plan(menu)
+    assert "skew=true" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    totals = menu.agg(
+        F.sum("total_orders"), F.sum("total_quantity_sold"), F.sum("total_revenue")
+    ).first()
+    expected = items.agg(F.count("*"), F.sum("Quantity"), F.sum(F.col("Quantity") * F.col("Price")))
+    assert totals[:] == expected.first()[:]
+
+
+def _items_of_hot_key(spark):
+    """A third of the rows share a key, and one of them is bad."""
+    rows = _items(spark).withColumn(
+        "Order_item_id", F.when(F.col("Order_id") == "O0", "I0").otherwise(F.col("Order_item_id"))
+    )
+    return rows.withColumn("Quantity", F.when(F.col("Menu_item").like("dish 0 %"), 0).otherwise(1))
+
+
+def test_hot_bad_key_is_spread_in_the_audit(spark, small_limits):
+    rows = _items_of_hot_key(spark)
+    rejected = quality.rejections(rows, ORDER_ITEMS)
+    # Joined by key and part, then made distinct in a shuffle of its own.
+    plan = _final_plan(rejected)
+    assert re.search(r"SortMergeJoin \[Order_item_id#\d+, _part#\d+\]", plan)
+    assert re.search(r"Exchange hashpartitioning\(Price#\d+, Order_item_id#\d+, Quantity#\d+", plan)
+    bad = [r[0] for r in rows.filter("Quantity = 0").select("Order_item_id").distinct().collect()]
+    assert "I0" in bad
+    assert rejected.count() == rows.filter(F.col("Order_item_id").isin(bad)).distinct().count()
+    kept = quality.clean(rows, ORDER_ITEMS)
+    assert kept.filter(F.col("Order_item_id").isin(bad)).isEmpty()
+    losers = quality.duplicate_rejections(rows, ORDER_ITEMS)
+    assert losers.isEmpty()
+
+
+def test_losers_of_a_hot_key(spark, small_limits):
+    rows = _items_of_hot_key(spark).withColumn("Quantity", F.lit(1))
+    losers = quality.duplicate_rejections(rows, ORDER_ITEMS)
+    assert losers.count() == rows.filter("Order_item_id = 'I0'").count() - 1
+
+
+def test_spread_join_equals_a_join(spark):
+    rows = _items_of_hot_key(spark).select("Order_item_id", "Menu_item")
+    per_key = rows.groupBy("Order_item_id").agg(F.count("*").alias("n")).filter("n % 2 = 0")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = spread_join(rows, per_key, "Order_item_id", how)
+        expected = rows.join(per_key, "Order_item_id", how)
+        assert got.columns == expected.columns
+        assert got.exceptAll(expected).isEmpty() and got.count() == expected.count()
+
+
+def test_spread_join_spreads(spark, small_limits):
+    rows = _items_of_hot_key(spark)
+    per_key = rows.groupBy("Order_item_id").agg(F.count("*").alias("n"))
+    with conf(
+        spark,
+        **{"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"},
+    ):
+        shares = [
+            joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] / N
+            for joined in (
+                rows.join(per_key, "Order_item_id"),
+                spread_join(rows, per_key, "Order_item_id"),
+            )
+        ]
+    assert shares[0] > 0.3 and shares[1] < 0.2
+
+
+def test_spark_splits_what_is_still_too_large(spark, small_limits):
+    rows = _items_of_hot_key(spark)
+    per_key = rows.groupBy("Order_item_id").agg(F.count("*").alias("n"))
+    assert "skew=true" not in _final_plan(rows.join(per_key, "Order_item_id"))
+    assert "skew=true" in _final_plan(spread_join(rows, per_key, "Order_item_id", salts=1))
+
+
+def test_rows_without_key_spread_over_tasks(spark):
+    rows = _items(spark).withColumn("Order_item_id", F.lit(None).cast("string"))
+    with conf(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        kept = quality.clean(rows, ORDER_ITEMS)
+        sizes = kept.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == N
+    assert max(r["count"] for r in sizes) < N / 2
+
+
+@pytest.mark.parametrize("key", ["Customer_id", "Restaurant_id", "Partner_id"])
+def test_facts_are_reduced_to_the_key_before_a_join(spark, key):
+    """No raw order row meets a dimension: each join input is grouped by its key already."""
+    orders = quality.clean(testbed.bronze(spark, SF, ORDERS), ORDERS)
+    silver = {s.silver_name: quality.clean(testbed.bronze(spark, SF, s), s) for s in TABLES}
+    plan = {
+        "Customer_id": lambda: gold.customer_summary(silver["customers"], orders, testbed.AS_OF),
+        "Restaurant_id": lambda: gold.restaurant_summary(
+            silver["restaurants"], gold.order_totals(orders, silver["order_items"])
+        ),
+        "Partner_id": lambda: gold.partner_summary(
+            silver["delivery_partners"], orders, testbed.AS_OF
+        ),
+    }[key]()
+    optimized = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(rf"Aggregate \[{key}#\d+\]", optimized)
+
+
+def test_rules_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    testbed.bronze(spark, SF, ORDERS).write.parquet(path)
+    bronze = spark.read.parquet(path)
+    plan = quality.rejected_keys(quality.normalise(bronze, ORDERS), ORDERS)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(Order_id)" in text
+
+
+def test_summaries_read_only_their_columns(spark, tmp_path):
+    path = str(tmp_path / "restaurants")
+    quality.clean(testbed.bronze(spark, SF, RESTAURANTS), RESTAURANTS).write.parquet(path)
+    menu = gold.menu_items(_items(spark), _orders(spark), spark.read.parquet(path))
+    text = menu._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<Restaurant_id:string,cuisine_type:string>" in text

@@ -247,7 +247,7 @@ def _gold(name: str) -> Query:
         warehouse = with_silver(spark, sf_dir)
         # Only the menu uses its intermediate table twice.
         store = Stage(warehouse).store if name == "menu_performance" else None
-        return gold_plan(name, silver_tables(warehouse), testbed.AS_OF, store)
+        return gold_plan(name, warehouse.silver_by_name, testbed.AS_OF, store)
 
     return run
 

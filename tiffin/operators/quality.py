@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.operators.joins import spread_join
 from tiffin.schemas import TableSpec
 
 KEEP, REJECT = "keep", "reject"
@@ -97,18 +98,21 @@ def rejected_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def rejections(bronze: DataFrame, spec: TableSpec, null_key: str = KEEP) -> DataFrame:
+def rejections(
+    bronze: DataFrame, spec: TableSpec, null_key: str = KEEP, bad_keys: DataFrame | None = None
+) -> DataFrame:
     """``(table_name, reason, row_data)``, one row for every distinct row that ``clean`` rejects.
 
-    Bad keys are few, so they are found first from a filtered scan and joined to the rows; only rows
-    of bad keys are then made distinct. Spark broadcasts the bad keys if they are small and otherwise
-    joins by key, splitting partitions that are too large.
+    Bad keys are few, so they are found first, from a filtered scan, and joined to the rows; only rows
+    of bad keys are then made distinct. ``bad_keys`` may give the result of ``rejected_keys`` as a
+    stored table: its size is then known when the join is planned.
     """
     _check_null_key(null_key)
     rows = normalise(bronze, spec)
+    if bad_keys is None:
+        bad_keys = rejected_keys(rows, spec)
     out = (
-        rows.filter(F.col(spec.key).isNotNull())
-        .join(rejected_keys(rows, spec), spec.key)
+        spread_join(rows.filter(F.col(spec.key).isNotNull()), bad_keys, spec.key)
         .distinct()
         .select(F.col("_rejection.rule").alias("rule"), F.col("_rejection.row_data").alias("row_data"))
     )
@@ -140,8 +144,8 @@ def duplicate_rejections(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """
     rows = normalise(bronze, spec).filter(F.col(spec.key).isNotNull())
     bad = rows.filter(first_failed_rule(spec).isNotNull()).select(spec.key).distinct()
-    kept = clean(bronze.filter(F.col(_source_of_key(spec)).isNotNull()), spec)
-    losers = rows.join(bad, spec.key, "left_anti").subtract(kept)
+    kept = one_row_per_key(rows, spec.key, first_failed_rule(spec))
+    losers = spread_join(rows, bad, spec.key, "left_anti").subtract(kept)
     return losers.select(
         F.lit(spec.silver_name).alias("table_name"),
         F.lit(DUPLICATE_KEY).alias("reason"),
@@ -149,10 +153,6 @@ def duplicate_rejections(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def _source_of_key(spec: TableSpec) -> str:
-    return next(p.source for p in spec.projections if p.name == spec.key)
-
-
 def audit_rows(rejected: DataFrame, rejected_at: Column | None = None) -> DataFrame:
     """Audit records: the rejected rows with one time for the whole load."""
     at = F.current_timestamp() if rejected_at is None else rejected_at

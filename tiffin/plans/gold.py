@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tiffin.functions.dates import as_of_date, month_start, whole_days
 from tiffin.functions.numeric import avg2, mean_of, pct, pct_amount
 from tiffin.operators.cohort import running_total
+from tiffin.operators.joins import spread_join
 
 # Payment modes, the status of a completed delivery, and the thresholds of the KPIs.
 PAYMENT_SHARES = {
@@ -33,9 +34,13 @@ RETAINED_AFTER_DAYS = 180
 ALL_VEHICLES = "ALL"
 
 
-def order_totals(order_items: DataFrame) -> DataFrame:
-    """``(Order_id, items_count, order_value)`` per order that has items."""
-    return (
+def order_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """``(Order_id, Restaurant_id, items_count, order_value)`` of every order that has items.
+
+    Items are summed per order before they meet the orders. Two gold tables use the result, which
+    spares each of them this join.
+    """
+    per_order = (
         order_items.filter(F.col("Order_id").isNotNull())
         .groupBy("Order_id")
         .agg(
@@ -43,15 +48,16 @@ def order_totals(order_items: DataFrame) -> DataFrame:
             F.sum(F.col("Quantity") * F.col("Price")).alias("order_value"),
         )
     )
+    return orders.select("Order_id", "Restaurant_id").join(per_order, "Order_id")
 
 
 def orders_summary(orders: DataFrame, totals: DataFrame) -> DataFrame:
-    """One row of KPIs over all orders. ``totals`` is ``order_totals`` of the items.
+    """One row of KPIs over all orders. ``totals`` is the result of ``order_totals``.
 
     Payment, delivery and city figures need no items, so they come from one scan of the orders that
-    combines to a row per (city, payment mode, status). Only the order ids are shuffled to the join
-    with the totals. Orders without an id count once per distinct (customer, city, payment mode,
-    status) and have no items.
+    combines to a row per (city, payment mode, status); basket and value figures are sums over the
+    totals. Orders without an id count once per distinct (customer, city, payment mode, status) and
+    have no items.
     """
     keyless_customer = F.when(F.col("Order_id").isNull(), F.struct("Customer_id"))
     groups = (
@@ -73,17 +79,12 @@ def orders_summary(orders: DataFrame, totals: DataFrame) -> DataFrame:
         n_where(delivered).alias("delivered"),
         *[n_where(F.col("Payment_mode") == m).alias(m) for m in PAYMENT_SHARES.values()],
     )
-    with_items = (
-        orders.select("Order_id")
-        .join(totals, "Order_id")
-        .agg(
-            F.struct(
-                F.sum("items_count").alias("items"),
-                F.count_if(F.col("order_value") > HIGH_VALUE_ABOVE).alias("high_value"),
-            )
+    with_items = totals.agg(
+        F.struct(
+            F.sum("items_count").alias("items"),
+            F.count_if(F.col("order_value") > HIGH_VALUE_ABOVE).alias("high_value"),
         )
-        .scalar()
-    )
+    ).scalar()
     n = F.coalesce(F.col("n"), F.lit(0))
     return (
         cities.agg(
@@ -148,12 +149,12 @@ def menu_performance(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Menu items with their share of all orders and of their cuisine's revenue.
 
     ``items`` is the result of ``menu_items``. It is read twice, once narrowed to the revenue, so it
-    should be a stored table. A cuisine's total is an aggregate joined back rather than a window, as
-    one cuisine may hold most of the items.
+    should be a stored table. A cuisine's total is an aggregate joined back rather than a window, and
+    the join is spread, as one cuisine may hold most of the items.
     """
     cuisine_totals = items.groupBy("Cuisine").agg(F.sum("total_revenue").alias("cuisine_revenue"))
     all_orders = orders.agg(F.count("Order_id")).scalar()
-    return items.join(cuisine_totals, "Cuisine").select(
+    return spread_join(items, cuisine_totals, "Cuisine").select(
         "Menu_item",
         "Cuisine",
         "total_orders",
@@ -212,16 +213,14 @@ def customer_summary(
     )
 
 
-def restaurant_summary(restaurants: DataFrame, orders: DataFrame, totals: DataFrame) -> DataFrame:
+def restaurant_summary(restaurants: DataFrame, totals: DataFrame) -> DataFrame:
     """Opening cohorts by month and city: size, running total, revenue weighted by rating.
 
-    ``totals`` is ``order_totals`` of the items. Restaurants without an id, a rating or revenue score
+    ``totals`` is the result of ``order_totals``. Restaurants without an id, a rating or revenue score
     0, so the former need no grouping and bypass the join.
     """
     revenue = (
-        orders.filter(F.col("Restaurant_id").isNotNull())
-        .select("Order_id", "Restaurant_id")
-        .join(totals.select("Order_id", "order_value"), "Order_id")
+        totals.filter(F.col("Restaurant_id").isNotNull())
         .groupBy("Restaurant_id")
         .agg(F.sum("order_value").alias("revenue"))
     )

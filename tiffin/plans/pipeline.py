@@ -36,29 +36,30 @@ def gold_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 def gold_plan(
     name: str,
-    silver: dict[str, DataFrame],
+    silver: Callable[[str], DataFrame],
     as_of: datetime.date | str | None = None,
     store: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Plan of one gold table over silver tables.
+    """Plan of one gold table over the silver tables that ``silver`` gives by name.
 
     ``store(name, plan)`` gives an intermediate table back as a stored one; without it, intermediate
     tables stay part of the plan and are computed each time they are used.
     """
     store = store or (lambda _, plan: plan)
-    orders, items = silver["orders"], silver["order_items"]
+    orders = silver("orders")
     if name == "orders_summary":
-        return gold.orders_summary(orders, store("order_totals", gold.order_totals(items)))
+        totals = store("order_totals", gold.order_totals(orders, silver("order_items")))
+        return gold.orders_summary(orders, totals)
     if name == "menu_performance":
-        menu = gold.menu_items(items, orders, silver["restaurants"])
+        menu = gold.menu_items(silver("order_items"), orders, silver("restaurants"))
         return gold.menu_performance(store("menu_items", menu), orders)
     if name == "customer_summary":
-        return gold.customer_summary(silver["customers"], orders, as_of)
+        return gold.customer_summary(silver("customers"), orders, as_of)
     if name == "restaurant_summary":
-        totals = store("order_totals", gold.order_totals(items))
-        return gold.restaurant_summary(silver["restaurants"], orders, totals)
+        totals = store("order_totals", gold.order_totals(orders, silver("order_items")))
+        return gold.restaurant_summary(silver("restaurants"), totals)
     if name == "partner_summary":
-        return gold.partner_summary(silver["delivery_partners"], orders, as_of)
+        return gold.partner_summary(silver("delivery_partners"), orders, as_of)
     raise ValueError(f"no gold table {name!r}")
 
 
@@ -87,7 +88,7 @@ def build_gold(
             steps.append(("gold", name, "kept", None))
             continue
         try:
-            plan = gold_plan(name, silver_tables(warehouse), as_of, store)
+            plan = gold_plan(name, warehouse.silver_by_name, as_of, store)
             rows = warehouse.write(plan, GOLD, name, mode)
             steps.append(("gold", name, "built", rows))
         except Exception as error:

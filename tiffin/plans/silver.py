@@ -6,9 +6,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 
-from tiffin.operators.quality import KEEP, audit_rows, clean, rejections
+from tiffin.operators.quality import (
+    KEEP,
+    audit_rows,
+    clean,
+    normalise,
+    rejected_keys,
+    rejections,
+)
 from tiffin.schemas import TABLES, TableSpec
-from tiffin.sources.warehouse import AUDIT, SILVER, Warehouse
+from tiffin.sources.warehouse import AUDIT, SILVER, Stage, Warehouse
 
 AUDIT_TABLE = "rejected_rows"
 
@@ -22,7 +29,10 @@ def build_silver_table(
     """Rebuild one silver table and append its rejects; returns both row counts."""
     bronze = warehouse.bronze(spec)
     kept = warehouse.write(clean(bronze, spec, null_key), SILVER, spec.silver_name)
-    rejected = audit_rows(rejections(bronze, spec, null_key), rejected_at)
+    bad_keys = Stage(warehouse).store(
+        f"bad_{spec.silver_name}", rejected_keys(normalise(bronze, spec), spec)
+    )
+    rejected = audit_rows(rejections(bronze, spec, null_key, bad_keys), rejected_at)
     return kept, warehouse.write(rejected, AUDIT, AUDIT_TABLE, "append")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tiffin.schemas import TableSpec
+from tiffin.schemas import BY_SILVER_NAME, TableSpec
 from tiffin.sources.csv_files import path_exists
 
 BRONZE, SILVER, GOLD, AUDIT, STAGE = "bronze", "silver", "gold", "audit", "stage"
@@ -38,6 +38,9 @@ class Warehouse:
     def silver(self, spec: TableSpec) -> DataFrame:
         return self.read(SILVER, spec.silver_name, spec.silver_schema)
 
+    def silver_by_name(self, name: str) -> DataFrame:
+        return self.silver(BY_SILVER_NAME[name])
+
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite") -> int:
         """Write ``df`` and return the number of rows written.
 
