@@ -68,6 +68,8 @@ def test_stored_schemas(built):
     warehouse, _ = built
     for spec in TABLES:
         assert warehouse.read(SILVER, spec.silver_name).dtypes == warehouse.silver(spec).dtypes
+    for name, table in pipeline.gold_tables(warehouse).items():
+        assert warehouse.read(GOLD, name).dtypes == table.dtypes
 
 
 def test_reconciliation(built):

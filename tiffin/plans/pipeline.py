@@ -12,16 +12,10 @@ from tiffin.plans import gold
 from tiffin.plans.bronze import load_bronze
 from tiffin.plans.reconcile import reconcile_checks, reconcile_counts
 from tiffin.plans.silver import build_silver
-from tiffin.schemas import TABLES
+from tiffin.schemas import GOLD_SCHEMAS, TABLES
 from tiffin.sources.warehouse import GOLD, Stage, Warehouse
 
-GOLD_TABLES = (
-    "orders_summary",
-    "menu_performance",
-    "customer_summary",
-    "restaurant_summary",
-    "partner_summary",
-)
+GOLD_TABLES = tuple(GOLD_SCHEMAS)
 
 Step = tuple[str, str, str, int | None]
 
@@ -31,7 +25,7 @@ def silver_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 
 def gold_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {name: warehouse.read(GOLD, name) for name in GOLD_TABLES}
+    return {name: warehouse.read(GOLD, name, schema) for name, schema in GOLD_SCHEMAS.items()}
 
 
 def gold_plan(

@@ -244,3 +244,62 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("rejected_at", T.TimestampNTZType()),
     ]
 )
+
+_SHARE = T.DecimalType(20, 2)
+
+GOLD_SCHEMAS: dict[str, T.StructType] = {
+    "orders_summary": T.StructType(
+        [
+            T.StructField("total_orders", T.LongType()),
+            T.StructField("avg_basket_size", _SHARE),
+            T.StructField("cash_share_pct", _SHARE),
+            T.StructField("card_share_pct", _SHARE),
+            T.StructField("upi_share_pct", _SHARE),
+            T.StructField("wallet_share_pct", _SHARE),
+            T.StructField("high_value_order_share_pct", _SHARE),
+            T.StructField("delivery_success_rate_pct", _SHARE),
+            T.StructField("avg_city_reliability_pct", _SHARE),
+        ]
+    ),
+    "menu_performance": T.StructType(
+        [
+            T.StructField("Menu_item", T.StringType()),
+            T.StructField("Cuisine", T.StringType()),
+            T.StructField("total_orders", T.LongType()),
+            T.StructField("total_quantity_sold", T.LongType()),
+            T.StructField("total_revenue", T.DecimalType(38, 2)),
+            T.StructField("popularity_index", _SHARE),
+            T.StructField("cuisine_revenue_share", _SHARE),
+        ]
+    ),
+    "customer_summary": T.StructType(
+        [
+            T.StructField("acquisition_month", T.TimestampNTZType()),
+            T.StructField("city", T.StringType()),
+            T.StructField("total_customers", T.LongType()),
+            T.StructField("new_customers", T.LongType()),
+            T.StructField("retention_rate_pct", _SHARE),
+            T.StructField("dormant_customer_pct", _SHARE),
+            T.StructField("active_customers", T.LongType()),
+            T.StructField("avg_first_to_last_order_lag", _SHARE),
+        ]
+    ),
+    "restaurant_summary": T.StructType(
+        [
+            T.StructField("opening_month", T.TimestampNTZType()),
+            T.StructField("city", T.StringType()),
+            T.StructField("new_restaurants", T.LongType()),
+            T.StructField("total_restaurants", T.LongType()),
+            T.StructField("performance_score", T.DecimalType(38, 4)),
+        ]
+    ),
+    "partner_summary": T.StructType(
+        [
+            T.StructField("Vehicle_type", T.StringType()),
+            T.StructField("total_partners", T.LongType()),
+            T.StructField("avg_orders_per_partner", _SHARE),
+            T.StructField("avg_partner_rating", _SHARE),
+            T.StructField("partner_retention_rate", _SHARE),
+        ]
+    ),
+}
