@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiffin.operators import quality
-from tiffin.operators.joins import spread_join
+from tiffin.operators.joins import BROADCAST_ROWS, join_per_key, spread_join
 from tiffin.plans import gold
 from tiffin.schemas import ORDER_ITEMS, ORDERS, RESTAURANTS, TABLES
 from tiffin.sources import testbed
@@ -129,6 +129,40 @@ def test_spread_join_equals_a_join(spark):
         assert got.exceptAll(expected).isEmpty() and got.count() == expected.count()
 
 
+def test_broadcast_needs_a_known_bound(spark):
+    rows = _items(spark)
+    per_key = rows.groupBy("Order_id").agg(F.count("*").alias("n"))
+
+    def plan(at_most):
+        joined = join_per_key(rows, per_key, "Order_id", at_most=at_most)
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(BROADCAST_ROWS)
+    for unknown_or_large in (None, BROADCAST_ROWS + 1):
+        assert "SortMergeJoin" in plan(unknown_or_large)
+        assert "Broadcast" not in plan(unknown_or_large)
+
+
+def test_cuisines_are_spread_unless_few(spark, small_limits):
+    """Half of the items belong to one cuisine."""
+    items = spark.range(0, N, numPartitions=8).selectExpr(
+        "concat('dish ', id) AS Menu_item",
+        "concat('cuisine ', if(id % 2 = 0, 0, id % 5000)) AS Cuisine",
+        "1L AS total_orders",
+        "1L AS total_quantity_sold",
+        "CAST(1 AS DECIMAL(38,2)) AS total_revenue",
+    )
+    wide, narrow = (gold.menu_performance(items, _orders(spark), n) for n in (None, N))
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (wide, narrow)]
+    assert "_part" in plans[0] and "_part" not in plans[1]
+    assert wide.exceptAll(narrow).isEmpty() and wide.count() == N
+    # 30,000 items share the one cuisine, 12 items each of the others.
+    shares = wide.groupBy((F.col("Cuisine") == "cuisine 0").alias("hot")).agg(
+        F.collect_set(F.col("cuisine_revenue_share").cast("string")).alias("shares")
+    )
+    assert {r.hot: r.shares for r in shares.collect()} == {True: ["0.00"], False: ["8.33"]}
+
+
 def test_spread_join_spreads(spark, small_limits):
     rows = _items_of_hot_key(spark)
     per_key = rows.groupBy("Order_item_id").agg(F.count("*").alias("n"))

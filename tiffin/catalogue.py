@@ -32,6 +32,7 @@ from tiffin.plans.pipeline import (
     run_pipeline,
     silver_tables,
 )
+from tiffin.plans.silver import stored_rejections
 from tiffin.schemas import BY_SILVER_NAME, CUSTOMERS, ORDER_ITEMS, ORDERS, TABLES, TableSpec
 from tiffin.session import shared_folder
 from tiffin.sources import testbed
@@ -229,9 +230,8 @@ def _audit(name: str, null_key: str = quality.KEEP) -> Query:
     spec = BY_SILVER_NAME[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bronze = stored_bronze(spark, sf_dir, spec)
-        rows = quality.audit_rows(quality.rejections(bronze, spec, null_key))
-        return _rejects_per_key(rows, spec.key)
+        rejected = stored_rejections(with_bronze(spark, sf_dir, spec), spec, null_key)
+        return _rejects_per_key(quality.audit_rows(rejected), spec.key)
 
     return run
 

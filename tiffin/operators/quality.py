@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.operators.joins import spread_join
+from tiffin.operators.joins import join_per_key, spread_join
 from tiffin.schemas import TableSpec
 
 KEEP, REJECT = "keep", "reject"
@@ -99,20 +99,23 @@ def rejected_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def rejections(
-    bronze: DataFrame, spec: TableSpec, null_key: str = KEEP, bad_keys: DataFrame | None = None
+    bronze: DataFrame,
+    spec: TableSpec,
+    null_key: str = KEEP,
+    bad_keys: tuple[DataFrame, int | None] | None = None,
 ) -> DataFrame:
     """``(table_name, reason, row_data)``, one row for every distinct row that ``clean`` rejects.
 
     Bad keys are few, so they are found first, from a filtered scan, and joined to the rows; only rows
     of bad keys are then made distinct. ``bad_keys`` may give the result of ``rejected_keys`` as a
-    stored table: its size is then known when the join is planned.
+    stored table with its number of rows, so that few keys can be broadcast.
     """
     _check_null_key(null_key)
     rows = normalise(bronze, spec)
-    if bad_keys is None:
-        bad_keys = rejected_keys(rows, spec)
+    keyed = rows.filter(F.col(spec.key).isNotNull())
+    bad, at_most = bad_keys or (rejected_keys(rows, spec), None)
     out = (
-        spread_join(rows.filter(F.col(spec.key).isNotNull()), bad_keys, spec.key)
+        join_per_key(keyed, bad, spec.key, at_most=at_most)
         .distinct()
         .select(F.col("_rejection.rule").alias("rule"), F.col("_rejection.row_data").alias("row_data"))
     )

@@ -32,25 +32,26 @@ def gold_plan(
     name: str,
     silver: Callable[[str], DataFrame],
     as_of: datetime.date | str | None = None,
-    store: Callable[[str, DataFrame], DataFrame] | None = None,
+    store: Callable[[str, DataFrame], tuple[DataFrame, int | None]] | None = None,
 ) -> DataFrame:
     """Plan of one gold table over the silver tables that ``silver`` gives by name.
 
-    ``store(name, plan)`` gives an intermediate table back as a stored one; without it, intermediate
-    tables stay part of the plan and are computed each time they are used.
+    ``store(name, plan)`` gives an intermediate table back as a stored one, with its number of rows;
+    without it, intermediate tables stay part of the plan and are computed each time they are used.
     """
-    store = store or (lambda _, plan: plan)
+    store = store or (lambda _, plan: (plan, None))
     orders = silver("orders")
     if name == "orders_summary":
-        totals = store("order_totals", gold.order_totals(orders, silver("order_items")))
+        totals, _ = store("order_totals", gold.order_totals(orders, silver("order_items")))
         return gold.orders_summary(orders, totals)
     if name == "menu_performance":
         menu = gold.menu_items(silver("order_items"), orders, silver("restaurants"))
-        return gold.menu_performance(store("menu_items", menu), orders)
+        stored, rows = store("menu_items", menu)
+        return gold.menu_performance(stored, orders, rows)
     if name == "customer_summary":
         return gold.customer_summary(silver("customers"), orders, as_of)
     if name == "restaurant_summary":
-        totals = store("order_totals", gold.order_totals(orders, silver("order_items")))
+        totals, _ = store("order_totals", gold.order_totals(orders, silver("order_items")))
         return gold.restaurant_summary(silver("restaurants"), totals)
     if name == "partner_summary":
         return gold.partner_summary(silver("delivery_partners"), orders, as_of)

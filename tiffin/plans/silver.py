@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 
 from tiffin.operators.quality import (
     KEEP,
@@ -20,6 +20,13 @@ from tiffin.sources.warehouse import AUDIT, SILVER, Stage, Warehouse
 AUDIT_TABLE = "rejected_rows"
 
 
+def stored_rejections(warehouse: Warehouse, spec: TableSpec, null_key: str = KEEP) -> DataFrame:
+    """Rejected rows of a bronze table, with the bad keys written to the stage layer first."""
+    bronze = warehouse.bronze(spec)
+    bad = rejected_keys(normalise(bronze, spec), spec)
+    return rejections(bronze, spec, null_key, Stage(warehouse).store("bad_keys", bad))
+
+
 def build_silver_table(
     warehouse: Warehouse,
     spec: TableSpec,
@@ -29,10 +36,7 @@ def build_silver_table(
     """Rebuild one silver table and append its rejects; returns both row counts."""
     bronze = warehouse.bronze(spec)
     kept = warehouse.write(clean(bronze, spec, null_key), SILVER, spec.silver_name)
-    bad_keys = Stage(warehouse).store(
-        f"bad_{spec.silver_name}", rejected_keys(normalise(bronze, spec), spec)
-    )
-    rejected = audit_rows(rejections(bronze, spec, null_key, bad_keys), rejected_at)
+    rejected = audit_rows(stored_rejections(warehouse, spec, null_key), rejected_at)
     return kept, warehouse.write(rejected, AUDIT, AUDIT_TABLE, "append")
 
 

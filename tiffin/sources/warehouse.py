@@ -67,11 +67,13 @@ class Stage:
     def __init__(self, warehouse: Warehouse):
         self._warehouse = warehouse
         self._run = uuid.uuid4().hex
-        self._schemas: dict[str, StructType] = {}
+        self._written: dict[str, tuple[StructType, int]] = {}
 
-    def store(self, name: str, plan: DataFrame) -> DataFrame:
+    def store(self, name: str, plan: DataFrame) -> tuple[DataFrame, int]:
+        """The stored table and its number of rows."""
         table = f"{self._run}/{name}"
-        if name not in self._schemas:
-            self._warehouse.write(plan, STAGE, table)
-            self._schemas[name] = plan.schema
-        return self._warehouse.read(STAGE, table, self._schemas[name])
+        if name not in self._written:
+            rows = self._warehouse.write(plan, STAGE, table)
+            self._written[name] = (plan.schema, rows)
+        schema, rows = self._written[name]
+        return self._warehouse.read(STAGE, table, schema), rows
