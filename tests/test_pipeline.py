@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiffin.plans import pipeline
-from tiffin.plans.silver import AUDIT_TABLE, build_silver
+from tiffin.plans.silver import build_silver
 from tiffin.plans.bronze import load_bronze
 from tiffin.schemas import AUDIT_SCHEMA, TABLES
 from tiffin.session import shared_folder
@@ -58,7 +58,11 @@ def test_stored_rows_match_the_report(built):
     for r in report:
         if r.layer in (SILVER, GOLD):
             assert warehouse.read(r.layer, r.table_name).count() == r.rows
-    audit = warehouse.read(AUDIT, AUDIT_TABLE, AUDIT_SCHEMA)
+    audit = warehouse.audit()
+    assert audit.dtypes == [(f.name, f.dataType.simpleString()) for f in AUDIT_SCHEMA]
+    assert {r.table_name for r in audit.select("table_name").distinct().collect()} == {
+        r.table_name for r in report if r.layer == AUDIT and r.rows
+    }
     assert audit.count() == sum(r.rows for r in report if r.layer == AUDIT)
     assert audit.select("rejected_at").distinct().count() == 1
     assert all(json.loads(r.row_data) for r in audit.collect())
@@ -113,7 +117,7 @@ def test_second_load_doubles_bronze_and_leaves_silver(spark, landing, tmp_path,
     # Silver is rebuilt, the audit grows.
     again = build_silver(warehouse)
     assert again == kept
-    assert warehouse.read(AUDIT, AUDIT_TABLE).count() == 2 * sum(r for _, r in kept.values())
+    assert warehouse.audit().count() == 2 * sum(r for _, r in kept.values())
 
 
 def test_gold_if_absent(spark, built):
@@ -137,5 +141,15 @@ def test_gold_failure_policy(spark, landing, tmp_path):
         pipeline.build_gold(warehouse, on_error="ignore")
 
 
+def test_an_error_ends_the_silver_build(spark, landing, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    load_bronze(warehouse, landing, TABLES[1:])
+    with pytest.raises(Exception, match="Customers"):
+        build_silver(warehouse, at_once=1)
+    assert not any(warehouse.exists(SILVER, s.silver_name) for s in TABLES[1:])
+    with pytest.raises(Exception, match="Customers"):
+        build_silver(warehouse)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import TABLES, TableSpec
 from tiffin.sources.csv_files import path_exists, read_bronze_csv
 from tiffin.sources.warehouse import BRONZE, Warehouse
@@ -18,23 +19,22 @@ def load_bronze(
     csv_folder: str,
     specs: Iterable[TableSpec] = TABLES,
     multiline: bool = False,
+    at_once: int = AT_ONCE,
 ) -> list[tuple[str, str, int | None]]:
     """Append ``<csv_folder>/<Table>.csv`` to each bronze table; a missing file is reported only.
 
     Each extract is one pass: parse, convert and write, without a shuffle. The counts come from that
     write; each output partition counts once, also when a task is run again.
     """
-    report: list[tuple[str, str, int | None]] = []
-    for spec in specs:
+
+    def load(spec: TableSpec) -> tuple[str, str, int | None]:
         path = f"{csv_folder.rstrip('/')}/{spec.bronze_name}.csv"
         if not path_exists(warehouse.spark, path):
-            report.append((spec.bronze_name, MISSING, None))
-            continue
+            return spec.bronze_name, MISSING, None
         rows = read_bronze_csv(warehouse.spark, path, spec, multiline)
-        report.append(
-            (spec.bronze_name, LOADED, warehouse.write(rows, BRONZE, spec.bronze_name, "append"))
-        )
-    return report
+        return spec.bronze_name, LOADED, warehouse.write(rows, BRONZE, spec.bronze_name, "append")
+
+    return run_together(warehouse.spark, load, specs, at_once)
 
 
 def load_report(spark: SparkSession, report: list[tuple[str, str, int | None]]) -> DataFrame:

@@ -14,11 +14,9 @@ from tiffin.operators.quality import (
     rejected_keys,
     rejections,
 )
+from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import TABLES, TableSpec
-from tiffin.sources.warehouse import AUDIT, SILVER, Stage, Warehouse
-
-AUDIT_TABLE = "rejected_rows"
-
+from tiffin.sources.warehouse import SILVER, Stage, Warehouse
 
 def stored_rejections(warehouse: Warehouse, spec: TableSpec, null_key: str = KEEP) -> DataFrame:
     """Rejected rows of a bronze table, with the bad keys written to the stage layer first."""
@@ -34,10 +32,11 @@ def build_silver_table(
     rejected_at: Column | None = None,
 ) -> tuple[int, int]:
     """Rebuild one silver table and append its rejects; returns both row counts."""
-    bronze = warehouse.bronze(spec)
-    kept = warehouse.write(clean(bronze, spec, null_key), SILVER, spec.silver_name)
+    kept = warehouse.write(
+        clean(warehouse.bronze(spec), spec, null_key), SILVER, spec.silver_name
+    )
     rejected = audit_rows(stored_rejections(warehouse, spec, null_key), rejected_at)
-    return kept, warehouse.write(rejected, AUDIT, AUDIT_TABLE, "append")
+    return kept, warehouse.append_audit(rejected, spec)
 
 
 def build_silver(
@@ -45,9 +44,14 @@ def build_silver(
     specs: Iterable[TableSpec] = TABLES,
     null_key: str = KEEP,
     rejected_at: Column | None = None,
+    at_once: int = AT_ONCE,
 ) -> dict[str, tuple[int, int]]:
-    """All silver tables; the first error ends the build."""
-    return {
-        spec.silver_name: build_silver_table(warehouse, spec, null_key, rejected_at)
-        for spec in specs
-    }
+    """All silver tables; an error ends the build."""
+    specs = list(specs)
+    counts = run_together(
+        warehouse.spark,
+        lambda spec: build_silver_table(warehouse, spec, null_key, rejected_at),
+        specs,
+        at_once,
+    )
+    return {spec.silver_name: count for spec, count in zip(specs, counts, strict=True)}

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tiffin.schemas import BY_SILVER_NAME, TableSpec
+from tiffin.schemas import AUDIT_SCHEMA, BY_SILVER_NAME, TableSpec
 from tiffin.sources.csv_files import path_exists
 
 BRONZE, SILVER, GOLD, AUDIT, STAGE = "bronze", "silver", "gold", "audit", "stage"
+AUDIT_TABLE = "rejected_rows"
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,15 @@ class Warehouse:
     def silver_by_name(self, name: str) -> DataFrame:
         return self.silver(BY_SILVER_NAME[name])
 
+    def audit(self) -> DataFrame:
+        """All audit records; those of one table are one partition."""
+        return self.read(AUDIT, AUDIT_TABLE, AUDIT_SCHEMA).select(*AUDIT_SCHEMA.names)
+
+    def append_audit(self, records: DataFrame, spec: TableSpec) -> int:
+        """Append the audit records of one table. Tables may do so at the same time."""
+        partition = f"{AUDIT_TABLE}/table_name={spec.silver_name}"
+        return self.write(records.drop("table_name"), AUDIT, partition, "append")
+
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite") -> int:
         """Write ``df`` and return the number of rows written.
 
