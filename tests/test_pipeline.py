@@ -38,7 +38,7 @@ def _same(a, b):
 
 
 def test_report(built):
-    _, report = built
+    warehouse, report = built
     assert [(r.layer, r.table_name, r.status) for r in report] == (
         [("bronze", s.bronze_name, "loaded") for s in TABLES]
         + [
@@ -51,6 +51,7 @@ def test_report(built):
     rows = {(r.layer, r.table_name): r.rows for r in report}
     assert rows["silver", "orders"] == 1463
     assert rows["gold", "orders_summary"] == 1
+    assert sorted(warehouse.read(AUDIT, "run_report").collect()) == sorted(report)
 
 
 def test_stored_rows_match_the_report(built):

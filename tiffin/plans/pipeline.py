@@ -13,7 +13,7 @@ from tiffin.plans.bronze import load_bronze
 from tiffin.plans.reconcile import reconcile_checks, reconcile_counts
 from tiffin.plans.silver import build_silver
 from tiffin.schemas import GOLD_SCHEMAS, TABLES
-from tiffin.sources.warehouse import GOLD, Stage, Warehouse
+from tiffin.sources.warehouse import AUDIT, GOLD, Stage, Warehouse
 
 GOLD_TABLES = tuple(GOLD_SCHEMAS)
 
@@ -103,7 +103,10 @@ def run_pipeline(
     on_gold_error: str = "raise",
     rejected_at: Column | None = None,
 ) -> DataFrame:
-    """Run all layers; returns ``(layer, table_name, status, rows)``, one row per table."""
+    """Run all layers; returns ``(layer, table_name, status, rows)``, one row per table.
+
+    The report of the last run is kept as the table ``run_report`` of the audit layer.
+    """
     steps: list[Step] = [("bronze", *step) for step in load_bronze(warehouse, csv_folder)]
     for name, (kept, rejected) in build_silver(
         warehouse, null_key=null_key, rejected_at=rejected_at
@@ -111,9 +114,11 @@ def run_pipeline(
         steps.append(("silver", name, "built", kept))
         steps.append(("audit", name, "appended", rejected))
     steps.extend(build_gold(warehouse, as_of, gold_mode, on_gold_error))
-    return warehouse.spark.createDataFrame(
+    report = warehouse.spark.createDataFrame(
         steps, "layer string, table_name string, status string, rows bigint"
     )
+    warehouse.write(report, AUDIT, "run_report")
+    return report
 
 
 def reconcile(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
+_own_folders: dict[str, str] = {}
+
+
 def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> SparkSession:
     """A session for tests and the bench. On a cluster, use the session the cluster gives."""
     builder = (
@@ -35,10 +37,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own; on a cluster a machine-local
     folder would be lost with its executor, so a missing setting is an error there.
     """
+    application = spark.sparkContext.applicationId
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tiffin-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return os.path.join(folder, "tiffin", spark.sparkContext.applicationId)
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="tiffin-")
+        folder = _own_folders[application]
+    return f"{folder.rstrip('/')}/tiffin/{application}"
