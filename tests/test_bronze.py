@@ -39,6 +39,18 @@ def test_missing_column_fails(spark, tmp_path):
         read_bronze_csv(spark, path, ORDER_ITEMS)
 
 
+def test_parts_must_agree_on_the_header(spark, tmp_path):
+    folder = tmp_path / "Order_Items.csv"
+    folder.mkdir()
+    header = [f.name for f in ORDER_ITEMS.fields]
+    (folder / "a.csv").write_text(",".join(header) + "\nI1,O1,tea,1,1.00\n")
+    (folder / "b.csv").write_text(",".join(header) + "\nI2,O1,tea,1,1.00\n")
+    assert read_bronze_csv(spark, str(folder), ORDER_ITEMS).count() == 2
+    (folder / "c.csv").write_text(",".join(reversed(header)) + "\n1.00,1,tea,O1,I3\n")
+    with pytest.raises(Exception, match="header"):
+        read_bronze_csv(spark, str(folder), ORDER_ITEMS).collect()
+
+
 def test_null_tokens(spark, tmp_path):
     lines = [f'"{t}",C{i}' for i, t in enumerate((*NULL_TOKENS, " NA", "na", "Null"))]
     other = ",".join(f.name for f in CUSTOMERS.fields if f.name not in ("City", "Customer_id"))

@@ -12,6 +12,7 @@ from tiffin.plans import gold
 from tiffin.plans.bronze import load_bronze
 from tiffin.plans.reconcile import reconcile_checks, reconcile_counts
 from tiffin.plans.silver import build_silver
+from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import GOLD_SCHEMAS, TABLES
 from tiffin.sources.warehouse import AUDIT, GOLD, Stage, Warehouse
 
@@ -63,34 +64,34 @@ def build_gold(
     as_of: datetime.date | str | None = None,
     mode: str = "overwrite",
     on_error: str = "raise",
+    at_once: int = AT_ONCE,
 ) -> list[Step]:
     """All gold tables from the stored silver tables.
 
-    ``mode="ignore"`` leaves tables that exist as they are. ``on_error="skip"`` records a failed
-    table, skips those after it and returns, instead of raising. Intermediate tables are written once
-    to the stage layer of this run.
+    ``mode="ignore"`` leaves tables that exist as they are. ``on_error="skip"`` builds one table after
+    the other, records one that fails, skips those after it and returns, instead of raising.
+    Intermediate tables are written once to the stage layer of this run.
     """
     if on_error not in ("raise", "skip"):
         raise ValueError(f"on_error must be 'raise' or 'skip', not {on_error!r}")
-    steps: list[Step] = []
-    failed = False
     store = Stage(warehouse).store
-    for name in GOLD_TABLES:
-        if failed:
-            steps.append(("gold", name, "skipped", None))
-            continue
+
+    def build(name: str) -> Step:
         if mode == "ignore" and warehouse.exists(GOLD, name):
-            steps.append(("gold", name, "kept", None))
-            continue
+            return "gold", name, "kept", None
+        plan = gold_plan(name, warehouse.silver_by_name, as_of, store)
+        return "gold", name, "built", warehouse.write(plan, GOLD, name, mode)
+
+    if on_error == "raise":
+        return run_together(warehouse.spark, build, GOLD_TABLES, at_once)
+    steps: list[Step] = []
+    for i, name in enumerate(GOLD_TABLES):
         try:
-            plan = gold_plan(name, warehouse.silver_by_name, as_of, store)
-            rows = warehouse.write(plan, GOLD, name, mode)
-            steps.append(("gold", name, "built", rows))
+            steps.append(build(name))
         except Exception as error:
-            if on_error == "raise":
-                raise
-            failed = True
             steps.append(("gold", name, f"failed: {type(error).__name__}", None))
+            steps.extend(("gold", later, "skipped", None) for later in GOLD_TABLES[i + 1 :])
+            break
     return steps
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -78,12 +79,13 @@ class Stage:
         self._warehouse = warehouse
         self._run = uuid.uuid4().hex
         self._written: dict[str, tuple[StructType, int]] = {}
+        self._lock = Lock()
 
     def store(self, name: str, plan: DataFrame) -> tuple[DataFrame, int]:
         """The stored table and its number of rows."""
         table = f"{self._run}/{name}"
-        if name not in self._written:
-            rows = self._warehouse.write(plan, STAGE, table)
-            self._written[name] = (plan.schema, rows)
-        schema, rows = self._written[name]
+        with self._lock:
+            if name not in self._written:
+                self._written[name] = (plan.schema, self._warehouse.write(plan, STAGE, table))
+            schema, rows = self._written[name]
         return self._warehouse.read(STAGE, table, schema), rows
