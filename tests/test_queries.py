@@ -12,8 +12,8 @@ import __spark_entry__ as entry_points
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
-QUERIES = entry_points.queries()
-STATEMENTS = entry_points.oracle_sql()
+QUERIES = entry_points.catalogue.queries()
+STATEMENTS = entry_points.oracle.statements()
 
 TYPES = {
     "string": "VARCHAR",
@@ -58,6 +58,11 @@ def test_query(spark, duck, name):
     assert got == expected
 
 
+def test_entry_points_have_all_queries():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(STATEMENTS) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() == 1 and len(df.columns) == 9
