@@ -179,7 +179,9 @@ def _owners(part: DataFrame) -> list[tuple[bytes, list[str]]]:
     return sorted((pattern, sorted(items)) for pattern, items in owners.items())
 
 
-@F.udf("struct<n_hit: long, n_items: long, items_sha256: string>")
+_MERGED = "n_hit long, n_items long, items_sha256 string"
+
+
 def _merged(items, first, last):
     """Joins what several groups of patterns found in one document."""
     spans = sorted((a, b) for f, g in zip(first, last, strict=True) for a, b in zip(f, g, strict=True))
@@ -230,7 +232,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
             F.collect_list("first").alias("first"),
             F.collect_list("last").alias("last"),
         )
-        merged = _merged("items", "first", "last")
+        merged = F.udf(_merged, _MERGED)("items", "first", "last")
         out = found.select("doc_id", "n_words", merged.alias("m")).select("doc_id", "n_words", "m.*")
     else:
         covered = F.aggregate(
