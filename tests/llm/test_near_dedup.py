@@ -1,0 +1,175 @@
+"""Near-dedup: shingles, links and components against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tiffin.llm import near_dedup
+from tiffin.llm.components import connected_components
+from tiffin.llm.near_dedup import MinHash, exact_links, near_duplicates, signature_links
+from tiffin.llm.scratch import Scratch
+from tiffin.llm.texts import Shingler
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def shingle_set(text, width=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(str.maketrans(UPPER, LOWER)))
+    n = max(1, len(words) - width + 1)
+    return {tuple(words[i : i + width]) for i in range(n)} if words else set()
+
+
+def expected(rows, percent=85):
+    sets = [shingle_set(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common, union = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if union and 100 * common >= percent * union:
+                root[find(i)] = find(j)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(i) and rows[j][0] is not None]
+        least = min(ids) if ids else None
+        out.append((doc_id, len(sets[i]), least, doc_id == least))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    columns = ["doc_id", "n_shingles", "component_id", "kept"]
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+def near_copies(rng, words, n, edits):
+    out = []
+    for _ in range(n):
+        copy = list(words)
+        for _ in range(rng.randrange(edits + 1)):
+            copy[rng.randrange(len(copy))] = f"edit{rng.randrange(10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def corpus(seed=1, groups=12, copies=8):
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(groups):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(30, 200))]
+        texts += near_copies(rng, words, copies, 4)
+    texts += [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(30)]
+    rng.shuffle(texts)
+    return [(i * 3 % 1009, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize(
+    "text", ["", " \t\n", "one", "One two THREE four", "a b c d e", "a b c d e f a b c d e f", "É é é É ß x y",
+             "x\x0by\x0cz\x1cw a b c"]
+)
+def test_shingles(text):
+    values = Shingler(5).shingles(text.encode())
+    assert len(values) == len(shingle_set(text))
+    assert (np.sort(values) == values).all()
+
+
+def test_equal_shingles_are_equal_wherever_they_stand():
+    shingler = Shingler(5)
+    a = shingler.shingles(b"v w x y z")
+    assert len(a) == 1 and a[0] in shingler.shingles(b"p q r s V\tW  x\ny z t u")
+    assert not set(shingler.shingles(b"v w x y")) & set(a)
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(0)
+    values = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    hashes = MinHash(400)
+    for share in (0.5, 0.8, 0.95):
+        n = int(2 * share * 2000 / (1 + share))
+        a, b = values[:2000], values[2000 - n : 4000 - n]
+        equal = (hashes.signature(a) == hashes.signature(b)).mean()
+        assert abs(equal - n / (4000 - n)) < 0.1
+
+
+def test_links_join_everything_similar():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**64, 100, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[i:], base[:i][:0]))) for i in range(0, 60, 2)]
+    plain = {
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))
+    }
+    blocks = np.zeros(len(sets), int)
+    edges = exact_links(sets, blocks, 85)
+    assert {(max(e), min(e)) for e in edges} <= plain and len(edges) == len(sets) - 1
+    two = np.arange(len(sets)) % 2
+    for x, y in exact_links(sets, two, 85):
+        assert two[x] != two[y] and (max(x, y), min(x, y)) in plain
+    signatures = np.array([[1, 2, 3, 4], [1, 2, 3, 9], [7, 7, 7, 7], [1, 2, 8, 9]], np.uint32)
+    assert len(signature_links(signatures, np.zeros(4, int), 3)) == 2
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)]
+    edges += [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = dict(map(tuple, connected_components(df, Scratch(spark, "test"), "c").collect()))
+    neighbours = {}
+    for a, b in edges:
+        if a != b:
+            neighbours.setdefault(a, set()).add(b)
+            neighbours.setdefault(b, set()).add(a)
+    for node in neighbours:
+        seen, todo = {node}, [node]
+        while todo:
+            for other in neighbours[todo.pop()] - seen:
+                seen.add(other)
+                todo.append(other)
+        assert got[node] == min(seen)
+    assert set(got) == set(neighbours)
+    none = spark.createDataFrame([], "a long, b long")
+    assert connected_components(none, Scratch(spark, "test"), "c").count() == 0
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_against_brute_force(documents, percent):
+    rows = corpus()
+    assert found(near_duplicates(documents(*rows), percent=percent)) == expected(rows, percent)
+
+
+def test_blocks_lose_no_link(documents):
+    """Groups cut into many small blocks give the same components."""
+    rows = corpus(seed=4, groups=3, copies=40)
+    got = near_duplicates(documents(*rows), block_members=4, block_shingles=500)
+    assert found(got) == expected(rows)
+
+
+def test_edge_cases(documents):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "ONE"), (6, "one two"), (None, "one"), (7, "x"),
+            (8, "w " * 50_000), (9, "W " * 40_000), (10, "Üb"), (11, "üb")]
+    assert found(near_duplicates(documents(*rows))) == expected(rows)
+    assert found(near_duplicates(documents())) == []
+
+
+def test_repeated_identifiers_and_clashing_columns(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "p q r s t u"), (2, "P Q r s t u"), (3, "a B c d e f")]
+    df = spark.createDataFrame([(*r, b"x", 5) for r in rows],
+                               "doc_id long, text string, signature binary, n_shingles int")
+    got = found(near_duplicates(df))
+    assert [r[2] for r in got] == [1, 1, 1, 1, 1] and [r[3] for r in got] == [True, True, True, False, False]
+
+
+def test_defaults():
+    assert (1 - 0.85**near_dedup.ROWS) ** near_dedup.BANDS < 1e-6
+    assert (1 - 0.8**near_dedup.ROWS) ** near_dedup.BANDS < 1e-4
