@@ -284,3 +284,10 @@ def test_rules_without_a_token_still_apply(spark):
     rules = (SiteRule(BLOCK, "net", "/xad"),)
     got = filter_urls(df, site_rules=rules, patterns=("dsx",))
     assert rows_of(got, "rule", "verdict", "pattern") == [("net/xad", "block", "dsx")]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("ab1,. \n\t \x1cé'<|endoftext>", max_size=60), max_size=5))
+def test_words_add_up_to_texts(texts):
+    count, _ = token_counts.load_counter(BPE)
+    assert token_counts.WordCounter(count, known_words=3)(texts) == count(texts)

@@ -4,8 +4,9 @@ Only lengths leave a batch. Texts are encoded in calls of about equal bytes, so
 neither swells a call nor waits for one: a long text is split where the tokenizer splits anyway, and the
 lengths of its parts are added up. For tokenizers of byte-level BPE over white-space separated pieces
 that is before a blank that follows a visible character: no piece spans that place, a piece before it
-ends there whatever follows, and special strings have no blanks. Texts of tokenizers without such a rule
-(sentencepiece models, or other pre-tokenizers) are never split.
+ends there whatever follows, and special strings have no blanks. The same places part a call into
+words, and a task encodes a word it has not met lately only once, as a batch with the call's other new
+words. Texts of tokenizers without such a rule (sentencepiece models, or other pre-tokenizers) are never split.
 
 Defined cases: a NULL text counts as empty and has 0 tokens; a long text without a safe place is
 encoded whole; identifiers may be NULL or repeated, one row goes in and one comes out; an empty table
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,6 +27,9 @@ from pyspark.sql import functions as F
 PIECE_BYTES = 64 << 10
 CALL_BYTES = 512 << 10
 LIMIT = 512
+KNOWN_WORDS = 1 << 18
+_SHORT = 64
+_SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 def safe_pieces(text: str, piece_chars: int) -> list[str]:
@@ -86,9 +91,33 @@ def _splits_at_blanks(path: str) -> bool:
     )
 
 
+class WordCounter:
+    """Token counts of texts from those of their words, each encoded once while it is remembered."""
+
+    def __init__(self, count: Callable[[list[str]], list[int]], known_words: int = KNOWN_WORDS):
+        self._count = count
+        self._limit = known_words
+        self._known: dict[str, int] = {}
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        parted = [_SAFE.split(text) for text in texts]
+        if len(self._known) > self._limit:
+            self._known.clear()
+        known = self._known
+        new = list(set().union(*parted) - known.keys())
+        known.update(zip(new, self._count(new), strict=True))
+        totals = [sum(map(known.__getitem__, words)) for words in parted]
+        for word in new:
+            if len(word) > _SHORT:
+                del known[word]
+        return totals
+
+
 def _lengths(path: str, piece_bytes: int, call_bytes: int):
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, may_split = load_counter(path)
+        if may_split:
+            count = WordCounter(count)
         for batch in batches:
             totals = [0] * batch.num_rows
             for call in _calls(batch.column(1), piece_bytes if may_split else None, call_bytes):
