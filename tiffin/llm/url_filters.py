@@ -14,8 +14,8 @@ candidate rules by an equi-join, and only candidates run their regular expressio
 The verdict of a URL: the longest fitting rule of ``site_rules`` (ties: the last by code point);
 without one, block if a pattern of ``patterns`` fits, else allow.
 
-All work is joins, aggregates and SQL functions. The tables of rules come from the driver, so they are
-small, and Spark decides by their size whether to broadcast them. Only rule tokens are counted, and only
+All work is joins, aggregates and SQL functions. The tables of rules come from the driver as local
+relations, whose size Spark knows, and it decides by that whether to broadcast them. Only rule tokens are counted, and only
 the counts of those come back.
 
 Defined cases: a NULL url, or one without ``://``, has an empty host and path and fits no rule; identifiers
@@ -29,6 +29,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -173,7 +174,7 @@ def _index(rows: DataFrame, site_rules: Sequence[SiteRule], patterns: Sequence[s
     tokens = sorted({t for _, _, p, _ in rules for t in bounded_tokens(p)})
     counts: dict[str, int] = {}
     if tokens:
-        wanted = spark.createDataFrame([(t,) for t in tokens], "token string")
+        wanted = spark.createDataFrame(pa.table({"token": tokens}))
         counted = (
             rows.select(F.explode(_tokens(F.col("target"))).alias("token"))
             .join(wanted, "token")
@@ -187,6 +188,8 @@ def _index(rows: DataFrame, site_rules: Sequence[SiteRule], patterns: Sequence[s
         return min(own, key=lambda t: (counts.get(t, 0), -len(t), t)) if own else ""
 
     filed = [(rarest(p), kind, text, to_regex(p), verdict) for kind, text, p, verdict in rules]
+    names = ["token", "kind", "text", "regex", "verdict"]
+    schema = pa.schema([(name, pa.string()) for name in names])
     return spark.createDataFrame(
-        filed, "token string, kind string, text string, regex string, verdict string"
+        pa.Table.from_pylist([dict(zip(names, row, strict=True)) for row in filed], schema)
     )
