@@ -39,6 +39,7 @@ from tiffin.llm.scratch import Scratch
 LEAST = 1000
 ARCHIVE_BYTES = 64 << 20
 RUN_BYTES = 1 << 20
+TASK_BYTES = 64 << 20
 CAPTURED = "2024-01-01T00:00:00Z"
 
 # Member names, and the signatures and sizes of the ZIP format.
@@ -356,13 +357,16 @@ def _reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(archives: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
-    """All records of the archives named by the column ``path``.
+    """All records of the archives named by the column ``path``, of ``n_bytes`` each.
 
     ``(page_id, url, record_type, refers_to, declared_digest, declared_bytes, payload)``; a revisit has no
     payload of its own.
     """
-    runs = archives.select("path").repartition("path").mapInArrow(_indexing(run_bytes), _RUN)
-    return runs.repartition("path", "start").mapInArrow(_reading, _RECORD)
+    # The rows that name runs are small, so Spark cannot tell from them how much there is to read.
+    total = archives.agg(F.sum("n_bytes")).first()[0] or 0
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    runs = archives.select("path").repartition(tasks, "path").mapInArrow(_indexing(run_bytes), _RUN)
+    return runs.repartition(tasks, "path", "start").mapInArrow(_reading, _RECORD)
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
