@@ -261,10 +261,9 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, with all their columns.
 
-    Rows are scored where they are; only the statistics of labelled rows are kept for training.
+    Rows are scored where they are. For training, labels meet the statistics of the rows, not the texts.
     """
-    labelled = docs.join(labels.select(F.col("doc_id").alias(key)).distinct(), key, "left_semi")
-    forest = train(document_statistics(labelled, key, text), labels, label, sample_rows)
+    forest = train(document_statistics(docs, key, text), labels, label, sample_rows)
     return docs.mapInArrow(_keeping(forest, text, least), docs.schema)
 
 
