@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 from decimal import Decimal
 
 import pytest
@@ -14,6 +15,7 @@ from tiffin.sources.csv_files import NULL_TOKENS, read_bronze_csv, write_csv
 from tiffin.sources.warehouse import BRONZE, GOLD, Warehouse
 
 SF = "/root/testdata/sf0.001"
+ITEMS = ",".join(f.name for f in ORDER_ITEMS.fields)
 
 
 def _csv(tmp_path, spec, text: str) -> str:
@@ -70,6 +72,19 @@ def test_null_tokens(spark, tmp_path):
         ("2024-02-29T10:00:00", "2024-02-29"),
         ("2024/02/29", "2024-02-29"),
         ("02/29/2024", "2024-02-29"),
+        ("1/5/2024", "2024-01-05"),
+        ("2024-1-5", "2024-01-05"),
+        ("2024-01-05 13:45", "2024-01-05"),
+        ("2024-01-05T13:45", "2024-01-05"),
+        ("2024-01-05 23:45:00-05:00", "2024-01-05"),
+        ("2024-01-05T23:59:59.999999Z", "2024-01-05"),
+        ("05-JAN-2024", "2024-01-05"),
+        ('"jan 5, 2024"', "2024-01-05"),
+        ('"January 5, 2024 9:05 PM"', "2024-01-05"),
+        ("2024/01/05 10:00:00", "2024-01-05"),
+        (" 2024-01-05 ", "2024-01-05"),
+        ("2024-01-05 24:00", None),
+        ("2024-01-05 noon", None),
         ("2023-02-29", None),
         ("13/13/2024", None),
         ("soon", None),
@@ -92,8 +107,9 @@ def test_dates(spark, tmp_path, text, day):
         ("2.5", "10.005", (3, Decimal("10.01"))),
         ("-2.5", "-0.004", (-3, Decimal("0.00"))),
         ("many", '"1,000"', (None, None)),
-        ("99999999999", "123456789.00", (None, None)),
-        ("inf", "NaN", (None, None)),
+        ("2147483647", "99999999.994", (2147483647, Decimal("99999999.99"))),
+        ("1d", "1.5f", (None, None)),
+        ("NULL", "NaN", (None, None)),
         (" 4 ", " 7.25 ", (4, Decimal("7.25"))),
     ],
 )
@@ -104,17 +120,78 @@ def test_numbers(spark, tmp_path, quantity, price, expected):
     assert (row.Quantity, row.Price) == expected
 
 
+@pytest.mark.parametrize(
+    ("quantity", "price", "column"),
+    [("99999999999", "1", "Quantity"), ("1", "123456789012.50", "Price"), ("1e400", "1", "Quantity"),
+     ("1", "inf", "Price"), ("1", "99999999.995", "Price")],
+)
+def test_numbers_that_do_not_fit_end_the_load(spark, tmp_path, quantity, price, column):
+    path = _csv(tmp_path, ORDER_ITEMS, f"{ITEMS}\nI1,O1,tea,{quantity},{price}\n")
+    with pytest.raises(Exception, match=f"{column} does not fit"):
+        read_bronze_csv(spark, path, ORDER_ITEMS).collect()
+
+
+def test_day_first(spark, tmp_path):
+    header = ",".join(f.name for f in ORDERS.fields)
+    path = _csv(tmp_path, ORDERS, f"{header}\nO1,C1,X,R1,P1,1/5/2024 10:00,Delivered,COD,1\n")
+    got = read_bronze_csv(spark, path, ORDERS, day_first=True).first().Order_date
+    assert got == datetime.datetime(2024, 5, 1)
+
+
 def test_too_long_text_fails(spark, tmp_path):
-    header = ",".join(f.name for f in ORDER_ITEMS.fields)
-    path = _csv(tmp_path, ORDER_ITEMS, f"{header}\n{'I' * 21},O1,tea,1,1\n")
+    path = _csv(tmp_path, ORDER_ITEMS, f"{ITEMS}\n{'I' * 21},O1,tea,1,1\n")
     with pytest.raises(Exception, match="longer than 20"):
         read_bronze_csv(spark, path, ORDER_ITEMS).collect()
 
 
+def test_blanks_beyond_the_width_are_cut(spark, tmp_path):
+    path = _csv(tmp_path, ORDER_ITEMS, f'{ITEMS}\n"{"I" * 18}     ",O1  ,tea,1,1\n')
+    row = read_bronze_csv(spark, path, ORDER_ITEMS).first()
+    assert row.Order_item_id == "I" * 18 + "  " and row.Order_id == "O1  "
+
+
 def test_line_breaks_inside_quotes(spark, tmp_path):
-    header = ",".join(f.name for f in ORDER_ITEMS.fields)
-    path = _csv(tmp_path, ORDER_ITEMS, f'{header}\nI1,O1,"green\ntea",1,1\n')
+    path = _csv(tmp_path, ORDER_ITEMS, f'{ITEMS}\nI1,O1,"green\ntea",1,1\n')
     assert read_bronze_csv(spark, path, ORDER_ITEMS, multiline=True).first().Menu_item == "green\ntea"
+    with pytest.raises(Exception, match="Unclosed quote"):
+        read_bronze_csv(spark, path, ORDER_ITEMS).collect()
+
+
+BAD_LINES = (
+    'I1,O1,Soup, hot,2,3.50\nI2,O1,"a, ""b""",1,2.00\nI3,O1,"Rice\nand beans",1,2.00\nI4,O1,short\n'
+)
+
+
+def test_records_with_too_many_fields_end_the_load(spark, tmp_path):
+    path = _csv(tmp_path, ORDER_ITEMS, f"{ITEMS}\nI1,O1,Soup, hot,2,3.50\n")
+    with pytest.raises(Exception, match="Too many fields in Order_Items: I1,O1"):
+        read_bronze_csv(spark, path, ORDER_ITEMS).collect()
+    header = ITEMS.replace("Price", "Price,Extra")
+    path = _csv(tmp_path, ORDER_ITEMS, f"{header}\nI1,O1,Soup,2,3.50,x,y\n")
+    with pytest.raises(Exception, match="Too many fields"):
+        read_bronze_csv(spark, path, ORDER_ITEMS).collect()
+
+
+def test_malformed_records_can_go_to_the_audit(spark, tmp_path):
+    _csv(tmp_path, ORDER_ITEMS, f"{ITEMS}\n{BAD_LINES}")
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    steps = load_bronze(warehouse, str(tmp_path), [ORDER_ITEMS], malformed="audit")
+    assert steps == [("Order_Items", "loaded", 2), ("Order_Items", "malformed", 3)]
+    loaded = {r.Order_item_id: (r.Menu_item, r.Price) for r in warehouse.bronze(ORDER_ITEMS).collect()}
+    assert loaded == {"I2": ('a, "b"', Decimal("2.00")), "I4": ("short", None)}
+    audit = {(r.reason, json.loads(r.row_data)["record"]) for r in warehouse.audit().collect()}
+    assert audit == {
+        ("Too many fields", "I1,O1,Soup, hot,2,3.50"),
+        ("Unclosed quote", 'I3,O1,"Rice'),
+        ("Unclosed quote", 'and beans",1,2.00'),
+    }
+    whole = Warehouse(spark, str(tmp_path / "whole"))
+    steps = load_bronze(whole, str(tmp_path), [ORDER_ITEMS], malformed="audit", multiline=True)
+    assert steps == [("Order_Items", "loaded", 3), ("Order_Items", "malformed", 1)]
+    with pytest.raises(Exception, match="Too many fields"):
+        load_bronze(whole, str(tmp_path), [ORDER_ITEMS])
+    with pytest.raises(ValueError):
+        load_bronze(whole, str(tmp_path), [ORDER_ITEMS], malformed="ignore")
 
 
 @pytest.mark.parametrize("spec", TABLES, ids=lambda s: s.bronze_name)

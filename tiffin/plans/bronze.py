@@ -6,12 +6,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tiffin.operators.quality import audit_rows
 from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import TABLES, TableSpec
-from tiffin.sources.csv_files import path_exists, read_bronze_csv
+from tiffin.sources.csv_files import (
+    RAISE,
+    SKIP,
+    malformed_records,
+    path_exists,
+    read_bronze_csv,
+)
 from tiffin.sources.warehouse import BRONZE, Warehouse
 
-LOADED, MISSING = "loaded", "missing"
+LOADED, MISSING, MALFORMED = "loaded", "missing", "malformed"
+TO_AUDIT = "audit"
 
 
 def load_bronze(
@@ -20,21 +28,33 @@ def load_bronze(
     specs: Iterable[TableSpec] = TABLES,
     multiline: bool = False,
     at_once: int = AT_ONCE,
+    day_first: bool = False,
+    malformed: str = RAISE,
 ) -> list[tuple[str, str, int | None]]:
     """Append ``<csv_folder>/<Table>.csv`` to each bronze table; a missing file is reported only.
 
     Each extract is one pass: parse, convert and write, without a shuffle. The counts come from that
-    write; each output partition counts once, also when a task is run again.
+    write; each output partition counts once, also when a task is run again. ``malformed="audit"``
+    writes records that do not fit the header to the audit and loads the others, with a line of its
+    own in the report; by default such a record ends the load.
     """
+    if malformed not in (RAISE, TO_AUDIT):
+        raise ValueError(f"malformed must be '{RAISE}' or '{TO_AUDIT}', not {malformed!r}")
+    how = SKIP if malformed == TO_AUDIT else RAISE
 
-    def load(spec: TableSpec) -> tuple[str, str, int | None]:
+    def load(spec: TableSpec) -> list[tuple[str, str, int | None]]:
         path = f"{csv_folder.rstrip('/')}/{spec.bronze_name}.csv"
         if not path_exists(warehouse.spark, path):
-            return spec.bronze_name, MISSING, None
-        rows = read_bronze_csv(warehouse.spark, path, spec, multiline)
-        return spec.bronze_name, LOADED, warehouse.write(rows, BRONZE, spec.bronze_name, "append")
-
-    return run_together(warehouse.spark, load, specs, at_once)
+            return [(spec.bronze_name, MISSING, None)]
+        rows = read_bronze_csv(warehouse.spark, path, spec, multiline, day_first, how)
+        n = warehouse.write(rows, BRONZE, spec.bronze_name, "append")
+        steps: list[tuple[str, str, int | None]] = [(spec.bronze_name, LOADED, n)]
+        if malformed == TO_AUDIT:
+            bad = audit_rows(malformed_records(warehouse.spark, path, spec, multiline))
+            steps.append((spec.bronze_name, MALFORMED, warehouse.append_audit(bad, spec)))
+        return steps
+
+    return [step for steps in run_together(warehouse.spark, load, specs, at_once) for step in steps]
 
 
 def load_report(spark: SparkSession, report: list[tuple[str, str, int | None]]) -> DataFrame:

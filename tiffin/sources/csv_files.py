@@ -1,13 +1,13 @@
 """CSV extracts to typed bronze rows.
 
-Every column is read as text and converted by expressions that give NULL for what cannot be
-converted, so one bad value never fails a load.
+Every column is read as text and converted by expressions. Text that is no date or no number becomes
+NULL, so one odd value never fails a load. What would lose data without a trace does fail it, with
+the column and value in the message: a number or text too large for its column, and a record that does not
+fit the header. Such records can be set aside instead (``malformed="skip"``, ``malformed_records``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,15 +37,20 @@ NULL_TOKENS = (
     "null",
 )
 
-# Accepted date spellings, tried in turn. The time of day is read and then dropped.
-DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy",
-    "MM/dd/yyyy HH:mm:ss",
+# A time of day after a date, with an optional zone. It is read over: a date is the day as written.
+_TIME = (
+    r"(?i)[ T]\s*([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d([.]\d{1,9})?)?"
+    r"(\s*[ap]m)?(\s*(Z|UTC|GMT|[+-]\d{2}(:?\d{2})?))?$"
 )
+# Spellings of a day, tried in turn; days and months of one digit fit too, and names in any case.
+_DAY_FORMATS = ("yyyy-M-d", "yyyy/M/d", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
+_MONTH_FIRST, _DAY_FIRST = "M/d/yyyy", "d/M/yyyy"
+
+_NUMBER = r"(?i)^\s*[+-]?((\d+[.]?\d*|[.]\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
+
+RECORD = "_record"
+TOO_MANY_FIELDS, UNCLOSED_QUOTE = "Too many fields", "Unclosed quote"
+RAISE, SKIP = "raise", "skip"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -57,72 +62,146 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A headed CSV as text columns, named by its header.
+    """A headed CSV as text columns, named by its header, and the column ``_record``.
 
-    Columns are matched by name, not by position. ``multiline`` admits line breaks inside quotes but
+    Columns are matched by name, not by position. ``_record`` is the text of a record whose number of
+    fields is not that of the header, else NULL. ``multiline`` admits line breaks inside quotes but
     makes a file unsplittable, so it is off unless an extract needs it.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("enforceSchema", False)
+    )
+    header = reader.csv(path).schema
+    # All fields are parsed whatever is selected later, as their number is what is checked.
+    return (
+        reader.option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", RECORD)
+        .schema(T.StructType(header.fields).add(RECORD, T.StringType()))
         .csv(path)
     )
 
 
+def malformed_reason(text: DataFrame) -> Column:
+    """Why a record cannot be read; NULL for good ones.
+
+    A record with too few fields is good: the missing ones are NULL. It is not if a quote is left
+    open, which is what a line break inside quotes looks like when lines are read one by one.
+    """
+    record = F.col(RECORD)
+    quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
+    bare = F.regexp_replace(record, '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return F.when(quotes % 2 == 1, F.lit(UNCLOSED_QUOTE)).when(
+        fields > len(text.columns) - 1, F.lit(TOO_MANY_FIELDS)
+    )
+
+
+def _field_is_read(text: DataFrame) -> Column:
+    """Always true. Spark reads no CSV for the record alone, so a condition needs a field as well."""
+    return F.length(F.coalesce(F.col(f"`{text.columns[0]}`"), F.lit(""))) >= 0
+
+
 def null_tokens_to_null(c: Column) -> Column:
     return F.when(~c.isin(*NULL_TOKENS), c)
 
 
-def to_day(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Text to DATE by the first format that fits; NULL if none does."""
-    text = F.trim(c)
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+def to_day(c: Column, day_first: bool = False) -> Column:
+    """Text to DATE by the first spelling that fits; NULL if none does.
+
+    ``day_first`` says whether ``1/5/2024`` is the 1st of May or, as by default, the 5th of January.
+    """
+    day = F.regexp_replace(F.trim(c), _TIME, "")
+    formats = (*_DAY_FORMATS, _DAY_FIRST if day_first else _MONTH_FIRST)
+    return F.coalesce(*[F.try_to_date(day, fmt) for fmt in formats])
+
+
+def _fitting(c: Column, value: Column, name: str, type_name: str) -> Column:
+    """``value``, made from text; fails the load where a number has none, NULL where there is no number."""
+    message = F.concat(F.lit(f"{name} does not fit {type_name}: "), F.substring(c, 1, 200))
+    missing = value.isNull() & c.rlike(_NUMBER)
+    return F.when(missing, F.raise_error(message)).otherwise(value)
 
 
-def to_decimal(c: Column, type_: T.DecimalType) -> Column:
-    """Text to a decimal, rounded to its scale; NULL if it is no number or too big."""
-    return c.try_cast(type_)
+def to_decimal(c: Column, type_: T.DecimalType, name: str = "a number") -> Column:
+    """Text to a decimal, rounded to its scale; NULL if it is no number."""
+    number = F.when(c.rlike(_NUMBER), c)
+    return _fitting(c, number.try_cast(type_), name, type_.simpleString())
 
 
-def to_whole_number(c: Column) -> Column:
+def to_whole_number(c: Column, name: str = "a number") -> Column:
     """Text to INT through a decimal, so that ``2.0`` is 2 and ``2.5`` rounds to 3."""
-    return F.round(c.try_cast("decimal(30,8)"), 0).try_cast("int")
+    number = F.when(c.rlike(_NUMBER), c)
+    return _fitting(c, F.round(number.try_cast("decimal(30,8)"), 0).try_cast("int"), name, "int")
 
 
 def fit_length(c: Column, field: Field) -> Column:
-    """Fail the load on a text longer than its declared width, as a typed table would."""
+    """Fail the load on a text longer than its declared width, but for blanks at its end, as a typed
+    table would; such blanks are cut."""
     message = F.concat(
         F.lit(f"{field.name} is longer than {field.max_length} characters: "), F.substring(c, 1, 200)
     )
-    return F.when(F.length(c) > field.max_length, F.raise_error(message)).otherwise(c)
+    return (
+        F.when(F.length(c) <= field.max_length, c)
+        .when(F.length(F.rtrim(c)) <= field.max_length, F.substring(c, 1, field.max_length))
+        .when(c.isNotNull(), F.raise_error(message))
+    )
 
 
-def coerce(c: Column, field: Field) -> Column:
+def coerce(c: Column, field: Field, day_first: bool = False) -> Column:
     """A text column to the declared type of ``field``."""
     value = null_tokens_to_null(c)
     if isinstance(field.type, T.DateType):
-        return to_day(value)
+        return to_day(value, day_first)
     if isinstance(field.type, T.TimestampNTZType):
-        return to_day(value).cast(field.type)
+        return to_day(value, day_first).cast(field.type)
     if isinstance(field.type, T.DecimalType):
-        return to_decimal(value, field.type)
+        return to_decimal(value, field.type, field.name)
     if isinstance(field.type, T.IntegerType):
-        return to_whole_number(value)
+        return to_whole_number(value, field.name)
     return fit_length(value, field)
 
 
-def to_bronze(text: DataFrame, spec: TableSpec) -> DataFrame:
+def to_bronze(text: DataFrame, spec: TableSpec, day_first: bool = False) -> DataFrame:
     """Declared columns, in declared order and type. Extra columns go, a missing one is an error."""
-    return text.select(*[coerce(F.col(f"`{f.name}`"), f).alias(f.name) for f in spec.fields])
+    columns = [coerce(F.col(f"`{f.name}`"), f, day_first).alias(f.name) for f in spec.fields]
+    return text.select(*columns)
 
 
 def read_bronze_csv(
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    multiline: bool = False,
+    day_first: bool = False,
+    malformed: str = RAISE,
+) -> DataFrame:
+    """Bronze rows of an extract. A malformed record fails the load, or is left out by ``"skip"``."""
+    if malformed not in (RAISE, SKIP):
+        raise ValueError(f"malformed must be '{RAISE}' or '{SKIP}', not {malformed!r}")
+    text = read_csv_text(spark, path, multiline)
+    reason = malformed_reason(text)
+    if malformed == RAISE:
+        message = F.concat(reason, F.lit(f" in {spec.bronze_name}: "), F.substring(RECORD, 1, 200))
+        good = F.when(reason.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    else:
+        good = reason.isNull()
+    return to_bronze(text.filter(good & _field_is_read(text)), spec, day_first)
+
+
+def malformed_records(
     spark: SparkSession, path: str, spec: TableSpec, multiline: bool = False
 ) -> DataFrame:
-    return to_bronze(read_csv_text(spark, path, multiline), spec)
+    """``(table_name, reason, row_data)`` of the records that cannot be read, as the audit has them."""
+    text = read_csv_text(spark, path, multiline)
+    return text.filter(malformed_reason(text).isNotNull() & _field_is_read(text)).select(
+        F.lit(spec.silver_name).alias("table_name"),
+        malformed_reason(text).alias("reason"),
+        F.to_json(F.struct(F.col(RECORD).alias("record"))).alias("row_data"),
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
