@@ -47,7 +47,7 @@ class Cleaned:
         return [c for c in self.columns if c != self.key]
 
 
-# The reasons are the texts of the audit table.
+# The reasons, as in the audit table, and the conditions of the rules.
 CLEANED = {
     "customers": Cleaned(
         "Customers",
@@ -63,7 +63,7 @@ CLEANED = {
             "Signup_date": "Signup_date",
         },
         (
-            ("instr(email, '@') = 0", "Invalid Email Format"),
+            ("email NOT LIKE '%@%'", "Invalid Email Format"),
             ("Signup_date IS NULL", "Missing Signup Date"),
         ),
     ),
@@ -99,14 +99,14 @@ CLEANED = {
                 "Order_amount",
             )
         },
-        (("sign(Order_amount) = -1", "Negative Amount"),),
+        (("Order_amount < 0", "Negative Amount"),),
     ),
     "order_items": Cleaned(
         "Order_Items",
         "order_items",
         "Order_item_id",
         {c: c for c in ("Order_item_id", "Order_id", "Menu_item", "Quantity", "Price")},
-        (("NOT (Quantity > 0)", "Invalid Quantity"), ("NOT (Price >= 0)", "Negative Price")),
+        (("Quantity <= 0", "Invalid Quantity"), ("Price < 0", "Negative Price")),
     ),
     "delivery_partners": Cleaned(
         "Delivery_Partners",

@@ -15,6 +15,7 @@ from oracle.pieces import (
     silver_ctes,
     with_,
 )
+from tiffin.catalogue import DATE_SPELLINGS, NO_DAYS
 from tiffin.sources.testbed import AS_OF
 
 _DAY_US = 86_400_000_000
@@ -183,19 +184,18 @@ _ALL_CTES = _merge(
     silver_ctes(*CLEANED), _ORDERS_SUMMARY_CTES, _CUSTOMER_CTES, _RESTAURANT_CTES, _PARTNER_CTES
 )
 
-_RECONCILE_COUNTS = with_(
-    _ALL_CTES,
-    _counts(
-        ("total_orders", "SELECT count(*) FROM s_orders"),
-        ("gold_total_orders", "SELECT 1"),
-        ("total_customers", "SELECT count(*) FROM s_customers"),
-        ("gold_total_customers", "SELECT count(*) FROM cohorts"),
-        ("total_restaurants", "SELECT count(*) FROM s_restaurants"),
-        ("gold_total_restaurants", "SELECT count(*) FROM openings"),
-        ("total_partners", "SELECT count(*) FROM s_delivery_partners"),
-        ("gold_total_partners", "SELECT 1 + count(DISTINCT Vehicle_type) FROM couriers"),
-    ),
-)
+_COUNTS = {
+    "total_orders": "SELECT count(*) FROM s_orders",
+    "gold_total_orders": "SELECT 1",
+    "total_customers": "SELECT count(*) FROM s_customers",
+    "gold_total_customers": "SELECT count(*) FROM cohorts",
+    "total_restaurants": "SELECT count(*) FROM s_restaurants",
+    "gold_total_restaurants": "SELECT count(*) FROM openings",
+    "total_partners": "SELECT count(*) FROM s_delivery_partners",
+    "gold_total_partners": "SELECT 1 + count(DISTINCT Vehicle_type) FROM couriers",
+}
+
+_RECONCILE_COUNTS = with_(_ALL_CTES, _counts(*_COUNTS.items()))
 
 _CHECKS = {
     "orders_in_summary": "SELECT count(Order_id) FROM s_orders",
@@ -303,9 +303,9 @@ _NULL_TOKENS = """SELECT 'C' || CAST(c_custkey AS VARCHAR) AS Customer_id,
     CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE ' NA ' END AS Last_Name
 FROM customer"""
 
-_DATE_COERCE = """SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS Order_id,
-    CASE WHEN o_orderkey % 9 < 6 THEN date_trunc('day', CAST(o_orderdate AS TIMESTAMP)) END
-        AS Order_date
+_DATE_COERCE = f"""SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS Order_id,
+    CASE WHEN o_orderkey % {len(DATE_SPELLINGS) + len(NO_DAYS)} < {len(DATE_SPELLINGS)}
+        THEN date_trunc('day', CAST(o_orderdate AS TIMESTAMP)) END AS Order_date
 FROM orders"""
 
 _NUMERIC_COERCE = """SELECT
@@ -313,10 +313,30 @@ _NUMERIC_COERCE = """SELECT
     CASE l_orderkey % 7
         WHEN 0 THEN CAST(l_quantity AS INT) WHEN 1 THEN CAST(l_quantity AS INT)
         WHEN 2 THEN CAST(l_quantity AS INT) + 1 WHEN 3 THEN CAST(l_quantity AS INT) * 100
+        WHEN 5 THEN 2147483647
     END AS Quantity,
     CASE l_partkey % 5
         WHEN 0 THEN CAST(l_partkey AS INT) + 0.13 WHEN 1 THEN -l_partkey
-        WHEN 2 THEN l_partkey + 0.5 END :: DOUBLE AS Price
+        WHEN 2 THEN l_partkey + 0.5 WHEN 4 THEN 99999999.99 END :: DOUBLE AS Price
+FROM lineitem"""
+
+_MALFORMED = """SELECT 'Order_Items' AS table_name, 'loaded' AS status,
+    count(*) FILTER (l_partkey % 10 > 1) AS rows, count(*) FILTER (l_partkey % 10 = 2) AS records
+FROM lineitem
+UNION ALL SELECT 'Order_Items', 'malformed', count(*) FILTER (l_partkey % 10 < 2),
+    count(*) FILTER (l_partkey % 10 = 2) FROM lineitem
+UNION ALL SELECT 'order_items', 'Too many fields', count(*),
+    count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem WHERE l_partkey % 10 = 0
+UNION ALL SELECT 'order_items', 'Unclosed quote', count(*),
+    count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem WHERE l_partkey % 10 = 1"""
+
+_QUOTED = """SELECT
+    'I' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS Order_item_id,
+    'O' || CAST(l_orderkey AS VARCHAR) AS Order_id,
+    CASE l_partkey % 4 WHEN 0 THEN 'Soup, hot' WHEN 1 THEN 'Rice' || chr(10) || 'and' || chr(10) || chr(10) || 'beans'
+        WHEN 2 THEN 'the "best" tea' ELSE 'Bread' END AS Menu_item,
+    CASE WHEN l_partkey % 4 IN (0, 2) THEN 2 ELSE 1 END AS Quantity,
+    CASE l_partkey % 4 WHEN 0 THEN 3.5 WHEN 2 THEN 1.0 ELSE 2.0 END :: DOUBLE AS Price
 FROM lineitem"""
 
 _APPEND = f"""SELECT Customer_id, Email, City, CAST(2 * count(*) AS BIGINT) AS copies
@@ -382,6 +402,8 @@ def _pipeline_run() -> str:
         "partner_summary": "SELECT 1 + count(DISTINCT Vehicle_type) FROM couriers",
     }
     rows.extend(("gold", name, "built", sql) for name, sql in gold.items())
+    rows.extend(("reconcile", name, "counted", sql) for name, sql in _COUNTS.items())
+    rows.extend(("reconcile", name, "ok", sql) for name, sql in _CHECKS.items())
     return with_(
         _ALL_CTES,
         "\nUNION ALL\n".join(
@@ -400,6 +422,8 @@ def statements() -> dict[str, str]:
         bronze_null_tokens=_NULL_TOKENS,
         bronze_date_coerce=_DATE_COERCE,
         bronze_numeric_coerce=_NUMERIC_COERCE,
+        bronze_malformed=_MALFORMED,
+        bronze_quoted=_QUOTED,
         bronze_append=_APPEND,
         bronze_load_report=_LOAD_REPORT,
         silver_customers_reject_null_key=_REJECT_NULL_KEY,

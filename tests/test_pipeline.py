@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import glob
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tiffin.schemas import AUDIT_SCHEMA, TABLES
 from tiffin.session import shared_folder
 from tiffin.sources import testbed
 from tiffin.sources.csv_files import write_csv
-from tiffin.sources.warehouse import AUDIT, GOLD, SILVER, Warehouse
+from tiffin.sources.warehouse import AUDIT, GOLD, SILVER, Stage, Warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,11 +49,18 @@ def test_report(built):
             for layer, status in (("silver", "built"), ("audit", "appended"))
         ]
         + [("gold", name, "built") for name in pipeline.GOLD_TABLES]
+        + [("reconcile", name, "counted") for name in pipeline.COUNTS]
+        + [("reconcile", name, "ok") for name in pipeline.CHECKS]
     )
     rows = {(r.layer, r.table_name): r.rows for r in report}
     assert rows["silver", "orders"] == 1463
     assert rows["gold", "orders_summary"] == 1
     assert sorted(warehouse.read(AUDIT, "run_report").collect()) == sorted(report)
+    assert sorted(r.table_name for r in warehouse.read(AUDIT, "load_report").collect()) == sorted(
+        s.bronze_name for s in TABLES
+    )
+    left = glob.glob(f"{warehouse.root}/stage/*/*")
+    assert left == []
 
 
 def test_stored_rows_match_the_report(built):
@@ -152,5 +161,100 @@ def test_an_error_ends_the_silver_build(spark, landing, tmp_path):
         build_silver(warehouse)
 
 
+def test_reconciliation_follows_a_failed_gold_table(spark, landing, tmp_path, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("no menu")
+
+    monkeypatch.setattr(pipeline.gold, "menu_items", broken)
+    warehouse = Warehouse(spark, str(tmp_path))
+    steps = pipeline.run_pipeline(warehouse, landing, testbed.AS_OF, on_gold_error="skip").collect()
+    status = {(r.layer, r.table_name): r.status for r in steps}
+    assert status["gold", "menu_performance"] == "failed: RuntimeError"
+    assert status["gold", "partner_summary"] == "skipped"
+    assert status["reconcile", "total_partners"] == "counted"
+    assert status["reconcile", "gold_total_partners"] == "missing"
+    assert status["reconcile", "orders_in_summary"] == "ok"
+    assert status["reconcile", "quantity_in_menu"] == "missing"
+
+
+def test_the_load_report_survives_a_failing_silver_build(spark, landing, tmp_path, monkeypatch):
+    def broken(*_, **__):
+        raise RuntimeError("no silver")
+
+    monkeypatch.setattr(pipeline, "build_silver", broken)
+    warehouse = Warehouse(spark, str(tmp_path))
+    with pytest.raises(RuntimeError):
+        pipeline.run_pipeline(warehouse, landing, testbed.AS_OF)
+    assert warehouse.read(AUDIT, "load_report").count() == len(TABLES)
+
+
+def test_a_failed_rebuild_leaves_both_tables(spark, tmp_path):
+    spec = TABLES[0]
+    warehouse = Warehouse(spark, str(tmp_path))
+    bronze = testbed.bronze(spark, SF, spec)
+    warehouse.write(bronze, "bronze", spec.bronze_name, "append")
+    kept = build_silver(warehouse, [spec])[spec.silver_name]
+    rows, audit = warehouse.silver(spec).collect(), warehouse.audit().count()
+    fails = F.when(F.col("city").isNotNull(), F.raise_error(F.lit("broken task")).cast("string"))
+    good = warehouse.silver(spec)
+    with pytest.raises(Exception, match="broken task"):
+        warehouse.rebuild(good.withColumn("city", fails), warehouse.audit(), spec)
+    broken_audit = warehouse.audit().withColumn(
+        "reason", F.when(F.col("reason").isNotNull(), F.raise_error(F.lit("broken audit")).cast("string"))
+    )
+    with pytest.raises(Exception, match="broken audit"):
+        warehouse.rebuild(good, broken_audit, spec)
+    assert warehouse.silver(spec).collect() == rows and warehouse.audit().count() == audit == kept[1]
+    with pytest.raises(Exception, match="broken task"):
+        warehouse.write(good.withColumn("city", fails), SILVER, spec.silver_name)
+    assert warehouse.silver(spec).collect() == rows
+    reader = warehouse.silver(spec)
+    assert build_silver(warehouse, [spec])[spec.silver_name] == kept
+    assert reader.count() == len(rows) and warehouse.audit().count() == 2 * audit
+
+
+def test_replaced_versions_go(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for n in range(1, 5):
+        warehouse.write(spark.range(n), GOLD, "t")
+        assert warehouse.read(GOLD, "t").count() == n
+    assert len(glob.glob(f"{tmp_path}/gold/t/v-*")) == 2
+
+
+def test_intermediate_tables_are_written_at_the_same_time(spark, tmp_path):
+    """Each of two writes waits for the other to begin."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    begun = threading.Barrier(2, timeout=60)
+
+    class Waiting(Stage):
+        pass
+
+    with Waiting(warehouse) as stage:
+        counted = Warehouse._counted
+
+        def slow(self, df, path, mode):
+            begun.wait()
+            return counted(self, df, path, mode)
+
+        Warehouse._counted = slow
+        try:
+            found = {}
+            threads = [
+                threading.Thread(
+                    target=lambda name=name, n=n: found.update({name: stage.store(name, spark.range(n))[1]})
+                )
+                for name, n in (("a", 3), ("b", 4))
+            ]
+            for thread in threads:
+                thread.start()
+            for thread in threads:
+                thread.join()
+        finally:
+            Warehouse._counted = counted
+        assert found == {"a": 3, "b": 4}
+        assert stage.store("a", spark.range(9))[1] == 3
+    assert glob.glob(f"{tmp_path}/stage/*") == []
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))

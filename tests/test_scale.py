@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiffin.operators import quality
-from tiffin.operators.joins import BROADCAST_ROWS, join_per_key, spread_join
+from tiffin.operators.joins import spread_join
 from tiffin.plans import gold
 from tiffin.schemas import ORDER_ITEMS, ORDERS, RESTAURANTS, TABLES
 from tiffin.sources import testbed
@@ -97,22 +97,49 @@ def _items_of_hot_key(spark):
     return rows.withColumn("Quantity", F.when(F.col("Menu_item").like("dish 0 %"), 0).otherwise(1))
 
 
-def test_hot_bad_key_is_spread_in_the_audit(spark, small_limits):
+def _stored(spark, df, tmp_path, name):
+    df.write.parquet(str(tmp_path / name))
+    return spark.read.parquet(str(tmp_path / name))
+
+
+def test_hot_bad_key_is_split_in_the_audit(spark, small_limits, tmp_path):
     rows = _items_of_hot_key(spark)
-    rejected = quality.rejections(rows, ORDER_ITEMS)
-    # Joined by key and part, then made distinct in a shuffle of its own.
+    bad = _stored(spark, quality.rejected_keys(rows, ORDER_ITEMS), tmp_path, "bad")
+    rejected = quality.rejections(rows, ORDER_ITEMS, bad_keys=bad)
     plan = _final_plan(rejected)
-    assert re.search(r"SortMergeJoin \[Order_item_id#\d+, _part#\d+\]", plan)
-    assert re.search(r"Exchange hashpartitioning\(Price#\d+, Order_item_id#\d+, Quantity#\d+", plan)
-    bad = [r[0] for r in rows.filter("Quantity = 0").select("Order_item_id").distinct().collect()]
-    assert "I0" in bad
-    assert rejected.count() == rows.filter(F.col("Order_item_id").isin(bad)).distinct().count()
+    assert "skew=true" in plan and "_part" not in plan
+    # Rows meet keys and rules; the JSON meets only what is left of them, and no copy of it is made.
+    assert "Generate explode" not in plan
+    names = [r[0] for r in rows.filter("Quantity = 0").select("Order_item_id").distinct().collect()]
+    assert "I0" in names
+    assert rejected.count() == rows.filter(F.col("Order_item_id").isin(names)).distinct().count()
     kept = quality.clean(rows, ORDER_ITEMS)
-    assert kept.filter(F.col("Order_item_id").isin(bad)).isEmpty()
+    assert kept.filter(F.col("Order_item_id").isin(names)).isEmpty()
     losers = quality.duplicate_rejections(rows, ORDER_ITEMS)
     assert losers.isEmpty()
 
 
+def test_many_bad_keys_and_a_hot_one(spark, small_limits, tmp_path):
+    """200,000 bad keys, one of them with a third of the rows: no task gets more than its share."""
+    rows = spark.range(0, 300_000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('I', id)) AS Order_item_id",
+        "concat('O', id) AS Order_id",
+        "concat('dish ', id) AS Menu_item",
+        "0 AS Quantity",
+        "CAST(1 AS DECIMAL(10,2)) AS Price",
+    )
+    bad = _stored(spark, quality.rejected_keys(rows, ORDER_ITEMS), tmp_path, "many")
+    assert bad.count() == 200_001
+    rules = bad.select("Order_item_id", F.col("_rejection.rule").alias("_rule"))
+    assert "row_data" not in str(rules.schema)
+    with conf(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        joined = rows.join(rules, "Order_item_id").repartition("Order_item_id", "Order_id")
+        plan = _final_plan(joined)
+        rejected = quality.rejections(rows, ORDER_ITEMS, bad_keys=bad)
+        assert rejected.count() == 300_000
+    assert "skew=true" in plan
+
+
 def test_losers_of_a_hot_key(spark, small_limits):
     rows = _items_of_hot_key(spark).withColumn("Quantity", F.lit(1))
     losers = quality.duplicate_rejections(rows, ORDER_ITEMS)
@@ -129,40 +156,49 @@ def test_spread_join_equals_a_join(spark):
         assert got.exceptAll(expected).isEmpty() and got.count() == expected.count()
 
 
-def test_broadcast_needs_a_known_bound(spark):
-    rows = _items(spark)
-    per_key = rows.groupBy("Order_id").agg(F.count("*").alias("n"))
-
-    def plan(at_most):
-        joined = join_per_key(rows, per_key, "Order_id", at_most=at_most)
-        return joined._jdf.queryExecution().executedPlan().toString()
-
-    assert "BroadcastHashJoin" in plan(BROADCAST_ROWS)
-    for unknown_or_large in (None, BROADCAST_ROWS + 1):
-        assert "SortMergeJoin" in plan(unknown_or_large)
-        assert "Broadcast" not in plan(unknown_or_large)
-
-
-def test_cuisines_are_spread_unless_few(spark, small_limits):
+def _menu_of(spark, n, cuisines):
     """Half of the items belong to one cuisine."""
-    items = spark.range(0, N, numPartitions=8).selectExpr(
-        "concat('dish ', id) AS Menu_item",
-        "concat('cuisine ', if(id % 2 = 0, 0, id % 5000)) AS Cuisine",
+    return spark.range(0, n, numPartitions=8).selectExpr(
+        "concat('dish ', id, ' ', sha2(CAST(id AS STRING), 256)) AS Menu_item",
+        f"concat('cuisine ', if(id % 2 = 0, 0, id % {cuisines})) AS Cuisine",
         "1L AS total_orders",
         "1L AS total_quantity_sold",
         "CAST(1 AS DECIMAL(38,2)) AS total_revenue",
     )
-    wide, narrow = (gold.menu_performance(items, _orders(spark), n) for n in (None, N))
-    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (wide, narrow)]
-    assert "_part" in plans[0] and "_part" not in plans[1]
-    assert wide.exceptAll(narrow).isEmpty() and wide.count() == N
+
+
+def test_few_cuisines_are_broadcast_however_many_items(spark, tmp_path):
+    items = _menu_of(spark, 100_001, 20)
+    totals = _stored(spark, gold.cuisine_totals(items), tmp_path, "few")
+    plan = gold.menu_performance(items, _orders(spark), totals)._jdf.queryExecution().executedPlan()
+    assert "BroadcastHashJoin" in plan.toString()
+
+
+def test_cuisines_beyond_a_broadcast_are_split(spark, small_limits, tmp_path):
+    items = _menu_of(spark, N, 5000)
+    totals = _stored(spark, gold.cuisine_totals(items), tmp_path, "many")
+    stored, alone = (gold.menu_performance(items, _orders(spark), t) for t in (totals, None))
+    assert "skew=true" in _final_plan(stored)
+    assert stored.exceptAll(alone).isEmpty() and stored.count() == N
     # 30,000 items share the one cuisine, 12 items each of the others.
-    shares = wide.groupBy((F.col("Cuisine") == "cuisine 0").alias("hot")).agg(
+    shares = stored.groupBy((F.col("Cuisine") == "cuisine 0").alias("hot")).agg(
         F.collect_set(F.col("cuisine_revenue_share").cast("string")).alias("shares")
     )
     assert {r.hot: r.shares for r in shares.collect()} == {True: ["0.00"], False: ["8.33"]}
 
 
+def test_duplicates_need_two_scans_and_no_forced_join(spark, tmp_path):
+    path = str(tmp_path / "items")
+    _items_of_hot_key(spark).write.parquet(path)
+    bronze = spark.read.parquet(path)
+    rows = quality.normalise(bronze, ORDER_ITEMS)
+    repeated = _stored(spark, quality.repeated_keys(rows, ORDER_ITEMS), tmp_path, "repeated")
+    losers = quality.duplicate_rejections(bronze, ORDER_ITEMS, repeated)
+    plan = losers._jdf.queryExecution().executedPlan().toString()
+    # One scan here, and one for the stored keys.
+    assert plan.count(f"{path}]") == 1 and "Hint" not in plan and "_part" not in plan
+
+
 def test_spread_join_spreads(spark, small_limits):
     rows = _items_of_hot_key(spark)
     per_key = rows.groupBy("Order_item_id").agg(F.count("*").alias("n"))

@@ -32,7 +32,7 @@ from tiffin.plans.pipeline import (
     run_pipeline,
     silver_tables,
 )
-from tiffin.plans.silver import stored_rejections
+from tiffin.plans.silver import stored_duplicates, stored_rejections
 from tiffin.schemas import BY_SILVER_NAME, CUSTOMERS, ORDER_ITEMS, ORDERS, TABLES, TableSpec
 from tiffin.session import shared_folder
 from tiffin.sources import testbed
@@ -90,7 +90,7 @@ def with_bronze(spark: SparkSession, sf_dir: str, *specs: TableSpec) -> Warehous
     for spec in specs:
         folder = landing(spark, sf_dir, spec.bronze_name)
         _once(
-            warehouse.path(BRONZE, spec.bronze_name),
+            warehouse.folder(BRONZE, spec.bronze_name),
             BRONZE,
             lambda spec=spec, folder=folder: load_bronze(warehouse, folder, [spec]),
         )
@@ -110,7 +110,7 @@ def with_silver(spark: SparkSession, sf_dir: str) -> Warehouse:
         warehouse.write(rows, SILVER, spec.silver_name)
 
     for spec in TABLES:
-        path = warehouse.path(SILVER, spec.silver_name)
+        path = warehouse.folder(SILVER, spec.silver_name)
         _once(path, SILVER, lambda spec=spec: build(spec))
     return warehouse
 
@@ -154,45 +154,104 @@ def bronze_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dirty_load(spark, text, CUSTOMERS)
 
 
+# Spellings of a day in ``bronze_date_coerce``: a format, and what follows the day.
+DATE_SPELLINGS = (
+    ("yyyy-MM-dd", ""),
+    ("yyyy-MM-dd", " 23:59:59"),
+    ("yyyy-MM-dd", "T13:45:00"),
+    ("yyyy/MM/dd", ""),
+    ("MM/dd/yyyy", ""),
+    ("MM/dd/yyyy", " 08:30:00"),
+    ("M/d/yyyy", ""),
+    ("yyyy-M-d", ""),
+    ("yyyy-MM-dd", " 13:45"),
+    ("yyyy-MM-dd", "T13:45"),
+    ("yyyy-MM-dd", " 13:45:00+00:00"),
+    ("yyyy-MM-dd", "T23:59:59.123456Z"),
+    ("dd-MMM-yyyy", ""),
+    ("d MMM yyyy", ""),
+    ("MMM d, yyyy", ""),
+    ("MMMM d, yyyy", ""),
+    ("yyyy/MM/dd", " 10:00:00"),
+    ("M/d/yyyy", " 9:05 pm"),
+)
+# Texts that are no day.
+NO_DAYS = ("1996-02-30", "13/13/1996", "1996-01-05 25:00", "soon", "NaN")
+
+
 def bronze_date_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates in six spellings, one impossible day, one word and one null token."""
+    """Order dates in each of the spellings in turn, and texts that are no dates."""
     day = "CAST(o_orderdate AS DATE)"
+    spelled = [f"date_format({day}, '{fmt}') || '{rest}'" for fmt, rest in DATE_SPELLINGS]
+    spelled += [f"'{text}'" for text in NO_DAYS]
+    cases = " ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(spelled))
     text = testbed.source_table(spark, sf_dir, "orders").selectExpr(
         "'O' || CAST(o_orderkey AS STRING) AS Order_id",
-        f"""CASE o_orderkey % 9
-            WHEN 0 THEN date_format({day}, 'yyyy-MM-dd')
-            WHEN 1 THEN date_format({day}, 'yyyy-MM-dd') || ' 23:59:59'
-            WHEN 2 THEN date_format({day}, 'yyyy-MM-dd') || 'T13:45:00'
-            WHEN 3 THEN date_format({day}, 'yyyy/MM/dd')
-            WHEN 4 THEN date_format({day}, 'MM/dd/yyyy')
-            WHEN 5 THEN date_format({day}, 'MM/dd/yyyy') || ' 08:30:00'
-            WHEN 6 THEN date_format({day}, 'yyyy') || '-02-30'
-            WHEN 7 THEN 'soon'
-            ELSE 'NaN'
-        END AS Order_date""",
+        f"CASE o_orderkey % {len(spelled)} {cases} END AS Order_date",
     )
     return _dirty_load(spark, text, ORDERS)
 
 
 def bronze_numeric_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantities and prices as whole, decimal, exponent, padded, too big and not numeric."""
+    """Quantities and prices as whole, decimal, exponent, padded, the largest that fit, and not numeric."""
     whole = "CAST(CAST(l_quantity AS INT) AS STRING)"
     part = "CAST(l_partkey AS STRING)"
     text = testbed.source_table(spark, sf_dir, "lineitem").selectExpr(
         "'I' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS Order_item_id",
         f"""CASE l_orderkey % 7
             WHEN 0 THEN {whole} WHEN 1 THEN {whole} || '.0' WHEN 2 THEN {whole} || '.5'
-            WHEN 3 THEN {whole} || 'e2' WHEN 4 THEN 'many' WHEN 5 THEN '9' || lpad({whole}, 12, '0')
+            WHEN 3 THEN {whole} || 'e2' WHEN 4 THEN {whole} || 'd' WHEN 5 THEN '2147483647'
             ELSE ''
         END AS Quantity""",
         f"""CASE l_partkey % 5
             WHEN 0 THEN {part} || '.125' WHEN 1 THEN '-' || {part} WHEN 2 THEN ' ' || {part} || '.5 '
-            WHEN 3 THEN '1,' || {part} ELSE '99' || lpad({part}, 9, '0')
+            WHEN 3 THEN '1,' || {part} ELSE '99999999.99'
         END AS Price""",
     )
     return _dirty_load(spark, text, ORDER_ITEMS)
 
 
+def _raw_items(spark: SparkSession, sf_dir: str, line: str) -> str:
+    """An extract of order items whose records are given as text by an SQL expression."""
+    folder = f"{fresh_warehouse(spark).root}/landing"
+    header = ",".join(f.name for f in ORDER_ITEMS.fields)
+    lines = testbed.source_table(spark, sf_dir, "lineitem").selectExpr(f"{line} AS value")
+    # The header is a file of its own that all records follow, as in a concatenated export.
+    text = lines.repartition(1).sortWithinPartitions("value").selectExpr("value")
+    text = spark.createDataFrame([(header,)], "value string").coalesce(1).union(text).coalesce(1)
+    text.write.text(f"{folder}/Order_Items.csv")
+    return folder
+
+
+_ITEM = "'I' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || ',O' || CAST(l_orderkey AS STRING)"
+
+
+def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with too many fields, an open quote or too few fields, beside good ones, by reason."""
+    line = f'''{_ITEM} || CASE l_partkey % 10
+        WHEN 0 THEN ',Soup, hot,2,3.50' WHEN 1 THEN ',"Rice,1,2.00' WHEN 2 THEN ',"Tea, ""green""",2'
+        WHEN 3 THEN ',"a, b",1,2.00' ELSE ',Bread,1,2.00' END'''
+    warehouse = fresh_warehouse(spark)
+    steps = load_bronze(warehouse, _raw_items(spark, sf_dir, line), [ORDER_ITEMS], malformed="audit")
+    by_reason = warehouse.audit().groupBy("table_name", F.col("reason").alias("status"))
+    audited = by_reason.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct(F.get_json_object("row_data", "$.record")).alias("records"),
+    )
+    nulls = warehouse.bronze(ORDER_ITEMS).agg(F.count_if(F.col("Price").isNull())).scalar()
+    return load_report(spark, steps).withColumn("records", nulls).unionByName(audited)
+
+
+def bronze_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commas, quotes and line breaks inside quotes."""
+    line = f'''{_ITEM} || CASE l_partkey % 4
+        WHEN 0 THEN ',"Soup, hot",2,3.50' WHEN 1 THEN ',"Rice\nand\n\nbeans",1,2.00'
+        WHEN 2 THEN ',"the ""best"" tea",2,1.00' ELSE ',Bread,1,2.00' END'''
+    folder = _raw_items(spark, sf_dir, line)
+    path = f"{folder}/Order_Items.csv"
+    return read_bronze_csv(spark, path, ORDER_ITEMS, multiline=True)
+
+
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loading the same extract twice holds every row twice."""
     warehouse = fresh_warehouse(spark)
@@ -230,7 +289,8 @@ def _audit(name: str, null_key: str = quality.KEEP) -> Query:
     spec = BY_SILVER_NAME[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rejected = stored_rejections(with_bronze(spark, sf_dir, spec), spec, null_key)
+        warehouse = with_bronze(spark, sf_dir, spec)
+        rejected = stored_rejections(warehouse, spec, Stage(warehouse), null_key)
         return _rejects_per_key(quality.audit_rows(rejected), spec.key)
 
     return run
@@ -245,7 +305,7 @@ def dedup_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _gold(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         warehouse = with_silver(spark, sf_dir)
-        # Only the menu uses its intermediate table twice.
+        # Only the menu uses its intermediate tables twice.
         store = Stage(warehouse).store if name == "menu_performance" else None
         return gold_plan(name, warehouse.silver_by_name, testbed.AS_OF, store)
 
@@ -298,14 +358,11 @@ def dq_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = with_bronze(spark, sf_dir, *TABLES)
+    stage = Stage(warehouse)
     return reduce(
         DataFrame.union,
-        [
-            _rejects_per_key(
-                quality.duplicate_rejections(stored_bronze(spark, sf_dir, spec), spec), spec.key
-            )
-            for spec in TABLES
-        ],
+        [_rejects_per_key(stored_duplicates(warehouse, spec, stage), spec.key) for spec in TABLES],
     )
 
 
@@ -398,6 +455,8 @@ def queries() -> dict[str, Query]:
         bronze_null_tokens,
         bronze_date_coerce,
         bronze_numeric_coerce,
+        bronze_malformed,
+        bronze_quoted,
         bronze_append,
         bronze_load_report,
         dedup_pk,

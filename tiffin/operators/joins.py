@@ -6,21 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
-# Rows are at most a few hundred characters wide, so this bounds a broadcast to some ten megabytes.
-BROADCAST_ROWS = 100_000
-
-
-def join_per_key(
-    rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner", at_most: int | None = None
-) -> DataFrame:
-    """Join ``rows`` to a table with one row per key.
-
-    ``at_most`` is a known upper bound of the rows of ``per_key``. A table within ``BROADCAST_ROWS``
-    is broadcast, which leaves the rows where they are; any other one is met by ``spread_join``.
-    """
-    if at_most is not None and at_most <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(per_key), key, how)
-    return spread_join(rows, per_key, key, how)
 
 
 def spread_join(
@@ -32,7 +17,9 @@ def spread_join(
     key into one task and Spark could not split it. Here the rows of a key are first spread over
     ``salts`` parts by their content, and ``per_key`` is repeated for each part. Both sides then meet
     in a shuffle of their own, where Spark splits what is still too large. The repeated table is never
-    broadcast, as Spark estimates its size without the repetition.
+    broadcast, as Spark estimates its size without the repetition. ``per_key`` is copied ``salts``
+    times, so it should hold narrow values only. A stored table needs none of this: a plain join gives
+    it a shuffle of its own, or broadcasts it by its size on disk.
     """
     part = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     every_part = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.operators.joins import join_per_key, spread_join
 from tiffin.schemas import TableSpec
 
 KEEP, REJECT = "keep", "reject"
@@ -98,26 +97,35 @@ def rejected_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def _rows_of_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Distinct ``rows`` of ``keys``, with the other columns of ``keys``.
+
+    The shuffle by all columns between join and distinct lets Spark split a hot key in the join.
+    """
+    joined = rows.join(keys, key)
+    return joined.repartition(*joined.columns).distinct()
+
+
 def rejections(
-    bronze: DataFrame,
-    spec: TableSpec,
-    null_key: str = KEEP,
-    bad_keys: tuple[DataFrame, int | None] | None = None,
+    bronze: DataFrame, spec: TableSpec, null_key: str = KEEP, bad_keys: DataFrame | None = None
 ) -> DataFrame:
     """``(table_name, reason, row_data)``, one row for every distinct row that ``clean`` rejects.
 
-    Bad keys are few, so they are found first, from a filtered scan, and joined to the rows; only rows
-    of bad keys are then made distinct. ``bad_keys`` may give the result of ``rejected_keys`` as a
-    stored table with its number of rows, so that few keys can be broadcast.
+    Bad keys are few, so they are found first, from a filtered scan. Rows meet them by key and rule alone;
+    what is left after that, the distinct rows of bad keys, takes in the JSON. ``bad_keys`` is the
+    result of ``rejected_keys`` as a stored table: Spark then knows its size, and broadcasts it or not
+    by that.
     """
     _check_null_key(null_key)
     rows = normalise(bronze, spec)
-    keyed = rows.filter(F.col(spec.key).isNotNull())
-    bad, at_most = bad_keys or (rejected_keys(rows, spec), None)
+    bad = rejected_keys(rows, spec) if bad_keys is None else bad_keys
+    rules = bad.select(spec.key, F.col("_rejection.rule").alias("_rule"))
+    rejected = _rows_of_keys(rows.filter(F.col(spec.key).isNotNull()), rules, spec.key)
+    json = bad.select(spec.key, F.col("_rejection.row_data").alias("row_data"))
     out = (
-        join_per_key(keyed, bad, spec.key, at_most=at_most)
-        .distinct()
-        .select(F.col("_rejection.rule").alias("rule"), F.col("_rejection.row_data").alias("row_data"))
+        rejected.select(spec.key, F.col("_rule").alias("rule"))
+        .join(json, spec.key)
+        .select("rule", "row_data")
     )
     if null_key == REJECT:
         keyless = rows.filter(F.col(spec.key).isNull()).distinct()
@@ -139,16 +147,37 @@ def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def duplicate_rejections(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+def repeated_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """The kept row of each good key that more than one distinct row has."""
+    rest = [c for c in rows.columns if c != spec.key]
+    smallest, largest = F.min(_nulls_last(rest)), F.max(_nulls_last(rest))
+    per_key = (
+        rows.filter(F.col(spec.key).isNotNull())
+        .groupBy(spec.key)
+        .agg(
+            F.min(first_failed_rule(spec)).alias("_rule"),
+            smallest.alias("_row"),
+            largest.alias("_last"),
+        )
+    )
+    repeated = per_key.filter("_rule IS NULL AND _row <> _last")
+    return repeated.select(
+        *[F.col(c) if c == spec.key else F.col(f"_row.{c}").alias(c) for c in rows.columns]
+    )
+
+
+def duplicate_rejections(
+    bronze: DataFrame, spec: TableSpec, repeated: DataFrame | None = None
+) -> DataFrame:
     """``(table_name, reason, row_data)`` for the rows that lose against the kept row of their key.
 
-    Losers are the distinct rows of good keys less the silver rows; both sides are compared on all
-    columns, so the rows of a much repeated key stay spread out.
+    Keys with more than one distinct row are found first, and only their rows are looked at again.
+    Losers are those less the kept ones, compared on all columns, so the rows of a much repeated key stay
+    spread out. ``repeated`` is the result of ``repeated_keys`` as a stored table.
     """
-    rows = normalise(bronze, spec).filter(F.col(spec.key).isNotNull())
-    bad = rows.filter(first_failed_rule(spec).isNotNull()).select(spec.key).distinct()
-    kept = one_row_per_key(rows, spec.key, first_failed_rule(spec))
-    losers = spread_join(rows, bad, spec.key, "left_anti").subtract(kept)
+    rows = normalise(bronze, spec)
+    kept = repeated_keys(rows, spec) if repeated is None else repeated
+    losers = _rows_of_keys(rows, kept.select(spec.key), spec.key).select(*rows.columns).subtract(kept)
     return losers.select(
         F.lit(spec.silver_name).alias("table_name"),
         F.lit(DUPLICATE_KEY).alias("reason"),

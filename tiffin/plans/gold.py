@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tiffin.functions.dates import as_of_date, month_start, whole_days
 from tiffin.functions.numeric import avg2, mean_of, pct, pct_amount
 from tiffin.operators.cohort import running_total
-from tiffin.operators.joins import join_per_key
+from tiffin.operators.joins import spread_join
 
 # Payment modes, the status of a completed delivery, and the thresholds of the KPIs.
 PAYMENT_SHARES = {
@@ -145,19 +145,27 @@ def menu_items(order_items: DataFrame, orders: DataFrame, restaurants: DataFrame
     )
 
 
+def cuisine_totals(items: DataFrame) -> DataFrame:
+    """``(Cuisine, cuisine_revenue)`` from the result of ``menu_items``."""
+    return items.groupBy("Cuisine").agg(F.sum("total_revenue").alias("cuisine_revenue"))
+
+
 def menu_performance(
-    items: DataFrame, orders: DataFrame, n_items: int | None = None
+    items: DataFrame, orders: DataFrame, totals: DataFrame | None = None
 ) -> DataFrame:
     """Menu items with their share of all orders and of their cuisine's revenue.
 
-    ``items`` is the result of ``menu_items``. It is read twice, once narrowed to the revenue, so it
-    should be a stored table; ``n_items`` is its number of rows, which bounds that of the cuisines. A
-    cuisine's total is an aggregate joined back rather than a window, as one cuisine may hold most of
-    the items.
+    ``items`` is the result of ``menu_items``; it is read twice, so it should be a stored table. ``totals``
+    is that of ``cuisine_totals``, stored: Spark broadcasts it if its size on disk allows, else it
+    splits a cuisine that holds most of the items. Totals are joined back rather than made by a window,
+    as one cuisine may hold most of the items. Without ``totals`` they are part of the plan.
     """
-    cuisine_totals = items.groupBy("Cuisine").agg(F.sum("total_revenue").alias("cuisine_revenue"))
     all_orders = orders.agg(F.count("Order_id")).scalar()
-    return join_per_key(items, cuisine_totals, "Cuisine", at_most=n_items).select(
+    if totals is None:
+        joined = spread_join(items, cuisine_totals(items), "Cuisine")
+    else:
+        joined = items.join(totals, "Cuisine")
+    return joined.select(
         "Menu_item",
         "Cuisine",
         "total_orders",

@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 
 from tiffin.operators.quality import KEEP
 from tiffin.plans import gold
-from tiffin.plans.bronze import load_bronze
-from tiffin.plans.reconcile import reconcile_checks, reconcile_counts
+from tiffin.plans.bronze import load_bronze, load_report
+from tiffin.plans.reconcile import CHECKS, COUNTS, reconcile_checks, reconcile_counts
 from tiffin.plans.silver import build_silver
 from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import GOLD_SCHEMAS, TABLES
-from tiffin.sources.warehouse import AUDIT, GOLD, Stage, Warehouse
+from tiffin.sources.csv_files import RAISE
+from tiffin.sources.warehouse import AUDIT, GOLD, SILVER, Stage, Warehouse
 
 GOLD_TABLES = tuple(GOLD_SCHEMAS)
 
@@ -48,7 +49,10 @@ def gold_plan(
     if name == "menu_performance":
         menu = gold.menu_items(silver("order_items"), orders, silver("restaurants"))
         stored, rows = store("menu_items", menu)
-        return gold.menu_performance(stored, orders, rows)
+        if rows is None:
+            return gold.menu_performance(stored, orders)
+        totals, _ = store("cuisine_totals", gold.cuisine_totals(stored))
+        return gold.menu_performance(stored, orders, totals)
     if name == "customer_summary":
         return gold.customer_summary(silver("customers"), orders, as_of)
     if name == "restaurant_summary":
@@ -74,25 +78,25 @@ def build_gold(
     """
     if on_error not in ("raise", "skip"):
         raise ValueError(f"on_error must be 'raise' or 'skip', not {on_error!r}")
-    store = Stage(warehouse).store
-
-    def build(name: str) -> Step:
-        if mode == "ignore" and warehouse.exists(GOLD, name):
-            return "gold", name, "kept", None
-        plan = gold_plan(name, warehouse.silver_by_name, as_of, store)
-        return "gold", name, "built", warehouse.write(plan, GOLD, name, mode)
-
-    if on_error == "raise":
-        return run_together(warehouse.spark, build, GOLD_TABLES, at_once)
-    steps: list[Step] = []
-    for i, name in enumerate(GOLD_TABLES):
-        try:
-            steps.append(build(name))
-        except Exception as error:
-            steps.append(("gold", name, f"failed: {type(error).__name__}", None))
-            steps.extend(("gold", later, "skipped", None) for later in GOLD_TABLES[i + 1 :])
-            break
-    return steps
+    with Stage(warehouse) as stage:
+
+        def build(name: str) -> Step:
+            if mode == "ignore" and warehouse.exists(GOLD, name):
+                return "gold", name, "kept", None
+            plan = gold_plan(name, warehouse.silver_by_name, as_of, stage.store)
+            return "gold", name, "built", warehouse.write(plan, GOLD, name, mode)
+
+        if on_error == "raise":
+            return run_together(warehouse.spark, build, GOLD_TABLES, at_once)
+        steps: list[Step] = []
+        for i, name in enumerate(GOLD_TABLES):
+            try:
+                steps.append(build(name))
+            except Exception as error:
+                steps.append(("gold", name, f"failed: {type(error).__name__}", None))
+                steps.extend(("gold", later, "skipped", None) for later in GOLD_TABLES[i + 1 :])
+                break
+        return steps
 
 
 def run_pipeline(
@@ -103,18 +107,28 @@ def run_pipeline(
     gold_mode: str = "overwrite",
     on_gold_error: str = "raise",
     rejected_at: Column | None = None,
+    multiline: bool = False,
+    day_first: bool = False,
+    malformed: str = RAISE,
 ) -> DataFrame:
-    """Run all layers; returns ``(layer, table_name, status, rows)``, one row per table.
+    """Run all layers and the reconciliation; returns ``(layer, table_name, status, rows)``.
 
-    The report of the last run is kept as the table ``run_report`` of the audit layer.
+    There is a row per table, then one per count and check of the reconciliation, which also runs after
+    a gold table that failed. The load report is kept as the table ``load_report`` of the audit layer
+    as soon as bronze is loaded, the report of the whole run as ``run_report``.
     """
-    steps: list[Step] = [("bronze", *step) for step in load_bronze(warehouse, csv_folder)]
+    loaded = load_bronze(
+        warehouse, csv_folder, multiline=multiline, day_first=day_first, malformed=malformed
+    )
+    warehouse.write(load_report(warehouse.spark, loaded), AUDIT, "load_report")
+    steps: list[Step] = [("bronze", *step) for step in loaded]
     for name, (kept, rejected) in build_silver(
         warehouse, null_key=null_key, rejected_at=rejected_at
     ).items():
         steps.append(("silver", name, "built", kept))
         steps.append(("audit", name, "appended", rejected))
     steps.extend(build_gold(warehouse, as_of, gold_mode, on_gold_error))
+    steps.extend(reconcile_steps(warehouse))
     report = warehouse.spark.createDataFrame(
         steps, "layer string, table_name string, status string, rows bigint"
     )
@@ -123,6 +137,39 @@ def run_pipeline(
 
 
 def reconcile(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
-    """Counts and checks over the stored silver and gold tables."""
-    silver, gold_ = silver_tables(warehouse), gold_tables(warehouse)
+    """Counts and checks over the stored silver and gold tables that are there."""
+    silver = {
+        spec.silver_name: warehouse.silver(spec)
+        for spec in TABLES
+        if warehouse.exists(SILVER, spec.silver_name)
+    }
+    gold_ = {
+        name: warehouse.read(GOLD, name, schema)
+        for name, schema in GOLD_SCHEMAS.items()
+        if warehouse.exists(GOLD, name)
+    }
     return reconcile_counts(silver, gold_), reconcile_checks(silver, gold_)
+
+
+def reconcile_steps(warehouse: Warehouse) -> list[Step]:
+    """A report row for each count and check; an error of the reconciliation is a row too.
+
+    Checks have the status ``ok``, ``differs`` or ``missing`` (a table is not there) and the figure
+    found in gold.
+    """
+    try:
+        counted, checked = reconcile(warehouse)
+        counts = {r["name"]: r["value"] for r in counted.collect()}
+        checks = {r["check"]: r for r in checked.collect()}
+    except Exception as error:
+        return [("reconcile", "all", f"failed: {type(error).__name__}", None)]
+    steps: list[Step] = [
+        ("reconcile", name, "counted" if name in counts else "missing", counts.get(name))
+        for name in COUNTS
+    ]
+    for name in CHECKS:
+        found = checks.get(name)
+        sides = (found["expected"], found["actual"]) if found else (None, None)
+        status = "missing" if None in sides else "ok" if found["ok"] else "differs"
+        steps.append(("reconcile", name, status, sides[1]))
+    return steps

@@ -1,4 +1,8 @@
-"""Reconciliation of silver and gold."""
+"""Reconciliation of silver and gold.
+
+All figures are sums of contributions of rows, so one pass per table gives its figures, and one small
+shuffle adds up those of all tables. Tables that are missing have no figures.
+"""
 
 from __future__ import annotations
 
@@ -20,100 +24,155 @@ COUNTS = {
     "gold_total_partners": ("gold", "partner_summary"),
 }
 
+# Check: the figure from silver that the figure from gold must equal.
+CHECKS = {
+    "orders_in_summary": ("silver.orders.ids", "gold.orders_summary.orders"),
+    "customers_in_running_totals": ("silver.customers.ids", "gold.customer_summary.last"),
+    "customers_in_cohorts": ("silver.customers.ids", "gold.customer_summary.new"),
+    "restaurants_in_running_totals": ("silver.restaurants.ids", "gold.restaurant_summary.last"),
+    "restaurants_in_cohorts": ("silver.restaurants.ids", "gold.restaurant_summary.new"),
+    "partners_in_all_row": ("silver.delivery_partners.ids", "gold.partner_summary.all"),
+    "partners_by_vehicle": ("silver.delivery_partners.ids", "gold.partner_summary.vehicles"),
+    "quantity_in_menu": ("silver.sold.quantity", "gold.menu_performance.quantity"),
+}
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.union, parts)
-
-
-def reconcile_counts(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> DataFrame:
-    """``(name, value)``: the row counts of the silver tables and of the gold tables built on them."""
-    layers = {"silver": silver, "gold": gold}
-    return _union(
-        [
-            layers[layer][table].agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("value"))
-            for name, (layer, table) in COUNTS.items()
-        ]
-    )
-
+Tables = Mapping[str, DataFrame]
 
-def _sum(column: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0))
+_KEYS = {
+    "orders": "Order_id",
+    "customers": "Customer_id",
+    "restaurants": "Restaurant_id",
+    "delivery_partners": "Partner_id",
+}
 
 
-def reconcile_checks(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> DataFrame:
-    """``(check, expected, actual, ok)``: figures of gold recomputed from silver in another way."""
+def _contributions(table: str, df: DataFrame, **values: Column) -> tuple[list[str], DataFrame]:
+    """The names of a table's figures, and what each row adds to each of them."""
+    names = [f"{table}.{name}" for name in values]
+    parts = [
+        F.struct(F.lit(name).alias("figure"), F.coalesce(value.cast("bigint"), F.lit(0)).alias("value"))
+        for name, value in zip(names, values.values(), strict=True)
+    ]
+    return names, df.select(F.inline(F.array(*parts)))
 
-    def figure(df: DataFrame, value: Column) -> DataFrame:
-        return df.agg(value.cast("bigint").alias("value"))
 
-    def last_totals(table: str, total: str) -> DataFrame:
-        return figure(gold[table].groupBy("city").agg(F.max(total).alias("last")), _sum("last"))
+def _cohorts(df: DataFrame, total: str, new: str) -> DataFrame:
+    return df.groupBy("city").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(new).alias("new"), F.max(total).alias("last")
+    )
 
-    def keys(table: str, key: str) -> DataFrame:
-        return figure(silver[table], F.count(key))
 
-    vehicle = F.col("Vehicle_type")
-    partners = gold["partner_summary"]
-    # The ALL row is the last one of the union; vehicles of that name are not expected.
-    all_row = partners.filter(vehicle == "ALL")
-    vehicles = partners.filter(vehicle.isNull() | (vehicle != "ALL"))
-    sold = (
-        silver["orders"]
-        .join(
-            silver["restaurants"].filter("cuisine_type IS NOT NULL").select("Restaurant_id"),
-            "Restaurant_id",
-            "left_semi",
+def _figures(silver: Tables, gold: Tables) -> DataFrame | None:
+    """``(figure, value)`` of the tables that are there."""
+    one = F.lit(1)
+    parts = []
+    for table, key in _KEYS.items():
+        if table in silver:
+            has_key = F.col(key).isNotNull().cast("int")
+            parts.append(_contributions(f"silver.{table}", silver[table], rows=one, ids=has_key))
+    if "orders_summary" in gold:
+        orders = F.col("total_orders")
+        parts.append(
+            _contributions("gold.orders_summary", gold["orders_summary"], rows=one, orders=orders)
+        )
+    for table, total, new in (
+        ("customer_summary", "total_customers", "new_customers"),
+        ("restaurant_summary", "total_restaurants", "new_restaurants"),
+    ):
+        if table in gold:
+            columns = {name: F.col(name) for name in ("rows", "new", "last")}
+            parts.append(
+                _contributions(f"gold.{table}", _cohorts(gold[table], total, new), **columns)
+            )
+    if "partner_summary" in gold:
+        # The ALL row is the last one of the union; vehicles of that name are not expected.
+        of_all = F.col("Vehicle_type").eqNullSafe("ALL")
+        n = F.col("total_partners")
+        parts.append(
+            _contributions(
+                "gold.partner_summary",
+                gold["partner_summary"],
+                rows=one,
+                all=F.when(of_all, n),
+                vehicles=F.when(~of_all, n),
+            )
         )
-        .select("Order_id")
-        .join(
-            silver["order_items"].groupBy("Order_id").agg(F.sum("Quantity").alias("quantity")),
-            "Order_id",
+    if "menu_performance" in gold:
+        quantity = F.col("total_quantity_sold")
+        parts.append(
+            _contributions("gold.menu_performance", gold["menu_performance"], quantity=quantity)
         )
+    if {"orders", "restaurants", "order_items"} <= set(silver):
+        parts.append(_contributions("silver.sold", _sold(silver), quantity=F.col("quantity")))
+    if not parts:
+        return None
+    names = F.array(*[F.lit(name) for own, _ in parts for name in own])
+    # A table without rows has figures too: each one starts from 0.
+    spark = parts[0][1].sparkSession
+    zeros = spark.range(1).select(
+        F.explode(names).alias("figure"), F.lit(0).cast("bigint").alias("value")
     )
-    pairs = {
-        "orders_in_summary": (
-            keys("orders", "Order_id"),
-            figure(gold["orders_summary"], F.max("total_orders")),
-        ),
-        "customers_in_running_totals": (
-            keys("customers", "Customer_id"),
-            last_totals("customer_summary", "total_customers"),
-        ),
-        "customers_in_cohorts": (
-            keys("customers", "Customer_id"),
-            figure(gold["customer_summary"], _sum("new_customers")),
-        ),
-        "restaurants_in_running_totals": (
-            keys("restaurants", "Restaurant_id"),
-            last_totals("restaurant_summary", "total_restaurants"),
-        ),
-        "restaurants_in_cohorts": (
-            keys("restaurants", "Restaurant_id"),
-            figure(gold["restaurant_summary"], _sum("new_restaurants")),
-        ),
-        "partners_in_all_row": (
-            keys("delivery_partners", "Partner_id"),
-            figure(all_row, _sum("total_partners")),
-        ),
-        "partners_by_vehicle": (
-            keys("delivery_partners", "Partner_id"),
-            figure(vehicles, _sum("total_partners")),
-        ),
-        "quantity_in_menu": (
-            figure(sold, _sum("quantity")),
-            figure(gold["menu_performance"], _sum("total_quantity_sold")),
-        ),
-    }
-    sides = [
-        side.select(F.lit(check).alias("check"), F.lit(name).alias("side"), "value")
-        for check, (expected, actual) in pairs.items()
-        for name, side in (("expected", expected), ("actual", actual))
+    every = reduce(DataFrame.union, [rows for _, rows in parts], zeros)
+    return every.groupBy("figure").agg(F.sum("value").alias("value"))
+
+
+def _sold(silver: Tables) -> DataFrame:
+    """Quantities of the items of orders from restaurants with a cuisine."""
+    known = silver["restaurants"].filter("cuisine_type IS NOT NULL").select("Restaurant_id")
+    orders = silver["orders"].join(known, "Restaurant_id", "left_semi").select("Order_id")
+    items = silver["order_items"].groupBy("Order_id").agg(F.sum("Quantity").alias("quantity"))
+    return orders.join(items, "Order_id")
+
+
+def reconcile_counts(silver: Tables, gold: Tables) -> DataFrame:
+    """``(name, value)``: the row counts of the silver tables and of the gold tables built on them."""
+    layers = {"silver": silver, "gold": gold}
+    parts = [
+        layers[layer][table].select(F.lit(name).alias("name"), F.lit(1).cast("bigint").alias("value"))
+        for name, (layer, table) in COUNTS.items()
+        if table in layers[layer]
     ]
-    expected = F.max(F.when(F.col("side") == "expected", F.col("value")))
-    actual = F.max(F.when(F.col("side") == "actual", F.col("value")))
+    if not parts:
+        raise ValueError("there is no table to count")
+    there = [F.lit(n) for n, (layer, table) in COUNTS.items() if table in layers[layer]]
+    zeros = parts[0].sparkSession.range(1).select(
+        F.explode(F.array(*there)).alias("name"), F.lit(0).cast("bigint").alias("value")
+    )
+    every = reduce(DataFrame.union, parts, zeros)
+    return every.groupBy("name").agg(F.sum("value").alias("value"))
+
+
+def reconcile_checks(silver: Tables, gold: Tables) -> DataFrame:
+    """``(check, expected, actual, ok)``: figures of gold recomputed from silver in another way.
+
+    A side without a table is NULL, and the check is not ok.
+    """
+    figures = _figures(silver, gold)
+    if figures is None:
+        raise ValueError("there is no table to check")
+    sides: dict[str, list[tuple[str, str]]] = {}
+    for check, (expected, actual) in CHECKS.items():
+        sides.setdefault(expected, []).append((check, "expected"))
+        sides.setdefault(actual, []).append((check, "actual"))
+    uses = F.create_map(
+        *[
+            x
+            for figure, own in sides.items()
+            for x in (
+                F.lit(figure),
+                F.array(*[F.struct(F.lit(c).alias("check"), F.lit(s).alias("side")) for c, s in own]),
+            )
+        ]
+    )
+    used = figures.filter(F.col("figure").isin(*sides)).select(
+        F.explode(F.element_at(uses, F.col("figure"))).alias("use"), "value"
+    )
+
+    def side(name: str) -> Column:
+        return F.max(F.when(F.col("use.side") == name, F.col("value"))).alias(name)
+
     return (
-        _union(sides)
-        .groupBy("check")
-        .agg(expected.alias("expected"), actual.alias("actual"))
-        .withColumn("ok", F.col("expected").eqNullSafe(F.col("actual")))
+        used.groupBy(F.col("use.check").alias("check"))
+        .agg(side("expected"), side("actual"))
+        .withColumn("ok", F.coalesce(F.col("expected") == F.col("actual"), F.lit(False)))
     )

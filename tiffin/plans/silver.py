@@ -10,33 +10,48 @@ from tiffin.operators.quality import (
     KEEP,
     audit_rows,
     clean,
+    duplicate_rejections,
     normalise,
     rejected_keys,
     rejections,
+    repeated_keys,
 )
 from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import TABLES, TableSpec
-from tiffin.sources.warehouse import SILVER, Stage, Warehouse
+from tiffin.sources.warehouse import Stage, Warehouse
 
-def stored_rejections(warehouse: Warehouse, spec: TableSpec, null_key: str = KEEP) -> DataFrame:
+
+def stored_rejections(
+    warehouse: Warehouse, spec: TableSpec, stage: Stage, null_key: str = KEEP
+) -> DataFrame:
     """Rejected rows of a bronze table, with the bad keys written to the stage layer first."""
     bronze = warehouse.bronze(spec)
-    bad = rejected_keys(normalise(bronze, spec), spec)
-    return rejections(bronze, spec, null_key, Stage(warehouse).store("bad_keys", bad))
+    bad, _ = stage.store(
+        f"bad_keys_{spec.silver_name}", rejected_keys(normalise(bronze, spec), spec)
+    )
+    return rejections(bronze, spec, null_key, bad)
+
+
+def stored_duplicates(warehouse: Warehouse, spec: TableSpec, stage: Stage) -> DataFrame:
+    """Losers among the rows of a key, with the kept rows of repeated keys stored first."""
+    bronze = warehouse.bronze(spec)
+    repeated, _ = stage.store(
+        f"repeated_{spec.silver_name}", repeated_keys(normalise(bronze, spec), spec)
+    )
+    return duplicate_rejections(bronze, spec, repeated)
 
 
 def build_silver_table(
     warehouse: Warehouse,
     spec: TableSpec,
+    stage: Stage,
     null_key: str = KEEP,
     rejected_at: Column | None = None,
 ) -> tuple[int, int]:
-    """Rebuild one silver table and append its rejects; returns both row counts."""
-    kept = warehouse.write(
-        clean(warehouse.bronze(spec), spec, null_key), SILVER, spec.silver_name
-    )
-    rejected = audit_rows(stored_rejections(warehouse, spec, null_key), rejected_at)
-    return kept, warehouse.append_audit(rejected, spec)
+    """Rebuild one silver table and append its rejects, both or neither; returns both row counts."""
+    kept = clean(warehouse.bronze(spec), spec, null_key)
+    rejected = audit_rows(stored_rejections(warehouse, spec, stage, null_key), rejected_at)
+    return warehouse.rebuild(kept, rejected, spec)
 
 
 def build_silver(
@@ -48,10 +63,11 @@ def build_silver(
 ) -> dict[str, tuple[int, int]]:
     """All silver tables; an error ends the build."""
     specs = list(specs)
-    counts = run_together(
-        warehouse.spark,
-        lambda spec: build_silver_table(warehouse, spec, null_key, rejected_at),
-        specs,
-        at_once,
-    )
+    with Stage(warehouse) as stage:
+        counts = run_together(
+            warehouse.spark,
+            lambda spec: build_silver_table(warehouse, spec, stage, null_key, rejected_at),
+            specs,
+            at_once,
+        )
     return {spec.silver_name: count for spec, count in zip(specs, counts, strict=True)}

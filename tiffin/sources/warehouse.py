@@ -1,8 +1,15 @@
-"""The layered warehouse: one Parquet directory per layer and table under a common root."""
+"""The layered warehouse: Parquet directories per layer and table under a common root.
+
+A table that is rebuilt is written to a new folder, and a small file, ``_current``, then names that
+folder. Readers follow the file, so they see the old table until the new one is complete, and a build that
+fails leaves the old one as it was. Tables that only grow (bronze, audit) are written in place.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
+from contextlib import suppress
 from dataclasses import dataclass
 from threading import Lock
 
@@ -15,6 +22,8 @@ from tiffin.sources.csv_files import path_exists
 
 BRONZE, SILVER, GOLD, AUDIT, STAGE = "bronze", "silver", "gold", "audit", "stage"
 AUDIT_TABLE = "rejected_rows"
+CURRENT = "_current"
+VERSIONS_KEPT = 2
 
 
 @dataclass(frozen=True)
@@ -22,9 +31,15 @@ class Warehouse:
     spark: SparkSession
     root: str
 
-    def path(self, layer: str, table: str) -> str:
+    def folder(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def path(self, layer: str, table: str) -> str:
+        """Where the rows of a table are now."""
+        folder = self.folder(layer, table)
+        versions = self._versions(folder)
+        return f"{folder}/{versions[-1]}" if versions else folder
+
     def exists(self, layer: str, table: str) -> bool:
         """Whether a finished table is there (a failed write leaves no ``_SUCCESS``)."""
         return path_exists(self.spark, f"{self.path(layer, table)}/_SUCCESS")
@@ -44,7 +59,7 @@ class Warehouse:
         return self.silver(BY_SILVER_NAME[name])
 
     def audit(self) -> DataFrame:
-        """All audit records; those of one table are one partition."""
+        """All audit records; those of one table are one partition, those of one build one folder."""
         return self.read(AUDIT, AUDIT_TABLE, AUDIT_SCHEMA).select(*AUDIT_SCHEMA.names)
 
     def append_audit(self, records: DataFrame, spec: TableSpec) -> int:
@@ -60,32 +75,134 @@ class Warehouse:
         """
         if mode == "ignore" and self.exists(layer, table):
             return 0
-        if mode == "ignore":
-            mode = "overwrite"
+        if mode == "append":
+            return self._counted(df, self.path(layer, table), "append")
+        version = self.new_version()
+        rows = self._counted(df, f"{self.folder(layer, table)}/{version}", "error")
+        self.switch({(layer, table): version})
+        return rows
+
+    def rebuild(self, kept: DataFrame, rejected: DataFrame, spec: TableSpec) -> tuple[int, int]:
+        """Rebuild a silver table and append its audit records; both counts.
+
+        The records are written beside the audit table and moved into it once both are complete. A
+        build that fails changes neither table.
+        """
+        version = self.new_version()
+        waiting = f"{self.folder(STAGE, 'audit')}/{version}"
+        n_kept = self._counted(kept, f"{self.folder(SILVER, spec.silver_name)}/{version}", "error")
+        n_rejected = self._counted(rejected.drop("table_name"), waiting, "error")
+        self._adopt(waiting, f"{AUDIT_TABLE}/table_name={spec.silver_name}")
+        self.switch({(SILVER, spec.silver_name): version})
+        return n_kept, n_rejected
+
+    @staticmethod
+    def new_version() -> str:
+        return f"v-{uuid.uuid4().hex}"
+
+    def switch(self, versions: Mapping[tuple[str, str], str]) -> None:
+        """Make complete folders the tables to be read, and remove those of builds long replaced.
+
+        The version before stays, for readers that have begun with it.
+        """
+        for (layer, table), version in versions.items():
+            folder = self.folder(layer, table)
+            history = [*self._versions(folder), version]
+            self._write_text(f"{folder}/{CURRENT}", "\n".join(history[-VERSIONS_KEPT:]))
+            for old in history[:-VERSIONS_KEPT]:
+                self.delete(f"{folder}/{old}")
+
+    def delete(self, path: str) -> None:
+        fs, hadoop_path = self._file_system(path)
+        fs.delete(hadoop_path, True)
+
+    def _counted(self, df: DataFrame, path: str, mode: str) -> int:
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(
-            self.path(layer, table)
-        )
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode(mode).parquet(path)
         return seen.get["rows"]
 
+    def _adopt(self, waiting: str, table: str) -> None:
+        """Move finished files into a growing audit table; Spark gave them names of their own."""
+        fs, source = self._file_system(waiting)
+        jvm = self.spark.sparkContext._jvm
+        part = self.folder(AUDIT, table)
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(part))
+        for status in fs.listStatus(source):
+            name = status.getPath().getName()
+            if name.startswith("part-"):
+                to = jvm.org.apache.hadoop.fs.Path(f"{part}/{name}")
+                if not fs.rename(status.getPath(), to):
+                    raise OSError(f"cannot move {status.getPath()} to {part}")
+        self.delete(waiting)
+
+    def _versions(self, folder: str) -> list[str]:
+        """The versions of a table, the current one last; none for a table written in place."""
+        fs, pointer = self._file_system(f"{folder}/{CURRENT}")
+        if not fs.exists(pointer):
+            return []
+        stream = fs.open(pointer)
+        try:
+            data = bytes(stream.readAllBytes())
+        finally:
+            stream.close()
+        return data.decode().split("\n")
+
+    def _write_text(self, path: str, text: str) -> None:
+        """Replace a small file; it is complete under another name before it gets its own."""
+        jvm = self.spark.sparkContext._jvm
+        fs, target = self._file_system(path)
+        other = jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+        stream = fs.create(other, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
+        options = self.spark.sparkContext._gateway.new_array(
+            jvm.org.apache.hadoop.fs.Options.Rename, 1
+        )
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context.rename(fs.makeQualified(other), fs.makeQualified(target), options)
+
+    def _file_system(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs, hadoop_path
+
 
 class Stage:
     """Intermediate tables of one run, each written on first use and read back from then on.
 
     Every run has a folder of its own, so a plan of an earlier run never loses the files it reads.
+    Tables of different names are written at the same time. Use it as a context to remove the folder when
+    the run ends, also by an error.
     """
 
     def __init__(self, warehouse: Warehouse):
         self._warehouse = warehouse
         self._run = uuid.uuid4().hex
         self._written: dict[str, tuple[StructType, int]] = {}
+        self._locks: dict[str, Lock] = {}
         self._lock = Lock()
 
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        with suppress(Exception):
+            self._warehouse.delete(self._warehouse.folder(STAGE, self._run))
+
     def store(self, name: str, plan: DataFrame) -> tuple[DataFrame, int]:
         """The stored table and its number of rows."""
         table = f"{self._run}/{name}"
         with self._lock:
+            own = self._locks.setdefault(name, Lock())
+        with own:
             if name not in self._written:
-                self._written[name] = (plan.schema, self._warehouse.write(plan, STAGE, table))
+                path = self._warehouse.folder(STAGE, table)
+                rows = self._warehouse._counted(plan, path, "error")
+                self._written[name] = (plan.schema, rows)
             schema, rows = self._written[name]
         return self._warehouse.read(STAGE, table, schema), rows
