@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from tiffin.sources.testbed import STATEMENTS
+from tiffin.sources.testbed import STATEMENTS, with_missing_keys
 
 
-def bronze_sql(table: str) -> str:
+def bronze_sql(table: str, missing_keys: bool = False) -> str:
     """Bronze rows as given to the plans, over the registered views."""
     views = {n: n for n in ("customer", "nation", "part", "supplier", "orders", "lineitem")}
-    return STATEMENTS[table].format(timestamp="TIMESTAMP", **views).strip()
+    statement = with_missing_keys(table) if missing_keys else STATEMENTS[table]
+    return statement.format(timestamp="TIMESTAMP", **views).strip()
 
 
 def capitalised(x: str) -> str:
@@ -125,14 +126,21 @@ CLEANED = {
     ),
 }
 
-MISSING_KEY_REASON = {"customers": "Missing Customer ID"}
+# The reasons for rows without a key.
+MISSING_KEY_REASON = {
+    "customers": "Missing Customer ID",
+    "restaurants": "Missing Restaurant ID",
+    "orders": "Missing Order ID",
+    "order_items": "Missing Order Item ID",
+    "delivery_partners": "Missing Partner ID",
+}
 
 
-def distinct_rows(table: str) -> str:
+def distinct_rows(table: str, missing_keys: bool = False) -> str:
     """CTE ``<table>_0``: normalised, distinct rows."""
     t = CLEANED[table]
     columns = ", ".join(f"{sql} AS {name}" for name, sql in t.columns.items())
-    return f"{table}_0 AS (SELECT DISTINCT {columns} FROM ({bronze_sql(t.bronze)}))"
+    return f"{table}_0 AS (SELECT DISTINCT {columns} FROM ({bronze_sql(t.bronze, missing_keys)}))"
 
 
 def rule_steps(table: str) -> list[str]:

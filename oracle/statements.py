@@ -30,7 +30,7 @@ def _silver(table: str) -> str:
     return with_(silver_ctes(table), f"SELECT {_plain(CLEANED[table].columns)} FROM s_{table}")
 
 
-def _audit(table: str, extra: str = "") -> str:
+def _audit(table: str, extra: str = "", missing_keys: bool = False) -> str:
     """Rows of each rejected key at the rule that rejects it."""
     t = CLEANED[table]
     parts = [
@@ -44,10 +44,27 @@ def _audit(table: str, extra: str = "") -> str:
             "SELECT '' AS table_name, '' AS reason, '' AS key, CAST(0 AS BIGINT) AS n WHERE 1 = 0"
         ]
     return with_(
-        [distinct_rows(table), *rule_steps(table)], "\nUNION ALL\n".join(parts) + extra
+        [distinct_rows(table, missing_keys), *rule_steps(table)], "\nUNION ALL\n".join(parts) + extra
     )
 
 
+def _silver_reject(table: str) -> str:
+    t = CLEANED[table]
+    last = ranked(table, f"{table}_{len(t.rules)}")
+    return with_(
+        [distinct_rows(table, missing_keys=True), *rule_steps(table)],
+        f"SELECT {_plain(t.columns)} FROM ({last}) WHERE rn = 1 AND {t.key} IS NOT NULL",
+    )
+
+
+def _audit_reject(table: str) -> str:
+    extra = (
+        f"\nUNION ALL\nSELECT '{table}', '{MISSING_KEY_REASON[table]}', NULL, count(*) "
+        f"FROM {table}_0 WHERE {CLEANED[table].key} IS NULL HAVING count(*) > 0"
+    )
+    return _audit(table, extra, missing_keys=True)
+
+
 def _month(day: str) -> str:
     return f"CAST(date_trunc('month', {day}) AS TIMESTAMP)"
 
@@ -383,7 +400,8 @@ _PCT = f"""SELECT l_suppkey, {_share("l_returnflag = 'R'")} AS returned_pct,
 FROM lineitem GROUP BY l_suppkey"""
 
 
-def _pipeline_run() -> str:
+def _pipeline_run(failed: bool = False) -> str:
+    """The report of a run; with ``failed`` its third gold table and those after it are missing."""
     rows = []
     for name, t in CLEANED.items():
         rows.append(("bronze", t.bronze, "loaded", f"SELECT count(*) FROM ({bronze_sql(t.bronze)})"))
@@ -401,9 +419,16 @@ def _pipeline_run() -> str:
         "restaurant_summary": "SELECT count(*) FROM openings",
         "partner_summary": "SELECT 1 + count(DISTINCT Vehicle_type) FROM couriers",
     }
-    rows.extend(("gold", name, "built", sql) for name, sql in gold.items())
-    rows.extend(("reconcile", name, "counted", sql) for name, sql in _COUNTS.items())
-    rows.extend(("reconcile", name, "ok", sql) for name, sql in _CHECKS.items())
+    there = list(gold)[:2] if failed else list(gold)
+    for name, sql in gold.items():
+        status = "built" if name in there else "failed" if name == "customer_summary" else "skipped"
+        rows.append(("gold", name, status, sql if name in there else "SELECT NULL"))
+    for name, sql in _COUNTS.items():
+        gone = failed and name.startswith("gold_") and name != "gold_total_orders"
+        rows.append(("reconcile", name, *(("missing", "SELECT NULL") if gone else ("counted", sql))))
+    for name, sql in _CHECKS.items():
+        gone = failed and name not in ("orders_in_summary", "quantity_in_menu")
+        rows.append(("reconcile", name, *(("missing", "SELECT NULL") if gone else ("ok", sql))))
     return with_(
         _ALL_CTES,
         "\nUNION ALL\n".join(
@@ -414,11 +439,30 @@ def _pipeline_run() -> str:
     )
 
 
+_AUDIT_PAYLOAD = with_(
+    [distinct_rows("orders"), distinct_rows("restaurants")],
+    """SELECT 'orders' AS table_name, 'Negative Amount' AS reason, Order_id AS key,
+    Customer_City AS place, CAST(Order_amount AS DOUBLE) AS number, Order_date AS day,
+    CAST(1 AS BIGINT) AS times, TRUE AS recent
+FROM orders_0 WHERE Order_amount < 0
+UNION ALL
+SELECT 'restaurants', 'Missing Open Date', Restaurant_id, city, CAST(Rating AS DOUBLE), NULL, 1, TRUE
+FROM restaurants_0 WHERE Open_date IS NULL AND Restaurant_id IS NOT NULL""",
+)
+
+
 def statements() -> dict[str, str]:
     out = {f"bronze_{name}": _bronze(name) for name in CLEANED}
     out.update({f"silver_{name}": _silver(name) for name in CLEANED})
     out.update({f"audit_{name}": _audit(name) for name in CLEANED})
+    for name in CLEANED:
+        if name != "customers":
+            out[f"silver_{name}_reject_null_key"] = _silver_reject(name)
+            out[f"audit_{name}_reject_null_key"] = _audit_reject(name)
     out.update(
+        audit_payload=_AUDIT_PAYLOAD,
+        silver_after_failed_rebuild=_silver("orders"),
+        pipeline_failed_gold=_pipeline_run(failed=True),
         bronze_null_tokens=_NULL_TOKENS,
         bronze_date_coerce=_DATE_COERCE,
         bronze_numeric_coerce=_NUMERIC_COERCE,

@@ -178,7 +178,8 @@ def test_cuisines_beyond_a_broadcast_are_split(spark, small_limits, tmp_path):
     items = _menu_of(spark, N, 5000)
     totals = _stored(spark, gold.cuisine_totals(items), tmp_path, "many")
     stored, alone = (gold.menu_performance(items, _orders(spark), t) for t in (totals, None))
-    assert "skew=true" in _final_plan(stored)
+    stored.collect()
+    assert "skew=true" in stored._jdf.queryExecution().executedPlan().toString()
     assert stored.exceptAll(alone).isEmpty() and stored.count() == N
     # 30,000 items share the one cuisine, 12 items each of the others.
     shares = stored.groupBy((F.col("Cuisine") == "cuisine 0").alias("hot")).agg(

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from decimal import Decimal
 from functools import reduce
 
@@ -32,8 +33,16 @@ from tiffin.plans.pipeline import (
     run_pipeline,
     silver_tables,
 )
-from tiffin.plans.silver import stored_duplicates, stored_rejections
-from tiffin.schemas import BY_SILVER_NAME, CUSTOMERS, ORDER_ITEMS, ORDERS, TABLES, TableSpec
+from tiffin.plans.silver import build_silver, stored_duplicates, stored_rejections
+from tiffin.schemas import (
+    BY_SILVER_NAME,
+    CUSTOMERS,
+    ORDER_ITEMS,
+    ORDERS,
+    RESTAURANTS,
+    TABLES,
+    TableSpec,
+)
 from tiffin.session import shared_folder
 from tiffin.sources import testbed
 from tiffin.sources.csv_files import NULL_TOKENS, read_bronze_csv, write_csv
@@ -296,6 +305,93 @@ def _audit(name: str, null_key: str = quality.KEEP) -> Query:
     return run
 
 
+def _with_missing_keys(spark: SparkSession, sf_dir: str, spec: TableSpec) -> Warehouse:
+    """Warehouse whose bronze table also has rows without a key."""
+    warehouse = Warehouse(spark, f"{_folder(spark, sf_dir)}/missing_keys")
+    _once(
+        warehouse.folder(BRONZE, spec.bronze_name),
+        BRONZE,
+        lambda: warehouse.write(
+            testbed.bronze(spark, sf_dir, spec, missing_keys=True), BRONZE, spec.bronze_name
+        ),
+    )
+    return warehouse
+
+
+def _silver_reject(name: str) -> Query:
+    spec = BY_SILVER_NAME[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bronze = _with_missing_keys(spark, sf_dir, spec).bronze(spec)
+        return quality.clean(bronze, spec, quality.REJECT)
+
+    return run
+
+
+def _audit_reject(name: str) -> Query:
+    spec = BY_SILVER_NAME[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = _with_missing_keys(spark, sf_dir, spec)
+        rejected = stored_rejections(warehouse, spec, Stage(warehouse), quality.REJECT)
+        return _rejects_per_key(quality.audit_rows(rejected), spec.key)
+
+    return run
+
+
+def audit_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored audit of orders and restaurants, with typed fields from the rejected rows."""
+    warehouse = fresh_warehouse(spark)
+    for spec in (ORDERS, RESTAURANTS):
+        warehouse.write(testbed.bronze(spark, sf_dir, spec), BRONZE, spec.bronze_name)
+    build_silver(warehouse, [ORDERS, RESTAURANTS])
+    audit = warehouse.audit()
+    recent = F.col("rejected_at") >= F.current_timestamp().cast("timestamp_ntz") - F.expr("interval 1 day")
+    times = audit.groupBy("table_name").agg(
+        F.count_distinct("rejected_at").alias("times"), F.every(recent).alias("recent")
+    )
+
+    def field(*names: str):
+        return F.coalesce(*[F.get_json_object("row_data", f"$.{n}") for n in names])
+
+    return audit.join(times, "table_name").select(
+        "table_name",
+        "reason",
+        field("Order_id", "Restaurant_id").alias("key"),
+        field("Customer_City", "city").alias("place"),
+        field("Order_amount", "Rating").cast("double").alias("number"),
+        field("Order_date").cast("timestamp_ntz").alias("day"),
+        "times",
+        "recent",
+    )
+
+
+def silver_after_failed_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders after a rebuild whose tasks fail: those of the build before it."""
+    warehouse = fresh_warehouse(spark)
+    warehouse.write(testbed.bronze(spark, sf_dir, ORDERS), BRONZE, ORDERS.bronze_name)
+    build_silver(warehouse, [ORDERS])
+    orders = warehouse.silver(ORDERS)
+    broken = F.raise_error(F.concat(F.lit("broken order "), F.col("Order_id"))).cast("string")
+    failing = orders.withColumn("Payment_mode", F.when(F.col("Order_amount") >= 0, broken))
+    # The message of the failure is the proof that it was this one.
+    with suppress_error("broken order"):
+        warehouse.rebuild(failing, warehouse.audit(), ORDERS)
+    return warehouse.silver(ORDERS)
+
+
+@contextmanager
+def suppress_error(message: str) -> Iterator[None]:
+    """Passes over an error with ``message`` in it; any other outcome is an error."""
+    try:
+        yield
+    except Exception as error:
+        if message not in str(error):
+            raise
+    else:
+        raise AssertionError(f"no error with {message!r}")
+
+
 def dedup_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicates of a key removed without any rules."""
     rows = quality.normalise(stored_bronze(spark, sf_dir, ORDER_ITEMS), ORDER_ITEMS)
@@ -437,6 +533,14 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(fresh_warehouse(spark), landing(spark, sf_dir), testbed.AS_OF)
 
 
+def pipeline_failed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose third gold table fails, for want of a valid day; the reconciliation still reports."""
+    report = run_pipeline(
+        fresh_warehouse(spark), landing(spark, sf_dir), "no day", on_gold_error="skip"
+    )
+    return report.withColumn("status", F.split("status", ":")[0])
+
+
 def queries() -> dict[str, Query]:
     names = list(BY_SILVER_NAME)
     out: dict[str, Query] = {}
@@ -445,12 +549,11 @@ def queries() -> dict[str, Query]:
     out.update({f"audit_{name}": _audit(name) for name in names})
     out["silver_customers_reject_null_key"] = _silver("customers", quality.REJECT)
     out["audit_customers_reject_null_key"] = _audit("customers", quality.REJECT)
-    out.update(
-        {
-            f"gold_{name}": _gold(name)
-            for name in GOLD_TABLES
-        }
-    )
+    for name in names:
+        if name != "customers":
+            out[f"silver_{name}_reject_null_key"] = _silver_reject(name)
+            out[f"audit_{name}_reject_null_key"] = _audit_reject(name)
+    out.update({f"gold_{name}": _gold(name) for name in GOLD_TABLES})
     for query in (
         bronze_null_tokens,
         bronze_date_coerce,
@@ -459,6 +562,8 @@ def queries() -> dict[str, Query]:
         bronze_quoted,
         bronze_append,
         bronze_load_report,
+        audit_payload,
+        silver_after_failed_rebuild,
         dedup_pk,
         gold_if_absent,
         reconcile_counts,
@@ -472,6 +577,7 @@ def queries() -> dict[str, Query]:
         fn_day_lag,
         fn_pct,
         pipeline_run,
+        pipeline_failed_gold,
     ):
         out[query.__name__] = query
     return {name: _comparable(query) for name, query in out.items()}

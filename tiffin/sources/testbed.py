@@ -132,9 +132,23 @@ def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bronze(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+def with_missing_keys(bronze_name: str) -> str:
+    """The statement of a table with copies of some rows that have lost their key, the first column."""
+    spec = next(t for t in TABLES if t.bronze_name == bronze_name)
+    statement = STATEMENTS[bronze_name]
+    rest = ", ".join(f.name for f in spec.fields[1:])
+    return f"""SELECT * FROM ({statement}) AS r
+UNION ALL
+SELECT CAST(NULL AS STRING) AS {spec.key}, {rest} FROM ({statement}) AS r WHERE {spec.key} LIKE '%7'"""
+
+
+def bronze(
+    spark: SparkSession, sf_dir: str, spec: TableSpec, missing_keys: bool = False
+) -> DataFrame:
     """Bronze rows of one table, derived from the test tables in ``sf_dir``."""
     statement = STATEMENTS[spec.bronze_name]
+    if missing_keys:
+        statement = with_missing_keys(spec.bronze_name)
     sources = {
         name: source_table(spark, sf_dir, name) for name in _SOURCES if f"{{{name}}}" in statement
     }
