@@ -28,6 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.llm.literals import local_table
 from tiffin.llm.scratch import Scratch
 from tiffin.llm.texts import LOWER, UPPER
 
@@ -104,9 +105,7 @@ def license_lines(
         vector = {t: v / norm for t, v in vector.items()}
         keys |= heaviest(vector, least)
         unit += [(name, t, v, weight[t]) for t, v in vector.items()]
-    template_terms = spark.createDataFrame(
-        unit, "license string, term string, unit double, idf double"
-    )
+    template_terms = local_table(spark, ["license", "term", "unit", "idf"], unit)
     wanted = F.array(*[F.lit(t) for t in sorted(keys)])
     words = (
         lines.withColumn("terms", line_terms(F.col("line")))

@@ -13,7 +13,7 @@
 Steps 3 and 4 compare many members in one task as arrays. A bucket or component beyond a task's bound
 is cut into blocks, and each pair of blocks is a task of its own, so no group is too large and no pair is
 left out. A pair at the threshold is in no common bucket with a probability of ``(1 - t^rows)^bands``:
-3e-7 with the defaults at 0.85, 2e-5 at 0.8, and less above it.
+8e-8 with the defaults at 0.85, 2e-5 at 0.8, and less above it.
 
 Defined cases: a NULL text, or one without words, has no shingles and links with nothing; a text of
 fewer words is one shingle; a NULL identifier counts as larger than any other; rows with equal

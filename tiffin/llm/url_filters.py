@@ -29,10 +29,10 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.llm.literals import local_table
 from tiffin.llm.texts import LOWER, UPPER
 
 ALLOW, BLOCK = "allow", "block"
@@ -174,7 +174,7 @@ def _index(rows: DataFrame, site_rules: Sequence[SiteRule], patterns: Sequence[s
     tokens = sorted({t for _, _, p, _ in rules for t in bounded_tokens(p)})
     counts: dict[str, int] = {}
     if tokens:
-        wanted = spark.createDataFrame(pa.table({"token": tokens}))
+        wanted = local_table(spark, ["token"], [(t,) for t in tokens])
         counted = (
             rows.select(F.explode(_tokens(F.col("target"))).alias("token"))
             .join(wanted, "token")
@@ -188,8 +188,4 @@ def _index(rows: DataFrame, site_rules: Sequence[SiteRule], patterns: Sequence[s
         return min(own, key=lambda t: (counts.get(t, 0), -len(t), t)) if own else ""
 
     filed = [(rarest(p), kind, text, to_regex(p), verdict) for kind, text, p, verdict in rules]
-    names = ["token", "kind", "text", "regex", "verdict"]
-    schema = pa.schema([(name, pa.string()) for name in names])
-    return spark.createDataFrame(
-        pa.Table.from_pylist([dict(zip(names, row, strict=True)) for row in filed], schema)
-    )
+    return local_table(spark, ["token", "kind", "text", "regex", "verdict"], filed)
