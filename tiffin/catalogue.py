@@ -23,17 +23,19 @@ from tiffin.functions.numeric import avg2, pct, pct_amount
 from tiffin.functions.text import initcap_words
 from tiffin.operators import checks, quality
 from tiffin.plans import gold
+from tiffin.plans import reconcile as reconciliation
 from tiffin.plans.bronze import load_bronze, load_report
 from tiffin.plans.pipeline import (
     GOLD_TABLES,
     build_gold,
     gold_plan,
     gold_tables,
-    reconcile,
     run_pipeline,
     silver_tables,
+    stored_tables,
 )
 from tiffin.plans.silver import build_silver, stored_duplicates, stored_rejections
+from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import (
     BY_SILVER_NAME,
     CUSTOMERS,
@@ -419,11 +421,11 @@ def gold_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile(with_gold(spark, sf_dir))[0]
+    return reconciliation.reconcile_counts(*stored_tables(with_gold(spark, sf_dir)))
 
 
 def reconcile_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile(with_gold(spark, sf_dir))[1]
+    return reconciliation.reconcile_checks(*stored_tables(with_gold(spark, sf_dir)))
 
 
 def dq_rating_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,9 +458,12 @@ def dq_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = with_bronze(spark, sf_dir, *TABLES)
     stage = Stage(warehouse)
+    losers = run_together(
+        spark, lambda spec: stored_duplicates(warehouse, spec, stage), TABLES, AT_ONCE
+    )
     return reduce(
         DataFrame.union,
-        [_rejects_per_key(stored_duplicates(warehouse, spec, stage), spec.key) for spec in TABLES],
+        [_rejects_per_key(rows, spec.key) for rows, spec in zip(losers, TABLES, strict=True)],
     )
 
 

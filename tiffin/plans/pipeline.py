@@ -136,8 +136,8 @@ def run_pipeline(
     return report
 
 
-def reconcile(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
-    """Counts and checks over the stored silver and gold tables that are there."""
+def stored_tables(warehouse: Warehouse) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The silver and the gold tables that are there."""
     silver = {
         spec.silver_name: warehouse.silver(spec)
         for spec in TABLES
@@ -148,6 +148,12 @@ def reconcile(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
         for name, schema in GOLD_SCHEMAS.items()
         if warehouse.exists(GOLD, name)
     }
+    return silver, gold_
+
+
+def reconcile(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Counts and checks over the stored silver and gold tables that are there."""
+    silver, gold_ = stored_tables(warehouse)
     return reconcile_counts(silver, gold_), reconcile_checks(silver, gold_)
 
 
