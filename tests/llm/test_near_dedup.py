@@ -10,7 +10,8 @@ import pytest
 
 from tiffin.llm import near_dedup
 from tiffin.llm.components import connected_components
-from tiffin.llm.near_dedup import MinHash, exact_links, near_duplicates, signature_links
+from tiffin.llm.linking import by_signature, exact_links, linked, signature_links
+from tiffin.llm.near_dedup import MinHash, near_duplicates
 from tiffin.llm.scratch import Scratch
 from tiffin.llm.texts import Shingler
 
@@ -173,3 +174,31 @@ def test_repeated_identifiers_and_clashing_columns(spark):
 def test_defaults():
     assert (1 - 0.85**near_dedup.ROWS) ** near_dedup.BANDS < 1e-6
     assert (1 - 0.8**near_dedup.ROWS) ** near_dedup.BANDS < 1e-4
+
+
+@pytest.mark.parametrize("spread", [1, 3, 40])
+def test_linked_over_many_blocks(spark, spread):
+    """Components of groups of several blocks equal those of all pairs, however many there are."""
+    rng = random.Random(spread)
+    rows, signatures = [], {}
+    for i in range(150):
+        of, centre, shift = i % 2, rng.randrange(spread), rng.randrange(8)
+        signature = [100 * centre + (shift if at < shift else 0) for at in range(8)]
+        node = f"n{i:03}".encode()
+        signatures[node] = (of, signature)
+        rows.append((of, node, np.array(signature, np.uint32).tobytes(), 1 / 4, 75 // 4 + 1))
+    members = spark.createDataFrame(rows, "of long, node binary, payload binary, load double, blocks int")
+    scratch = Scratch(spark, "test")
+    edges = linked(members, by_signature(5 / 8), scratch, "test")
+    got = {bytes(k): bytes(v) for k, v in connected_components(edges, scratch, "c").collect()}
+    root = {node: node for node in signatures}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, (of_a, x) in signatures.items():
+        for b, (of_b, y) in signatures.items():
+            if a < b and of_a == of_b and sum(map(int.__eq__, x, y)) >= 5:
+                first, second = sorted((find(a), find(b)))
+                root[second] = first
+    assert {node: got.get(node, node) for node in root} == {node: find(node) for node in root}

@@ -11,8 +11,7 @@
    edges leave the task, and their components are the result.
 
 Steps 3 and 4 compare many members in one task as arrays. A bucket or component beyond a task's bound
-is cut into blocks, and each pair of blocks is a task of its own, so no group is too large and no pair is
-left out. A pair at the threshold is in no common bucket with a probability of ``(1 - t^rows)^bands``:
+is cut into blocks (``linking``), so no group is too large and no pair is left out. A pair at the threshold is in no common bucket with a probability of ``(1 - t^rows)^bands``:
 8e-8 with the defaults at 0.85, 2e-5 at 0.8, and less above it.
 
 Defined cases: a NULL text, or one without words, has no shingles and links with nothing; a text of
@@ -31,13 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.llm.components import connected_components
+from tiffin.llm.linking import by_set, by_signature, linked
 from tiffin.llm.scratch import Scratch
-from tiffin.llm.texts import Shingler, binary_rows, whole_groups
+from tiffin.llm.texts import Shingler, binary_rows
 
 WIDTH = 5
 BANDS = 28
 ROWS = 5
-BLOCK_MEMBERS = 1024
+BLOCK_MEMBERS = 256
 BLOCK_SHINGLES = 1 << 20
 _CHUNK = 1024
 _EMPTY = np.uint32(0xFFFFFFFF)
@@ -98,127 +98,6 @@ def _encoded(text: Column) -> Column:
     return F.encode(F.coalesce(text, F.lit("")), "UTF-8")
 
 
-class Links:
-    """Which members are joined so far, with an edge for each join."""
-
-    def __init__(self, members: int):
-        self.label = np.arange(members)
-        self.edges: list[tuple[int, int]] = []
-
-    def join(self, x: int, others: np.ndarray) -> None:
-        """Links ``x`` to one member of each component among ``others``."""
-        for y in others.tolist():
-            if self.label[y] != self.label[x]:
-                self.edges.append((x, y))
-                self.label[self.label == self.label[y]] = self.label[x]
-
-
-def signature_links(signatures: np.ndarray, block: np.ndarray, least: float) -> list:
-    """Edges that join all members with at least ``least`` equal minima, in turn.
-
-    Members of two different blocks are compared across blocks only.
-    """
-    links = Links(len(signatures))
-    two = block.min() != block.max()
-    for x in range(len(signatures) - 1):
-        rest = np.arange(x + 1, len(signatures))
-        open_ = links.label[rest] != links.label[x]
-        if two:
-            open_ &= block[rest] != block[x]
-        rest = rest[open_]
-        if len(rest):
-            equal = (signatures[rest] == signatures[x]).sum(axis=1)
-            links.join(x, rest[equal >= least])
-    return links.edges
-
-
-def exact_links(sets: list[np.ndarray], block: np.ndarray, percent: int) -> list:
-    """Edges that join all members with ``100 * intersection >= percent * union``, in turn."""
-    sizes = np.array([len(s) for s in sets])
-    values = np.concatenate(sets)
-    _, codes = np.unique(values, return_inverse=True)
-    starts = np.concatenate(([0], np.cumsum(sizes)))
-    present = np.zeros(codes.max() + 1, bool)
-    links = Links(len(sets))
-    two = block.min() != block.max()
-    for x in range(len(sets) - 1):
-        rest = np.arange(x + 1, len(sets))
-        open_ = links.label[rest] != links.label[x]
-        open_ &= 100 * np.minimum(sizes[rest], sizes[x]) >= percent * np.maximum(sizes[rest], sizes[x])
-        if two:
-            open_ &= block[rest] != block[x]
-        rest = rest[open_]
-        if not len(rest):
-            continue
-        own = codes[starts[x] : starts[x + 1]]
-        present[own] = True
-        lengths = sizes[rest]
-        ends = np.cumsum(lengths)
-        places = np.arange(ends[-1]) + np.repeat(starts[rest] - (ends - lengths), lengths)
-        common = np.add.reduceat(present[codes[places]].astype(np.int64), ends - lengths)
-        present[own] = False
-        union = sizes[x] + lengths - common
-        links.join(x, rest[100 * common >= percent * union])
-    return links.edges
-
-
-def _linking(kind: str, threshold: float):
-    """Joins the members of each ``(of, low, high)`` group of a sorted task."""
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, ["of", "low", "high"]):
-            nodes = table.column("node").to_pylist()
-            blocks = table.column("block").to_numpy()
-            payload = table.column("payload").to_pylist()
-            a, b = [], []
-            for start, end in zip(starts, [*starts[1:], table.num_rows], strict=True):
-                if end - start < 2:
-                    continue
-                if kind == "signature":
-                    width = len(payload[start]) // 4
-                    found = np.frombuffer(b"".join(payload[start:end]), np.uint32)
-                    found = found.reshape(-1, width)
-                    edges = signature_links(found, blocks[start:end], threshold * width)
-                else:
-                    sets = [np.frombuffer(p, np.uint64) for p in payload[start:end]]
-                    edges = exact_links(sets, blocks[start:end], int(threshold))
-                a.extend(nodes[start + x] for x, _ in edges)
-                b.extend(nodes[start + y] for _, y in edges)
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"]
-                )
-
-    return link
-
-
-def _linked(members: DataFrame, kind: str, threshold: float) -> DataFrame:
-    """Edges within groups, from ``(of, blocks, node, payload)``.
-
-    A member of a group of several blocks goes to each pair of blocks that its own is part of.
-    """
-    own = F.pmod(F.xxhash64("node", F.lit(kind)), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-    pairs = (
-        members.withColumn("block", own)
-        .withColumn("other", other)
-        .select(
-            "of",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            "block",
-            "node",
-            "payload",
-        )
-    )
-    return (
-        pairs.repartition("of", "low", "high")
-        .sortWithinPartitions("of", "low", "high")
-        .mapInArrow(_linking(kind, threshold), "a binary, b binary")
-        .distinct()
-    )
-
-
 def _bands(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     """``(bucket, node)``, one row for each band of each class."""
     keys = F.array(
@@ -253,10 +132,11 @@ def _candidates(classes: DataFrame, scratch: Scratch, bands: int, rows: int, lea
             F.col("bucket").alias("of"),
             F.ceil(F.col("n") / block_members).alias("blocks"),
             "node",
+            F.lit(1 / block_members).alias("load"),
             "payload",
         )
     )
-    return _linked(members, "signature", least)
+    return linked(members, by_signature(least), scratch, "candidates")
 
 
 _SET = "node binary, payload binary"
@@ -287,7 +167,8 @@ def near_duplicates(
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``.
 
-    Documents are linked if ``percent`` of the union of their shingle sets is common to both.
+    Documents are linked if ``percent`` of the union of their shingle sets is common to both. The members
+    and shingles of a block bound what a task compares at once, not what is compared in all.
     """
     scratch = Scratch(docs.sparkSession, "near_dedup")
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -313,23 +194,20 @@ def near_duplicates(
     least = t - 4 * (t * (1 - t) / (bands * rows)) ** 0.5
     candidates = _candidates(classes, scratch, bands, rows, least, block_members)
     together = scratch.store(connected_components(candidates, scratch, "candidates"), "together")
-    links = _confirmed(texts, classes, together, scratch, percent, width, block_shingles)
-    linked = connected_components(links, scratch, "links")
-    return _labelled(profiles, classes, linked, scratch)
+    load = F.col("n_shingles") / block_shingles + 1 / block_members
+    links = _confirmed(texts, classes, together, scratch, percent, width, load)
+    components = connected_components(links, scratch, "links")
+    return _labelled(profiles, classes, components, scratch)
 
 
 def _confirmed(texts: DataFrame, classes: DataFrame, together: DataFrame, scratch: Scratch,
-               percent: int, width: int, block_shingles: int) -> DataFrame:
+               percent: int, width: int, load: Column) -> DataFrame:
     """Edges between classes whose full shingle sets are similar enough."""
-    wanted = together.join(
-        classes.select(F.col("class").alias("node"), "smallest", "n_shingles"), "node"
-    )
-    groups = wanted.groupBy("root").agg(F.sum("n_shingles").alias("all_shingles"))
-    blocks = F.ceil(F.col("all_shingles") / block_shingles).alias("blocks")
-    needed = scratch.store(
-        wanted.join(groups, "root").select(F.col("root").alias("of"), blocks, "node", "smallest"),
-        "needed",
+    wanted = together.withColumnRenamed("root", "of").join(
+        classes.select(F.col("class").alias("node"), "smallest", load.alias("load")), "node"
     )
+    groups = wanted.groupBy("of").agg(F.ceil(F.sum("load")).alias("blocks"))
+    needed = scratch.store(wanted.join(groups, "of"), "needed")
     # One row of each class has the class's smallest identifier; its text gives the set again.
     owners = needed.select(F.col("smallest").alias("owner")).distinct()
     sets = (
@@ -337,18 +215,18 @@ def _confirmed(texts: DataFrame, classes: DataFrame, together: DataFrame, scratc
         .select(_encoded(F.col("text")))
         .mapInArrow(_shingle_sets(width), _SET)
     )
-    members = needed.select("of", "blocks", "node").join(sets, "node")
-    return _linked(members, "exact", percent)
+    members = needed.drop("smallest").join(sets, "node")
+    return linked(members, by_set(percent), scratch, "confirmed")
 
 
 def _labelled(
-    profiles: DataFrame, classes: DataFrame, linked: DataFrame, scratch: Scratch
+    profiles: DataFrame, classes: DataFrame, components: DataFrame, scratch: Scratch
 ) -> DataFrame:
     """The smallest identifier of the component of each document."""
     grouped = classes.select("class", "smallest", "copies").join(
-        linked.select(F.col("node").alias("class"), "root"), "class", "left"
+        components.select(F.col("node").alias("class"), "root"), "class", "left"
     )
-    least = linked.select(F.col("node").alias("class"), "root").join(
+    least = components.select(F.col("node").alias("class"), "root").join(
         classes.select("class", "smallest"), "class"
     )
     least = least.groupBy("root").agg(F.min("smallest").alias("component_id"))
