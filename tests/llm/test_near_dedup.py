@@ -189,7 +189,8 @@ def test_linked_over_many_blocks(spark, spread):
         rows.append((of, node, np.array(signature, np.uint32).tobytes(), 1 / 4, 75 // 4 + 1))
     members = spark.createDataFrame(rows, "of long, node binary, payload binary, load double, blocks int")
     scratch = Scratch(spark, "test")
-    edges = linked(members, by_signature(5 / 8), scratch, "test")
+    payload = members.select("node", "payload")
+    edges = linked(members, by_signature(5 / 8), lambda nodes: payload, scratch, "test")
     got = {bytes(k): bytes(v) for k, v in connected_components(edges, scratch, "c").collect()}
     root = {node: node for node in signatures}
 

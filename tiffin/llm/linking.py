@@ -205,11 +205,15 @@ def _linked_blocks(members: DataFrame, compare: Compare, turn: int) -> DataFrame
     )
 
 
-def linked(members: DataFrame, compare: Compare, scratch: Scratch, name: str) -> DataFrame:
+def linked(
+    members: DataFrame, compare: Compare, payload_of: Callable[[DataFrame], DataFrame],
+    scratch: Scratch, name: str,
+) -> DataFrame:
     """Edges ``(a, b)`` that join all members of a group that are linked, directly or by others.
 
     ``members`` has ``of`` (the group), ``node``, ``payload`` (what is compared), ``load`` (which share of
-    a block the member takes) and ``blocks`` (loads of the group, rounded up).
+    a block the member takes) and ``blocks`` (loads of the group, rounded up). ``payload_of`` gives
+    ``(node, payload)`` for a table of nodes, and may give other nodes too.
     """
     turns = [scratch.store(_linked_blocks(members, compare, 0), f"{name}-turn-0")]
     edges = _joins(turns[0])
@@ -235,7 +239,10 @@ def linked(members: DataFrame, compare: Compare, scratch: Scratch, name: str) ->
     left = scratch.store(_open_groups(parts), f"{name}-open")
     if left.isEmpty():
         return edges
-    return edges.unionAll(_open_pairs(members, parts, left, compare))
+    # Stored, as Spark then knows how few there are.
+    nodes = scratch.store(parts.join(left, "of").drop("load"), f"{name}-apart")
+    payload = payload_of(nodes.select("node").distinct())
+    return edges.unionAll(_open_pairs(payload.join(nodes, "node"), compare))
 
 
 def _joins(turn: DataFrame) -> DataFrame:
@@ -280,9 +287,7 @@ def _open_groups(parts: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(
-    members: DataFrame, parts: DataFrame, left: DataFrame, compare: Compare
-) -> DataFrame:
+def _open_pairs(members: DataFrame, compare: Compare) -> DataFrame:
     """Edges between the components of groups that fell into several."""
     inside = F.col("part") == F.col("largest")
     place = F.xxhash64("node", F.lit(-1))
@@ -291,9 +296,7 @@ def _open_pairs(
     )
     meets = F.sequence(F.when(inside, F.col("inner")).otherwise(0), F.expr("inner + outer - 1"))
     return (
-        members.select("of", "node", "payload")
-        .join(parts.join(left, "of").drop("load"), ["of", "node"])
-        .withColumn("block", block.cast("int"))
+        members.withColumn("block", block.cast("int"))
         .withColumn("other", F.explode(meets))
         .select(
             "of", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),

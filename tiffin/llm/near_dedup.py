@@ -125,9 +125,10 @@ def _candidates(classes: DataFrame, scratch: Scratch, bands: int, rows: int, lea
         "buckets",
     )
     distinct = buckets.groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket"))
+    signatures = classes.select(F.col("class").alias("node"), F.col("signature").alias("payload"))
     members = (
         banded.join(distinct.select("bucket", "n"), "bucket")
-        .join(classes.select(F.col("class").alias("node"), F.col("signature").alias("payload")), "node")
+        .join(signatures, "node")
         .select(
             F.col("bucket").alias("of"),
             F.ceil(F.col("n") / block_members).alias("blocks"),
@@ -136,7 +137,7 @@ def _candidates(classes: DataFrame, scratch: Scratch, bands: int, rows: int, lea
             "payload",
         )
     )
-    return linked(members, by_signature(least), scratch, "candidates")
+    return linked(members, by_signature(least), lambda nodes: signatures, scratch, "candidates")
 
 
 _SET = "node binary, payload binary"
@@ -208,15 +209,21 @@ def _confirmed(texts: DataFrame, classes: DataFrame, together: DataFrame, scratc
     )
     groups = wanted.groupBy("of").agg(F.ceil(F.sum("load")).alias("blocks"))
     needed = scratch.store(wanted.join(groups, "of"), "needed")
-    # One row of each class has the class's smallest identifier; its text gives the set again.
-    owners = needed.select(F.col("smallest").alias("owner")).distinct()
-    sets = (
-        texts.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-        .select(_encoded(F.col("text")))
-        .mapInArrow(_shingle_sets(width), _SET)
-    )
-    members = needed.drop("smallest").join(sets, "node")
-    return linked(members, by_set(percent), scratch, "confirmed")
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        # One row of each class has the class's smallest identifier; its text gives the set again.
+        owners = rows.select(F.col("smallest").alias("owner")).distinct()
+        return (
+            texts.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
+            .select(_encoded(F.col("text")))
+            .mapInArrow(_shingle_sets(width), _SET)
+        )
+
+    def sets_again(nodes: DataFrame) -> DataFrame:
+        return sets_of(needed.join(nodes, "node", "left_semi"))
+
+    members = needed.drop("smallest").join(sets_of(needed), "node")
+    return linked(members, by_set(percent), sets_again, scratch, "confirmed")
 
 
 def _labelled(
