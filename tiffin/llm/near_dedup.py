@@ -37,7 +37,8 @@ from tiffin.llm.texts import Shingler, binary_rows
 WIDTH = 5
 BANDS = 28
 ROWS = 5
-BLOCK_MEMBERS = 256
+# Up to some thousand members, comparing them in one task is cheaper than a further turn.
+BLOCK_MEMBERS = 4096
 BLOCK_SHINGLES = 1 << 20
 _CHUNK = 1024
 _EMPTY = np.uint32(0xFFFFFFFF)
