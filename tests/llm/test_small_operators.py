@@ -184,6 +184,33 @@ def test_every_stretch_of_the_mix_is_near_the_weights(documents):
             assert abs(part.count(rank) - 100 * share) <= 3
 
 
+def test_small_sources_beside_a_large_one(documents):
+    """Sources of less than a common block, and of a few, reach their targets; so do their whole documents."""
+    small = {"a": 1, "b": 40, "c": 130, "d": 900, "e": 2500}
+    rows = [(i, "w " * 400, "z") for i in range(500)]
+    for s, words in small.items():
+        rows += [(1000 * len(rows) + i, "w " * min(10, words - i), s) for i in range(0, words, 10)]
+    mix = mixing.mix_sources(documents(*rows), slots=64)
+    taken, target = {}, {}
+    for r in mixing.taken_words(mix).collect():
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        target[r["source"]] = r["target"]
+    for s, words in small.items():
+        assert target[s] == 3 * words and abs(taken[s] / target[s] - 1) <= 0.01
+    slots = [r["slot"] for r in mix.schedule.collect()]
+    assert 0 <= min(slots) and max(slots) < 64
+    copies = {r[0]: r[1] for r in mixing.whole_copies(mix).collect()}
+    assert all(copies.get(r[0]) == 3 for r in rows if r[2] in small)
+
+
+def test_targets_of_less_than_a_block(documents):
+    """Many equal sources, each with a target below one common block."""
+    rows = [(i, "w " * 50, f"s{i % 40:02}") for i in range(400)]
+    mix = mixing.mix_sources(documents(*rows), slots=16)
+    taken = rows_of(mixing.taken_words(mix).groupBy("source", "target").agg(F.sum("taken")), "target", "sum(taken)")
+    assert len(taken) == 40 and all(abs(n / target - 1) <= 0.01 for target, n in taken)
+
+
 def test_whole_copies_follow_the_mix(documents):
     rows = [(i, "w " * 20, "big" if i < 900 else "small") for i in range(1000)]
     copies = {r[0]: r[1] for r in mixing.whole_copies(mixing.mix_sources(documents(*rows))).collect()}

@@ -6,6 +6,10 @@ golden-ratio point ``frac(k / phi)``, and the source whose range of cumulative w
 gets the slot. So every stretch of the mix, not only the whole, is close to the target weights. Slots
 are ranked per source, and a source's slot of rank ``r`` takes its block ``r`` modulo its blocks.
 
+A source of which the mix would hold few common blocks is cut into blocks of its own length, at most
+1 / ``_FINE`` of its words and of its target. It takes them one after the other until their words, part-filled
+blocks counted as they are, come nearest to its target, at slots of equal distance in place of its points.
+
 A source's target is its share of all words by weight, but at most ``repeats`` times its own size; what
 is left over is shared again by weight. Targets follow in one step from the order of size / weight, in
 which the sources at their limit come first.
@@ -37,6 +41,8 @@ GOLDEN = 2654435769
 _RING = 1 << 32
 _BUCKET_ROWS = 5000
 _RANGES = 4096
+# Fixed value: a source's block is at most this part of its words and of its target.
+_FINE = 300
 
 
 @dataclass(frozen=True)
@@ -44,8 +50,10 @@ class Mix:
     """The tables of a mix.
 
     ``sources``: ``(source, source_rank, weight, source_size, target)``.
-    ``schedule``: ``(slot, source_rank, block)``, in the order of the mix.
-    ``pieces``: ``(row, source_rank, block, words)``, the words each row of ``documents`` has in each block.
+    ``schedule``: ``(slot, source_rank, block)``, in the order of the mix; blocks of a source's own length are
+    in slots of other sources, too.
+    ``pieces``: ``(row, source_rank, block, words)``, the words each row of ``documents`` has in each block,
+    less blocks of a source's own length that are not taken.
     ``documents``: ``(row, doc_id, source, source_rank, size, middle_block)``.
     """
 
@@ -115,17 +123,20 @@ def mix_sources(
         ),
         "sizes",
     )
-    sources = scratch.store(_sources(sizes, weights, repeats), "sources")
     words, rows = sizes.agg(F.sum("size"), F.count(F.lit(1))).first()
     words = words or 0
     block = max(1, -(-words // slots))
-    documents = scratch.store(_in_order(sizes, sources, rows, block, seed), "documents")
-    first, last = F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")
+    sources = scratch.store(_cut(_sources(sizes, weights, repeats), block), "sources")
+    documents = scratch.store(_in_order(sizes, sources, rows, seed), "documents")
+    # Of an own length, only blocks that are taken: a large source with a small target has very many.
+    end = F.least(F.col("start") + F.col("size"), F.coalesce(F.col("takes") * F.col("length"), F.lit((1 << 63) - 1)))
+    first, last = F.expr("start div length"), F.expr("(end - 1) div length")
     pieces = (
-        documents.filter("size > 0")
-        .select("row", "source_rank", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-        .withColumn("from", F.greatest(F.col("start"), F.col("block") * block))
-        .withColumn("to", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block))
+        documents.withColumn("end", end)
+        .filter("size > 0 and end > start")
+        .select("row", "source_rank", "start", "end", "length", F.explode(F.sequence(first, last)).alias("block"))
+        .withColumn("from", F.greatest(F.col("start"), F.col("block") * F.col("length")))
+        .withColumn("to", F.least(F.col("end"), (F.col("block") + 1) * F.col("length")))
         .select("row", "source_rank", "block", (F.col("to") - F.col("from")).alias("words"))
     )
     schedule = scratch.store(
@@ -134,14 +145,25 @@ def mix_sources(
     )
     documents = documents.select(
         "row", "doc_id", "source", "source_rank", "size",
-        F.when(F.col("size") > 0, F.expr(f"(start + size div 2) div {block}")).alias("middle_block"),
+        F.when(F.col("size") > 0, F.expr("(start + size div 2) div length")).alias("middle_block"),
     )
-    return Mix(sources.drop("all_words"), schedule, pieces, documents)
+    return Mix(sources.drop("all_words", "length", "takes"), schedule, pieces, documents)
+
+
+def _cut(sources: DataFrame, block: int) -> DataFrame:
+    """Adds ``length``, that of a source's blocks, and ``takes``, how many it takes if the length is its own."""
+    least = F.least(F.col("source_size"), F.floor("target"))
+    own = F.greatest(F.lit(1), F.floor(least / _FINE)).cast("long")
+    rounds = F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
+    blocks = F.ceil(F.col("source_size") / F.col("length"))
+    rest = F.round((F.col("target") - rounds * F.col("source_size")) / F.col("length"))
+    takes = (rounds * blocks + F.least(rest, blocks)).cast("long")
+    return sources.withColumn("length", F.least(own, F.lit(block).cast("long"))).withColumn(
+        "takes", F.when(F.col("length") < block, takes)
+    )
 
 
-def _in_order(
-    sizes: DataFrame, sources: DataFrame, rows: int, block: int, seed: str
-) -> DataFrame:
+def _in_order(sizes: DataFrame, sources: DataFrame, rows: int, seed: str) -> DataFrame:
     """Every document with the start of its words in the shuffled stream of its source."""
     buckets = max(1, min(1 << 22, rows // _BUCKET_ROWS))
     ranked = (
@@ -155,11 +177,11 @@ def _in_order(
     offsets = bucket_words.select(
         "source", "bucket", F.coalesce(F.sum("bucket_words").over(before), F.lit(0)).alias("offset")
     ).join(
-        sources.select(F.col("source").alias("known"), "source_rank"),
+        sources.select(F.col("source").alias("known"), "source_rank", "length", "takes"),
         F.col("source").eqNullSafe(F.col("known")),
     )
     offsets = offsets.select(
-        F.col("source").alias("of"), F.col("bucket").alias("at"), "offset", "source_rank"
+        F.col("source").alias("of"), F.col("bucket").alias("at"), "offset", "source_rank", "length", "takes"
     )
     within = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size")
     start = F.coalesce(
@@ -171,7 +193,7 @@ def _in_order(
         .select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id", "source", "source_rank", "size",
-            (F.col("offset") + F.col("within")).alias("start"),
+            (F.col("offset") + F.col("within")).alias("start"), "length", "takes",
         )
     )
 
@@ -186,6 +208,7 @@ def _schedule(spark, sources: DataFrame, slots: int, block: int, repeats: int) -
     )
     ranges = (
         shares.filter("target > 0")
+        .withColumn("common", F.col("takes").isNull())
         .withColumn("lower", lower)
         .withColumn("upper", F.when(last, F.lit(2.0)).otherwise(F.col("upto")))
         .withColumn("blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
@@ -193,7 +216,7 @@ def _schedule(spark, sources: DataFrame, slots: int, block: int, repeats: int) -
     # Points and ranges meet on equal stretches of the unit interval.
     from_stretch = F.floor(F.col("lower") * _RANGES)
     to_stretch = F.least(F.floor(F.col("upper") * _RANGES), F.lit(_RANGES - 1))
-    ranges = ranges.select(
+    ranges = ranges.filter("common").select(
         "source_rank", "lower", "upper", "blocks",
         F.explode(F.sequence(F.least(from_stretch, to_stretch), to_stretch)).alias("stretch"),
     )
@@ -204,9 +227,27 @@ def _schedule(spark, sources: DataFrame, slots: int, block: int, repeats: int) -
         .join(ranges, "stretch")
         .filter("point >= lower and point < upper")
     )
-    return _ranked(hits, slots).filter(F.col("rank") < F.col("blocks") * repeats).select(
+    common = _ranked(hits, slots).filter(F.col("rank") < F.col("blocks") * repeats).select(
         "slot", "source_rank", (F.col("rank") % F.col("blocks")).alias("block")
     )
+    return common.unionByName(_own_schedule(sources, slots))
+
+
+def _own_schedule(sources: DataFrame, slots: int) -> DataFrame:
+    """The blocks of sources that have a length of their own, at equal distances over all slots."""
+    blocks = F.ceil(F.col("source_size") / F.col("length")).cast("long")
+    # Each source starts elsewhere, so that many small ones do not meet in the same slots.
+    phase = F.pmod(F.col("source_rank") * GOLDEN, F.lit(_RING)) / F.lit(float(_RING))
+    takes = sources.filter("takes > 0").select(
+        "source_rank", "takes", blocks.alias("blocks"), phase.alias("phase"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("takes") - 1)).alias("rank"),
+    )
+    slot = F.floor((F.col("rank") + F.col("phase")) * slots / F.col("takes")).cast("long")
+    return takes.select(
+        F.least(slot, F.lit(slots - 1).cast("long")).alias("slot"),
+        F.col("source_rank").cast("int").alias("source_rank"),
+        (F.col("rank") % F.col("blocks")).alias("block"),
+    )
 
 
 def _ranked(hits: DataFrame, slots: int) -> DataFrame:
