@@ -9,6 +9,7 @@ import io
 import os
 import random
 import struct
+import textwrap
 import zipfile
 
 import duckdb
@@ -18,7 +19,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tiffin.llm import licenses, near_dedup, quality, warc
+from tiffin.llm import license_texts, licenses, near_dedup, quality, warc
 from tiffin.llm.queries import queries
 from tiffin.llm.scratch import Scratch
 from tiffin.llm.statements import statements
@@ -184,6 +185,37 @@ def test_nearest_folder_hands_its_license_down(spark):
     assert got[13] == ("GPL-3.0", "inherited", "r/LICENSE")
 
 
+def test_whole_licenses_and_wrapped_headers(spark):
+    """Texts with other holders, breaks and comment signs, headers over lines and inside a long line."""
+    prose = " ".join(f"word{i % 90}" for i in range(400))
+    texts = license_texts.block_templates()
+    rows, want = [], {}
+
+    def add(name, text):
+        want[len(rows)] = name
+        rows.append((len(rows), f"d{len(rows)}/file.txt", text))
+
+    for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"):
+        text = texts[f"{name}#0"]
+        add(name, f"Copyright (c) 2019 Some Holder\n\n{text}")
+        add(name, "\n".join(f"// {line}" for line in textwrap.wrap(" ".join(text.split()), 61)) + f"\n{prose}")
+    add("BSD-3-Clause", texts["BSD-3-Clause#0"].replace("copyright holder", "University").replace("HOLDERS", "OWNERS"))
+    add("GPL-2.0", texts["GPL-2.0#0"].split("How to Apply")[0])
+    for name, headers in license_texts.HEADERS.items():
+        for header in headers:
+            add(name, f"{prose}\n" + "\n".join(f" * {line}" for line in textwrap.wrap(header, 40)) + f"\n{prose}")
+            add(name, f"{prose} {header} {prose}")
+    add("AGPL-3.0", texts["GPL-3.0#0"].replace("GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007",
+                                               "GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3, 19 November 2007"))
+    add(None, f"{prose} we all like licensed copyright and warranty {prose}")
+    rows += [(len(rows) + i, f"p{i}/prose.txt", f"the terms of this and any other work, or {prose}\n" * 20) for i in range(20)]
+    rows += [(1000, "g/LICENSE", texts["GPL-2.0#0"]), (1001, "g/src/a.c", prose)]
+    got = scan(spark, rows)
+    assert {i: got[i][0] for i in want} == want
+    assert got[1000][:2] == ("GPL-2.0", "own") and got[1001] == ("GPL-2.0", "inherited", "g/LICENSE")
+    assert all(got[r[0]][0] is None for r in rows if r[1].startswith("p"))
+
+
 def test_license_edge_cases(spark):
     assert scan(spark, []) == {}
     rows = [(1, "LICENSE", MIT, 1), (1, "LICENSE", MIT, 2), (None, "x", "t", 3)]
