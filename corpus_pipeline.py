@@ -1,8 +1,10 @@
 """The corpus pipeline: documents go through five operators, one after the other.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it left. All but the
-last return the columns of ``documents``. Identifiers are unique in ``documents``; after mixing, a
-document that is taken more than once is there as often.
+last return the columns of ``documents``. Rows are kept and dropped one by one, also where identifiers are
+NULL or repeated: operators know a row by its identifier and the hash of its columns, the same in every pass.
+Rows that are equal in all columns are near duplicates of each other, if they have words, and one stays. After
+mixing, a document that is taken more than once is there as often.
 """
 
 from __future__ import annotations
@@ -25,23 +27,40 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near duplicates."""
-    found = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
-    return _without(docs, found.filter(~F.col("kept")), "near_dedup_stage")
+    """Keeps one row of each group of near duplicates, that of the smallest doc_id."""
+    scratch = Scratch(spark, "near_dedup_stage")
+    keyed = _keyed(docs)
+    found = near_dedup.near_duplicates(keyed, key=_ROW, percent=NEAR_PERCENT)
+    rows = found.groupBy(F.col("doc_id").alias("key"), "kept").agg(
+        F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("n_shingles")
+    )
+    equal = F.col("kept") & (F.col("n") > 1) & (F.col("n_shingles") > 0)
+    odd = scratch.store(rows.filter(~F.col("kept") | equal).select("key", "kept"), "odd")
+    single = keyed.join(odd.select("key"), F.col(_ROW) == F.col("key"), "left_anti")
+    repeated = odd.filter("kept").select("key")
+    if not repeated.isEmpty():
+        once = keyed.join(repeated, F.col(_ROW) == F.col("key"), "left_semi").dropDuplicates([_ROW])
+        single = single.unionByName(once)
+    return single.select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.contamination(docs, benchmark)
-    return _without(docs, found.filter("contaminated"), "decontamination_stage")
+    keyed = _keyed(docs)
+    found = decontamination.contamination(keyed, benchmark, key=_ROW).filter("contaminated")
+    # Stored first, so that their size is known.
+    scratch = Scratch(spark, "decontamination_stage")
+    dropped = scratch.store(found.select(F.col("doc_id").alias("key")).distinct(), "dropped")
+    return keyed.join(dropped, F.col(_ROW) == F.col("key"), "left_anti").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mix of the sources does, up to three times or not at all."""
-    copies = mixing.whole_copies(mixing.mix_sources(docs))
-    copies = copies.select(F.col("doc_id").alias("_taken_id"), F.col("copies").alias("_copies"))
-    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_taken_id")))
+    keyed = _keyed(docs)
+    copies = mixing.whole_copies(mixing.mix_sources(keyed, key=_ROW))
+    copies = copies.select(F.col("doc_id").alias("_taken"), F.col("copies").alias("_copies"))
+    taken = keyed.join(copies, F.col(_ROW) == F.col("_taken"))
     repeated = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return repeated.select(*docs.columns)
 
@@ -51,11 +70,19 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return sharding.with_shards(docs)
 
 
-def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    """``docs`` less the identifiers of ``dropped``, which are stored first so that their size is known."""
-    scratch = Scratch(docs.sparkSession, name)
-    ids = scratch.store(dropped.select(F.col("doc_id").alias("_dropped_id")).distinct(), "dropped")
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_dropped_id")), "left_anti")
+_ROW = "_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Adds the key of a row: first by ``doc_id``, NULL last, then by the hash of all columns."""
+    # The hash passes over NULL, so it also gets which columns are NULL.
+    content = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    key = F.struct(
+        F.col("doc_id").isNull().alias("unknown"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64(*content).alias("content"),
+    )
+    return docs.withColumn(_ROW, key)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -363,6 +363,34 @@ def test_pipeline_with_odd_rows(spark, documents, tmp_path):
     assert corpus_pipeline.run(spark, empty).count() == 0
 
 
+def test_stages_keep_and_drop_single_rows(spark, documents, tmp_path):
+    """NULL and repeated identifiers, and rows equal in all columns, of which some are rejected."""
+    def text(n):
+        return " ".join(f"{chr(97 + n)}{i}" for i in range(60))
+
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, text(20))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(None, text(0)), (None, text(1)), (None, text(20)), (7, text(2)), (7, text(20)), (8, text(21)), (8, text(21))]
+    got = corpus_pipeline.decontamination_stage(spark, documents(*rows), folder)
+    clean = [r for r in rows if r[1] != text(20)]
+    assert rows_of(got, "doc_id", "text") == sorted(clean, key=repr)
+    rows = [
+        (None, text(0)), (None, text(0)), (None, text(1)), (None, text(2)), (5, text(2)), (6, text(3)), (6, text(4)),
+        (4, text(4)), (9, text(5)), (9, text(5)), (9, text(5)), (9, text(6)), (None, None), (None, ""), (3, None), (3, None),
+    ]
+    docs = Scratch(spark, "test").store(documents(*rows).repartition(5), "docs")
+    got = corpus_pipeline.near_dedup_stage(spark, docs, folder)
+    want = [
+        (None, text(0)), (None, text(1)), (5, text(2)), (6, text(3)), (4, text(4)), (9, text(5)), (9, text(6)),
+        (None, None), (None, ""), (3, None), (3, None),
+    ]
+    assert got.columns == docs.columns and rows_of(got, "doc_id", "text") == sorted(want, key=repr)
+    # A small source of weight 1 of 3: the sources' limits let each document of the small source in three times.
+    rows = [(None, text(i), "a") for i in range(4)] + [(i, text(10), "b") for i in range(60)] + [(None, None, "a")]
+    taken = corpus_pipeline.mixing_stage(spark, documents(*rows), folder).filter("source = 'a'")
+    assert rows_of(taken, "doc_id", "text") == sorted([r[:2] for r in rows[:4]] * 3, key=repr)
+
+
 def test_arrow_groups_cross_batches():
     from tiffin.llm.texts import whole_groups
 
