@@ -120,6 +120,18 @@ def test_links_join_everything_similar():
     assert len(signature_links(signatures, np.zeros(4, int), 3)) == 2
 
 
+def test_a_pair_with_a_low_estimate_is_linked(documents):
+    """At the threshold exactly, in common buckets, with an estimate 4.3 standard errors below."""
+    one = [f"s4469w{i}" for i in range(41)]
+    two = one[:38] + [f"s4469v{i}" for i in range(3)]
+    rows = [(1, " ".join(one)), (2, " ".join(two))]
+    shingler, minhash = Shingler(5), MinHash(140)
+    a, b = (minhash.signature(shingler.shingles(t.encode())).copy() for _, t in rows)
+    assert 0.72 < (a == b).mean() < 0.723 and (a == b).reshape(28, 5).all(1).any()
+    assert found(near_duplicates(documents(*rows))) == expected(rows)
+    assert [r[2] for r in expected(rows)] == [1, 1]
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)]

@@ -4,7 +4,7 @@
    shingles, and a signature of ``bands * rows`` minima under universal hash functions. Documents with
    the same fingerprint are one class; all further work is on classes, so exact copies cost nothing.
 2. A class enters one bucket per band. Buckets of the same members are worked on once.
-3. Signatures verify the pairs of a bucket: those whose estimate lies within four standard errors of the
+3. Signatures verify the pairs of a bucket: those whose estimate lies within 6.5 standard errors of the
    threshold, or above, are candidates. Only edges that join a bucket's candidates leave the task.
 4. The components of candidate edges bring together all classes that can be linked. Their full shingle
    sets, computed again from the texts of these classes alone, confirm links exactly; again only joining
@@ -12,7 +12,8 @@
 
 Steps 3 and 4 compare many members in one task as arrays. A bucket or component beyond a task's bound
 is cut into blocks (``linking``), so no group is too large and no pair is left out. A pair at the threshold is in no common bucket with a probability of ``(1 - t^rows)^bands``:
-8e-8 with the defaults at 0.85, 2e-5 at 0.8, and less above it.
+7.4e-8 with the defaults at 0.85, 1.5e-5 at 0.8, and less above it. The signature check adds 4e-9 and 2e-9 (binomial
+tails of 140 minima): 8e-8 and 1.5e-5 in all.
 
 Defined cases: a NULL text, or one without words, has no shingles and links with nothing; a text of
 fewer words is one shingle; a NULL identifier counts as larger than any other; rows with equal
@@ -37,6 +38,8 @@ from tiffin.llm.texts import Shingler, binary_rows
 WIDTH = 5
 BANDS = 28
 ROWS = 5
+# Fixed value: how far below the threshold an estimate may lie. With 4, a pair at the threshold fails in 1e-4 of cases.
+_ERRORS = 6.5
 # Up to some thousand members, comparing them in one task is cheaper than a further turn.
 BLOCK_MEMBERS = 4096
 BLOCK_SHINGLES = 1 << 20
@@ -193,7 +196,7 @@ def near_duplicates(
         "classes",
     )
     t = percent / 100
-    least = t - 4 * (t * (1 - t) / (bands * rows)) ** 0.5
+    least = t - _ERRORS * (t * (1 - t) / (bands * rows)) ** 0.5
     candidates = _candidates(classes, scratch, bands, rows, least, block_members)
     together = scratch.store(connected_components(candidates, scratch, "candidates"), "together")
     load = F.col("n_shingles") / block_shingles + 1 / block_members
