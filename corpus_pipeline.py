@@ -45,8 +45,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a window of a benchmark item."""
+    """Drops the documents that hold a window of a benchmark item, also of one without an identifier."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    # The operator leaves out items without an identifier; here only what is contaminated counts.
+    named = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
+    benchmark = benchmark.select(named.alias("item_id"), "text")
     keyed = _keyed(docs)
     found = decontamination.contamination(keyed, benchmark, key=_ROW).filter("contaminated")
     # Stored first, so that their size is known.

@@ -391,6 +391,15 @@ def test_stages_keep_and_drop_single_rows(spark, documents, tmp_path):
     assert rows_of(taken, "doc_id", "text") == sorted([r[:2] for r in rows[:4]] * 3, key=repr)
 
 
+def test_copies_of_items_without_an_identifier_are_dropped(spark, documents, tmp_path):
+    folder = str(tmp_path)
+    items = [(None, "one two three four"), (3, "five six seven"), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(1, "a one two three four b"), (2, "five six seven"), (4, "two three four"), (5, None)]
+    got = corpus_pipeline.decontamination_stage(spark, documents(*rows), folder)
+    assert rows_of(got, "doc_id") == [(4,), (5,)]
+
+
 def test_arrow_groups_cross_batches():
     from tiffin.llm.texts import whole_groups
 
