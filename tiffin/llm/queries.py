@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.llm import (
+    chat,
     decontamination,
     exact_dedup,
+    lexical_search,
     licenses,
     mixing,
     near_dedup,
     quality,
     sharding,
+    spelling,
     token_counts,
     url_filters,
     warc,
@@ -97,11 +100,36 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: The conversation that the query adds to the table: control strings of another template as texts.
+ODD_CONVERSATION = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path(TOKENIZER)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionAll(spark.createDataFrame(ODD_CONVERSATION, rows.schema))
+    return chat.read_back(chat.format_conversations(rows, path), path)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), noise=199)
+    return spelling.spelling_variants(words)
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
             op1_url_filters, op2_license_scan, op3_token_counts, op4_near_dedup, op5_warc, op6_mixing,
             op7_decontamination, op8_sharding, op9_quality, op10_exact_dedup,
+            op11_chat_format, op12_lexical_search, op13_spelling_variants,
         )
     }

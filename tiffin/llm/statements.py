@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tiffin.llm import licenses, mixing, url_filters
+import re
+
+from tiffin.llm import chat, lexical_search, licenses, mixing, spelling, url_filters
 
 _LOWERED = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -227,17 +229,21 @@ _DECONTAMINATION = f"""
       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-_SHARDING = """
-    WITH RECURSIVE crc_table(n, k, c) AS (
+# The table t of a CRC-32, by bytes, and the CRC-32 of a text with it.
+_CRC_STEPS = """crc_table(n, k, c) AS (
       SELECT range, 0, range FROM range(256)
       UNION ALL
       SELECT n, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_table WHERE k < 8),
-    steps AS (SELECT list(c ORDER BY n) AS t FROM crc_table WHERE k = 8),
-    sizes AS (
-      SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, xor(list_reduce(
+    steps AS (SELECT list(c ORDER BY n) AS t FROM crc_table WHERE k = 8)"""
+_CRC32 = """xor(list_reduce(
         list_concat([4294967295::BIGINT], list_transform(
-          regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
-        lambda crc, byte: xor(crc >> 8, t[xor(crc & 255, byte) + 1])), 4294967295) AS text_crc32
+          regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)),
+        lambda crc, byte: xor(crc >> 8, t[xor(crc & 255, byte) + 1])), 4294967295)"""
+
+_SHARDING = f"""
+    WITH RECURSIVE {_CRC_STEPS},
+    sizes AS (
+      SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, {_CRC32.format(text="coalesce(text, '')")} AS text_crc32
       FROM documents, steps),
     placed AS (
       SELECT *, least(23, ((sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size + size // 2)
@@ -254,6 +260,91 @@ _EXACT_DEDUP = """
     FROM texts"""
 
 
+
+def _escaped(text: str) -> str:
+    template = chat.Template()
+    for first in sorted({c[0] for c in (*template.marks, *template.reserved)}):
+        tails = [c[1:] for c in (*template.marks, *template.reserved) if c[0] == first]
+        pattern = rf"(\{first})(\\*(?:{'|'.join(map(re.escape, tails))}))"
+        text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(chr(92) + '1' + chr(92) * 2 + chr(92) + '2')}, 'g')"
+    return text
+
+
+_CHAT_FORMAT = f"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+      sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      sum({sum(map(len, chat.Template().marks))} + length({_escaped("role")}) + length({_escaped("text")}))::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id"""
+
+_TERMS = "regexp_extract_all({text}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')".format(
+    text=_LOWERED.format(text="coalesce(text, '')")
+)
+_LEXICAL_SEARCH = f"""
+    WITH documents_terms AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+    sized AS (SELECT doc_id, len(terms)::BIGINT AS n, terms FROM documents_terms WHERE len(terms) > 0),
+    totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS all_terms FROM sized),
+    item_terms AS (
+      SELECT item, item_id, unnest(list_distinct(terms)) AS term
+      FROM (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS terms FROM benchmark)),
+    held AS (
+      SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM sized)
+      WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL),
+    weights AS (
+      SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM held, totals GROUP BY term, docs),
+    marks AS (SELECT doc_id, 50 + (50 * n * docs) // all_terms AS m FROM sized, totals),
+    impacts AS (
+      SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS impact
+      FROM held JOIN weights USING (term) JOIN marks USING (doc_id)),
+    scores AS (
+      SELECT item, item_id, doc_id, sum(impact)::BIGINT AS score
+      FROM item_terms JOIN impacts USING (term) GROUP BY ALL HAVING sum(impact) > 0)
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scores QUALIFY rank <= {lexical_search.BEST}"""
+
+_SPELLING = f"""
+    WITH RECURSIVE {_CRC_STEPS},
+    runs AS (
+      SELECT doc_id, unnest(regexp_extract_all({_LOWERED.format(text="coalesce(text, '')")}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+      FROM documents),
+    found AS (
+      SELECT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS times FROM runs
+      WHERE length(run) >= {spelling.LEAST_CHARS} GROUP BY ALL),
+    marked AS (
+      SELECT run, times, {_CRC32.format(text="id || ':' || run")} AS mark FROM found, steps),
+    spelled AS (
+      SELECT times, CASE WHEN mark % 199 = 0
+        THEN substr(run, 1, (mark % length(run))::INTEGER) || substr(run, (mark % length(run))::INTEGER + 2) ELSE run END AS word
+      FROM marked),
+    words AS (
+      SELECT word, sum(times)::BIGINT AS n FROM spelled WHERE length(word) >= {spelling.LEAST_CHARS}
+      GROUP BY word HAVING sum(times) >= {spelling.LEAST_TIMES}),
+    -- Every word without one of its letters, by its place.
+    less AS (
+      SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INTEGER AS place FROM words)),
+    near AS (
+      SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b USING (rest, place) WHERE a.word != b.word
+      UNION SELECT l.word, l.n, w.word, w.n FROM less l JOIN words w ON w.word = l.rest
+      UNION SELECT w.word, w.n, l.word, l.n FROM less l JOIN words w ON w.word = l.rest),
+    best AS (
+      SELECT word, other AS form, other_n AS form_n, count(*) OVER (PARTITION BY word) AS n_near
+      FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1),
+    judged AS (
+      SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= {spelling.RATIO} * n THEN form END AS form,
+        CASE WHEN form_n >= {spelling.RATIO} * n THEN form_n END AS form_n
+      FROM words LEFT JOIN best USING (word)),
+    followed(word, root, next) AS (
+      SELECT word, word, form FROM judged
+      UNION ALL SELECT f.word, f.next, j.form FROM followed f JOIN judged j ON j.word = f.next)
+    SELECT j.word, j.form, f.root, j.n, j.n_near, j.form_n FROM judged j JOIN followed f ON f.word = j.word AND f.next IS NULL"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_url_filters": _url_filters(),
@@ -264,4 +355,7 @@ def statements() -> dict[str, str]:
         "op7_decontamination": _DECONTAMINATION,
         "op8_sharding": _SHARDING,
         "op10_exact_dedup": _EXACT_DEDUP,
+        "op11_chat_format": _CHAT_FORMAT,
+        "op12_lexical_search": _LEXICAL_SEARCH,
+        "op13_spelling_variants": _SPELLING,
     }
