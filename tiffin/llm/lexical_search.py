@@ -191,10 +191,13 @@ class Best:
         return pa.RecordBatch.from_arrays(columns, names=["item", "doc_id", "score"])
 
 
-def _scoring(block, documents: int, terms: int, k: int, document_tile: int):
+def _scoring(block, documents: int, terms: int, k: int, item_tile: int, term_tile: int, document_tile: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tiles = block.value
-        numbers = [number for tile in tiles for number in tile.numbers]
+        items, weights = block.value
+        tiles = [
+            ItemTile(items[i : i + item_tile], weights, term_tile) for i in range(0, len(items), item_tile)
+        ]
+        numbers = [number for number, _ in items]
         best = Best(len(numbers), k)
         for batch in batches:
             for start in range(0, batch.num_rows, document_tile):
@@ -260,11 +263,9 @@ def ranked_documents(
         weights = np.array([term_weight(documents, int(n)) for n in with_term], np.int64)
         place = {word: i for i, word in enumerate(words)}
         coded = [(row["item"], [place[term] for term in row["terms"]]) for row in block]
-        tiles = [
-            ItemTile(coded[i : i + item_tile], weights, term_tile) for i in range(0, len(coded), item_tile)
-        ]
-        shared = spark.sparkContext.broadcast(tiles)
-        run = _scoring(shared, documents, terms, k, document_tile)
+        # Plain values: broadcasts travel by name, and executors lack this package.
+        shared = spark.sparkContext.broadcast((coded, weights))
+        run = _scoring(shared, documents, terms, k, item_tile, term_tile, document_tile)
         scored = held.filter("size(terms) > 0").mapInArrow(run, "item long, doc_id long, score long")
         found.append(scored)
     if not found:
