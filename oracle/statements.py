@@ -468,6 +468,7 @@ def statements() -> dict[str, str]:
         bronze_numeric_coerce=_NUMERIC_COERCE,
         bronze_malformed=_MALFORMED,
         bronze_quoted=_QUOTED,
+        bronze_mixed_headers=_bronze("order_items"),
         bronze_append=_APPEND,
         bronze_load_report=_LOAD_REPORT,
         silver_customers_reject_null_key=_REJECT_NULL_KEY,

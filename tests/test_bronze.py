@@ -2,16 +2,24 @@ from __future__ import annotations
 
 import datetime
 import json
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from settings import conf
 
 from tiffin.plans.bronze import load_bronze, load_report
 from tiffin.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, RESTAURANTS, TABLES
 from tiffin.sources import testbed
-from tiffin.sources.csv_files import NULL_TOKENS, read_bronze_csv, write_csv
+from tiffin.sources.csv_files import (
+    NULL_TOKENS,
+    malformed_records,
+    read_bronze_csv,
+    read_csv_text,
+    write_csv,
+)
 from tiffin.sources.warehouse import BRONZE, GOLD, Warehouse
 
 SF = "/root/testdata/sf0.001"
@@ -41,16 +49,38 @@ def test_missing_column_fails(spark, tmp_path):
         read_bronze_csv(spark, path, ORDER_ITEMS)
 
 
-def test_parts_must_agree_on_the_header(spark, tmp_path):
+def _parts(tmp_path, **texts):
     folder = tmp_path / "Order_Items.csv"
     folder.mkdir()
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_text(text, newline="")
+    return str(folder)
+
+
+def test_parts_are_read_by_their_own_headers(spark, tmp_path):
+    """Reordered, extra and repeated columns, in parts with and without line breaks inside quotes."""
     header = [f.name for f in ORDER_ITEMS.fields]
-    (folder / "a.csv").write_text(",".join(header) + "\nI1,O1,tea,1,1.00\n")
-    (folder / "b.csv").write_text(",".join(header) + "\nI2,O1,tea,1,1.00\n")
-    assert read_bronze_csv(spark, str(folder), ORDER_ITEMS).count() == 2
-    (folder / "c.csv").write_text(",".join(reversed(header)) + "\n1.00,1,tea,O1,I3\n")
-    with pytest.raises(Exception, match="header"):
-        read_bronze_csv(spark, str(folder), ORDER_ITEMS).collect()
+    texts = {
+        "a": ",".join(header) + "\nI1,O1,tea,1,1.00\n",
+        "b": ",".join(header) + "\nI2,O1,tea,1,1.00\n",
+        "c": ",".join(reversed(header)) + "\n1.00,1,tea,O1,I3\n",
+        "d": ",".join(["Extra", *header, "Extra", ""]) + "\nx,I4,O1,tea,1,1.00,y,z\n",
+        "empty": "",
+        "only_header": ",".join(header) + "\n",
+    }
+    want = [(f"I{i}", "O1", "tea", 1, Decimal("1.00")) for i in (1, 2, 3, 4)]
+    path = _parts(tmp_path, **texts)
+    assert sorted(map(tuple, read_bronze_csv(spark, path, ORDER_ITEMS).collect())) == want
+    (tmp_path / "Order_Items.csv" / "e.csv").write_text(",".join(reversed(header)) + '\n1.00,1,"te\na",O1,I5\n')
+    got = sorted(map(tuple, read_bronze_csv(spark, path, ORDER_ITEMS).collect()))
+    assert got == [*want, ("I5", "O1", "te\na", 1, Decimal("1.00"))]
+
+
+def test_a_part_without_a_column_is_named(spark, tmp_path):
+    header = [f.name for f in ORDER_ITEMS.fields]
+    path = _parts(tmp_path, a=",".join(header) + "\n", b=",".join(header[1:]) + "\nO1,tea,1,1.00\n")
+    with pytest.raises(AnalysisException, match=r"b\.csv has no column Order_item_id"):
+        read_bronze_csv(spark, path, ORDER_ITEMS)
 
 
 def test_null_tokens(spark, tmp_path):
@@ -152,9 +182,86 @@ def test_blanks_beyond_the_width_are_cut(spark, tmp_path):
 
 def test_line_breaks_inside_quotes(spark, tmp_path):
     path = _csv(tmp_path, ORDER_ITEMS, f'{ITEMS}\nI1,O1,"green\ntea",1,1\n')
-    assert read_bronze_csv(spark, path, ORDER_ITEMS, multiline=True).first().Menu_item == "green\ntea"
+    for multiline in (None, True):
+        row = read_bronze_csv(spark, path, ORDER_ITEMS, multiline=multiline).first()
+        assert row.Menu_item == "green\ntea"
     with pytest.raises(Exception, match="Unclosed quote"):
-        read_bronze_csv(spark, path, ORDER_ITEMS).collect()
+        read_bronze_csv(spark, path, ORDER_ITEMS, multiline=False).collect()
+
+
+def test_a_file_that_ends_inside_quotes(spark, tmp_path):
+    path = _csv(tmp_path, ORDER_ITEMS, f'{ITEMS}\nI1,O1,"green\ntea",1,1\nI2,O1,"green,1,1\n')
+    with pytest.raises(ValueError, match=r"Unclosed quote at the end of .*Order_Items\.csv"):
+        read_bronze_csv(spark, path, ORDER_ITEMS)
+    # Line by line, as no line can be told to be the one with the open quote.
+    assert read_bronze_csv(spark, path, ORDER_ITEMS, malformed="skip").collect() == []
+    assert malformed_records(spark, path, ORDER_ITEMS).count() == 3
+
+
+CELLS = ["a", "", '"', '""', '"x', 'x"', ",", "\n", "\r\n", "\n\n", '"\n', '\n"', "tea", " ", '","', "é🙂"]
+
+
+def _written(rng, rows):
+    """CSV text of rows, with quotes where they are needed and in places where they are not."""
+    lines = []
+    for row in rows:
+        cells = []
+        for cell in row:
+            needed = cell[:1] == '"' or any(c in cell for c in ",\n\r")
+            quoted = needed or rng.random() < 0.3
+            cells.append('"' + cell.replace('"', '""') + '"' if quoted else cell)
+        lines.append(",".join(cells) + rng.choice(["\n", "\r\n"]))
+        if rng.random() < 0.1:
+            lines.append("\n")
+    return "".join(lines)
+
+
+@pytest.mark.parametrize("split_bytes", [1, 7, 64, 1000])
+def test_records_do_not_depend_on_splits(spark, tmp_path, split_bytes):
+    """Random files, in splits of any size: the cells come back as they were written."""
+    rng = random.Random(split_bytes)
+    header = [f.name for f in ORDER_ITEMS.fields]
+    texts, want = {}, []
+    for part in range(3):
+        rows = [
+            (f"I{part}-{i}", "O1", "".join(rng.choices(CELLS, k=rng.randrange(6))) + "x", "1", "1.00")
+            for i in range(rng.randrange(1, 25))
+        ]
+        want += rows
+        texts[f"p{part}"] = ",".join(header) + "\r\n" + _written(rng, rows)
+    path = _parts(tmp_path, **texts)
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    with conf(spark, **settings):
+        got = [
+            tuple(r)
+            for _, text in read_csv_text(spark, path)
+            for r in text.filter("_reason IS NULL").select(*header).collect()
+        ]
+    assert sorted(got) == sorted(want)
+
+
+def test_many_tasks_read_a_file_with_line_breaks(spark, tmp_path):
+    lines = "".join(f'I{i},O{i},"tea\nno. {i}",1,1.00\n' for i in range(5000))
+    path = _csv(tmp_path, ORDER_ITEMS, f"{ITEMS}\n{lines}")
+    with conf(spark, **{"spark.sql.files.maxPartitionBytes": "10000"}):
+        rows = read_bronze_csv(spark, path, ORDER_ITEMS)
+        whole = read_bronze_csv(spark, path, ORDER_ITEMS, multiline=True)
+        per_task = rows.groupBy(F.spark_partition_id().alias("task")).count()
+        assert per_task.filter("count > 0").count() > 10
+        assert rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
+
+
+def test_changed_splits_are_an_error(spark, tmp_path):
+    lines = "".join(f'I{i},O{i},"tea\nno. {i}",1,1.00\n' for i in range(500))
+    path = _csv(tmp_path, ORDER_ITEMS, f"{ITEMS}\n{lines}")
+    with conf(spark, **{"spark.sql.files.maxPartitionBytes": "10000"}):
+        rows = read_bronze_csv(spark, path, ORDER_ITEMS)
+    with conf(spark, **{"spark.sql.files.maxPartitionBytes": "3000"}):
+        with pytest.raises(Exception, match="splits of an extract changed"):
+            rows.collect()
 
 
 BAD_LINES = (
@@ -175,7 +282,7 @@ def test_records_with_too_many_fields_end_the_load(spark, tmp_path):
 def test_malformed_records_can_go_to_the_audit(spark, tmp_path):
     _csv(tmp_path, ORDER_ITEMS, f"{ITEMS}\n{BAD_LINES}")
     warehouse = Warehouse(spark, str(tmp_path / "w"))
-    steps = load_bronze(warehouse, str(tmp_path), [ORDER_ITEMS], malformed="audit")
+    steps = load_bronze(warehouse, str(tmp_path), [ORDER_ITEMS], multiline=False, malformed="audit")
     assert steps == [("Order_Items", "loaded", 2), ("Order_Items", "malformed", 3)]
     loaded = {r.Order_item_id: (r.Menu_item, r.Price) for r in warehouse.bronze(ORDER_ITEMS).collect()}
     assert loaded == {"I2": ('a, "b"', Decimal("2.00")), "I4": ("short", None)}
@@ -185,9 +292,10 @@ def test_malformed_records_can_go_to_the_audit(spark, tmp_path):
         ("Unclosed quote", 'I3,O1,"Rice'),
         ("Unclosed quote", 'and beans",1,2.00'),
     }
-    whole = Warehouse(spark, str(tmp_path / "whole"))
-    steps = load_bronze(whole, str(tmp_path), [ORDER_ITEMS], malformed="audit", multiline=True)
-    assert steps == [("Order_Items", "loaded", 3), ("Order_Items", "malformed", 1)]
+    for multiline in (None, True):
+        whole = Warehouse(spark, str(tmp_path / f"whole-{multiline}"))
+        steps = load_bronze(whole, str(tmp_path), [ORDER_ITEMS], malformed="audit", multiline=multiline)
+        assert steps == [("Order_Items", "loaded", 3), ("Order_Items", "malformed", 1)]
     with pytest.raises(Exception, match="Too many fields"):
         load_bronze(whole, str(tmp_path), [ORDER_ITEMS])
     with pytest.raises(ValueError):

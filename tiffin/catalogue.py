@@ -14,6 +14,7 @@ from contextlib import contextmanager
 from decimal import Decimal
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -223,14 +224,19 @@ def bronze_numeric_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_items(spark: SparkSession, sf_dir: str, line: str) -> str:
-    """An extract of order items whose records are given as text by an SQL expression."""
+    """An extract of order items whose records are given as text by an SQL expression.
+
+    Every partition of the source becomes a part file with a header of its own.
+    """
     folder = f"{fresh_warehouse(spark).root}/landing"
     header = ",".join(f.name for f in ORDER_ITEMS.fields)
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["value"])
+        yield from batches
+
     lines = testbed.source_table(spark, sf_dir, "lineitem").selectExpr(f"{line} AS value")
-    # The header is a file of its own that all records follow, as in a concatenated export.
-    text = lines.repartition(1).sortWithinPartitions("value").selectExpr("value")
-    text = spark.createDataFrame([(header,)], "value string").coalesce(1).union(text).coalesce(1)
-    text.write.text(f"{folder}/Order_Items.csv")
+    lines.mapInArrow(headed, "value string").write.text(f"{folder}/Order_Items.csv")
     return folder
 
 
@@ -238,12 +244,17 @@ _ITEM = "'I' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING
 
 
 def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records with too many fields, an open quote or too few fields, beside good ones, by reason."""
+    """Records with too many fields, an open quote or too few fields, beside good ones, by reason.
+
+    Every line is a record here, so an open quote ends with its line.
+    """
     line = f'''{_ITEM} || CASE l_partkey % 10
         WHEN 0 THEN ',Soup, hot,2,3.50' WHEN 1 THEN ',"Rice,1,2.00' WHEN 2 THEN ',"Tea, ""green""",2'
         WHEN 3 THEN ',"a, b",1,2.00' ELSE ',Bread,1,2.00' END'''
     warehouse = fresh_warehouse(spark)
-    steps = load_bronze(warehouse, _raw_items(spark, sf_dir, line), [ORDER_ITEMS], malformed="audit")
+    steps = load_bronze(
+        warehouse, _raw_items(spark, sf_dir, line), [ORDER_ITEMS], multiline=False, malformed="audit"
+    )
     by_reason = warehouse.audit().groupBy("table_name", F.col("reason").alias("status"))
     audited = by_reason.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -260,7 +271,19 @@ def bronze_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN 2 THEN ',"the ""best"" tea",2,1.00' ELSE ',Bread,1,2.00' END'''
     folder = _raw_items(spark, sf_dir, line)
     path = f"{folder}/Order_Items.csv"
-    return read_bronze_csv(spark, path, ORDER_ITEMS, multiline=True)
+    return read_bronze_csv(spark, path, ORDER_ITEMS)
+
+
+def bronze_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of one extract with columns in another order, and with more of them, also with line breaks."""
+    path = f"{fresh_warehouse(spark).root}/landing/Order_Items.csv"
+    rows = testbed.bronze(spark, sf_dir, ORDER_ITEMS)
+    names = [f.name for f in ORDER_ITEMS.fields]
+    remark = F.concat_ws("\n", F.lit("said"), "Menu_item").alias("Remark")
+    third = F.pmod(F.xxhash64(*names), F.lit(3))
+    for part, columns in enumerate((names, names[::-1], [remark, *names])):
+        write_csv(rows.filter(third == part).select(*columns), path, "append")
+    return read_bronze_csv(spark, path, ORDER_ITEMS)
 
 
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -565,6 +588,7 @@ def queries() -> dict[str, Query]:
         bronze_numeric_coerce,
         bronze_malformed,
         bronze_quoted,
+        bronze_mixed_headers,
         bronze_append,
         bronze_load_report,
         audit_payload,

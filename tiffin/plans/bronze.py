@@ -26,7 +26,7 @@ def load_bronze(
     warehouse: Warehouse,
     csv_folder: str,
     specs: Iterable[TableSpec] = TABLES,
-    multiline: bool = False,
+    multiline: bool | None = None,
     at_once: int = AT_ONCE,
     day_first: bool = False,
     malformed: str = RAISE,

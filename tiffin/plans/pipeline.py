@@ -107,7 +107,7 @@ def run_pipeline(
     gold_mode: str = "overwrite",
     on_gold_error: str = "raise",
     rejected_at: Column | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
     day_first: bool = False,
     malformed: str = RAISE,
 ) -> DataFrame:

@@ -8,11 +8,15 @@ fit the header. Such records can be set aside instead (``malformed="skip"``, ``m
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiffin.schemas import Field, TableSpec
+from tiffin.sources import csv_records
 
 # The texts that pandas reads as missing by default.
 NULL_TOKENS = (
@@ -48,10 +52,12 @@ _MONTH_FIRST, _DAY_FIRST = "M/d/yyyy", "d/M/yyyy"
 
 _NUMBER = r"(?i)^\s*[+-]?((\d+[.]?\d*|[.]\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 
-RECORD = "_record"
+RECORD, REASON = "_record", "_reason"
 TOO_MANY_FIELDS, UNCLOSED_QUOTE = "Too many fields", "Unclosed quote"
 RAISE, SKIP = "raise", "skip"
 
+_CSV = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": RECORD}
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whatever file system it names."""
@@ -61,28 +67,59 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(conf).exists(hadoop_path)
 
 
-def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A headed CSV as text columns, named by its header, and the column ``_record``.
+def read_csv_text(
+    spark: SparkSession, path: str, multiline: bool | None = None, lenient: bool = False
+) -> list[tuple[str, DataFrame]]:
+    """A headed extract as text columns, a table for each distinct header, with a file that has it.
+
+    Columns are matched by name, not by position, so the parts of a folder may have them in any order. The
+    columns ``_record`` and ``_reason`` are NULL for good records; for one that does not fit its header they
+    are its text and what is wrong with it.
 
-    Columns are matched by name, not by position. ``_record`` is the text of a record whose number of
-    fields is not that of the header, else NULL. ``multiline`` admits line breaks inside quotes but
-    makes a file unsplittable, so it is off unless an extract needs it.
+    Line breaks inside quotes are found by a scan of the lines that have quotes, and such extracts are read
+    by many tasks (``csv_records``). ``multiline=False`` spares the scan: every line is a record, and one that
+    ends inside quotes is malformed. ``multiline=True`` has Spark read every file in one task. An extract
+    with a file that ends inside quotes is an error, or is read line by line if ``lenient``.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("enforceSchema", False)
-    )
-    header = reader.csv(path).schema
-    # All fields are parsed whatever is selected later, as their number is what is checked.
-    return (
-        reader.option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", RECORD)
-        .schema(T.StructType(header.fields).add(RECORD, T.StringType()))
-        .csv(path)
-    )
+    files = csv_records.input_files(spark, path)
+    headers = csv_records.file_headers(spark, files)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers, strict=True):
+        if header:
+            by_header.setdefault(header, []).append(file)
+    if not by_header:
+        raise AnalysisException(f"no file of {path} has a header")
+    quotes = csv_records.scan_quotes(spark, path) if multiline is None else None
+    if quotes and quotes.unclosed and not lenient:
+        numbers = csv_records.file_numbers(spark, files)
+        broken = [f for f, n in zip(files, numbers, strict=True) if n in quotes.unclosed]
+        raise ValueError(f"{UNCLOSED_QUOTE} at the end of {broken[0]}")
+    records = None
+    if quotes and quotes.breaks and not quotes.unclosed:
+        groups = {header: i for i, header in enumerate(by_header)}
+        numbers = csv_records.file_numbers(spark, files)
+        records = csv_records.read_records(
+            spark, path, quotes, {n: groups.get(h, 0) for n, h in zip(numbers, headers, strict=True)}
+        )
+    tables = []
+    for i, (header, own) in enumerate(by_header.items()):
+        names = csv_records.distinct_names(header)
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, RECORD]])
+        if records is None:
+            text = (
+                spark.read.options(**_CSV, header=True, multiLine=bool(multiline))
+                # All fields are parsed whatever is selected later, as their number is what is checked.
+                .option("columnPruning", False)
+                .schema(schema)
+                .csv(path if len(own) == len(files) else own)
+            )
+        else:
+            of_group = records.filter(F.col("group") == i) if len(by_header) > 1 else records
+            fields = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
+            parsed = F.from_csv(F.col("record"), fields, {**_CSV, "multiLine": "true"})
+            text = of_group.select(parsed.alias("fields")).select("fields.*")
+        tables.append((own[0], text.withColumn(REASON, malformed_reason(text))))
+    return tables
 
 
 def malformed_reason(text: DataFrame) -> Column:
@@ -95,8 +132,9 @@ def malformed_reason(text: DataFrame) -> Column:
     quotes = F.length(record) - F.length(F.replace(record, F.lit('"'), F.lit("")))
     bare = F.regexp_replace(record, '"[^"]*"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    header_fields = len([c for c in text.columns if c != RECORD])
     return F.when(quotes % 2 == 1, F.lit(UNCLOSED_QUOTE)).when(
-        fields > len(text.columns) - 1, F.lit(TOO_MANY_FIELDS)
+        fields > header_fields, F.lit(TOO_MANY_FIELDS)
     )
 
 
@@ -171,44 +209,59 @@ def to_bronze(text: DataFrame, spec: TableSpec, day_first: bool = False) -> Data
     return text.select(*columns)
 
 
+def _check_columns(file: str, text: DataFrame, spec: TableSpec) -> None:
+    there = {c.lower() for c in text.columns}
+    for field in spec.fields:
+        if field.name.lower() not in there:
+            raise AnalysisException(f"{file} has no column {field.name}")
+
+
 def read_bronze_csv(
     spark: SparkSession,
     path: str,
     spec: TableSpec,
-    multiline: bool = False,
+    multiline: bool | None = None,
     day_first: bool = False,
     malformed: str = RAISE,
 ) -> DataFrame:
     """Bronze rows of an extract. A malformed record fails the load, or is left out by ``"skip"``."""
     if malformed not in (RAISE, SKIP):
         raise ValueError(f"malformed must be '{RAISE}' or '{SKIP}', not {malformed!r}")
-    text = read_csv_text(spark, path, multiline)
-    reason = malformed_reason(text)
-    if malformed == RAISE:
-        message = F.concat(reason, F.lit(f" in {spec.bronze_name}: "), F.substring(RECORD, 1, 200))
-        good = F.when(reason.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
-    else:
-        good = reason.isNull()
-    return to_bronze(text.filter(good & _field_is_read(text)), spec, day_first)
+    parts = []
+    for file, text in read_csv_text(spark, path, multiline, lenient=malformed == SKIP):
+        _check_columns(file, text, spec)
+        reason = F.col(REASON)
+        if malformed == RAISE:
+            message = F.concat(reason, F.lit(f" in {spec.bronze_name}: "), F.substring(RECORD, 1, 200))
+            good = F.when(reason.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+        else:
+            good = reason.isNull()
+        parts.append(to_bronze(text.filter(good & _field_is_read(text)), spec, day_first))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def malformed_records(
-    spark: SparkSession, path: str, spec: TableSpec, multiline: bool = False
+    spark: SparkSession, path: str, spec: TableSpec, multiline: bool | None = None
 ) -> DataFrame:
     """``(table_name, reason, row_data)`` of the records that cannot be read, as the audit has them."""
-    text = read_csv_text(spark, path, multiline)
-    return text.filter(malformed_reason(text).isNotNull() & _field_is_read(text)).select(
-        F.lit(spec.silver_name).alias("table_name"),
-        malformed_reason(text).alias("reason"),
-        F.to_json(F.struct(F.col(RECORD).alias("record"))).alias("row_data"),
+    return reduce(
+        DataFrame.unionAll,
+        [
+            text.filter(F.col(REASON).isNotNull() & _field_is_read(text)).select(
+                F.lit(spec.silver_name).alias("table_name"),
+                F.col(REASON).alias("reason"),
+                F.to_json(F.struct(F.col(RECORD).alias("record"))).alias("row_data"),
+            )
+            for _, text in read_csv_text(spark, path, multiline, lenient=True)
+        ],
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headed CSV that ``read_csv_text`` reads back unchanged (outer blanks are kept)."""
     (
         df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
