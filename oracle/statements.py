@@ -470,6 +470,8 @@ def statements() -> dict[str, str]:
         bronze_quoted=_QUOTED,
         bronze_mixed_headers=_bronze("order_items"),
         bronze_append=_APPEND,
+        bronze_append_retry=_APPEND,
+        silver_audit_after_crash=f"SELECT table_name, reason, key, 2 * n AS n FROM ({_audit('orders')}) AS a",
         bronze_load_report=_LOAD_REPORT,
         silver_customers_reject_null_key=_REJECT_NULL_KEY,
         audit_customers_reject_null_key=_AUDIT_REJECT_NULL_KEY,

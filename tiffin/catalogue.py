@@ -49,6 +49,7 @@ from tiffin.schemas import (
 from tiffin.session import shared_folder
 from tiffin.sources import testbed
 from tiffin.sources.csv_files import NULL_TOKENS, read_bronze_csv, write_csv
+from tiffin.sources.manifest import Change
 from tiffin.sources.warehouse import BRONZE, GOLD, SILVER, Stage, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,6 +300,43 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class CrashingWarehouse(Warehouse):
+    """Writes files like a warehouse, and ends before they are committed."""
+
+    def commit(self, *changes: Change) -> None:
+        raise RuntimeError("crash before the commit")
+
+
+def bronze_append_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that fails amid its tasks, then before its commit, then is repeated twice; and a second load."""
+    warehouse = fresh_warehouse(spark)
+    folder = landing(spark, sf_dir, "Customers")
+    rows = read_bronze_csv(spark, f"{folder}/Customers.csv", CUSTOMERS)
+    broken = F.when(F.col("Customer_id").isNotNull(), F.raise_error(F.lit("broken customer")).cast("string"))
+    with suppress_error("broken customer"):
+        warehouse.load(rows.withColumn("City", broken), CUSTOMERS, "first")
+    with suppress_error("crash before the commit"):
+        load_bronze(CrashingWarehouse(spark, warehouse.root), folder, [CUSTOMERS], load_id="first")
+    for load_id in ("first", "first", "second"):
+        load_bronze(warehouse, folder, [CUSTOMERS], load_id=load_id)
+    return (
+        warehouse.bronze(CUSTOMERS)
+        .groupBy("Customer_id", "Email", "City")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+
+
+def silver_audit_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit after a build, one that ends before its commit, and one more: that of two builds."""
+    warehouse = fresh_warehouse(spark)
+    warehouse.write(testbed.bronze(spark, sf_dir, ORDERS), BRONZE, ORDERS.bronze_name)
+    build_silver(warehouse, [ORDERS])
+    with suppress_error("crash before the commit"):
+        build_silver(CrashingWarehouse(spark, warehouse.root), [ORDERS])
+    build_silver(warehouse, [ORDERS])
+    return _rejects_per_key(warehouse.audit(), ORDERS.key)
+
+
 def bronze_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load where the partners' extract is missing."""
     folder = f"{fresh_warehouse(spark).root}/landing"
@@ -590,9 +628,11 @@ def queries() -> dict[str, Query]:
         bronze_quoted,
         bronze_mixed_headers,
         bronze_append,
+        bronze_append_retry,
         bronze_load_report,
         audit_payload,
         silver_after_failed_rebuild,
+        silver_audit_after_crash,
         dedup_pk,
         gold_if_absent,
         reconcile_counts,

@@ -110,15 +110,21 @@ def run_pipeline(
     multiline: bool | None = None,
     day_first: bool = False,
     malformed: str = RAISE,
+    load_id: str | None = None,
 ) -> DataFrame:
     """Run all layers and the reconciliation; returns ``(layer, table_name, status, rows)``.
 
     There is a row per table, then one per count and check of the reconciliation, which also runs after
-    a gold table that failed. The load report is kept as the table ``load_report`` of the audit layer
+    a gold table that failed. A run that is repeated with its ``load_id`` loads no table twice. The load report is kept as the table ``load_report`` of the audit layer
     as soon as bronze is loaded, the report of the whole run as ``run_report``.
     """
     loaded = load_bronze(
-        warehouse, csv_folder, multiline=multiline, day_first=day_first, malformed=malformed
+        warehouse,
+        csv_folder,
+        multiline=multiline,
+        day_first=day_first,
+        malformed=malformed,
+        load_id=load_id,
     )
     warehouse.write(load_report(warehouse.spark, loaded), AUDIT, "load_report")
     steps: list[Step] = [("bronze", *step) for step in loaded]

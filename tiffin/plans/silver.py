@@ -18,7 +18,7 @@ from tiffin.operators.quality import (
 )
 from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import TABLES, TableSpec
-from tiffin.sources.warehouse import Stage, Warehouse
+from tiffin.sources.warehouse import SILVER, Stage, Warehouse
 
 
 def stored_rejections(
@@ -49,9 +49,10 @@ def build_silver_table(
     rejected_at: Column | None = None,
 ) -> tuple[int, int]:
     """Rebuild one silver table and append its rejects, both or neither; returns both row counts."""
+    on = warehouse.version(SILVER, spec.silver_name)
     kept = clean(warehouse.bronze(spec), spec, null_key)
     rejected = audit_rows(stored_rejections(warehouse, spec, stage, null_key), rejected_at)
-    return warehouse.rebuild(kept, rejected, spec)
+    return warehouse.rebuild(kept, rejected, spec, on=on)
 
 
 def build_silver(

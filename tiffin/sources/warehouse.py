@@ -1,29 +1,34 @@
-"""The layered warehouse: Parquet directories per layer and table under a common root.
+"""The layered warehouse: Parquet folders per layer and table under a common root.
 
-A table that is rebuilt is written to a new folder, and a small file, ``_current``, then names that
-folder. Readers follow the file, so they see the old table until the new one is complete, and a build that
-fails leaves the old one as it was. Tables that only grow (bronze, audit) are written in place.
+Every write goes to a new folder; a commit to the log of the warehouse (``manifest``) then makes the folders of
+one or more tables what is read. Readers see the old tables until then. A write that fails, at whatever step,
+leaves them as they were; what it has written is read by nobody and goes with ``vacuum``. A load has an id, and a
+table takes in a load of the same id once.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 from contextlib import suppress
 from dataclasses import dataclass
+from functools import reduce
 from threading import Lock
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tiffin.schemas import AUDIT_SCHEMA, BY_SILVER_NAME, TableSpec
-from tiffin.sources.csv_files import path_exists
+from tiffin.sources.manifest import Change, Manifest, TableState
 
 BRONZE, SILVER, GOLD, AUDIT, STAGE = "bronze", "silver", "gold", "audit", "stage"
 AUDIT_TABLE = "rejected_rows"
-CURRENT = "_current"
-VERSIONS_KEPT = 2
+LOG = "_log"
+_HOUR_MS = 3_600_000
+
+Figures = Mapping[str, Column]
 
 
 @dataclass(frozen=True)
@@ -31,23 +36,40 @@ class Warehouse:
     spark: SparkSession
     root: str
 
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, f"{self._root}/{LOG}")
+
+    @property
+    def _root(self) -> str:
+        return self.root.rstrip("/")
+
     def folder(self, layer: str, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{table}"
+        return f"{self._root}/{layer}/{table}"
 
-    def path(self, layer: str, table: str) -> str:
-        """Where the rows of a table are now."""
-        folder = self.folder(layer, table)
-        versions = self._versions(folder)
-        return f"{folder}/{versions[-1]}" if versions else folder
+    def states(self, layer: str) -> dict[str, TableState]:
+        """The tables of a layer, and what is known of them."""
+        found = self.manifest.state().items()
+        return {name.removeprefix(f"{layer}/"): s for name, s in found if name.startswith(f"{layer}/")}
 
     def exists(self, layer: str, table: str) -> bool:
-        """Whether a finished table is there (a failed write leaves no ``_SUCCESS``)."""
-        return path_exists(self.spark, f"{self.path(layer, table)}/_SUCCESS")
+        return table in self.states(layer)
+
+    def version(self, layer: str, table: str) -> str:
+        """What a table is now; empty if it is not there."""
+        state = self.states(layer).get(table)
+        return state.version if state else ""
 
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         """A stored table. A given schema spares the job that reads it from a file."""
+        state = self.states(layer).get(table)
+        if state is None:
+            raise LookupError(f"there is no table {layer}/{table} in {self.root}")
+        return self._parquet(state.folders, schema)
+
+    def _parquet(self, folders: list[str], schema: StructType | None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(layer, table))
+        return reader.parquet(*[f"{self._root}/{folder}" for folder in folders])
 
     def bronze(self, spec: TableSpec) -> DataFrame:
         return self.read(BRONZE, spec.bronze_name, spec.bronze_schema)
@@ -59,58 +81,110 @@ class Warehouse:
         return self.silver(BY_SILVER_NAME[name])
 
     def audit(self) -> DataFrame:
-        """All audit records; those of one table are one partition, those of one build one folder."""
-        return self.read(AUDIT, AUDIT_TABLE, AUDIT_SCHEMA).select(*AUDIT_SCHEMA.names)
-
-    def append_audit(self, records: DataFrame, spec: TableSpec) -> int:
-        """Append the audit records of one table. Tables may do so at the same time."""
-        partition = f"{AUDIT_TABLE}/table_name={spec.silver_name}"
-        return self.write(records.drop("table_name"), AUDIT, partition, "append")
-
-    def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite") -> int:
+        """All audit records. Those of each table are stored apart, so a filter on its name reads no others."""
+        stored = StructType([f for f in AUDIT_SCHEMA if f.name != "table_name"])
+        parts = [
+            self._parquet(state.folders, stored)
+            .withColumn("table_name", F.lit(name.removeprefix(f"{AUDIT_TABLE}/")))
+            .select(*AUDIT_SCHEMA.names)
+            for name, state in sorted(self.states(AUDIT).items())
+            if name.startswith(f"{AUDIT_TABLE}/")
+        ]
+        return reduce(DataFrame.unionAll, parts or [self.spark.createDataFrame([], AUDIT_SCHEMA)])
+
+    def write(
+        self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", figures: Figures | None = None
+    ) -> int:
         """Write ``df`` and return the number of rows written.
 
-        Rows are counted during the write, without a second pass. ``mode`` is ``overwrite`` (rebuild),
-        ``append`` (add to what is there) or ``ignore`` (keep a table that exists; 0 rows).
+        Rows are counted during the write, without a second pass, and so are ``figures``: sums over the rows that
+        are kept with the table. ``mode`` is ``overwrite`` (rebuild), ``append`` (add to what is there) or
+        ``ignore`` (keep a table that exists; 0 rows).
         """
         if mode == "ignore" and self.exists(layer, table):
             return 0
-        if mode == "append":
-            return self._counted(df, self.path(layer, table), "append")
-        version = self.new_version()
-        rows = self._counted(df, f"{self.folder(layer, table)}/{version}", "error")
-        self.switch({(layer, table): version})
-        return rows
-
-    def rebuild(self, kept: DataFrame, rejected: DataFrame, spec: TableSpec) -> tuple[int, int]:
-        """Rebuild a silver table and append its audit records; both counts.
-
-        The records are written beside the audit table and moved into it once both are complete. A
-        build that fails changes neither table.
+        load = uuid.uuid4().hex if mode == "append" else None
+        change = self.written(df, layer, table, figures, load)
+        self.commit(change)
+        return change.rows
+
+    def load(self, rows: DataFrame, spec: TableSpec, load: str, rejected: DataFrame | None = None) -> list[int]:
+        """Append a load to a bronze table, and its malformed records to the audit, both or neither."""
+        changes = [self.written(rows, BRONZE, spec.bronze_name, load=load)]
+        if rejected is not None:
+            changes.append(self._rejected(rejected, spec, load))
+        self.commit(*changes)
+        return [change.rows for change in changes]
+
+    def loaded(self, spec: TableSpec, load: str) -> int | None:
+        """The rows that a bronze table has taken in by a load; None if it has not."""
+        state = self.states(BRONZE).get(spec.bronze_name)
+        return state.loads.get(load) if state else None
+
+    def rebuild(
+        self,
+        kept: DataFrame,
+        rejected: DataFrame,
+        spec: TableSpec,
+        figures: Figures | None = None,
+        on: str | None = None,
+    ) -> tuple[int, int]:
+        """Rebuild a silver table and append its audit records, in one commit; both counts.
+
+        ``on`` is the version of the silver table when the build began; if another build has replaced it since,
+        this one ends with a ``Conflict``.
         """
-        version = self.new_version()
-        waiting = f"{self.folder(STAGE, 'audit')}/{version}"
-        n_kept = self._counted(kept, f"{self.folder(SILVER, spec.silver_name)}/{version}", "error")
-        n_rejected = self._counted(rejected.drop("table_name"), waiting, "error")
-        self._adopt(waiting, f"{AUDIT_TABLE}/table_name={spec.silver_name}")
-        self.switch({(SILVER, spec.silver_name): version})
-        return n_kept, n_rejected
-
-    @staticmethod
-    def new_version() -> str:
-        return f"v-{uuid.uuid4().hex}"
-
-    def switch(self, versions: Mapping[tuple[str, str], str]) -> None:
-        """Make complete folders the tables to be read, and remove those of builds long replaced.
-
-        The version before stays, for readers that have begun with it.
+        silver = self.written(kept, SILVER, spec.silver_name, figures, on=on)
+        audit = self._rejected(rejected, spec, uuid.uuid4().hex)
+        self.commit(silver, audit)
+        return silver.rows, audit.rows
+
+    def _rejected(self, records: DataFrame, spec: TableSpec, load: str) -> Change:
+        return self.written(records.drop("table_name"), AUDIT, f"{AUDIT_TABLE}/{spec.silver_name}", load=load)
+
+    def written(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        figures: Figures | None = None,
+        load: str | None = None,
+        on: str | None = None,
+    ) -> Change:
+        """``df`` in a new folder, which is read only once the change is committed."""
+        folder = f"{layer}/{table}/v-{uuid.uuid4().hex}"
+        seen = {}
+        if figures:
+            observed = Observation()
+            sums = [F.coalesce(F.sum(c.cast("bigint")), F.lit(0)).alias(n) for n, c in figures.items()]
+            df, seen = df.observe(observed, *sums), observed
+        rows = self._counted(df, f"{self._root}/{folder}", "error")
+        kept = {name: int(seen.get[name]) for name in figures} if figures else {}
+        return Change(f"{layer}/{table}", folder, rows, kept, load, on)
+
+    def commit(self, *changes: Change) -> None:
+        """Make written folders the tables to be read, all at once.
+
+        The version before a replaced one stays, for readers that have begun with it.
         """
-        for (layer, table), version in versions.items():
-            folder = self.folder(layer, table)
-            history = [*self._versions(folder), version]
-            self._write_text(f"{folder}/{CURRENT}", "\n".join(history[-VERSIONS_KEPT:]))
-            for old in history[:-VERSIONS_KEPT]:
-                self.delete(f"{folder}/{old}")
+        for folder in self.manifest.commit(changes):
+            with suppress(Exception):  # nobody reads it, and vacuum comes by
+                self.delete(f"{self._root}/{folder}")
+
+    def vacuum(self, older_than_hours: float = 24) -> list[str]:
+        """Remove the folders of writes that failed or were replaced, if as old as given; their paths."""
+        needed = {f for s in self.manifest.state().values() for f in (*s.folders, *s.before)}
+        latest = time.time() * 1000 - older_than_hours * _HOUR_MS
+        gone = []
+        fs, root = self._file_system(self._root)
+        for layer in (BRONZE, SILVER, GOLD, AUDIT):
+            for status in fs.globStatus(self._hadoop_path(f"{self._root}/{layer}/{{*/v-*,*/*/v-*}}")) or ():
+                path = status.getPath().toString()
+                name = path[path.rindex(f"/{layer}/") + 1 :]
+                if name not in needed and status.getModificationTime() <= latest:
+                    self.delete(path)
+                    gone.append(name)
+        return gone
 
     def delete(self, path: str) -> None:
         fs, hadoop_path = self._file_system(path)
@@ -122,52 +196,11 @@ class Warehouse:
         counted.write.mode(mode).parquet(path)
         return seen.get["rows"]
 
-    def _adopt(self, waiting: str, table: str) -> None:
-        """Move finished files into a growing audit table; Spark gave them names of their own."""
-        fs, source = self._file_system(waiting)
-        jvm = self.spark.sparkContext._jvm
-        part = self.folder(AUDIT, table)
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(part))
-        for status in fs.listStatus(source):
-            name = status.getPath().getName()
-            if name.startswith("part-"):
-                to = jvm.org.apache.hadoop.fs.Path(f"{part}/{name}")
-                if not fs.rename(status.getPath(), to):
-                    raise OSError(f"cannot move {status.getPath()} to {part}")
-        self.delete(waiting)
-
-    def _versions(self, folder: str) -> list[str]:
-        """The versions of a table, the current one last; none for a table written in place."""
-        fs, pointer = self._file_system(f"{folder}/{CURRENT}")
-        if not fs.exists(pointer):
-            return []
-        stream = fs.open(pointer)
-        try:
-            data = bytes(stream.readAllBytes())
-        finally:
-            stream.close()
-        return data.decode().split("\n")
-
-    def _write_text(self, path: str, text: str) -> None:
-        """Replace a small file; it is complete under another name before it gets its own."""
-        jvm = self.spark.sparkContext._jvm
-        fs, target = self._file_system(path)
-        other = jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
-        stream = fs.create(other, True)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
-        options = self.spark.sparkContext._gateway.new_array(
-            jvm.org.apache.hadoop.fs.Options.Rename, 1
-        )
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(fs.makeQualified(other), fs.makeQualified(target), options)
+    def _hadoop_path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
     def _file_system(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path = self._hadoop_path(path)
         fs = hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs, hadoop_path
 
@@ -205,4 +238,5 @@ class Stage:
                 rows = self._warehouse._counted(plan, path, "error")
                 self._written[name] = (plan.schema, rows)
             schema, rows = self._written[name]
-        return self._warehouse.read(STAGE, table, schema), rows
+        folder = self._warehouse.folder(STAGE, table)
+        return self._warehouse.spark.read.schema(schema).parquet(folder), rows
