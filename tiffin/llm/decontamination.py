@@ -10,21 +10,20 @@ and nothing is shuffled. Patterns of much different length are searched apart, a
 bounds how far a search can skip.
 
 Defined cases: a NULL or wordless document has no words and no hits; a NULL or wordless item has no
-window; items with equal windows are all named; a repeated item counts once; a NULL item_id is left out;
-identifiers of documents may be NULL or repeated; empty tables of either kind work; other columns are
+window; items with equal windows are all named; a repeated item counts once; words of an item without an
+identifier are hit like any, but it is not among the items that are counted and named; identifiers of documents may be NULL or repeated; empty tables of either kind work; other columns are
 not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.llm.scratch import Scratch
@@ -164,10 +163,11 @@ def _patterns(
     """``(item, pattern, part)``, and the number of parts, each of some ``group_bytes`` at most."""
     items = benchmark.select(
         F.col(item).cast("string").alias("item"), F.encode(F.col(text), "UTF-8").alias("text")
-    ).dropna()
+    ).dropna(subset=["text"])
     windows = items.mapInArrow(_windows(width), "item string, pattern binary").distinct()
     windows = scratch.store(windows, "windows")
-    size = windows.agg(F.sum(F.octet_length("pattern") + F.octet_length("item"))).first()[0] or 0
+    name_bytes = F.coalesce(F.octet_length("item"), F.lit(0))
+    size = windows.agg(F.sum(F.octet_length("pattern") + name_bytes)).first()[0] or 0
     parts = max(1, -(-size // group_bytes))
     return windows.withColumn("part", F.pmod(F.xxhash64("pattern"), F.lit(parts))), parts
 
@@ -175,22 +175,21 @@ def _patterns(
 def _owners(part: DataFrame) -> list[tuple[bytes, list[str]]]:
     owners: dict[bytes, list[str]] = defaultdict(list)
     for row in part.collect():
-        owners[bytes(row["pattern"])].append(row["item"])
+        owners[bytes(row["pattern"])] += [] if row["item"] is None else [row["item"]]
     return sorted((pattern, sorted(items)) for pattern, items in owners.items())
 
 
-_MERGED = "n_hit long, n_items long, items_sha256 string"
+def _covered(first: Column, last: Column) -> Column:
+    """How many word numbers lie in the ranges, which may overlap."""
+    ranges = F.array_sort(F.arrays_zip(first.alias("first"), last.alias("last")))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("upto"))
 
+    def add(so_far: Column, span: Column) -> Column:
+        new = F.greatest(F.lit(0), span["last"] - F.greatest(span["first"], so_far["upto"] + 1) + 1)
+        upto = F.greatest(so_far["upto"], span["last"])
+        return F.struct((so_far["n"] + new).alias("n"), upto.alias("upto"))
 
-def _merged(items, first, last):
-    """Joins what several groups of patterns found in one document."""
-    spans = sorted((a, b) for f, g in zip(first, last, strict=True) for a, b in zip(f, g, strict=True))
-    hit, upto = 0, -1
-    for a, b in spans:
-        hit += max(0, b - max(a, upto + 1) + 1)
-        upto = max(upto, b)
-    found = sorted({i for part in items for i in part})
-    return hit, len(found), hashlib.sha256(",".join(found).encode()).hexdigest()
+    return F.aggregate(ranges, none, add, lambda so_far: so_far["n"])
 
 
 def contaminated_spans(
@@ -228,26 +227,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     found, groups = contaminated_spans(docs, benchmark, **options)
     if groups > 1:
         found = found.groupBy("row", "doc_id", "n_words").agg(
-            F.collect_list("items").alias("items"),
-            F.collect_list("first").alias("first"),
-            F.collect_list("last").alias("last"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            F.flatten(F.collect_list("first")).alias("first"),
+            F.flatten(F.collect_list("last")).alias("last"),
         )
-        merged = F.udf(_merged, _MERGED)("items", "first", "last")
-        out = found.select("doc_id", "n_words", merged.alias("m")).select("doc_id", "n_words", "m.*")
-    else:
-        covered = F.aggregate(
-            F.zip_with("first", "last", lambda a, b: b - a + 1),
-            F.lit(0).cast("long"),
-            lambda total, n: total + n,
-        )
-        out = found.select(
-            "doc_id",
-            "n_words",
-            covered.alias("n_hit"),
-            F.size("items").cast("long").alias("n_items"),
-            F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        )
-    return out.select(
-        "doc_id", "n_words", "n_hit", "n_items", "items_sha256",
-        (F.col("n_hit") > 0).alias("contaminated"),
-    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        _covered(F.col("first"), F.col("last")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("first") > 0).alias("contaminated"),
+    )

@@ -209,7 +209,7 @@ _DECONTAMINATION = f"""
         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
     item_words AS (
       SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWERED.format(text="coalesce(text, '')")},
-        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
     windows AS (
       SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS pattern, least(len(w), 10) AS n
       FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
