@@ -109,12 +109,15 @@ def exact_links(
 Compare = Callable[[list[bytes], np.ndarray, Links], list]
 
 
-def by_signature(share: float) -> Compare:
-    """Members are signatures of 32-bit minima, of which ``share`` must be equal."""
+def by_signature(share: float, kind: type = np.uint32) -> Compare:
+    """Members are signatures of minima, of which ``share`` must be equal.
+
+    With minima cut to a few bits some more are equal by chance: more members are joined, never fewer.
+    """
 
     def compare(payload: list[bytes], block: np.ndarray, links: Links) -> list:
-        width = len(payload[0]) // 4
-        signatures = np.frombuffer(b"".join(payload), np.uint32).reshape(-1, width)
+        width = len(payload[0]) // np.dtype(kind).itemsize
+        signatures = np.frombuffer(b"".join(payload), kind).reshape(-1, width)
         return signature_links(signatures, block, share * width, links)
 
     return compare
@@ -241,6 +244,7 @@ def linked(
         return edges
     # Stored, as Spark then knows how few there are.
     nodes = scratch.store(parts.join(left, "of").drop("load"), f"{name}-apart")
+    scratch.drop(f"{name}-parts", f"{name}-open")
     payload = payload_of(nodes.select("node").distinct())
     return edges.unionAll(_open_pairs(payload.join(nodes, "node"), compare))
 

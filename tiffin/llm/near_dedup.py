@@ -4,7 +4,7 @@
    shingles, and a signature of ``bands * rows`` minima under universal hash functions. Documents with
    the same fingerprint are one class; all further work is on classes, so exact copies cost nothing.
 2. A class enters one bucket per band. Buckets of the same members are worked on once.
-3. Signatures verify the pairs of a bucket: those whose estimate lies within 6.5 standard errors of the
+3. Signatures, cut to one byte per minimum, verify the pairs of a bucket: those whose estimate lies within 6.5 standard errors of the
    threshold, or above, are candidates. Only edges that join a bucket's candidates leave the task.
 4. The components of candidate edges bring together all classes that can be linked. Their full shingle
    sets, computed again from the texts of these classes alone, confirm links exactly; again only joining
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tiffin.llm.components import connected_components
 from tiffin.llm.linking import by_set, by_signature, linked
 from tiffin.llm.scratch import Scratch
-from tiffin.llm.texts import Shingler, binary_rows
+from tiffin.llm.texts import Shingler, binary_rows, mixed
 
 WIDTH = 5
 BANDS = 28
@@ -44,9 +44,22 @@ _ERRORS = 6.5
 BLOCK_MEMBERS = 4096
 BLOCK_SHINGLES = 1 << 20
 _CHUNK = 1024
+# More turns than a group can need: each halves its members at least.
+_TURNS = 64
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
+_PLACE = np.random.default_rng(11).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
+
+
+def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
+    """A 64-bit hash for each band of the minima."""
+    rows = signature.reshape(bands, -1).astype(np.uint64)
+    place = np.resize(_PLACE, rows.shape[1])
+    number = np.arange(1, bands + 1, dtype=np.uint64)
+    return mixed((mixed(rows + np.uint64(1)) * place).sum(axis=1) + mixed(number)).view(np.int64)
+
+
 class MinHash:
     """Minima of a set of 64-bit values under functions ``(a * x + b) mod 2^32`` with odd ``a``."""
 
@@ -68,27 +81,30 @@ class MinHash:
         return least
 
 
-_PROFILE = "doc_id {id}, n_shingles long, class binary, signature binary"
+_PROFILE = "doc_id {id}, n_shingles long, class binary, signature binary, keys array<long>"
 
 
-def _profiling(width: int, functions: int):
+def _profiling(width: int, bands: int, rows: int):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, minhash = Shingler(width), MinHash(functions)
+        shingler, minhash = Shingler(width), MinHash(bands * rows)
         for batch in batches:
-            sizes, classes, signatures = [], [], []
+            sizes, classes, signatures, keys = [], [], [], []
             for text in binary_rows(batch.column(1)):
                 found = shingler.shingles(text)
+                minima = minhash.signature(found)
                 sizes.append(len(found))
                 classes.append(fingerprint(found) if len(found) else None)
-                signatures.append(minhash.signature(found).tobytes() if len(found) else None)
+                signatures.append(minima.astype(np.uint8).tobytes() if len(found) else None)
+                keys.append(band_keys(minima, bands) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.binary()),
                     pa.array(signatures, pa.binary()),
+                    pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "class", "signature"],
+                names=["doc_id", "n_shingles", "class", "signature", "keys"],
             )
 
     return profile
@@ -102,21 +118,11 @@ def _encoded(text: Column) -> Column:
     return F.encode(F.coalesce(text, F.lit("")), "UTF-8")
 
 
-def _bands(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``(bucket, node)``, one row for each band of each class."""
-    keys = F.array(
-        *[
-            F.xxhash64(F.lit(band), F.substring("signature", 1 + 4 * rows * band, 4 * rows))
-            for band in range(bands)
-        ]
-    )
-    return classes.select(F.explode(keys).alias("bucket"), F.col("class").alias("node"))
-
-
-def _candidates(classes: DataFrame, scratch: Scratch, bands: int, rows: int, least: float,
-                block_members: int) -> DataFrame:
+def _candidates(
+    classes: DataFrame, scratch: Scratch, least: float, block_members: int
+) -> DataFrame:
     """Edges between classes that share a bucket and have similar signatures."""
-    banded = _bands(classes, bands, rows)
+    banded = classes.select(F.explode("keys").alias("bucket"), F.col("class").alias("node"))
     mark = F.xxhash64("node")
     buckets = scratch.store(
         banded.groupBy("bucket")
@@ -141,7 +147,7 @@ def _candidates(classes: DataFrame, scratch: Scratch, bands: int, rows: int, lea
             "payload",
         )
     )
-    return linked(members, by_signature(least), lambda nodes: signatures, scratch, "candidates")
+    return linked(members, by_signature(least, np.uint8), lambda nodes: signatures, scratch, "candidates")
 
 
 _SET = "node binary, payload binary"
@@ -178,31 +184,36 @@ def near_duplicates(
     scratch = Scratch(docs.sparkSession, "near_dedup")
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = _PROFILE.format(id=texts.schema["doc_id"].dataType.simpleString())
-    profiles = scratch.store(
-        texts.select("doc_id", _encoded(F.col("text"))).mapInArrow(
-            _profiling(width, bands * rows), schema
-        ),
-        "profiles",
+    # Two tables of one pass: what every document needs to the end, and what its class is found by.
+    profiled = scratch.store(
+        texts.select("doc_id", _encoded(F.col("text"))).mapInArrow(_profiling(width, bands, rows), schema),
+        "profiled",
     )
     classes = scratch.store(
-        profiles.filter(F.col("class").isNotNull())
+        profiled.filter(F.col("class").isNotNull())
         .groupBy("class")
         .agg(
             F.min("doc_id").alias("smallest"),
             F.count(F.lit(1)).alias("copies"),
             F.max("n_shingles").alias("n_shingles"),
             F.max("signature").alias("signature"),
+            F.max("keys").alias("keys"),
         ),
         "classes",
     )
+    profiles = scratch.store(profiled.select("doc_id", "n_shingles", "class"), "profiles")
+    scratch.drop("profiled")
     t = percent / 100
     least = t - _ERRORS * (t * (1 - t) / (bands * rows)) ** 0.5
-    candidates = _candidates(classes, scratch, bands, rows, least, block_members)
+    candidates = _candidates(classes, scratch, least, block_members)
     together = scratch.store(connected_components(candidates, scratch, "candidates"), "together")
+    known = scratch.store(classes.drop("signature", "keys"), "known")
+    scratch.drop("classes", "buckets", *(f"candidates-turn-{turn}" for turn in range(_TURNS)))
     load = F.col("n_shingles") / block_shingles + 1 / block_members
-    links = _confirmed(texts, classes, together, scratch, percent, width, load)
-    components = connected_components(links, scratch, "links")
-    return _labelled(profiles, classes, components, scratch)
+    links = _confirmed(texts, known, together, scratch, percent, width, load)
+    components = scratch.store(connected_components(links, scratch, "links"), "components")
+    scratch.drop("together", "needed", *(f"confirmed-turn-{turn}" for turn in range(_TURNS)))
+    return _labelled(profiles, known, components, scratch)
 
 
 def _confirmed(texts: DataFrame, classes: DataFrame, together: DataFrame, scratch: Scratch,
