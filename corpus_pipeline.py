@@ -10,12 +10,13 @@ mixing, a document that is taken more than once is there as often.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.llm import decontamination, mixing, near_dedup, quality, sharding
-from tiffin.llm.scratch import Scratch
+from tiffin.llm.scratch import Scratch, scratch_made
 
 # Near duplicates: five words, a similarity of 0.8 or more.
 NEAR_PERCENT = 80
@@ -29,43 +30,38 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates, that of the smallest doc_id."""
     scratch = Scratch(spark, "near_dedup_stage")
-    keyed = _keyed(docs)
-    found = near_dedup.near_duplicates(keyed, key=_ROW, percent=NEAR_PERCENT)
-    rows = found.groupBy(F.col("doc_id").alias("key"), "kept").agg(
+    rows, texts = _rows(docs), _texts(docs, "text")
+    found = near_dedup.near_duplicates(texts, percent=NEAR_PERCENT)
+    found = found.groupBy(F.col("doc_id").alias("key"), "kept").agg(
         F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("n_shingles")
     )
     equal = F.col("kept") & (F.col("n") > 1) & (F.col("n_shingles") > 0)
-    odd = scratch.store(rows.filter(~F.col("kept") | equal).select("key", "kept"), "odd")
-    single = keyed.join(odd.select("key"), F.col(_ROW) == F.col("key"), "left_anti")
+    odd = scratch.store(found.filter(~F.col("kept") | equal).select("key", "kept"), "odd")
+    single = rows.join(odd.select("key"), F.col("id") == F.col("key"), "left_anti")
     repeated = odd.filter("kept").select("key")
     if not repeated.isEmpty():
-        once = keyed.join(repeated, F.col(_ROW) == F.col("key"), "left_semi").dropDuplicates([_ROW])
+        once = rows.join(repeated, F.col("id") == F.col("key"), "left_semi").dropDuplicates(["id"])
         single = single.unionByName(once)
-    return single.select(*docs.columns)
+    return single.select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a window of a benchmark item, also of one without an identifier."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    # The operator leaves out items without an identifier; here only what is contaminated counts.
-    named = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
-    benchmark = benchmark.select(named.alias("item_id"), "text")
-    keyed = _keyed(docs)
-    found = decontamination.contamination(keyed, benchmark, key=_ROW).filter("contaminated")
+    found = decontamination.contamination(_texts(docs, "text"), benchmark).filter("contaminated")
     # Stored first, so that their size is known.
     scratch = Scratch(spark, "decontamination_stage")
     dropped = scratch.store(found.select(F.col("doc_id").alias("key")).distinct(), "dropped")
-    return keyed.join(dropped, F.col(_ROW) == F.col("key"), "left_anti").select(*docs.columns)
+    kept = _rows(docs).join(dropped, F.col("id") == F.col("key"), "left_anti")
+    return kept.select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as the mix of the sources does, up to three times or not at all."""
-    keyed = _keyed(docs)
-    copies = mixing.whole_copies(mixing.mix_sources(keyed, key=_ROW))
-    copies = copies.select(F.col("doc_id").alias("_taken"), F.col("copies").alias("_copies"))
-    taken = keyed.join(copies, F.col(_ROW) == F.col("_taken"))
-    repeated = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    copies = mixing.whole_copies(mixing.mix_sources(_texts(docs, "text", "source")))
+    taken = _rows(docs).join(copies, F.col("id") == F.col("doc_id"))
+    once_each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return taken.select("row", once_each.alias("copy")).select("row.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,29 +69,64 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return sharding.with_shards(docs)
 
 
-_ROW = "_row"
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Adds the key of a row: first by ``doc_id``, NULL last, then by the hash of all columns."""
+def _key(docs: DataFrame) -> Column:
+    """The key of a row: first by ``doc_id``, NULL last, then by the hash of all columns."""
     # The hash passes over NULL, so it also gets which columns are NULL.
     content = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    key = F.struct(
+    return F.struct(
         F.col("doc_id").isNull().alias("unknown"),
         F.col("doc_id").alias("id"),
         F.xxhash64(*content).alias("content"),
     )
-    return docs.withColumn(_ROW, key)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """``(row, id)``: all columns in one, so that none of their names meets another, and the key of the row."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(docs).alias("id"))
+
+
+def _texts(docs: DataFrame, *columns: str) -> DataFrame:
+    """What operators read of the rows: ``doc_id`` is their key here."""
+    return docs.select(_key(docs).alias("doc_id"), *columns)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+_FUNCTIONS = (quality_stage, near_dedup_stage, decontamination_stage, mixing_stage, sharding_stage)
+
+#: The scratch folders of each stage's last run, by application and stage.
+_made: dict[tuple[str, int], list[Scratch]] = {}
+
+
+def _tidy(number: int) -> Stage:
+    """A stage that first removes what the stage before it has left behind.
+
+    Its result, given here as a stored table, needs that no longer. Given a plan that still reads it, the stage
+    leaves it there.
+    """
+    function = _FUNCTIONS[number]
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        before = _made.pop((application, number - 1), [])
+        for scratch in before:
+            if not scratch.read_by(docs):
+                scratch.close()
+        with scratch_made() as made:
+            out = function(spark, docs, sf_dir)
+        _made[application, number] = made
+        return out
+
+    return run
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality classifier", quality_stage),
-    ("MinHash near-dedup", near_dedup_stage),
-    ("benchmark decontamination", decontamination_stage),
-    ("mixing sources to target weights", mixing_stage),
-    ("sharding", sharding_stage),
+    ("quality classifier", _tidy(0)),
+    ("MinHash near-dedup", _tidy(1)),
+    ("benchmark decontamination", _tidy(2)),
+    ("mixing sources to target weights", _tidy(3)),
+    ("sharding", _tidy(4)),
 ]
 
 # A trained classifier has no SQL form; tests hold the stages against brute force.
