@@ -11,6 +11,7 @@ import random
 import struct
 import textwrap
 import zipfile
+from functools import reduce
 
 import duckdb
 import numpy as np
@@ -23,6 +24,7 @@ from tiffin.llm import license_texts, licenses, near_dedup, quality, warc
 from tiffin.llm.queries import queries
 from tiffin.llm.scratch import Scratch
 from tiffin.llm.statements import statements
+from tiffin.session import shared_folder
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
@@ -391,6 +393,43 @@ def test_stages_keep_and_drop_single_rows(spark, documents, tmp_path):
     assert rows_of(taken, "doc_id", "text") == sorted([r[:2] for r in rows[:4]] * 3, key=repr)
 
 
+# Names of columns that the pipeline and its operators use inside.
+CLASHES = ["key", "_row", "_copies", "_copy", "_taken", "row", "id", "copies", "size", "kept", "shingles", "slot"]
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_keep_columns_of_any_name(spark, documents, number):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    extra = [F.concat_ws(":", F.lit(name), "doc_id").alias(name) for name in CLASHES]
+    wide = Scratch(spark, "test").store(docs.select("*", *extra), "wide")
+    _, stage = corpus_pipeline.STAGES[number]
+    got = stage(spark, wide, SF)
+    added = ["shard", "slot"] if number == 4 else []
+    assert got.columns == [c for c in wide.columns if c not in added] + added
+    kept = [c for c in CLASHES if c not in added]
+    odd = [~F.col(c).eqNullSafe(F.concat_ws(":", F.lit(c), "doc_id")) for c in kept]
+    assert got.count() > 0 and got.filter(reduce(lambda a, b: a | b, odd)).isEmpty()
+
+
+def test_stages_remove_what_the_one_before_left(spark, documents):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    store, folder = Scratch(spark, "test"), shared_folder(spark)
+
+    def left(name):
+        return [f for f in os.listdir(folder.removeprefix("file://")) if f.startswith(name)]
+
+    before = {name: left(name) for name in ("near_dedup", "decontamination", "mixing")}
+    single = corpus_pipeline.STAGES[1][1](spark, docs, SF)
+    assert len(left("near_dedup")) > len(before["near_dedup"])
+    # A plan that still reads them keeps them there.
+    lazy = corpus_pipeline.STAGES[2][1](spark, single, SF)
+    assert lazy.count() > 0 and len(left("near_dedup")) > len(before["near_dedup"])
+    single = store.store(corpus_pipeline.STAGES[1][1](spark, docs, SF), "single")
+    there = set(left("near_dedup"))
+    corpus_pipeline.STAGES[2][1](spark, single, SF)
+    assert len(there - set(left("near_dedup"))) == 2
+
+
 def test_copies_of_items_without_an_identifier_are_dropped(spark, documents, tmp_path):
     folder = str(tmp_path)
     items = [(None, "one two three four"), (3, "five six seven"), (None, None)]
