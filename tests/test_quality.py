@@ -254,8 +254,42 @@ def test_value_not_in(spark, silver_rows):
 
 
 def test_orphans(spark, silver_rows):
-    orders = silver_rows(ORDERS, {"Order_id": "O1"}, {"Order_id": None})
+    orders = silver_rows(
+        ORDERS,
+        {"Order_id": "O1", "Customer_id": "C1", "Partner_id": "O2"},
+        {"Order_id": None, "Customer_id": "C2"},
+        {"Order_id": "O3", "Customer_id": "C2"},
+    )
     items = silver_rows(
         ORDER_ITEMS, *[_item(str(i), 1, order=o) for i, o in enumerate(["O1", "O2", "O2", None])]
     )
-    assert checks.orphans(items, "Order_id", orders, "Order_id").collect() == [("O2", 2)]
+    customers = silver_rows(CUSTOMERS, {"Customer_id": "C1"}, {"Customer_id": None})
+    tables = {"orders": orders, "order_items": items, "customers": customers, "unused": items}
+    links = [
+        checks.Link("order_items", "Order_id", "orders", "Order_id"),
+        checks.Link("orders", "Customer_id", "customers", "Customer_id"),
+        # Values of one link are no keys of another.
+        checks.Link("orders", "Partner_id", "orders", "Order_id"),
+    ]
+    found = checks.orphans(tables, links)
+    assert sorted(map(tuple, found.collect())) == [
+        ("order_items", "Order_id", "O2", 2),
+        ("orders", "Customer_id", "C2", 2),
+        ("orders", "Partner_id", "O2", 1),
+    ]
+    none = checks.orphans({name: table.limit(0) for name, table in tables.items()}, links)
+    assert none.collect() == []
+
+
+def test_orphans_read_each_table_once(spark, tmp_path):
+    tables = {}
+    for spec in TABLES:
+        testbed.bronze(spark, SF, spec).write.parquet(str(tmp_path / spec.silver_name))
+        tables[spec.silver_name] = spark.read.parquet(str(tmp_path / spec.silver_name))
+    links = [
+        checks.Link("orders", "Customer_id", "customers", "Customer_id"),
+        checks.Link("orders", "Restaurant_id", "restaurants", "Restaurant_id"),
+        checks.Link("order_items", "Order_id", "orders", "Order_id"),
+    ]
+    plan = checks.orphans(tables, links)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 4 and plan.count("Exchange ") == 1

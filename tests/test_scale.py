@@ -176,17 +176,26 @@ def test_cuisines_beyond_a_broadcast_are_split(spark, small_limits, tmp_path):
     assert {r.hot: r.shares for r in shares.collect()} == {True: ["0.00"], False: ["8.33"]}
 
 
-def test_duplicates_need_two_scans_and_no_forced_join(spark, tmp_path):
+def test_duplicates_order_only_rows_of_repeated_keys(spark, tmp_path):
     path = str(tmp_path / "items")
-    _items_of_hot_key(spark).write.parquet(path)
+    rows = _items_of_hot_key(spark).withColumn("Quantity", F.lit(1))
+    again = rows.filter("Menu_item LIKE '%7'").withColumn("Quantity", F.lit(2))
+    rows.unionAll(again).write.parquet(path)
     bronze = spark.read.parquet(path)
-    rows = quality.normalise(bronze, ORDER_ITEMS)
-    repeated = _stored(spark, quality.repeated_keys(rows, ORDER_ITEMS), tmp_path, "repeated")
-    losers = quality.duplicate_rejections(bronze, ORDER_ITEMS, repeated)
-    plan = losers._jdf.queryExecution().executedPlan().toString()
-    # One scan here, and two of the stored keys. Long paths are cut in plans, so scans are counted.
-    assert plan.count("FileScan parquet") == 3 and "Hint" not in plan and "_part" not in plan
-    assert sum(f.startswith(f"file://{path}/") for f in losers.inputFiles()) == len(bronze.inputFiles())
+    keys = quality.repeated_keys(quality.normalise(bronze, ORDER_ITEMS), ORDER_ITEMS)
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    stored = _stored(spark, keys, tmp_path, "repeated")
+    several = quality.repeated_rows(bronze, ORDER_ITEMS, stored)
+    # One scan of the rows, one of the keys. Long paths are cut in plans, so scans are counted.
+    plan = several._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "Hint" not in plan and "_part" not in plan
+    several = _stored(spark, several, tmp_path, "several")
+    losers = quality.duplicate_rejections(bronze, ORDER_ITEMS, several)
+    assert set(losers.inputFiles()) == set(several.inputFiles())
+    assert losers.count() == several.count() - stored.count() > N / 3
+    hot = several.filter("Order_item_id = 'I0'").count()
+    assert hot > N / 3 and several.count() < N
 
 
 def test_spread_join_spreads(spark, small_limits):

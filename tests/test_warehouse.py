@@ -9,9 +9,11 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from tiffin.plans import pipeline
 from tiffin.plans.bronze import load_bronze
+from tiffin.plans.reconcile import stored_figures
 from tiffin.plans.silver import build_silver
-from tiffin.schemas import CUSTOMERS, ORDER_ITEMS, RESTAURANTS
+from tiffin.schemas import CUSTOMERS, ORDER_ITEMS, RESTAURANTS, TABLES
 from tiffin.sources import testbed
 from tiffin.sources.csv_files import write_csv
 from tiffin.sources.manifest import Change, Conflict, Manifest
@@ -199,6 +201,47 @@ def test_figures_are_kept_with_the_table(spark, tmp_path):
     assert warehouse.states(GOLD)["t"].figures == {"total": 0}
 
 
+@pytest.mark.parametrize("change", ["drop", "swap", "none"])
+def test_changed_rows_differ_from_their_figures(spark, tmp_path, change):
+    """Files of a table are replaced behind the back of the log."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    for spec in (RESTAURANTS, CUSTOMERS):
+        warehouse.write(testbed.bronze(spark, SF, spec), BRONZE, spec.bronze_name)
+    build_silver(warehouse, [RESTAURANTS, CUSTOMERS])
+    found = stored_figures(warehouse)
+    assert found.count() == 8 and found.filter("NOT ok").isEmpty()
+    folder = f"{tmp_path}/{warehouse.states(SILVER)['restaurants'].folders[0]}"
+    first = F.col("Restaurant_id") == warehouse.silver(RESTAURANTS).agg(F.min("Restaurant_id")).first()[0]
+    rows = warehouse.silver(RESTAURANTS)
+    if change == "drop":
+        rows = rows.filter(~first | F.col("Restaurant_id").isNull())
+    elif change == "swap":
+        rows = rows.withColumn("city", F.when(first, F.lit("Elsewhere")).otherwise(F.col("city")))
+    rows.repartition(3).write.parquet(str(tmp_path / "other"))
+    spark.read.parquet(str(tmp_path / "other")).write.mode("overwrite").parquet(folder)
+    odd = {(r.table_name, r.figure) for r in stored_figures(warehouse).filter("NOT ok").collect()}
+    differ = {"drop": {"rows", "ids", "content_a", "content_b"}, "swap": {"content_a", "content_b"}, "none": set()}
+    assert odd == {("restaurants", figure) for figure in differ[change]}
+
+
+def test_counts_and_ids_need_no_scan(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for spec in TABLES:
+        warehouse.write(testbed.bronze(spark, SF, spec), BRONZE, spec.bronze_name)
+    build_silver(warehouse)
+    pipeline.build_gold(warehouse, testbed.AS_OF)
+    counts, checks = pipeline.reconcile(warehouse)
+    assert counts.inputFiles() == []
+    assert all("/gold/" in file for file in checks.inputFiles())
+    slow = pipeline.reconcile_checks(*pipeline.stored_tables(warehouse))
+    assert sorted(checks.collect()) == sorted(slow.collect()) and checks.filter("NOT ok").isEmpty()
+    # A gold table that lost rows no longer fits the figures of silver.
+    summary = warehouse.read(GOLD, "partner_summary").filter("Vehicle_type <> 'Car'")
+    warehouse.write(summary, GOLD, "partner_summary")
+    failed = [r.check for r in pipeline.reconcile(warehouse)[1].filter("NOT ok").collect()]
+    assert failed == ["partners_by_vehicle"]
+
+
 def test_entries_are_never_replaced(spark, tmp_path):
     manifest = Manifest(spark, str(tmp_path / "log"))
     assert manifest.commit([Change("t", "t/v-1", 1)]) == []

@@ -31,6 +31,7 @@ from tiffin.plans.pipeline import (
     build_gold,
     gold_plan,
     gold_tables,
+    reconcile,
     run_pipeline,
     silver_tables,
     stored_tables,
@@ -120,7 +121,7 @@ def with_silver(spark: SparkSession, sf_dir: str) -> Warehouse:
 
     def build(spec: TableSpec) -> None:
         rows = quality.clean(warehouse.bronze(spec), spec)
-        warehouse.write(rows, SILVER, spec.silver_name)
+        warehouse.write(rows, SILVER, spec.silver_name, figures=reconciliation.kept_figures(spec))
 
     for spec in TABLES:
         path = warehouse.folder(SILVER, spec.silver_name)
@@ -482,11 +483,29 @@ def gold_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconciliation.reconcile_counts(*stored_tables(with_gold(spark, sf_dir)))
+    counts, _ = reconcile(with_gold(spark, sf_dir))
+    return counts
 
 
 def reconcile_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconciliation.reconcile_checks(*stored_tables(with_gold(spark, sf_dir)))
+    _, found = reconcile(with_gold(spark, sf_dir))
+    return found
+
+
+def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and checks again, without the figures that are kept: from the stored rows."""
+    silver, gold_ = stored_tables(with_gold(spark, sf_dir))
+    counted = reconciliation.reconcile_counts(silver, gold_)
+    checked = reconciliation.reconcile_checks(silver, gold_)
+    return counted.unionAll(checked.select("check", "expected")).unionAll(checked.select("check", "actual"))
+
+
+def silver_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and identifiers of silver tables as kept by the writes, and as found in the stored rows."""
+    figures = reconciliation.stored_figures(with_silver(spark, sf_dir))
+    both = figures.filter("figure IN ('rows', 'ids')").select("table_name", "figure", "kept", "found", "ok")
+    whole = figures.groupBy("table_name").agg(F.every("ok").alias("whole"))
+    return both.join(whole, "table_name")
 
 
 def dq_rating_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -529,22 +548,13 @@ def audit_duplicate_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_tables(with_silver(spark, sf_dir))
-    links = (
-        ("orders", "Customer_id", "customers", "Customer_id"),
-        ("orders", "Restaurant_id", "restaurants", "Restaurant_id"),
-        ("orders", "Partner_id", "delivery_partners", "Partner_id"),
-        ("order_items", "Order_id", "orders", "Order_id"),
-    )
-    return reduce(
-        DataFrame.union,
-        [
-            checks.orphans(silver[child], child_key, silver[parent], parent_key).select(
-                F.lit(child).alias("table_name"), F.lit(child_key).alias("foreign_key"), "value", "n"
-            )
-            for child, child_key, parent, parent_key in links
-        ],
-    )
+    links = [
+        checks.Link("orders", "Customer_id", "customers", "Customer_id"),
+        checks.Link("orders", "Restaurant_id", "restaurants", "Restaurant_id"),
+        checks.Link("orders", "Partner_id", "delivery_partners", "Partner_id"),
+        checks.Link("order_items", "Order_id", "orders", "Order_id"),
+    ]
+    return checks.orphans(silver_tables(with_silver(spark, sf_dir)), links)
 
 
 def dq_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -637,6 +647,8 @@ def queries() -> dict[str, Query]:
         gold_if_absent,
         reconcile_counts,
         reconcile_checks,
+        reconcile_tables,
+        silver_figures,
         dq_rating_range,
         dq_duplicate_pk,
         audit_duplicate_pk,

@@ -148,36 +148,44 @@ def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
 
 
 def repeated_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """The kept row of each good key that more than one distinct row has."""
+    """The good keys that more than one distinct row has.
+
+    The state of a key is a few numbers: the first rule that fails, and the least and largest of two hashes of its rows.
+    So this is a hash aggregate, and no row is sorted for it. Rows that differ are told apart by 96 bits.
+    """
     rest = [c for c in rows.columns if c != spec.key]
-    smallest, largest = F.min(_nulls_last(rest)), F.max(_nulls_last(rest))
+    # Hashes pass over NULL, so they also get which columns are NULL.
+    content = [*rest, *[F.col(c).isNull() for c in rest]]
+    wide, narrow = F.xxhash64(*content), F.hash(*content)
     per_key = (
         rows.filter(F.col(spec.key).isNotNull())
         .groupBy(spec.key)
         .agg(
             F.min(first_failed_rule(spec)).alias("_rule"),
-            smallest.alias("_row"),
-            largest.alias("_last"),
+            (F.min(wide) != F.max(wide)).alias("_wide"),
+            (F.min(narrow) != F.max(narrow)).alias("_narrow"),
         )
     )
-    repeated = per_key.filter("_rule IS NULL AND _row <> _last")
-    return repeated.select(
-        *[F.col(c) if c == spec.key else F.col(f"_row.{c}").alias(c) for c in rows.columns]
-    )
+    return per_key.filter("_rule IS NULL AND (_wide OR _narrow)").select(spec.key)
+
+
+def repeated_rows(bronze: DataFrame, spec: TableSpec, repeated: DataFrame | None = None) -> DataFrame:
+    """The distinct rows of the keys of ``repeated``, which is the result of ``repeated_keys`` as a stored table."""
+    rows = normalise(bronze, spec)
+    keys = repeated_keys(rows, spec) if repeated is None else repeated
+    return _rows_of_keys(rows, keys, spec.key).select(*rows.columns)
 
 
 def duplicate_rejections(
-    bronze: DataFrame, spec: TableSpec, repeated: DataFrame | None = None
+    bronze: DataFrame, spec: TableSpec, several: DataFrame | None = None
 ) -> DataFrame:
     """``(table_name, reason, row_data)`` for the rows that lose against the kept row of their key.
 
-    Keys with more than one distinct row are found first, and only their rows are looked at again.
-    Losers are those less the kept ones, compared on all columns, so the rows of a much repeated key stay
-    spread out. ``repeated`` is the result of ``repeated_keys`` as a stored table.
+    ``several`` is the result of ``repeated_rows`` as a stored table: only these rows are ordered. Losers are
+    those less the kept ones, compared on all columns, so the rows of a much repeated key stay spread out.
     """
-    rows = normalise(bronze, spec)
-    kept = repeated_keys(rows, spec) if repeated is None else repeated
-    losers = _rows_of_keys(rows, kept.select(spec.key), spec.key).select(*rows.columns).subtract(kept)
+    rows = repeated_rows(bronze, spec) if several is None else several
+    losers = rows.subtract(one_row_per_key(rows, spec.key))
     return losers.select(
         F.lit(spec.silver_name).alias("table_name"),
         F.lit(DUPLICATE_KEY).alias("reason"),

@@ -35,7 +35,7 @@ ALL_VEHICLES = "ALL"
 
 
 def order_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    """``(Order_id, Restaurant_id, items_count, order_value)`` of every order that has items.
+    """``(Order_id, Restaurant_id, items_count, quantity, order_value)`` of every order that has items.
 
     Items are summed per order before they meet the orders. Two gold tables use the result, which
     spares each of them this join.
@@ -45,6 +45,7 @@ def order_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
         .groupBy("Order_id")
         .agg(
             F.count("Order_item_id").alias("items_count"),
+            F.sum("Quantity").alias("quantity"),
             F.sum(F.col("Quantity") * F.col("Price")).alias("order_value"),
         )
     )

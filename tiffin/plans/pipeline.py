@@ -6,11 +6,20 @@ import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tiffin.operators.quality import KEEP
 from tiffin.plans import gold
 from tiffin.plans.bronze import load_bronze, load_report
-from tiffin.plans.reconcile import CHECKS, COUNTS, reconcile_checks, reconcile_counts
+from tiffin.plans.reconcile import (
+    CHECKS,
+    COUNTS,
+    SOLD,
+    kept_counts,
+    known_figures,
+    reconcile_checks,
+    sold_quantities,
+)
 from tiffin.plans.silver import build_silver
 from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import GOLD_SCHEMAS, TABLES
@@ -63,6 +72,13 @@ def gold_plan(
     raise ValueError(f"no gold table {name!r}")
 
 
+def _sold(warehouse: Warehouse, stage: Stage) -> int:
+    """The quantity that the menu must hold, from the totals of the orders, which other gold tables use, too."""
+    silver = warehouse.silver_by_name
+    totals, _ = stage.store("order_totals", gold.order_totals(silver("orders"), silver("order_items")))
+    return sold_quantities(totals, silver("restaurants")).agg(F.sum("quantity")).first()[0] or 0
+
+
 def build_gold(
     warehouse: Warehouse,
     as_of: datetime.date | str | None = None,
@@ -84,7 +100,8 @@ def build_gold(
             if mode == "ignore" and warehouse.exists(GOLD, name):
                 return "gold", name, "kept", None
             plan = gold_plan(name, warehouse.silver_by_name, as_of, stage.store)
-            return "gold", name, "built", warehouse.write(plan, GOLD, name, mode)
+            known = {SOLD: _sold(warehouse, stage)} if name == "menu_performance" else {}
+            return "gold", name, "built", warehouse.write(plan, GOLD, name, mode, known=known)
 
         if on_error == "raise":
             return run_together(warehouse.spark, build, GOLD_TABLES, at_once)
@@ -160,7 +177,7 @@ def stored_tables(warehouse: Warehouse) -> tuple[dict[str, DataFrame], dict[str,
 def reconcile(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
     """Counts and checks over the stored silver and gold tables that are there."""
     silver, gold_ = stored_tables(warehouse)
-    return reconcile_counts(silver, gold_), reconcile_checks(silver, gold_)
+    return kept_counts(warehouse), reconcile_checks(silver, gold_, known_figures(warehouse))
 
 
 def reconcile_steps(warehouse: Warehouse) -> list[Step]:

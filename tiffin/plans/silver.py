@@ -15,7 +15,9 @@ from tiffin.operators.quality import (
     rejected_keys,
     rejections,
     repeated_keys,
+    repeated_rows,
 )
+from tiffin.plans.reconcile import kept_figures
 from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import TABLES, TableSpec
 from tiffin.sources.warehouse import SILVER, Stage, Warehouse
@@ -33,12 +35,13 @@ def stored_rejections(
 
 
 def stored_duplicates(warehouse: Warehouse, spec: TableSpec, stage: Stage) -> DataFrame:
-    """Losers among the rows of a key, with the kept rows of repeated keys stored first."""
+    """Losers among the rows of a key, with the repeated keys, then their rows, stored first."""
     bronze = warehouse.bronze(spec)
-    repeated, _ = stage.store(
+    keys, _ = stage.store(
         f"repeated_{spec.silver_name}", repeated_keys(normalise(bronze, spec), spec)
     )
-    return duplicate_rejections(bronze, spec, repeated)
+    several, _ = stage.store(f"several_{spec.silver_name}", repeated_rows(bronze, spec, keys))
+    return duplicate_rejections(bronze, spec, several)
 
 
 def build_silver_table(
@@ -52,7 +55,7 @@ def build_silver_table(
     on = warehouse.version(SILVER, spec.silver_name)
     kept = clean(warehouse.bronze(spec), spec, null_key)
     rejected = audit_rows(stored_rejections(warehouse, spec, stage, null_key), rejected_at)
-    return warehouse.rebuild(kept, rejected, spec, on=on)
+    return warehouse.rebuild(kept, rejected, spec, kept_figures(spec), on)
 
 
 def build_silver(

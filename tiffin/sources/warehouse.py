@@ -12,7 +12,7 @@ import time
 import uuid
 from collections.abc import Mapping
 from contextlib import suppress
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from threading import Lock
 
@@ -93,19 +93,25 @@ class Warehouse:
         return reduce(DataFrame.unionAll, parts or [self.spark.createDataFrame([], AUDIT_SCHEMA)])
 
     def write(
-        self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", figures: Figures | None = None
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        mode: str = "overwrite",
+        figures: Figures | None = None,
+        known: Mapping[str, int] | None = None,
     ) -> int:
         """Write ``df`` and return the number of rows written.
 
         Rows are counted during the write, without a second pass, and so are ``figures``: sums over the rows that
-        are kept with the table. ``mode`` is ``overwrite`` (rebuild), ``append`` (add to what is there) or
+        are kept with the table, as are the ``known`` ones. ``mode`` is ``overwrite`` (rebuild), ``append`` (add to what is there) or
         ``ignore`` (keep a table that exists; 0 rows).
         """
         if mode == "ignore" and self.exists(layer, table):
             return 0
         load = uuid.uuid4().hex if mode == "append" else None
         change = self.written(df, layer, table, figures, load)
-        self.commit(change)
+        self.commit(replace(change, figures={**change.figures, **(known or {})}))
         return change.rows
 
     def load(self, rows: DataFrame, spec: TableSpec, load: str, rejected: DataFrame | None = None) -> list[int]:
