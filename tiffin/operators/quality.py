@@ -147,16 +147,19 @@ def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _row_hashes(columns: list[str]) -> tuple[Column, Column]:
+    """Two hashes of a row, 96 bits. Hashes pass over NULL, so they also get which columns are NULL."""
+    content = [*columns, *[F.col(c).isNull() for c in columns]]
+    return F.xxhash64(*content), F.hash(*content)
+
+
 def repeated_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """The good keys that more than one distinct row has.
 
     The state of a key is a few numbers: the first rule that fails, and the least and largest of two hashes of its rows.
     So this is a hash aggregate, and no row is sorted for it. Rows that differ are told apart by 96 bits.
     """
-    rest = [c for c in rows.columns if c != spec.key]
-    # Hashes pass over NULL, so they also get which columns are NULL.
-    content = [*rest, *[F.col(c).isNull() for c in rest]]
-    wide, narrow = F.xxhash64(*content), F.hash(*content)
+    wide, narrow = _row_hashes(rows.columns)
     per_key = (
         rows.filter(F.col(spec.key).isNotNull())
         .groupBy(spec.key)
@@ -182,10 +185,16 @@ def duplicate_rejections(
     """``(table_name, reason, row_data)`` for the rows that lose against the kept row of their key.
 
     ``several`` is the result of ``repeated_rows`` as a stored table: only these rows are ordered. Losers are
-    those less the kept ones, compared on all columns, so the rows of a much repeated key stay spread out.
+    those less the kept ones, told by key and hashes, so the rows of a much repeated key stay spread out.
     """
     rows = repeated_rows(bronze, spec) if several is None else several
-    losers = rows.subtract(one_row_per_key(rows, spec.key))
+    kept = one_row_per_key(rows, spec.key)
+    place = [spec.key, "_wide", "_narrow"]
+    hashed, kept_places = (
+        df.select("*", *[h.alias(n) for h, n in zip(_row_hashes(rows.columns), place[1:], strict=True)])
+        for df in (rows, kept)
+    )
+    losers = hashed.join(kept_places.select(*place), place, "left_anti").select(*rows.columns)
     return losers.select(
         F.lit(spec.silver_name).alias("table_name"),
         F.lit(DUPLICATE_KEY).alias("reason"),

@@ -15,6 +15,7 @@ from __future__ import annotations
 import bisect
 import csv
 import io
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -23,9 +24,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Executors have no need of this package: what they run travels by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A line that starts between records and ends inside quotes. A quote opens a field only at its start; after
 # the one that closes it, all up to the next comma belongs to the field.
 _OPEN_AT_END = '^(?:(?:"(?:[^"]|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]|"")*+$'
