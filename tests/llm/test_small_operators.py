@@ -8,6 +8,7 @@ import re
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,6 +81,20 @@ def test_token_counts_leave_texts_of_other_tokenizers_whole():
     assert not token_counts.load_counter(WORDS)[1]
 
 
+@pytest.mark.parametrize("letter", ["a", "é", "漢", "🙂"])
+def test_calls_are_equal_in_bytes(letter):
+    """A script of four bytes a letter makes calls and pieces as large as one of a single byte."""
+    size = len(letter.encode())
+    texts = pa.array([f"{letter * 7} " * (n // size) for n in (40_000, 200, 9000, 100, 16_000, 1)])
+    calls = list(token_counts._calls(texts, 1000, 5000))
+    assert ["".join(p for c in calls for r, p in c if r == i) for i in range(6)] == texts.to_pylist()
+    for call in calls[:-1]:
+        assert 5000 <= sum(len(p.encode()) for _, p in call) < 5000 + 1100
+    assert all(len(p.encode()) <= 1000 + 8 * size + 1 for call in calls for _, p in call)
+    whole = list(token_counts._calls(texts, None, 5000))
+    assert [p for call in whole for _, p in call] == [t for t in texts.to_pylist() if t]
+
+
 def shard_rows(rows):
     sized = [(i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows]
     sized.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2], r[1]))

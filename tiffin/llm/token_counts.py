@@ -32,6 +32,10 @@ _SHORT = 64
 _SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 
 
+def _utf8_size(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 def safe_pieces(text: str, piece_chars: int) -> list[str]:
     """``text`` cut into parts of some ``piece_chars`` at places every tokenizer piece ends at."""
     pieces, start = [], 0
@@ -133,16 +137,22 @@ def _lengths(path: str, piece_bytes: int, call_bytes: int):
 def _calls(
     texts: pa.Array, piece_bytes: int | None, call_bytes: int
 ) -> Iterator[list[tuple[int, str]]]:
-    """``(row, piece)`` lists of some ``call_bytes`` each."""
+    """``(row, piece)`` lists of some ``call_bytes`` of UTF-8 each."""
     call: list[tuple[int, str]] = []
     size = 0
     for row in range(len(texts)):
         text = texts[row].as_py()
         if not text:
             continue
-        for piece in [text] if piece_bytes is None else safe_pieces(text, piece_bytes):
+        n_bytes = _utf8_size(text)
+        if piece_bytes is None or n_bytes <= piece_bytes:
+            pieces = [text]
+        else:
+            # As many characters as take up ``piece_bytes`` in this text.
+            pieces = safe_pieces(text, max(1, piece_bytes * len(text) // n_bytes))
+        for piece in pieces:
             call.append((row, piece))
-            size += len(piece)
+            size += n_bytes if len(pieces) == 1 else _utf8_size(piece)
             if size >= call_bytes:
                 yield call
                 call, size = [], 0
