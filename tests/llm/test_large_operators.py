@@ -11,6 +11,7 @@ import random
 import struct
 import textwrap
 import zipfile
+import zlib
 from functools import reduce
 
 import duckdb
@@ -160,6 +161,60 @@ def test_compressed_members_are_left_out():
     assert set(warc.directory(out, len(out.getvalue()))) == {"stored"}
 
 
+def _package(members, compressed=()):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as file:
+        for name, data in members.items():
+            file.writestr(name, data, zipfile.ZIP_DEFLATED if name in compressed else zipfile.ZIP_STORED)
+    return out
+
+
+def test_archives_of_any_member_names(spark, tmp_path):
+    """Several data members, with one index for all or one each, with and without names; plain records, too."""
+    records = [warc.record(i, f"http://x/{i}", b"body %d" % i, "d", 6, None) for i in range(9)]
+    plain = zlib.decompress(records[8], 31)
+
+    def lines(part, name=""):
+        at, out = 0, ""
+        for record in part:
+            out += f"{at} {len(record)}{name}\n"
+            at += len(record)
+        return out
+
+    a, b, c = records[:4], records[4:8], [plain]
+    packages = {
+        "named": {"archive/a.warc.gz": b"".join(a), "archive/deep/b.warc.gz": b"".join(b), "archive/c.warc": plain,
+                  "archive/empty.warc.gz": b"", "pages/x.txt": b"x",
+                  "indexes/all.txt": lines(a, " a.warc.gz") + lines(b, " deep/b.warc.gz") + lines(c, " c.warc")},
+        "stems": {"archive/one.warc.gz": b"".join(a + b), "archive/two.warc": plain,
+                  "indexes/one.idx": lines(a + b), "indexes/two.idx": lines(c)},
+        "single": {"archive/only.warc.gz": b"".join(a + b + records[8:]), "indexes/i": lines(a + b + records[8:])},
+    }
+    for name, members in packages.items():
+        path = tmp_path / f"{name}.zip"
+        path.write_bytes(_package(members, compressed=["pages/x.txt"]).getvalue())
+        archives = spark.createDataFrame([(f"file://{path}", path.stat().st_size)], "path string, n_bytes long")
+        for run_bytes in (1, 500, 1 << 20):
+            got = warc.read_archives(archives, run_bytes=run_bytes)
+            assert rows_of(got.select("page_id", F.decode("payload", "UTF-8").alias("t")), "page_id", "t") == [
+                (i, f"body {i}") for i in range(9)
+            ]
+
+
+@pytest.mark.parametrize(("members", "compressed", "message"), [
+    ({"archive/a": b"x" * 99, "indexes/i": "0 9\n"}, ["archive/a"], "compressed"),
+    ({"archive/a": b"x" * 99, "indexes/i": "0 9\n"}, ["indexes/i"], "compressed"),
+    ({"archive/a": b"x", "archive/b": b"y", "indexes/i": "0 1 a\n"}, [], "no index names the records of b"),
+    ({"archive/a": b"x", "indexes/i": "0 1 c\n"}, [], "names c"),
+    ({"archive/a": b"x", "archive/b": b"y", "indexes/i": "0 1\n"}, [], "not a member"),
+    ({"archive/a": b"x", "indexes/i": "0 2\n"}, [], "beyond the end"),
+])
+def test_archives_that_cannot_be_read_are_errors(members, compressed, message):
+    out = _package(members, compressed)
+    with pytest.raises(ValueError, match=message):
+        warc.record_places(out, len(out.getvalue()))
+
+
 # Licenses
 
 FILES = "doc_id long, path string, text string"

@@ -1,9 +1,11 @@
 """WARC records in ZIP-packaged archives: writing, and reading by ranges without extraction.
 
-An archive is a ZIP file with two stored members: ``archive/data.warc.gz``, whose records are gzip
-members of their own, and ``indexes/index.txt`` with the offset and length of each record. A reader takes
-the end of the file, follows the (ZIP64) end record to the central directory, the directory to the
-members, and the index to the records. Records are then read in runs of some ``run_bytes``, by as many
+An archive is a ZIP file with stored members: any number below ``archive/``, whose records are gzip members of
+their own or plain, and any number below ``indexes/``, with lines of the offset, length and member of each
+record. The member may be left out where there is only one, or where index and member have the same stem. The
+writer makes one of each. A reader takes the end of the file, follows the (ZIP64) end record to the
+central directory, the directory to the members, and the indexes to the records; a compressed member of these
+folders, or one that no index names, is an error. Records are then read in runs of some ``run_bytes``, by as many
 tasks as there are runs, so a large archive is not one task.
 
 A task writes archives of at most some ``archive_bytes`` under a name of its own, and reports them only
@@ -43,9 +45,11 @@ TASK_BYTES = 64 << 20
 CAPTURED = "2024-01-01T00:00:00Z"
 
 # Member names, and the signatures and sizes of the ZIP format.
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.txt"
+ARCHIVE, INDEXES = "archive/", "indexes/"
+DATA, INDEX = f"{ARCHIVE}data.warc.gz", f"{INDEXES}index.txt"
 END, END64, LOCATOR64, ENTRY, LOCAL = b"PK\5\6", b"PK\6\6", b"PK\6\7", b"PK\1\2", b"PK\3\4"
 _END_SIZE, _LOCATOR_SIZE, _ENTRY_SIZE, _LOCAL_SIZE = 22, 20, 46, 30
+_GZIP = b"\x1f\x8b"
 _FULL32, _FULL16 = 0xFFFFFFFF, 0xFFFF
 
 
@@ -98,7 +102,7 @@ def _headers(lines: bytes) -> dict[str, str]:
 
 def parse(data: bytes) -> dict:
     """The fields of a record from its gzip member."""
-    plain = zlib.decompress(data, 31)
+    plain = zlib.decompress(data, 31) if data[:2] == _GZIP else data
     head, _, rest = plain.partition(b"\r\n\r\n")
     warc = _headers(head)
     block = rest[: int(warc["content-length"])]
@@ -134,7 +138,7 @@ class _Archive:
         self.size = 0
 
     def add(self, data: bytes) -> None:
-        self._index.append(f"{self.size} {len(data)}\n")
+        self._index.append(f"{self.size} {len(data)} {DATA.removeprefix(ARCHIVE)}\n")
         self._data.write(data)
         self.size += len(data)
 
@@ -219,8 +223,11 @@ def write_archives(
 # Reading
 
 
-def directory(file, size: int) -> dict[str, tuple[int, int]]:
-    """Offset and length of the data of each stored member of a ZIP file."""
+def directory(file, size: int, stored: tuple[str, ...] = ()) -> dict[str, tuple[int, int]]:
+    """Offset and length of the data of each stored member of a ZIP file.
+
+    Other members are left out; one whose name begins with any of ``stored`` is an error.
+    """
     entries, n_bytes = _central(file, size)
     members, at = {}, 0
     while at + _ENTRY_SIZE <= n_bytes and entries[at : at + 4] == ENTRY:
@@ -233,6 +240,8 @@ def directory(file, size: int) -> dict[str, tuple[int, int]]:
         plain = _wide(plain, wide)
         packed = _wide(packed, wide)
         offset = _wide(offset, wide)
+        if method and name.startswith(stored) and stored:
+            raise ValueError(f"{name} is compressed, and can only be read as a whole")
         if method == 0 and not name.endswith("/"):
             file.seek(offset)
             local = file.read(_LOCAL_SIZE)
@@ -323,23 +332,50 @@ def _runs(path: str, run_bytes: int) -> Iterator[tuple[int, list[int]]]:
     """Where runs of neighbouring records start in the file, and how long each record is."""
     fs, name = pafs.FileSystem.from_uri(path)
     with fs.open_input_file(name) as file:
-        members = directory(file, file.size())
-        data_at, _ = members[DATA]
-        index_at, n_bytes = members[INDEX]
-        file.seek(index_at)
-        lines = file.read(n_bytes).split(b"\n")[:-1]
+        places = record_places(file, file.size())
     start, run, total = 0, [], 0
-    for line in lines:
-        offset, length = map(int, line.split())
+    for offset, length in places:
         if run and (total >= run_bytes or offset != start + total):
-            yield data_at + start, run
+            yield start, run
             run, total = [], 0
         if not run:
             start = offset
         run.append(length)
         total += length
     if run:
-        yield data_at + start, run
+        yield start, run
+
+
+def record_places(file, size: int) -> list[tuple[int, int]]:
+    """Where each record of a ZIP-packaged archive is, by all its indexes."""
+    members = directory(file, size, stored=(ARCHIVE, INDEXES))
+    data = {name.removeprefix(ARCHIVE): at for name, at in members.items() if name.startswith(ARCHIVE)}
+    places, named = [], set()
+    for index, (at, n_bytes) in members.items():
+        if not index.startswith(INDEXES):
+            continue
+        file.seek(at)
+        for line in file.read(n_bytes).decode().splitlines():
+            offset, length, *rest = line.split(maxsplit=2)
+            member = rest[0] if rest else _member_of(index, list(data))
+            if member not in data:
+                raise ValueError(f"{index} names {member}, which is not a member of {ARCHIVE}")
+            start, member_bytes = data[member]
+            if int(offset) + int(length) > member_bytes:
+                raise ValueError(f"{index} has a record beyond the end of {member}")
+            named.add(member)
+            places.append((start + int(offset), int(length)))
+    for member, (_, n_bytes) in data.items():
+        if n_bytes and member not in named:
+            raise ValueError(f"no index names the records of {member}")
+    return places
+
+
+def _member_of(index: str, members: list[str]) -> str | None:
+    """The member that an index without names is of."""
+    stem = index.removeprefix(INDEXES).partition(".")[0]
+    own = members if len(members) == 1 else [m for m in members if m.partition(".")[0] == stem]
+    return own[0] if len(own) == 1 else None
 
 
 def _reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
