@@ -47,10 +47,39 @@ def test_trie_keeps_the_open_subtree():
     trie = PatriciaTrie()
     for key in (b"aa1", b"aa2", b"ab1", b"b"):
         trie.insert(key, 1, 1)
-    assert {k for k, _, _ in trie.take(keep=b"aa")} == {b"ab1", b"b"}
+    assert {k for k, _, _ in trie.give_off(0, keep=b"aa")} == {b"ab1", b"b"}
     assert {k for k, _, _ in trie.take()} == {b"aa1", b"aa2"}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.binary(max_size=5), st.integers(1, 50))), st.integers(0, 4000), st.binary(max_size=2))
+def test_what_is_given_off_and_what_stays_add_up(keys, most, keep):
+    trie, plain = PatriciaTrie(), {}
+    for key, copies in keys:
+        trie.insert(key, 1, copies)
+        plain[key] = plain.get(key, 0) + copies
+    gone = {k: n for k, _, n in trie.give_off(most, keep)}
+    assert not any(k.startswith(keep) for k in gone)
+    sizes = exact_dedup._sizes(trie.root)[id(trie.root)][0] - exact_dedup._NODE_BYTES
+    assert trie.size == sizes
+    kept = {k: n for k, _, n in trie.take()}
+    assert gone.keys().isdisjoint(kept) and gone | kept == plain
+    # Beyond the budget only what must stay is left: kept keys, and keys that lead to them or to the root.
+    if sizes > most:
+        assert all(k.startswith(keep) or keep.startswith(k) or any(o != k and o.startswith(k) for o in plain) for k in kept)
+
+
+def test_a_hot_text_stays_in():
+    trie = PatriciaTrie()
+    hot = b"the text of a third of all rows " * 100
+    for i in range(3000):
+        trie.insert(hot if i % 3 == 0 else b"cold text %d " % i + bytes(300), i, 1)
+        if trie.size > 100_000:
+            assert hot not in {k for k, _, _ in trie.give_off(50_000)}
+    left = {k: n for k, _, n in trie.take()}
+    assert left[hot] == 1000 and len(left) < 150
+
+
 def test_small_tries_add_up():
     """A budget of nothing gives off every subtree at once, and nothing is lost."""
     rows = [(4, 7, b"text", i, 1) for i in range(20)] + [(4, 8, b"next", 3, 1)]

@@ -3,9 +3,9 @@
 Only texts whose length and hash occur more than once can have an equal, so only those are shuffled.
 Each scan task first folds its own copies in a trie, so a text that a third of all rows share leaves
 a task once; owners then insert the full bytes of what is left, and a terminal node holds the smallest
-identifier and the number of copies. A trie beyond its budget gives off whole subtrees: in a scan task
-any subtree, as owners add up what arrives twice; in an owner only those of keys that are complete, as
-rows arrive sorted by key.
+identifier and the number of copies. A trie beyond its budget gives off whole subtrees, those of the most bytes per
+copy first, until it fills half of it; so texts with many copies stay. In a scan task it may be any subtree,
+as owners add up what arrives twice; in an owner only those of keys that are complete, as rows arrive sorted by key.
 
 Defined cases: a NULL text equals an empty one; a NULL identifier counts as larger than any other and
 stays only if its group has no other; rows with the same text and identifier are all kept or all
@@ -14,6 +14,8 @@ dropped; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +26,8 @@ from tiffin.llm.scratch import Scratch
 from tiffin.llm.texts import BLANK_CLASS, binary_rows
 
 TRIE_BYTES = 32 << 20
+# About what a node takes besides its label.
+_NODE_BYTES = 400
 
 
 def normalised(text: Column) -> Column:
@@ -76,7 +80,7 @@ class PatriciaTrie:
             child = node.children.get(key[at])
             if child is None:
                 node.children[key[at]] = Node(key[at:], smallest, copies)
-                self.size += len(key) - at + 400
+                self.size += len(key) - at + _NODE_BYTES
                 return
             rest = key[at : at + len(child.label)]
             same = _common(child.label, rest)
@@ -85,28 +89,87 @@ class PatriciaTrie:
                 child.label = child.label[same:]
                 upper.children[child.label[0]] = child
                 node.children[key[at]] = upper
-                self.size += 400
+                self.size += _NODE_BYTES
                 child = upper
             node, at = child, at + same
 
-    def take(self, keep: bytes | None = None) -> Iterator[tuple[bytes, int | None, int]]:
-        """Gives off every subtree but the one of the keys that begin with ``keep``."""
-        stack = [(b"", self.root)]
-        kept: list[tuple[bytes, int | None, int]] = []
-        while stack:
-            prefix, node = stack.pop()
-            key = prefix + node.label
-            if node.copies:
-                found = (key, node.smallest, node.copies)
-                if keep is not None and key.startswith(keep):
-                    kept.append(found)
-                else:
-                    yield found
-            stack.extend((key, child) for child in node.children.values())
-            node.children = {}
+    def take(self) -> Iterator[tuple[bytes, int | None, int]]:
+        """Gives off everything."""
+        yield from _entries(b"", self.root)
         self.root, self.size = Node(b""), 0
-        for found in kept:
-            self.insert(*found)
+
+    def give_off(self, most: int, keep: bytes | None = None) -> Iterator[tuple[bytes, int | None, int]]:
+        """Gives off subtrees until the size is at most ``most``, none of the keys that begin with ``keep``.
+
+        Subtrees of the most bytes per copy go first. Those that are large beside ``most``, or hold kept keys, too, are
+        looked at in parts.
+        """
+        sizes = _sizes(self.root)
+        heap: list = []
+        order = itertools.count()
+
+        def offer(prefix: bytes, parent: Node) -> None:
+            for byte, node in parent.children.items():
+                size, copies = sizes[id(node)]
+                heapq.heappush(heap, (-size / max(1, copies), next(order), prefix, parent, byte))
+
+        offer(b"", self.root)
+        while heap and self.size > most:
+            _, _, prefix, parent, byte = heapq.heappop(heap)
+            node = parent.children[byte]
+            key, size = prefix + node.label, sizes[id(node)][0]
+            if keep is not None and key.startswith(keep):
+                continue
+            if node.children and (size > most // 8 or (keep is not None and keep.startswith(key))):
+                offer(key, node)
+                continue
+            yield from _entries(prefix, node)
+            del parent.children[byte]
+            self.size -= size
+        self._drop_empty()
+
+    def _drop_empty(self) -> None:
+        """Removes nodes that hold no key and lead to none."""
+        path = [(self.root, iter(list(self.root.children.items())), None, None)]
+        while path:
+            node, rest, parent, byte = path[-1]
+            following = next(rest, None)
+            if following:
+                child = following[1]
+                path.append((child, iter(list(child.children.items())), node, following[0]))
+                continue
+            path.pop()
+            if parent is not None and not node.copies and not node.children:
+                del parent.children[byte]
+                self.size -= len(node.label) + _NODE_BYTES
+
+
+def _entries(prefix: bytes, top: Node) -> Iterator[tuple[bytes, int | None, int]]:
+    """The keys of a subtree."""
+    stack = [(prefix, top)]
+    while stack:
+        before, node = stack.pop()
+        key = before + node.label
+        if node.copies:
+            yield key, node.smallest, node.copies
+        stack.extend((key, child) for child in node.children.values())
+
+
+def _sizes(top: Node) -> dict[int, tuple[int, int]]:
+    """Bytes and copies of the subtree of every node."""
+    order, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(node.children.values())
+    sizes: dict[int, tuple[int, int]] = {}
+    for node in reversed(order):
+        size, copies = len(node.label) + _NODE_BYTES, node.copies
+        for child in node.children.values():
+            more, held = sizes[id(child)]
+            size, copies = size + more, copies + held
+        sizes[id(node)] = (size, copies)
+    return sizes
 
 
 _FOLDED = "n_bytes long, content_hash long, text binary, smallest long, copies long"
@@ -139,7 +202,7 @@ def _folding(trie_bytes: int, sorted_keys: bool):
             ):
                 key = _key(n_bytes, content_hash)
                 if trie.size > trie_bytes:
-                    yield from _as_batches(trie.take(key if sorted_keys else None))
+                    yield from _as_batches(trie.give_off(trie_bytes // 2, key if sorted_keys else None))
                 trie.insert(key + text, smallest, copies)
         yield from _as_batches(trie.take())
 
