@@ -8,7 +8,7 @@ are ranked per source, and a source's slot of rank ``r`` takes its block ``r`` m
 
 A source of which the mix would hold few common blocks is cut into blocks of its own length, at most
 1 / ``_FINE`` of its words and of its target. It takes them one after the other until their words, part-filled
-blocks counted as they are, come nearest to its target, at slots of equal distance in place of its points.
+blocks counted as they are, come nearest to its target, at slots from a golden-ratio sequence of its own.
 
 A source's target is its share of all words by weight, but at most ``repeats`` times its own size; what
 is left over is shared again by weight. Targets follow in one step from the order of size / weight, in
@@ -234,19 +234,27 @@ def _schedule(spark, sources: DataFrame, slots: int, block: int, repeats: int) -
 
 
 def _own_schedule(sources: DataFrame, slots: int) -> DataFrame:
-    """The blocks of sources that have a length of their own, at equal distances over all slots."""
+    """The blocks of sources that have a length of their own.
+
+    Such a source takes as many blocks as its target asks for, some hundreds. Its points are frac((k + phase) / phi), so
+    they spread over all slots as those of the common sequence do; slots are ranked, and the r-th takes block r.
+    """
     blocks = F.ceil(F.col("source_size") / F.col("length")).cast("long")
-    # Each source starts elsewhere, so that many small ones do not meet in the same slots.
-    phase = F.pmod(F.col("source_rank") * GOLDEN, F.lit(_RING)) / F.lit(float(_RING))
     takes = sources.filter("takes > 0").select(
-        "source_rank", "takes", blocks.alias("blocks"), phase.alias("phase"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("takes") - 1)).alias("rank"),
+        "source_rank", "takes", blocks.alias("blocks"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("takes") - 1)).alias("k"),
     )
-    slot = F.floor((F.col("rank") + F.col("phase")) * slots / F.col("takes")).cast("long")
-    return takes.select(
-        F.least(slot, F.lit(slots - 1).cast("long")).alias("slot"),
-        F.col("source_rank").cast("int").alias("source_rank"),
-        (F.col("rank") % F.col("blocks")).alias("block"),
+    # Each source starts elsewhere, so that many small ones do not meet in the same slots.
+    step = F.col("k") + F.col("source_rank") * _FINE + 1
+    point = F.pmod(F.pmod(step, F.lit(_RING)) * GOLDEN, F.lit(_RING)) / F.lit(float(_RING))
+    slot = F.least(F.floor(point * slots), F.lit(slots - 1)).cast("long")
+    in_order = Window.partitionBy("source_rank").orderBy("slot", "k")
+    return (
+        takes.withColumn("slot", slot)
+        .withColumn("rank", F.row_number().over(in_order).cast("long") - 1)
+        .select(
+            "slot", F.col("source_rank").cast("int").alias("source_rank"), (F.col("rank") % F.col("blocks")).alias("block")
+        )
     )
 
 
