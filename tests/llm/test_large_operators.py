@@ -12,6 +12,7 @@ import struct
 import textwrap
 import zipfile
 import zlib
+from collections import Counter
 from functools import reduce
 
 import duckdb
@@ -273,6 +274,77 @@ def test_whole_licenses_and_wrapped_headers(spark):
     assert all(got[r[0]][0] is None for r in rows if r[1].startswith("p"))
 
 
+def _best_cosine(words, template, weight, unknown):
+    """The best cosine of a template over blocks of its length at every offset."""
+    unit = {t: n * weight[t] for t, n in Counter(template).items()}
+    norm = sum(v * v for v in unit.values()) ** 0.5
+    held, dot, square, best = Counter(), 0.0, 0.0, 0.0
+    for end in range(len(words) + len(template) - 1):
+        for at, step in ((end, 1), (end - len(template), -1)):
+            if 0 <= at < len(words):
+                term = words[at]
+                w, n = weight.get(term, unknown), held[term]
+                square += ((n + step) ** 2 - n * n) * w * w
+                dot += step * w * unit.get(term, 0.0) / norm
+                held[term] += step
+        if square > 1e-9:
+            best = max(best, dot / square**0.5)
+    return best
+
+
+def test_blocks_against_every_offset(spark):
+    """Edited licences in prose: what any block of the template's length reaches clearly, the laid blocks find."""
+    rng = random.Random(21)
+    whole = license_texts.block_templates()
+    names = ("MIT#0", "BSD-2-Clause#0", "BSD-3-Clause#0", "Apache-2.0#0", "Apache-2.0#1", "MPL-2.0#0", "GPL-2.0#1")
+    templates = {n: whole[n] for n in names if n in whole}
+    listed = {n: licenses.terms(t) for n, t in templates.items()}
+    vocabulary = {t for words in listed.values() for t in words}
+    counts = {"": 5000} | {t: 1 + zlib.crc32(t.encode()) % 400 for t in sorted(vocabulary)}
+    weight = {t: licenses.idf(5000, counts[t]) for t in vocabulary}
+    rows = []
+    for name, words in listed.items():
+        for share in (0.0, 0.05, 0.15):
+            edited = [f"other{rng.randrange(50)}" if rng.random() < share else w for w in words]
+            more = [x for i, w in enumerate(words) for x in ((w, "inserted") if i % 25 == 24 else (w,))]
+            cut = words[int(len(words) * share) :]
+            for text in (edited, more, cut, words[: len(cut)], words[: len(words) // 2]):
+                before, after = ([f"word{rng.randrange(90)}" for _ in range(rng.randrange(80))] for _ in "ab")
+                rows.append((len(rows), before + text + after))
+    files = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "file long, text string")
+    found = licenses.license_blocks(files, templates, counts=counts)
+    scores = {}
+    for file, license_, score in found.select("file", "license", "score").collect():
+        scores[file, license_] = max(score, scores.get((file, license_), 0))
+    clear = 0
+    for i, words in rows:
+        best = {}
+        for name, template in listed.items():
+            cosine = _best_cosine(words, template, weight, licenses.idf(5000, 0))
+            best[name.partition("#")[0]] = max(cosine, best.get(name.partition("#")[0], 0))
+        license_ = max(best, key=best.get)
+        # Blocks lie where the licence's own would; of a cut licence they hold more of the text around than the best.
+        if best[license_] >= licenses.BLOCK_LEAST + 0.15:
+            clear += 1
+            assert scores[i, license_] >= best[license_] - 0.15
+            assert max((score, name) for (file, name), score in scores.items() if file == i)[1] == license_
+        assert all(score <= best[name] + 1e-5 for (file, name), score in scores.items() if file == i)
+    assert clear > 40
+
+
+def test_every_place_of_long_licenses_is_an_anchor():
+    """No part of a long licence is without anchors, if it has words of licences."""
+    listed = {n: licenses.terms(t) for n, t in license_texts.block_templates().items()}
+    anchors = licenses._anchors(listed)
+    for name, words in listed.items():
+        threes = Counter(" ".join(words[i : i + 3]) for i in range(len(words) - 2))
+        places = {p["at"] for found in anchors.values() for p in found if p["t"] == name}
+        assert places == {
+            i for i in range(len(words) - 2)
+            if words[i] in licenses._LEGAL and threes[" ".join(words[i : i + 3])] == 1
+        }
+
+
 def test_license_edge_cases(spark):
     assert scan(spark, []) == {}
     rows = [(1, "LICENSE", MIT, 1), (1, "LICENSE", MIT, 2), (None, "x", "t", 3)]

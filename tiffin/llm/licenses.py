@@ -11,8 +11,8 @@ of the template falls short (by the Cauchy-Schwarz inequality); the other lines
 
 Licence texts and headers of more than a line (``license_texts``) are compared with blocks: as many words of a file
 as the template has, wherever lines break. A block is laid where three words of the template stand in a row,
-the first of them a word of licences, at the place that these have in the template; in long templates places
-are rounded to 1/64 of their length. So the blocks of one template have at most 128 times the words of the file.
+the first of them a word of licences, at the place that these have in the template, wherever that is; in long
+templates places are rounded to 1/64 of their length. A text in which no such three words are left has no block. So the blocks of one template have at most 128 times the words of the file.
 Blocks are scored by the same cosine, and need ``BLOCK_LEAST``, as long texts share common words.
 
 All work is DataFrame functions, joins and aggregates. What comes to the driver are the line counts of
@@ -48,8 +48,6 @@ _LEGAL = (
     "redistribution", "redistributions", "warranty", "warranties",
 )
 _LEGAL_TEXT = "(?i)licen[cs]e|copyright|creative|redistribut|warrant"
-_LONG = 400
-_LONG_ANCHORS = 24
 
 # Short notices as they stand in file headers, by SPDX identifier.
 TEMPLATES = {
@@ -164,12 +162,11 @@ def _anchors(templates: Mapping[str, list[str]]) -> dict[str, list[dict]]:
     for name, words in sorted(templates.items()):
         threes = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)]
         times = Counter(threes)
-        at = [i for i, three in enumerate(threes) if words[i] in _LEGAL and times[three] == 1]
-        if len(words) > _LONG:
-            at = at[:: -(-len(at) // _LONG_ANCHORS)]
-        for i in at:
+        for i, three in enumerate(threes):
+            if words[i] not in _LEGAL or times[three] > 1:
+                continue
             place = {"t": name, "at": i, "length": len(words), "step": max(1, len(words) // 64)}
-            found.setdefault(threes[i], []).append(place)
+            found.setdefault(three, []).append(place)
     return found
 
 
