@@ -6,6 +6,7 @@ import binascii
 import glob
 import hashlib
 import io
+import math
 import os
 import random
 import struct
@@ -19,6 +20,8 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -404,6 +407,87 @@ def test_statistics_are_finite(text):
     assert len(values) == len(quality.STATISTICS) and np.isfinite(values).all()
 
 
+def plain_statistics(text):
+    """The statistics one by one, in the order of their names."""
+    words, lines = text.split(), [x for x in text.split(b"\n") if x]
+    n, n_words, n_lines = max(1, len(text)), max(1, len(words)), max(1, len(lines))
+    counts = Counter(text)
+
+    def share(test):
+        return sum(1 for c in text if test(c)) / n
+
+    blanks = b" \t\n\v\f\r"
+    upper, lower, digit = (lambda c, a=a, b=b: a <= c <= b for a, b in (b"AZ", b"az", b"09"))
+    yield math.log(1 + len(text))
+    yield math.log(1 + len(words))
+    yield from (share(upper), share(lower), share(digit), share(lambda c: c in blanks), share(lambda c: c >= 128))
+    yield share(lambda c: c < 128 and c not in blanks and not (upper(c) or lower(c) or digit(c)))
+    yield from (counts[mark] / n for mark in b"!*$%&#|.,")
+    yield sum(counts[mark] for mark in b"!*$%&#|.,") / n_words
+    yield (len(text) - counts[32] - counts[10]) / n_words
+    yield len(set(words)) / n_words
+    yield max(Counter(words).values(), default=0) / n_words
+    yield sum(1 for i in range(1, len(words)) if words[i] == words[i - 1]) / n_words
+    yield math.log(1 + len(lines))
+    yield math.log(1 + len(text) / n_lines)
+    yield max((len(x) for x in lines), default=0) / n
+    yield len(set(lines)) / n_lines
+    yield len(counts)
+    yield -sum(c / n * math.log(c / n) for c in counts.values())
+    yield max(counts.values(), default=0) / n
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"Zq", b"7", b" ", b"  ", b"\n", b"\t", b"!", b"|.", b"word word", "é".encode(), b"\x00"])))
+def test_statistics_against_a_plain_version(pieces):
+    text = b"".join(pieces)
+    assert quality.statistics(text) == pytest.approx(list(plain_statistics(text)))
+
+
+def plain_tree(x, gradient, weight, depth, edges, smoothing, least):
+    """The best splits by a loop over features and edges; leaves are sums of gradients over weights."""
+
+    def total(rows):
+        return sum(gradient[i] for i in rows), sum(weight[i] for i in rows)
+
+    def worth(rows):
+        g, h = total(rows)
+        return g * g / (h + smoothing)
+
+    def grow(rows, level):
+        best, parts = 1e-9, (rows, [])
+        for j in range(x.shape[1]) if level < depth else ():
+            for edge in edges[j]:
+                left, right = [i for i in rows if x[i, j] <= edge], [i for i in rows if x[i, j] > edge]
+                gain = worth(left) + worth(right) - worth(rows)
+                if min(total(left)[1], total(right)[1]) >= least and gain > best + 1e-9:
+                    best, parts = gain, (left, right)
+        if level < depth:
+            return grow(parts[0], level + 1) | grow(parts[1], level + 1)
+        g, h = total(rows)
+        return dict.fromkeys(rows, g / (h + smoothing))
+
+    return grow(list(range(len(x))), 0)
+
+
+def test_boosting_against_a_plain_version():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(160, 3)).round(1)
+    y = ((x[:, 0] > 0.2) ^ (x[:, 1] > 0.5) | (rng.random(160) < 0.1)).astype(float)
+    forest = quality.fit(x, y, trees=4, depth=2, rate=0.3, bins=8)
+    edges = []
+    for column in x.T:
+        ranked = sorted(column)
+        cuts = {ranked[math.floor(k * (len(ranked) - 1) / 8)] for k in range(1, 8)}
+        edges.append(sorted(c for c in cuts if c < ranked[-1]))
+    margin = np.full(160, math.log(y.mean() / (1 - y.mean())))
+    for _ in range(4):
+        p = 1 / (1 + np.exp(-margin))
+        leaves = plain_tree(x, y - p, p * (1 - p), 2, edges, 2.0, 1.0)
+        margin += 0.3 * np.array([leaves[i] for i in range(160)])
+    assert forest.margin(x) == pytest.approx(margin)
+
+
 LABELS = "doc_id long, quality int, toxic int"
 
 

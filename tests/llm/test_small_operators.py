@@ -286,6 +286,43 @@ def test_url_filters(spark):
     assert {r[0] for r in none.select("verdict").collect()} == {"allow"} and none.count() == len(rows)
 
 
+def test_many_rules_meet_few_urls(spark):
+    """Thousands of rules: each URL meets those filed under one of its tokens, and no verdict changes."""
+    rng = random.Random(5)
+    hosts = [f"h{i}.{rng.choice(['org', 'com', 'net'])}" for i in range(1500)]
+    rules = [
+        url_filters.SiteRule(rng.choice(["allow", "block"]), h, rng.choice(["/", "/a/", "/a/b", f"/p{i}/"]))
+        for i, h in enumerate(hosts)
+    ]
+    rules += [url_filters.SiteRule("allow", "org", "/"), url_filters.SiteRule("block", "com", "/a/")]
+    patterns = [f"/x{i}/" for i in range(3000)] + ["/ads/"]
+    urls = [
+        f"http://{rng.choice(['', 'www.'])}{rng.choice(hosts)}/{rng.choice(['', 'a/', 'a/b', 'ads/', f'x{i}/', f'p{i}/'])}"
+        for i in range(600)
+    ]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+
+    def verdict(url):
+        target = url.split("://", 1)[1]
+        host, _, path = target.partition("/")
+        ends = {host[i:] for i in range(len(host)) if i == 0 or host[i - 1] == "."}
+        best = max((r for r in rules if r.host in ends and f"/{path}".startswith(r.path)),
+                   key=lambda r: len(r.text), default=None)
+        blocked = any(p in target for p in patterns)
+        return (best.text, best.verdict) if best else (None, "block" if blocked else "allow")
+
+    found = filter_urls(df, site_rules=rules, patterns=patterns)
+    assert rows_of(found, "page_id", "rule", "verdict") == sorted(
+        ((i, *verdict(u)) for i, u in enumerate(urls)), key=repr
+    )
+    targets = df.select(F.regexp_extract("url", "://(.*)", 1).alias("target"))
+    index = url_filters._index(targets, rules, patterns)
+    assert index.count() == len(rules) + len(patterns)
+    # Only the two rules of a whole top domain are filed under a token that hundreds of URLs have.
+    tokens = targets.select(F.explode(url_filters._tokens(F.col("target"))).alias("token"))
+    assert tokens.join(index, "token").count() < 5 * len(urls)
+
+
 def test_url_filters_with_clashing_columns(spark):
     df = spark.createDataFrame(
         [(1, "http://example.org/es/", "a", "b", 1)],
