@@ -177,7 +177,7 @@ def _across(compare: Compare):
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, ["of", "low", "high"]):
-            nodes = table.column("node").to_pylist()
+            nodes, kind = table.column("node").to_pylist(), table.schema.field("node").type
             blocks = table.column("block").to_numpy()
             payload = table.column("payload").to_pylist()
             _, part = np.unique(np.array(table.column("part").to_pylist(), object), return_inverse=True)
@@ -188,7 +188,7 @@ def _across(compare: Compare):
                 b.extend(nodes[start + y] for _, y in edges)
             if a:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"]
+                    [pa.array(a, kind), pa.array(b, kind)], names=["a", "b"]
                 )
 
     return link
@@ -197,9 +197,8 @@ def _across(compare: Compare):
 def _linked_blocks(members: DataFrame, compare: Compare, turn: int) -> DataFrame:
     """``(of, blocks, node, part, load, payload)`` from ``(of, blocks, node, load, payload)``."""
     block = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("blocks")).cast("int")
-    schema = f"of {members.schema['of'].dataType.simpleString()}, blocks int, " + (
-        "node binary, part binary, load double, payload binary"
-    )
+    of, node = (members.schema[name].dataType.simpleString() for name in ("of", "node"))
+    schema = f"of {of}, blocks int, node {node}, part {node}, load double, payload binary"
     return (
         members.select("of", F.col("blocks").cast("int"), block.alias("block"), "node", "load", "payload")
         .repartition("of", "block")
@@ -299,6 +298,7 @@ def _open_pairs(members: DataFrame, compare: Compare) -> DataFrame:
         F.col("inner") + F.pmod(place, F.col("outer"))
     )
     meets = F.sequence(F.when(inside, F.col("inner")).otherwise(0), F.expr("inner + outer - 1"))
+    node = members.schema["node"].dataType.simpleString()
     return (
         members.withColumn("block", block.cast("int"))
         .withColumn("other", F.explode(meets))
@@ -308,5 +308,5 @@ def _open_pairs(members: DataFrame, compare: Compare) -> DataFrame:
         )
         .repartition("of", "low", "high")
         .sortWithinPartitions("of", "low", "high", "node")
-        .mapInArrow(_across(compare), "a binary, b binary")
+        .mapInArrow(_across(compare), f"a {node}, b {node}")
     )

@@ -3,7 +3,9 @@
 1. One pass over the texts gives each document the number and the fingerprint of its distinct word
    shingles, and a signature of ``bands * rows`` minima under universal hash functions. Documents with
    the same fingerprint are one class; all further work is on classes, so exact copies cost nothing.
-2. A class enters one bucket per band. Buckets of the same members are worked on once.
+   A class gets a number when it is stored, and goes by its eight bytes from there.
+2. A class enters one bucket per band. Buckets of one class are left out by their counts alone; of the
+   others, those of the same members are worked on once.
 3. Signatures, cut to one byte per minimum, verify the pairs of a bucket: those whose estimate lies within 6.5 standard errors of the
    threshold, or above, are candidates. Only edges that join a bucket's candidates leave the task.
 4. The components of candidate edges bring together all classes that can be linked. Their full shingle
@@ -122,22 +124,19 @@ def _candidates(
     classes: DataFrame, scratch: Scratch, least: float, block_members: int
 ) -> DataFrame:
     """Edges between classes that share a bucket and have similar signatures."""
-    banded = classes.select(F.explode("keys").alias("bucket"), F.col("class").alias("node"))
+    banded = classes.select(F.explode("keys").alias("bucket"), "node")
+    # Most buckets hold one class: only their numbers meet in a shuffle that sees all of them.
+    counts = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    buckets = scratch.store(counts, "buckets")
+    common = scratch.store(banded.join(buckets, "bucket"), "common")
     mark = F.xxhash64("node")
-    buckets = scratch.store(
-        banded.groupBy("bucket")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.bit_xor(mark).alias("x"),
-            F.sum(F.shiftright(mark, 32)).alias("s"),
-        )
-        .filter("n > 1"),
-        "buckets",
+    alike = common.groupBy("bucket", "n").agg(
+        F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 32)).alias("s")
     )
-    distinct = buckets.groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket"))
-    signatures = classes.select(F.col("class").alias("node"), F.col("signature").alias("payload"))
+    distinct = alike.groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket"))
+    signatures = classes.select("node", F.col("signature").alias("payload"))
     members = (
-        banded.join(distinct.select("bucket", "n"), "bucket")
+        common.join(distinct.select("bucket"), "bucket")
         .join(signatures, "node")
         .select(
             F.col("bucket").alias("of"),
@@ -150,7 +149,7 @@ def _candidates(
     return linked(members, by_signature(least, np.uint8), lambda nodes: signatures, scratch, "candidates")
 
 
-_SET = "node binary, payload binary"
+_SET = "class binary, payload binary"
 
 
 def _shingle_sets(width: int):
@@ -165,7 +164,7 @@ def _shingle_sets(width: int):
                         pa.array([fingerprint(s) for s in found], pa.binary()),
                         pa.array([s.tobytes() for s in found], pa.binary()),
                     ],
-                    names=["node", "payload"],
+                    names=["class", "payload"],
                 )
 
     return sets
@@ -198,7 +197,8 @@ def near_duplicates(
             F.max("n_shingles").alias("n_shingles"),
             F.max("signature").alias("signature"),
             F.max("keys").alias("keys"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     profiles = scratch.store(profiled.select("doc_id", "n_shingles", "class"), "profiles")
@@ -208,7 +208,7 @@ def near_duplicates(
     candidates = _candidates(classes, scratch, least, block_members)
     together = scratch.store(connected_components(candidates, scratch, "candidates"), "together")
     known = scratch.store(classes.drop("signature", "keys"), "known")
-    scratch.drop("classes", "buckets", *(f"candidates-turn-{turn}" for turn in range(_TURNS)))
+    scratch.drop("classes", "buckets", "common", *(f"candidates-turn-{turn}" for turn in range(_TURNS)))
     load = F.col("n_shingles") / block_shingles + 1 / block_members
     links = _confirmed(texts, known, together, scratch, percent, width, load)
     components = scratch.store(connected_components(links, scratch, "links"), "components")
@@ -220,7 +220,7 @@ def _confirmed(texts: DataFrame, classes: DataFrame, together: DataFrame, scratc
                percent: int, width: int, load: Column) -> DataFrame:
     """Edges between classes whose full shingle sets are similar enough."""
     wanted = together.withColumnRenamed("root", "of").join(
-        classes.select(F.col("class").alias("node"), "smallest", load.alias("load")), "node"
+        classes.select("node", "class", "smallest", load.alias("load")), "node"
     )
     groups = wanted.groupBy("of").agg(F.ceil(F.sum("load")).alias("blocks"))
     needed = scratch.store(wanted.join(groups, "of"), "needed")
@@ -235,9 +235,10 @@ def _confirmed(texts: DataFrame, classes: DataFrame, together: DataFrame, scratc
         )
 
     def sets_again(nodes: DataFrame) -> DataFrame:
-        return sets_of(needed.join(nodes, "node", "left_semi"))
+        wanted = needed.join(nodes, "node", "left_semi")
+        return wanted.select("node", "class").join(sets_of(wanted), "class").select("node", "payload")
 
-    members = needed.drop("smallest").join(sets_of(needed), "node")
+    members = needed.drop("smallest").join(sets_of(needed), "class").drop("class")
     return linked(members, by_set(percent), sets_again, scratch, "confirmed")
 
 
@@ -245,12 +246,8 @@ def _labelled(
     profiles: DataFrame, classes: DataFrame, components: DataFrame, scratch: Scratch
 ) -> DataFrame:
     """The smallest identifier of the component of each document."""
-    grouped = classes.select("class", "smallest", "copies").join(
-        components.select(F.col("node").alias("class"), "root"), "class", "left"
-    )
-    least = components.select(F.col("node").alias("class"), "root").join(
-        classes.select("class", "smallest"), "class"
-    )
+    grouped = classes.select("node", "class", "smallest", "copies").join(components, "node", "left")
+    least = components.join(classes.select("node", "smallest"), "node")
     least = least.groupBy("root").agg(F.min("smallest").alias("component_id"))
     shared = scratch.store(
         grouped.filter("copies > 1 or root is not null")
