@@ -76,6 +76,34 @@ def test_parts_are_read_by_their_own_headers(spark, tmp_path):
     assert got == [*want, ("I5", "O1", "te\na", 1, Decimal("1.00"))]
 
 
+def test_each_part_is_read_once_and_each_record_parsed_once(spark, tmp_path):
+    path = _parts(
+        tmp_path,
+        a=f"{ITEMS}\nI1,O1,tea,1,1.00\n",
+        b='Price,Quantity,Menu_item,Order_id,Order_item_id\n2.00,2,"rice\nand beans",O1,I2\n',
+        c=f"Remark,{ITEMS}\nnew,I3,O2,soup,3,3.00\n",
+    )
+    with conf(spark, **{"spark.sql.maxMetadataStringLength": "5000"}):
+        rows = read_bronze_csv(spark, path, ORDER_ITEMS)
+        assert sorted(r["Menu_item"] for r in rows.collect()) == ["rice\nand beans", "soup", "tea"]
+        execution = rows._jdf.queryExecution()
+        assert execution.optimizedPlan().toString().count("from_csv") == 3
+        plan = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 3
+    for name in "abc":
+        assert sum(f"/{name}.csv" in scan for scan in scans) == 1
+
+
+def test_names_of_parts_with_signs_of_patterns(spark, tmp_path):
+    folder = tmp_path / "Order_Items.csv"
+    folder.mkdir()
+    (folder / "part[1] {a}.csv").write_text(f'{ITEMS}\nI1,O1,"a\nb",1,1.00\n')
+    (folder / "part?.csv").write_text(f"x,{ITEMS}\nx,I2,O1,tea,1,1.00\n")
+    rows = read_bronze_csv(spark, str(folder), ORDER_ITEMS)
+    assert sorted(r["Menu_item"] for r in rows.collect()) == ["a\nb", "tea"]
+
+
 def test_a_part_without_a_column_is_named(spark, tmp_path):
     header = [f.name for f in ORDER_ITEMS.fields]
     path = _parts(tmp_path, a=",".join(header) + "\n", b=",".join(header[1:]) + "\nO1,tea,1,1.00\n")

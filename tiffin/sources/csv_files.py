@@ -8,6 +8,7 @@ fit the header. Such records can be set aside instead (``malformed="skip"``, ``m
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiffin.plans.together import run_together
 from tiffin.schemas import Field, TableSpec
 from tiffin.sources import csv_records
 
@@ -67,6 +69,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(conf).exists(hadoop_path)
 
 
+def _as_written(files: list[str]) -> list[str]:
+    """Paths for a reader that takes signs of patterns in file names as they are."""
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in files]
+
+
 def read_csv_text(
     spark: SparkSession, path: str, multiline: bool | None = None, lenient: bool = False
 ) -> list[tuple[str, DataFrame]]:
@@ -77,7 +84,8 @@ def read_csv_text(
     are its text and what is wrong with it.
 
     Line breaks inside quotes are found by a scan of the lines that have quotes, and such extracts are read
-    by many tasks (``csv_records``). ``multiline=False`` spares the scan: every line is a record, and one that
+    by many tasks (``csv_records``). Files are scanned and read with those of their own header, so each of them
+    is read once, however many headers there are. ``multiline=False`` spares the scan: every line is a record, and one that
     ends inside quotes is malformed. ``multiline=True`` has Spark read every file in one task. An extract
     with a file that ends inside quotes is an error, or is read line by line if ``lenient``.
     """
@@ -89,35 +97,35 @@ def read_csv_text(
             by_header.setdefault(header, []).append(file)
     if not by_header:
         raise AnalysisException(f"no file of {path} has a header")
-    quotes = csv_records.scan_quotes(spark, path) if multiline is None else None
-    if quotes and quotes.unclosed and not lenient:
+    # The scan and the reading of a header's files see the same splits, as they are given the same paths.
+    paths = [path if len(own) == len(files) else _as_written(own) for own in by_header.values()]
+    scans = []
+    if multiline is None:
+        scans = run_together(spark, lambda own: csv_records.scan_quotes(spark, own), paths)
+    unclosed = frozenset().union(*[scan.unclosed for scan in scans])
+    if unclosed and not lenient:
         numbers = csv_records.file_numbers(spark, files)
-        broken = [f for f, n in zip(files, numbers, strict=True) if n in quotes.unclosed]
+        broken = [f for f, n in zip(files, numbers, strict=True) if n in unclosed]
         raise ValueError(f"{UNCLOSED_QUOTE} at the end of {broken[0]}")
-    records = None
-    if quotes and quotes.breaks and not quotes.unclosed:
-        groups = {header: i for i, header in enumerate(by_header)}
-        numbers = csv_records.file_numbers(spark, files)
-        records = csv_records.read_records(
-            spark, path, quotes, {n: groups.get(h, 0) for n, h in zip(numbers, headers, strict=True)}
-        )
+    by_records = not unclosed and any(scan.breaks for scan in scans)
     tables = []
     for i, (header, own) in enumerate(by_header.items()):
         names = csv_records.distinct_names(header)
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, RECORD]])
-        if records is None:
+        if not by_records:
             text = (
                 spark.read.options(**_CSV, header=True, multiLine=bool(multiline))
                 # All fields are parsed whatever is selected later, as their number is what is checked.
                 .option("columnPruning", False)
                 .schema(schema)
-                .csv(path if len(own) == len(files) else own)
+                .csv(paths[i])
             )
         else:
-            of_group = records.filter(F.col("group") == i) if len(by_header) > 1 else records
+            records = csv_records.read_records(spark, paths[i], scans[i])
             fields = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
             parsed = F.from_csv(F.col("record"), fields, {**_CSV, "multiLine": "true"})
-            text = of_group.select(parsed.alias("fields")).select("fields.*")
+            # By a generator, as a filter would be pushed below a projection and parse each record again.
+            text = records.select(F.inline(F.array(parsed)))
         tables.append((own[0], text.withColumn(REASON, malformed_reason(text))))
     return tables
 

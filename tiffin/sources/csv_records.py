@@ -237,7 +237,7 @@ class _Split:
         return head, records
 
 
-def _whole_records(states: dict[int, SplitStates], groups: dict[int, int]):
+def _whole_records(states: dict[int, SplitStates]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = None
         for batch in batches:
@@ -246,22 +246,20 @@ def _whole_records(states: dict[int, SplitStates], groups: dict[int, int]):
                     split = _Split((file, block), states.get(file, _NO_QUOTES))
                 _, records = split.take(rows, keep_lines=False)
                 if len(records):
-                    group = pa.array(np.full(len(records), groups[file], np.int32))
-                    yield pa.RecordBatch.from_arrays([group, records], names=["group", "record"])
+                    yield pa.RecordBatch.from_arrays([records], names=["record"])
 
     return run
 
 
-def _edge_pieces(states: dict[int, SplitStates], groups: dict[int, int]):
+def _edge_pieces(states: dict[int, SplitStates]):
     """The ends and beginnings of records that reach over the edges of splits."""
 
     def piece(split: _Split, record: pa.Array, begins: bool) -> pa.RecordBatch:
         file, block = split.key
         columns = [
-            pa.array([groups[file]], pa.int32()), pa.array([file], pa.int64()), pa.array([block], pa.int64()),
-            pa.array([begins]), record,
+            pa.array([file], pa.int64()), pa.array([block], pa.int64()), pa.array([begins]), record,
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["group", "file", "block", "begins", "record"])
+        return pa.RecordBatch.from_arrays(columns, names=["file", "block", "begins", "record"])
 
     def rest(split: _Split | None) -> Iterator[pa.RecordBatch]:
         if split and split.lines:
@@ -285,13 +283,8 @@ def _edge_pieces(states: dict[int, SplitStates], groups: dict[int, int]):
     return run
 
 
-def read_records(
-    spark: SparkSession, path: str | list[str], quotes: Quotes, groups: dict[int, int]
-) -> DataFrame:
-    """``(group, record)``: the records of an extract, without headers and blank ones.
-
-    ``groups`` has a number for every file, by ``file_number``.
-    """
+def read_records(spark: SparkSession, path: str | list[str], quotes: Quotes) -> DataFrame:
+    """``(record)``: the records of an extract, without headers and blank ones."""
     from_closed, from_open = _line_map()
     quoted = F.col("value").contains('"')
     lines = _lines(spark, path).select(
@@ -301,22 +294,22 @@ def read_records(
         (quoted & from_closed).alias("from_closed"),
         (~quoted | from_open).alias("from_open"),
     )
-    records = lines.mapInArrow(_whole_records(quotes.states, groups), "group int, record string")
+    records = lines.mapInArrow(_whole_records(quotes.states), "record string")
     if any(states.edges() for states in quotes.states.values()):
         pieces = lines.mapInArrow(
-            _edge_pieces(quotes.states, groups),
-            "group int, file long, block long, begins boolean, record string",
+            _edge_pieces(quotes.states),
+            "file long, block long, begins boolean, record string",
         )
         along = Window.partitionBy("file").orderBy("block", "begins")
         numbered = pieces.withColumn("number", F.sum(F.col("begins").cast("long")).over(along))
         in_order = F.array_sort(F.collect_list(F.struct("block", "begins", "record")))
-        joined = numbered.groupBy("group", "file", "number").agg(
+        joined = numbered.groupBy("file", "number").agg(
             F.array_join(F.transform(in_order, lambda p: p["record"]), "\n").alias("record")
         )
-        records = records.unionAll(joined.select("group", "record"))
+        records = records.unionAll(joined.select("record"))
     # Lines may end in a carriage return and a line feed.
     bare = F.regexp_replace("record", "\r$", "")
-    return records.select("group", bare.alias("record")).filter(F.trim("record") != "")
+    return records.select(bare.alias("record")).filter(F.trim("record") != "")
 
 
 def input_files(spark: SparkSession, path: str | list[str]) -> list[str]:
