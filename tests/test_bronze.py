@@ -18,6 +18,7 @@ from tiffin.sources.csv_files import (
     malformed_records,
     read_bronze_csv,
     read_csv_text,
+    to_day,
     write_csv,
 )
 from tiffin.sources.warehouse import BRONZE, GOLD, Warehouse
@@ -189,6 +190,15 @@ def test_numbers_that_do_not_fit_end_the_load(spark, tmp_path, quantity, price,
         read_bronze_csv(spark, path, ORDER_ITEMS).collect()
 
 
+def test_usual_days_are_converted_without_trying_formats(spark):
+    texts = ["1996-02-29", "1996-02-30", "1900-02-29", "9999-12-31 23:59:59", "1996-01-05T24:00:00", "1996-01-05\n"]
+    days = spark.createDataFrame([(t,) for t in texts], "c string").select(to_day(F.col("c")).alias("day"))
+    assert [str(r["day"]) for r in days.collect()] == ["1996-02-29", "None", "None", "9999-12-31", "None", "None"]
+    usual = spark.createDataFrame([("1996-02-29 10:00:00",)], "c string").repartition(1)
+    plan = usual.select(to_day(F.col("c")).alias("day"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CASE WHEN RLIKE") < plan.index("coalesce(")
+
+
 def test_day_first(spark, tmp_path):
     header = ",".join(f.name for f in ORDERS.fields)
     path = _csv(tmp_path, ORDERS, f"{header}\nO1,C1,X,R1,P1,1/5/2024 10:00,Delivered,COD,1\n")

@@ -50,6 +50,8 @@ _TIME = (
 )
 # Spellings of a day, tried in turn; days and months of one digit fit too, and names in any case.
 _DAY_FORMATS = ("yyyy-M-d", "yyyy/M/d", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
+# The usual spelling, which is converted without trying formats; other ones, and other times of day, go by the formats.
+_ISO_DAY = r"^[1-9]\d{3}-\d\d-\d\d([ T]([01]\d|2[0-3]):[0-5]\d:[0-5]\d)?\z"
 _MONTH_FIRST, _DAY_FIRST = "M/d/yyyy", "d/M/yyyy"
 
 _NUMBER = r"(?i)^\s*[+-]?((\d+[.]?\d*|[.]\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
@@ -162,7 +164,8 @@ def to_day(c: Column, day_first: bool = False) -> Column:
     """
     day = F.regexp_replace(F.trim(c), _TIME, "")
     formats = (*_DAY_FORMATS, _DAY_FIRST if day_first else _MONTH_FIRST)
-    return F.coalesce(*[F.try_to_date(day, fmt) for fmt in formats])
+    spelled = F.coalesce(*[F.try_to_date(day, fmt) for fmt in formats])
+    return F.when(c.rlike(_ISO_DAY), F.substring(c, 1, 10).try_cast("date")).otherwise(spelled)
 
 
 def _fitting(c: Column, value: Column, name: str, type_name: str) -> Column:
