@@ -107,6 +107,30 @@ def test_hot_bad_key_is_split_in_the_audit(spark, small_limits, tmp_path):
     assert losers.isEmpty()
 
 
+def test_rows_are_sorted_once_but_for_hot_keys(spark, small_limits, tmp_path):
+    """Half of the keys come twice, a third of the rows has one key, and some have none."""
+    rows = _items(spark).selectExpr(
+        "if(Order_id = 'O0', 'I0', if(Price = 0, NULL, concat('I', CAST(substr(Order_item_id, 2) AS INT) div 4)))"
+        " AS Order_item_id",
+        "* EXCEPT (Order_item_id)",
+    )
+    bronze = _stored(spark, rows, tmp_path, "bronze")
+    hot = quality.hot_buckets(bronze, "Order_item_id", hot_rows=1000)
+    bucket = bronze.select(quality._key_bucket("Order_item_id").alias("b"), "Order_item_id")
+    assert hot == [bucket.filter("Order_item_id = 'I0'").first()["b"]]
+    assert quality.hot_buckets(bronze, "Order_item_id") == []
+    combined = sorted(map(str, quality.clean(bronze, ORDER_ITEMS).collect()))
+    for buckets in ([], hot):
+        kept = quality.clean(bronze, ORDER_ITEMS, hot=buckets)
+        assert sorted(map(str, kept.collect())) == combined
+    # The first branch has one sort, which is after its shuffle; rows of the hot key go by the other one.
+    spread = _final_plan(kept).split("SortAggregate")
+    assert "REPARTITION_BY_COL" in _final_plan(kept)
+    before_shuffle = _final_plan(kept).split("REPARTITION_BY_COL")[1].split("SortAggregate")[0]
+    assert "Sort [" not in before_shuffle.split("FileScan")[0]
+    assert len(spread) == 5
+
+
 def test_many_bad_keys_and_a_hot_one(spark, small_limits, tmp_path):
     """200,000 bad keys, one of them with a third of the rows: no task gets more than its share."""
     rows = spark.range(0, 300_000, numPartitions=8).selectExpr(

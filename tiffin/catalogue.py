@@ -36,7 +36,7 @@ from tiffin.plans.pipeline import (
     silver_tables,
     stored_tables,
 )
-from tiffin.plans.silver import build_silver, stored_duplicates, stored_rejections
+from tiffin.plans.silver import build_silver, cleaned, stored_duplicates, stored_rejections
 from tiffin.plans.together import AT_ONCE, run_together
 from tiffin.schemas import (
     BY_SILVER_NAME,
@@ -101,13 +101,14 @@ def landing(spark: SparkSession, sf_dir: str, *names: str) -> str:
 def with_bronze(spark: SparkSession, sf_dir: str, *specs: TableSpec) -> Warehouse:
     """Warehouse with the bronze tables of ``specs``, loaded from their CSV extracts."""
     warehouse = Warehouse(spark, f"{_folder(spark, sf_dir)}/warehouse")
-    for spec in specs:
+
+    def build(spec: TableSpec) -> None:
         folder = landing(spark, sf_dir, spec.bronze_name)
         _once(
-            warehouse.folder(BRONZE, spec.bronze_name),
-            BRONZE,
-            lambda spec=spec, folder=folder: load_bronze(warehouse, folder, [spec]),
+            warehouse.folder(BRONZE, spec.bronze_name), BRONZE, lambda: load_bronze(warehouse, folder, [spec])
         )
+
+    run_together(spark, build, specs, AT_ONCE)
     return warehouse
 
 
@@ -117,15 +118,17 @@ def stored_bronze(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFram
 
 def with_silver(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Warehouse with all silver tables."""
-    warehouse = with_bronze(spark, sf_dir, *TABLES)
+    warehouse = Warehouse(spark, f"{_folder(spark, sf_dir)}/warehouse")
 
-    def build(spec: TableSpec) -> None:
-        rows = quality.clean(warehouse.bronze(spec), spec)
+    def store(spec: TableSpec) -> None:
+        rows = cleaned(warehouse, spec)
         warehouse.write(rows, SILVER, spec.silver_name, figures=reconciliation.kept_figures(spec))
 
-    for spec in TABLES:
-        path = warehouse.folder(SILVER, spec.silver_name)
-        _once(path, SILVER, lambda spec=spec: build(spec))
+    def build(spec: TableSpec) -> None:
+        with_bronze(spark, sf_dir, spec)
+        _once(warehouse.folder(SILVER, spec.silver_name), SILVER, lambda: store(spec))
+
+    run_together(spark, build, TABLES, AT_ONCE)
     return warehouse
 
 

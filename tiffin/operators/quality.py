@@ -23,6 +23,10 @@ from tiffin.schemas import TableSpec
 KEEP, REJECT = "keep", "reject"
 DUPLICATE_KEY = "Duplicate PK"
 
+# Keys are counted in buckets of their hashes. One with more rows than a task should sort may hold a hot key.
+KEY_BUCKETS = 1 << 16
+HOT_ROWS = 500_000
+
 
 def normalise(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """Silver columns from bronze columns, row by row."""
@@ -59,17 +63,47 @@ def _check_null_key(null_key: str) -> None:
         raise ValueError(f"null_key must be '{KEEP}' or '{REJECT}', not {null_key!r}")
 
 
-def one_row_per_key(rows: DataFrame, key: str, failed_rule: Column | None = None) -> DataFrame:
+def _key_bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def hot_buckets(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[int]:
+    """The buckets of keys that have more than ``hot_rows`` rows, found by one scan of the key.
+
+    There is at most one such bucket for every ``hot_rows`` rows, and none without a hot key up to some 30 billion rows.
+    """
+    per_bucket = rows.filter(F.col(key).isNotNull()).groupBy(_key_bucket(key).alias("bucket"))
+    found = per_bucket.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+    return sorted(row["bucket"] for row in found.select("bucket").collect())
+
+
+def one_row_per_key(
+    rows: DataFrame, key: str, failed_rule: Column | None = None, hot: list[int] | None = None
+) -> DataFrame:
     """The smallest row of every key, leaving out keys with a failed rule.
 
     One aggregate does distinct, rejection and dedup in a single shuffle. Rows without a key are
     grouped by their whole content instead, which makes them distinct and spreads them evenly.
+
+    Rows are combined before the shuffle, for which tasks sort all that they read. ``hot``, the result of
+    ``hot_buckets``, spares that for the keys of all other buckets: they are sorted after the shuffle only.
     """
-    rest = [c for c in rows.columns if c != key]
-    keyless_row = F.when(F.col(key).isNull(), F.struct(*rest)).alias("_keyless_row")
     if failed_rule is None:
         failed_rule = F.lit(None).cast("int")
-    smallest = rows.groupBy(F.col(key), keyless_row).agg(
+    if hot is None:
+        return _smallest(rows, key, failed_rule)
+    is_hot = _key_bucket(key).isin(hot) if hot else F.lit(False)
+    known = F.col(key).isNotNull()
+    once_sorted = _smallest(rows.filter(known & ~is_hot).repartition(key), key, failed_rule, keyless=False)
+    return once_sorted.unionAll(_smallest(rows.filter(~known | is_hot), key, failed_rule))
+
+
+def _smallest(rows: DataFrame, key: str, failed_rule: Column, keyless: bool = True) -> DataFrame:
+    rest = [c for c in rows.columns if c != key]
+    by = [F.col(key)]
+    if keyless:
+        by.append(F.when(F.col(key).isNull(), F.struct(*rest)).alias("_keyless_row"))
+    smallest = rows.groupBy(*by).agg(
         F.min(failed_rule).alias("_failed_rule"),
         F.min(_nulls_last(rest)).alias("_row"),
     )
@@ -78,13 +112,15 @@ def one_row_per_key(rows: DataFrame, key: str, failed_rule: Column | None = None
     )
 
 
-def clean(bronze: DataFrame, spec: TableSpec, null_key: str = KEEP) -> DataFrame:
-    """The silver table of a bronze table."""
+def clean(
+    bronze: DataFrame, spec: TableSpec, null_key: str = KEEP, hot: list[int] | None = None
+) -> DataFrame:
+    """The silver table of a bronze table. ``hot`` is as in ``one_row_per_key``."""
     _check_null_key(null_key)
     failed = first_failed_rule(spec)
     if null_key == KEEP:
         failed = F.when(F.col(spec.key).isNotNull(), failed)
-    return one_row_per_key(normalise(bronze, spec), spec.key, failed)
+    return one_row_per_key(normalise(bronze, spec), spec.key, failed, hot)
 
 
 def rejected_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:

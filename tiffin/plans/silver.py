@@ -11,6 +11,7 @@ from tiffin.operators.quality import (
     audit_rows,
     clean,
     duplicate_rejections,
+    hot_buckets,
     normalise,
     rejected_keys,
     rejections,
@@ -44,6 +45,12 @@ def stored_duplicates(warehouse: Warehouse, spec: TableSpec, stage: Stage) -> Da
     return duplicate_rejections(bronze, spec, several)
 
 
+def cleaned(warehouse: Warehouse, spec: TableSpec, null_key: str = KEEP) -> DataFrame:
+    """The silver table of a stored bronze table, the keys of which are counted first."""
+    bronze = warehouse.bronze(spec)
+    return clean(bronze, spec, null_key, hot_buckets(normalise(bronze, spec), spec.key))
+
+
 def build_silver_table(
     warehouse: Warehouse,
     spec: TableSpec,
@@ -53,7 +60,7 @@ def build_silver_table(
 ) -> tuple[int, int]:
     """Rebuild one silver table and append its rejects, both or neither; returns both row counts."""
     on = warehouse.version(SILVER, spec.silver_name)
-    kept = clean(warehouse.bronze(spec), spec, null_key)
+    kept = cleaned(warehouse, spec, null_key)
     rejected = audit_rows(stored_rejections(warehouse, spec, stage, null_key), rejected_at)
     return warehouse.rebuild(kept, rejected, spec, kept_figures(spec), on)
 
