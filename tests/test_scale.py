@@ -11,8 +11,10 @@ from settings import conf
 from tiffin.operators import quality
 from tiffin.operators.joins import spread_join
 from tiffin.plans import gold
+from tiffin.plans.silver import stored_duplicates
 from tiffin.schemas import ORDER_ITEMS, ORDERS, RESTAURANTS, TABLES
 from tiffin.sources import testbed
+from tiffin.sources.warehouse import BRONZE, Stage, Warehouse
 
 SF = "/root/testdata/sf0.001"
 N = 60_000
@@ -158,6 +160,27 @@ def test_losers_of_a_hot_key(spark, small_limits):
     assert losers.count() == rows.filter("Order_item_id = 'I0'").count() - 1
 
 
+def test_losers_take_one_shuffle_but_for_hot_keys(spark, small_limits, tmp_path):
+    """A third of the rows has one key; others are repeated with other rows, copies, NULLs, bad rows, or come once."""
+    rows = _items(spark).selectExpr(
+        "if(Order_id = 'O0', 'I0', concat('I', CAST(substr(Order_item_id, 2) AS INT) div 4)) AS Order_item_id",
+        "if(Quantity = 2, NULL, Order_id) AS Order_id",
+        "* EXCEPT (Order_item_id, Order_id)",
+    )
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    bad = rows.filter("Quantity = 5 AND Order_item_id <> 'I0'").withColumn("Price", F.lit(-1).cast("decimal(10,2)"))
+    warehouse.write(rows.union(rows.limit(5000)).union(bad), BRONZE, ORDER_ITEMS.bronze_name)
+    bronze = warehouse.bronze(ORDER_ITEMS)
+    expected = sorted(map(str, quality.duplicate_rejections(bronze, ORDER_ITEMS).collect()))
+    assert expected
+    for hot_rows in (1000, N):
+        losers = stored_duplicates(warehouse, ORDER_ITEMS, Stage(warehouse), hot_rows)
+        assert sorted(map(str, losers.collect())) == expected
+    plan = _final_plan(losers)
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_spread_join_equals_a_join(spark):
     rows = _items_of_hot_key(spark).select("Order_item_id", "Menu_item")
     per_key = rows.groupBy("Order_item_id").agg(F.count("*").alias("n")).filter("n % 2 = 0")

@@ -7,11 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 
 from tiffin.operators.quality import (
+    HOT_ROWS,
     KEEP,
     audit_rows,
     clean,
     duplicate_rejections,
     hot_buckets,
+    in_buckets,
+    losers_per_key,
     normalise,
     rejected_keys,
     rejections,
@@ -35,14 +38,21 @@ def stored_rejections(
     return rejections(bronze, spec, null_key, bad)
 
 
-def stored_duplicates(warehouse: Warehouse, spec: TableSpec, stage: Stage) -> DataFrame:
-    """Losers among the rows of a key, with the repeated keys, then their rows, stored first."""
+def stored_duplicates(
+    warehouse: Warehouse, spec: TableSpec, stage: Stage, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Losers among the rows of a key. Of hot keys, the repeated ones, then their rows, are stored first."""
     bronze = warehouse.bronze(spec)
+    rows = normalise(bronze, spec)
+    hot = hot_buckets(rows, spec.key, hot_rows)
+    losers = losers_per_key(bronze, spec, hot)
+    if not hot:
+        return losers
     keys, _ = stage.store(
-        f"repeated_{spec.silver_name}", repeated_keys(normalise(bronze, spec), spec)
+        f"repeated_{spec.silver_name}", repeated_keys(rows.filter(in_buckets(spec.key, hot)), spec)
     )
     several, _ = stage.store(f"several_{spec.silver_name}", repeated_rows(bronze, spec, keys))
-    return duplicate_rejections(bronze, spec, several)
+    return losers.unionAll(duplicate_rejections(bronze, spec, several))
 
 
 def cleaned(warehouse: Warehouse, spec: TableSpec, null_key: str = KEEP) -> DataFrame:
